@@ -49,18 +49,28 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 
 
 def hot_keys(df: DataFrame, key: str, share: float) -> list:
-    """Key values holding more than ``share`` of the rows: at most 1 / share values."""
+    """Key values (None for null) holding more than ``share`` of the rows.
+
+    There are at most 1 / share of them, so the list on the driver is bounded.
+    """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total = df.count()
-    rows = counts.filter(F.col("n") > F.lit(share * total)).select(key).collect()
-    return [r[0] for r in rows if r[0] is not None]
+    return [r[0] for r in counts.filter(F.col("n") > F.lit(share * total)).select(key).collect()]
+
+
+def is_hot(key: str, hot: list) -> Column:
+    """True for the rows of a hot key, never null."""
+    values = [v for v in hot if v is not None]
+    cond = F.coalesce(F.col(key).isin(values), F.lit(False)) if values else F.lit(False)
+    return cond | F.col(key).isNull() if None in hot else cond
 
 
 def salted(df: DataFrame, key: str, hot: list, salts: int) -> DataFrame:
     """Add ``salt``: spread over ``salts`` values for hot keys, 0 for the others."""
+    if not hot:
+        return df.withColumn("salt", F.lit(0))
     spread = (F.rand(17) * salts).cast("int")
-    return df.withColumn("salt", F.when(F.col(key).isin(hot), spread).otherwise(0) if hot
-                         else F.lit(0))
+    return df.withColumn("salt", F.when(is_hot(key, hot), spread).otherwise(0))
 
 
 def salted_join(
@@ -73,12 +83,22 @@ def salted_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join keeps the rows of the big side: inner or left")
+    only_zero = F.array(F.lit(0))
     all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    copies = F.when(F.col(key).isin(hot), all_salts).otherwise(F.array(F.lit(0)))
-    right = other.withColumn("salt", F.explode(copies if hot else F.array(F.lit(0))))
+    copies = F.when(is_hot(key, hot), all_salts).otherwise(only_zero) if hot else only_zero
+    right = other.withColumn("salt", F.explode(copies))
     return salted(big, key, hot, salts).join(right, [key, "salt"], how).drop("salt")
 
 
+def sort_spread(df: DataFrame, *cols: str | Column) -> DataFrame:
+    """A total sort in which rows that tie on all columns still spread over several tasks.
+
+    Sort partitions are ranges of the sort key, and one repeated key cannot be cut; a random
+    last key lets it be.
+    """
+    return df.withColumn("_tie", F.rand(11)).orderBy(*cols, "_tie").drop("_tie")
+
+
 def anti_nullsafe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left rows without a partner; null keys match null keys."""
     return left.alias("l").join(right.alias("r"), same_on("l", "r", keys), "left_anti")

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from plumbline.functions.canonical import row_hash
 from plumbline.functions.scalars import date_parts
-from plumbline.operators.relational import hot_keys, salted
+from plumbline.operators.relational import hot_keys, is_hot, salted, salted_join
+from plumbline.sources.readers import unique_name
 
 # --- star schema ----------------------------------------------------------------------
 
@@ -106,6 +107,11 @@ def apply_default(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     })
 
 
+NUMERIC_TYPES = frozenset({
+    "tinyint", "smallint", "int", "integer", "bigint", "float", "double", "decimal",
+})
+
+
 def type_audit(df: DataFrame, wanted: Mapping[str, str]) -> DataFrame:
     """(col_name, wanted_type, non_null, misfits, changed) for narrower column types.
 
@@ -115,7 +121,8 @@ def type_audit(df: DataFrame, wanted: Mapping[str, str]) -> DataFrame:
     for c, dtype in wanted.items():
         src = F.col(f"`{c}`")
         new = src.try_cast(dtype)
-        back = new.cast("double") != src.try_cast("double")
+        numeric = dtype.split("(")[0].strip().lower() in NUMERIC_TYPES
+        back = new.cast("double") != src.try_cast("double") if numeric else F.lit(False)
         aggs += [
             F.count(src).alias(f"n_{c}"),
             F.count_if(src.isNotNull() & new.isNull()).alias(f"bad_{c}"),
@@ -170,8 +177,12 @@ def layout_even(df: DataFrame, n: int) -> DataFrame:
 
 
 def layout_sort(df: DataFrame, cols: Sequence[str], n: int | None = None) -> DataFrame:
-    """Range partitions sorted by the columns, so file min/max statistics skip blocks."""
-    laid = df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
+    """Range partitions sorted by the columns, so file min/max statistics skip blocks.
+
+    The random last range key lets a repeated sort key spread over several partitions.
+    """
+    spread = [*[F.col(c) for c in cols], F.rand(13)]
+    laid = df.repartitionByRange(n, *spread) if n else df.repartitionByRange(*spread)
     return laid.sortWithinPartitions(*cols)
 
 
@@ -184,21 +195,33 @@ def layout_skew(df: DataFrame) -> DataFrame:
     )
 
 
-def colocated_write(
-    df: DataFrame, name: str, key: str, n: int, path: str
-) -> None:
-    """A table bucketed and sorted by the join key: later joins on it need no exchange.
-
-    One bucket goes to one task in such a join, so rows of hot keys belong elsewhere: see
-    :func:`colocated_join`.
-    """
+def colocated_write(df: DataFrame, name: str, key: str, n: int, path: str) -> DataFrame:
+    """Write a table bucketed and sorted by the join key: joins on it need no exchange."""
     df.repartition(n, key).write.mode("overwrite").format("parquet").bucketBy(n, key).sortBy(
         key
     ).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
 
+def colocated_join(
+    spark: SparkSession, left: DataFrame, right: DataFrame, key: str, n: int, root: str
+) -> DataFrame:
+    """Inner join of two tables co-located on the key.
 
-def read_bucketed(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
+    One bucket is one task, so keys holding more than a bucket's share of the left rows (at
+    most n of them) stay out of the buckets; their rows meet in a salted join instead.
+    """
+    hot = hot_keys(left, key, 1.0 / n)
+    cold = ~is_hot(key, hot)
+    lname, rname = unique_name("left_bucketed"), unique_name("right_bucketed")
+    lhs = colocated_write(left.filter(cold), lname, key, n, f"{root}/left")
+    rhs = colocated_write(right.filter(cold), rname, key, n, f"{root}/right")
+    joined = lhs.hint("merge").join(rhs, key)
+    if not hot:
+        return joined
+    return joined.unionByName(
+        salted_join(left.filter(~cold), right.filter(~cold), key, hot, salts=n)
+    )
 
 
 # --- upkeep ---------------------------------------------------------------------------
@@ -236,7 +259,7 @@ def recluster_dirty(
     Sorted rows go to a staging folder first, since a folder being read cannot be replaced.
     """
     wanted = spark.read.parquet(path).filter(F.col(part).isin(list(dirty)))
-    laid = wanted.repartitionByRange(part, *order).sortWithinPartitions(part, *order)
+    laid = layout_sort(wanted, [part, *order])
     laid.write.mode("overwrite").partitionBy(part).parquet(staging)
     spark.read.parquet(staging).sortWithinPartitions(part, *order).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"

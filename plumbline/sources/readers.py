@@ -56,7 +56,9 @@ def scan_ragged_csv(
     ``max_fields`` only sizes the parse schema; trailing absent fields are cut off again.
     """
     ddl = ", ".join(f"c{i} string" for i in range(max_fields))
-    parsed = spark.read.text(path).select(F.from_csv("value", F.lit(ddl)).alias("r"))
+    parsed = spark.read.text(path).select(
+        F.from_csv("value", F.lit(ddl), {"nullValue": "\u0000"}).alias("r")  # "" is a value
+    )
     fields = F.array(*[F.col(f"r.c{i}") for i in range(max_fields)])
     return parsed.select(F.filter(fields, lambda x: x.isNotNull()).alias(out))
 
@@ -73,12 +75,19 @@ def scan_quoted_csv(
 
 
 def scan_json_mapped(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
-    """JSON with keys in any case as an all-text table with the given lower-case names.
+    """JSON lines with keys in any case as an all-text table with the given lower-case names.
 
-    The reader matches field names without case, so the declared schema is enough.
+    Each line is read as a map whose keys are lowered, so no schema pass is needed. Of two
+    keys that differ only in case the last one counts.
     """
-    schema = T.StructType([T.StructField(n.lower(), T.StringType()) for n in names])
-    return spark.read.schema(schema).json(path)
+    fields = F.map_entries(F.from_json("value", "map<string,string>"))
+    lowered = F.transform(fields, lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"]))
+    rows = spark.read.text(path).select(F.reverse(lowered).alias("e"))
+
+    def pick(name: str):
+        return F.get(F.filter("e", lambda x: x["k"] == name.lower()), F.lit(0))["value"]
+
+    return rows.select(*[pick(n).alias(n.lower()) for n in names])
 
 
 def crawl(

@@ -27,11 +27,11 @@ def sink_partitioned(
 ) -> None:
     """Replace a table, partitioned by a column and sorted inside each file.
 
-    A range exchange on (partition, sort columns) spreads a large partition value over
+    A range exchange on (partition, sort columns, random) spreads a large partition value over
     several tasks and files instead of sending it to one.
     """
     rest = [c for c in order if c != part]
-    laid = df.repartitionByRange(part, *rest).sortWithinPartitions(part, *rest)
+    laid = df.repartitionByRange(part, *rest, F.rand(13)).sortWithinPartitions(part, *rest)
     _table_writer(laid, "overwrite", path).partitionBy(part).saveAsTable(name)
 
 
@@ -43,7 +43,10 @@ def sink_replace_slice(df: DataFrame, path: str, part: str) -> None:
 
 
 def sink_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    df.write.mode("overwrite").csv(path, header=header, quote='"', escape='"')
+    df.write.mode("overwrite").csv(
+        path, header=header, quote='"', escape='"',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
 
 
 def with_hive_parts(df: DataFrame, ts: str) -> DataFrame:
@@ -59,7 +62,7 @@ def sink_hive_layout(df: DataFrame, path: str, ts: str) -> None:
     """Files under ``year=/month=/day=/hour=``.
 
     The range exchange groups an hour's rows so each hour has few files; an hour too large
-    for one task is split by its time values.
+    for one task is split at random.
     """
     parts = ["year", "month", "day", "hour"]
     laid = with_hive_parts(df, ts).repartitionByRange(*parts, ts)
