@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,18 +13,28 @@ from plumbline.functions.canonical import value_text
 ALL_COLUMNS = "<all columns>"
 
 
+def _short(text: Column) -> Column:
+    """The text itself, or its SHA-256 when it is longer than one: equal iff the text is.
+
+    A digest with its mark is 65 characters, so it never equals a text kept as it is.
+    """
+    return F.when(F.length(text) > 64, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(text)
+
+
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(col_name, distinct_val_count, row_count): exact distinct non-null values per column.
 
     Each cell becomes a (column, value) pair; a first aggregation counts equal pairs
     (map-side before the shuffle), a second counts the pairs. Several count-distinct
     aggregates in one query would instead carry every column through one exchange per row
-    and column.
+    and column. Long texts are shuffled as digests.
     """
     cols = list(cols or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
     cells = F.array(*[
-        F.struct(F.lit(c).alias("col_name"), value_text(F.col(f"`{c}`"), types[c]).alias("v"))
+        F.struct(
+            F.lit(c).alias("col_name"), _short(value_text(F.col(f"`{c}`"), types[c])).alias("v")
+        )
         for c in cols
     ])
     pairs = df.select(F.inline(cells)).groupBy("col_name", "v").agg(

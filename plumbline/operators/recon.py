@@ -219,17 +219,21 @@ def _with_keys(df: DataFrame, found: DataFrame, keys: Sequence[str], how: str) -
     return df.alias("d").join(found.alias("f"), same_on("d", "f", keys), how)
 
 
-def cell_diff(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def cell_diff(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], repeats: bool = True
+) -> DataFrame:
     """Matched rows that differ in a non-key column.
 
     Columns: the keys, then per compared column ``<c>_left``, ``<c>_right``, ``<c>_diff``.
     Keys repeated on both sides are left to :func:`repeated_key_values`, so no key pairs
-    more rows than it holds.
+    more rows than it holds. A caller whose census found none passes ``repeats=False`` and
+    saves that census.
     """
     cols = [c for c in left.columns if c not in keys]
-    repeated = repeated_keys(left, right, keys)
-    lhs = _with_keys(left, repeated, keys, "left_anti").alias("l")
-    rhs = right.alias("r")
+    lhs, rhs = left.alias("l"), right.alias("r")
+    if repeats:
+        found = repeated_keys(left, right, keys)
+        lhs = _with_keys(left, found, keys, "left_anti").alias("l")
     cond = same_on("l", "r", keys) & any_diff("l", "r", cols)
     out = [F.col(f"l.`{k}`").alias(k) for k in keys]
     for c in cols:
@@ -293,7 +297,11 @@ def diff_counts_of(diffs: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def check_cells(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], diffs: DataFrame | None = None
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    diffs: DataFrame | None = None,
+    repeats: bool = True,
 ) -> DataFrame:
     """(col_name, mismatch_cnt): row pairs with the same key that differ in the column.
 
@@ -303,7 +311,11 @@ def check_cells(
     cols = [c for c in left.columns if c not in keys]
     if not cols:
         return left.sparkSession.createDataFrame([], "col_name string, mismatch_cnt long")
-    single = diff_counts_of(cell_diff(left, right, keys) if diffs is None else diffs, cols)
+    if diffs is None:
+        diffs = cell_diff(left, right, keys, repeats)
+    single = diff_counts_of(diffs, cols)
+    if not repeats:
+        return single.filter("mismatch_cnt > 0")
     values = repeated_key_values(left, right, keys)
     counts = single.unionByName(_repeated_pair_counts(values, keys))
     return counts.groupBy("col_name").agg(
@@ -323,6 +335,7 @@ def diff_samples(
     keys: Sequence[str],
     n: int,
     diffs: DataFrame | None = None,
+    repeats: bool = True,
 ) -> DataFrame:
     """Up to n distinct (keys, col_name, left_val, right_val) per differing column.
 
@@ -333,7 +346,7 @@ def diff_samples(
     types = {f.name: f.dataType for f in left.schema.fields}
     rtypes = {f.name: f.dataType for f in right.schema.fields}
     if diffs is None:
-        diffs = cell_diff(left, right, keys)
+        diffs = cell_diff(left, right, keys, repeats)
     cells = F.array(*[
         F.struct(
             F.lit(c).alias("col_name"),
@@ -345,6 +358,9 @@ def diff_samples(
     ])
     single = diffs.select(*keys, F.inline(cells)).filter("differs").drop("differs")
 
+    order = [*keys, "left_val", "right_val"]
+    if not repeats:
+        return _first_per(single.distinct(), ["col_name"], order, n)
     values = repeated_key_values(left, right, keys)
     group = [*keys, "col_name"]
     lv = _first_per(values.filter("n_left > 0"), group, ["value"], n + 1)
@@ -356,7 +372,7 @@ def diff_samples(
         *[F.col(f"l.`{c}`").alias(c) for c in group], "left_val", "right_val"
     )
     found = single.unionByName(multi).distinct()
-    return _first_per(found, ["col_name"], [*keys, "left_val", "right_val"], n)
+    return _first_per(found, ["col_name"], order, n)
 
 
 def key_text(df: DataFrame, keys: Sequence[str]) -> Column:

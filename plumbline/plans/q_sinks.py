@@ -95,8 +95,12 @@ def sink_hive_layout(spark, sf):
     SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM pair p WHERE p.o_orderkey = o.o_orderkey)
     UNION ALL SELECT DISTINCT * FROM pair"""))
 def sink_upsert(spark, sf):
+    """The merged rows go to a new table, which then takes the place of the old one."""
     target, changed = pair(spark, sf)
-    return relational.upsert(target, changed.distinct(), ["o_orderkey"], check=True)
+    name = readers.unique_name("merged")
+    sinks.sink_overwrite(target, name, scratch(spark, name))
+    sinks.sink_upsert(spark, name, changed.distinct(), ["o_orderkey"], scratch(spark, name))
+    return spark.table(name)
 
 
 @query("sink_swap_table", "SELECT s_suppkey, s_name FROM supplier")

@@ -57,8 +57,8 @@ def stream_new_files(spark, sf):
     return spark.read.parquet(out)
 
 
-@query("stream_kafka_decode", "SELECT event_id, event_type, value FROM events")
-def stream_kafka_decode(spark, sf):
+@query("stream_kafka_reader", "SELECT event_id, event_type, value FROM events")
+def stream_kafka_reader(spark, sf):
     """The decode step of a topic reader, fed by files that hold key and value bytes."""
     events = table(spark, sf, "events")
     body = F.to_json(F.struct("event_id", "event_type", "value")).cast("binary")

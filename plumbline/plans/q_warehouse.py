@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.operators import warehouse as wh
+from plumbline.operators.relational import broadcast_if_small
 from plumbline.plans.catalog import query
 from plumbline.plans.derived import SALES_SQL, sales
 from plumbline.session import scratch, table
@@ -154,6 +155,15 @@ def layout_even(spark, sf):
     return wh.layout_even(_items(spark, sf), 8)
 
 
+@query("layout_all", """
+    SELECT l_orderkey, l_linenumber, p_name FROM lineitem JOIN part ON l_partkey = p_partkey""")
+def layout_all(spark, sf):
+    """A small dimension copied to every executor, once its size is proven."""
+    parts = broadcast_if_small(table(spark, sf, "part").select("p_partkey", "p_name"))
+    return _items(spark, sf).join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        "l_orderkey", "l_linenumber", "p_name")
+
+
 @query("layout_skew")
 def layout_skew(spark, sf):
     """Events have five types; salting still spreads them over the eight partitions."""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import dataclasses
+import io
 import traceback
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -65,9 +68,6 @@ def verdict(checks: Mapping[str, bool], has_keys: bool) -> bool:
 
 def _plan_text(df: DataFrame) -> str:
     """Spark's formatted plan. The only public way to get it as text is its printout."""
-    import contextlib
-    import io
-
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
         df.explain("formatted")
@@ -132,7 +132,7 @@ def reconcile(
         only = {"left": totals.only_left, "right": totals.only_right}
         run.done("exclusive_keys", not any(only.values()), only)
     if "cells" in chosen:
-        _cells(run, lhs, rhs, keys)
+        _cells(run, lhs, rhs, keys, totals is None or totals.repeated_both > 0)
     run.result.passed = verdict(run.result.checks, bool(keys))
     return run.result
 
@@ -154,27 +154,27 @@ def _schema(run: _Run, spark: SparkSession, left: DataFrame, right: DataFrame, s
 
 
 def _types_only(spec: ReconSpec) -> ReconSpec:
-    import dataclasses
-
     return dataclasses.replace(spec, column_exprs={}, type_exprs={}, sort_json=(), where="")
 
 
-def _cells(run: _Run, lhs: DataFrame, rhs: DataFrame, keys: list[str]) -> None:
+def _cells(
+    run: _Run, lhs: DataFrame, rhs: DataFrame, keys: list[str], repeats: bool
+) -> None:
     n = run.spec.samples
     if not keys:
         if n and not run.result.checks.get("hash", True):
             run.result.samples = recon.sample_unmatched(lhs, rhs, n)
         return
-    diffs = recon.cell_diff(lhs, rhs, keys)
+    diffs = recon.cell_diff(lhs, rhs, keys, repeats)
     reuse = n > 0
     if reuse:
         diffs = diffs.persist(StorageLevel.MEMORY_AND_DISK)  # only the differing rows
     try:
-        counts = run.plan("cells", recon.check_cells(lhs, rhs, keys, diffs))
+        counts = run.plan("cells", recon.check_cells(lhs, rhs, keys, diffs, repeats))
         found = {r.col_name: r.mismatch_cnt for r in counts.collect()}  # one row per column
         run.done("cells", not found, found or {"mismatched": 0}, sorted(found))
         if reuse and found:
-            picked = recon.diff_samples(lhs, rhs, keys, n, diffs)
+            picked = recon.diff_samples(lhs, rhs, keys, n, diffs, repeats)
             rows = picked.collect()  # at most n per column
             run.result.samples = lhs.sparkSession.createDataFrame(rows, picked.schema)
     finally:
@@ -256,14 +256,20 @@ def drilldown(
     """Both sides' rows for the mismatched keys, side by side, first n in column order.
 
     A key that a side lacks shows as a row of nulls there. The key list is made distinct
-    first, so a key sampled for several columns is looked up once.
+    first, so a key sampled for several columns is looked up once. A semi join finds the
+    rows, since a hot key of the table can be split there and not in an outer join; the
+    absent keys come from an anti join against the table's distinct keys.
     """
     wanted = mismatches.select(*on).distinct()
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        cond = recon.same_on("m", "t", on)
-        joined = wanted.alias("m").join(df.alias("t"), cond, "left")
-        return joined.select(F.lit(name).alias("side"), *[F.col(f"t.`{c}`") for c in cols])
+        cond = recon.same_on("t", "m", on)
+        found = df.alias("t").join(wanted.alias("m"), cond, "left_semi").select(*cols)
+        present = df.select(*on).distinct().alias("t")
+        nulls = [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in cols]
+        absent = wanted.alias("m").join(present, cond, "left_anti").select(*nulls)
+        both = found.unionByName(absent)
+        return both.select(F.lit(name).alias("side"), *cols)
 
     both = side(left, "left").unionByName(side(right, "right"))
     return both.orderBy(*both.columns).limit(n)

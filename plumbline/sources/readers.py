@@ -77,17 +77,19 @@ def scan_quoted_csv(
 def scan_json_mapped(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
     """JSON lines with keys in any case as an all-text table with the given lower-case names.
 
-    Each line is read as a map whose keys are lowered, so no schema pass is needed. Of two
-    keys that differ only in case the last one counts.
+    Each line is read as a map and its keys are lowered once, so no schema pass is needed.
+    Of two keys of a line that differ only in case the last one counts.
     """
     fields = F.map_entries(F.from_json("value", "map<string,string>"))
-    lowered = F.transform(fields, lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"]))
-    rows = spark.read.text(path).select(F.reverse(lowered).alias("e"))
-
-    def pick(name: str):
-        return F.get(F.filter("e", lambda x: x["k"] == name.lower()), F.lit(0))["value"]
-
-    return rows.select(*[pick(n).alias(n.lower()) for n in names])
+    lowered = F.transform(fields, lambda e: F.struct(F.lower(e["key"]).alias("k"),
+                                                     e["value"].alias("v")))
+    keys = F.transform(lowered, lambda e: e["k"])
+    values = F.transform(lowered, lambda e: e["v"])
+    rows = spark.read.text(path).select(F.reverse(keys).alias("ks"), F.reverse(values).alias("vs"))
+    return rows.select(*[
+        F.get("vs", F.array_position("ks", n.lower()).cast("int") - 1).alias(n.lower())
+        for n in names
+    ])
 
 
 def crawl(

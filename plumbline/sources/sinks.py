@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.operators.relational import upsert
+from plumbline.sources.readers import unique_name
+
 
 def _table_writer(df: DataFrame, mode: str, path: str | None):
     writer = df.write.mode(mode).format("parquet")
@@ -79,6 +82,19 @@ def sink_swap_table(spark: SparkSession, old: str, new: str) -> None:
     spark.sql(f"ALTER TABLE {new} RENAME TO {old}")
 
 
+def sink_upsert(
+    spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str], path: str
+) -> None:
+    """Put rows into a table of a format without MERGE: write the merged table, then swap.
+
+    Two source rows for one key are an error, as they are for MERGE.
+    """
+    merged = upsert(spark.table(name), source, keys, check=True)
+    new = unique_name(f"{name}_new")
+    sink_overwrite(merged, new, path)
+    sink_swap_table(spark, name, new)
+
+
 def merge_into(df: DataFrame, table: str, on: Column) -> None:
     """MERGE rows into a table of a transactional format (the format's jar must be present)."""
     df.mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll().merge()
