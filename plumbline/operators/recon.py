@@ -213,27 +213,40 @@ def repeated_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Dat
     return census.filter("n_left > 1 AND n_right > 1").select(*keys)
 
 
+def any_repeated(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> bool:
+    """Is any key value held by several rows on both sides? One job over the keys."""
+    return not repeated_keys(left, right, keys).limit(1).isEmpty()
+
+
 def _with_keys(df: DataFrame, found: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Semi or anti join on null-safe keys. When ``found`` turns out empty, adaptive
-    execution drops the join."""
-    return df.alias("d").join(found.alias("f"), same_on("d", "f", keys), how)
+    """Semi or anti join on null-safe keys.
+
+    The hash in the condition gives this join a partitioning of its own. A later join on the
+    keys then reads its sides straight from a shuffle, which is what adaptive execution needs
+    to split a hot key.
+    """
+    mark = F.xxhash64(*[F.col(f"`{k}`") for k in keys]).alias("_h")
+    lhs, rhs = df.select("*", mark).alias("d"), found.select(*keys, mark).alias("f")
+    cond = (F.col("d._h") == F.col("f._h")) & same_on("d", "f", keys)
+    return lhs.join(rhs, cond, how).drop("_h")
 
 
 def cell_diff(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], repeats: bool = True
+    left: DataFrame, right: DataFrame, keys: Sequence[str], repeats: bool | None = None
 ) -> DataFrame:
     """Matched rows that differ in a non-key column.
 
     Columns: the keys, then per compared column ``<c>_left``, ``<c>_right``, ``<c>_diff``.
     Keys repeated on both sides are left to :func:`repeated_key_values`, so no key pairs
-    more rows than it holds. A caller whose census found none passes ``repeats=False`` and
-    saves that census.
+    more rows than it holds. Whether there are any is looked up, unless a caller who has
+    counted them says so in ``repeats``; without them the plan is one join of the two sides.
     """
     cols = [c for c in left.columns if c not in keys]
+    if repeats is None:
+        repeats = any_repeated(left, right, keys)
     lhs, rhs = left.alias("l"), right.alias("r")
     if repeats:
-        found = repeated_keys(left, right, keys)
-        lhs = _with_keys(left, found, keys, "left_anti").alias("l")
+        lhs = _with_keys(left, repeated_keys(left, right, keys), keys, "left_anti").alias("l")
     cond = same_on("l", "r", keys) & any_diff("l", "r", cols)
     out = [F.col(f"l.`{k}`").alias(k) for k in keys]
     for c in cols:
@@ -301,7 +314,7 @@ def check_cells(
     right: DataFrame,
     keys: Sequence[str],
     diffs: DataFrame | None = None,
-    repeats: bool = True,
+    repeats: bool | None = None,
 ) -> DataFrame:
     """(col_name, mismatch_cnt): row pairs with the same key that differ in the column.
 
@@ -311,6 +324,8 @@ def check_cells(
     cols = [c for c in left.columns if c not in keys]
     if not cols:
         return left.sparkSession.createDataFrame([], "col_name string, mismatch_cnt long")
+    if repeats is None:
+        repeats = any_repeated(left, right, keys)
     if diffs is None:
         diffs = cell_diff(left, right, keys, repeats)
     single = diff_counts_of(diffs, cols)
@@ -335,7 +350,7 @@ def diff_samples(
     keys: Sequence[str],
     n: int,
     diffs: DataFrame | None = None,
-    repeats: bool = True,
+    repeats: bool | None = None,
 ) -> DataFrame:
     """Up to n distinct (keys, col_name, left_val, right_val) per differing column.
 
@@ -345,6 +360,8 @@ def diff_samples(
     cols = [c for c in left.columns if c not in keys]
     types = {f.name: f.dataType for f in left.schema.fields}
     rtypes = {f.name: f.dataType for f in right.schema.fields}
+    if repeats is None:
+        repeats = any_repeated(left, right, keys)
     if diffs is None:
         diffs = cell_diff(left, right, keys, repeats)
     cells = F.array(*[

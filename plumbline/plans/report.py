@@ -132,7 +132,9 @@ def reconcile(
         only = {"left": totals.only_left, "right": totals.only_right}
         run.done("exclusive_keys", not any(only.values()), only)
     if "cells" in chosen:
-        _cells(run, lhs, rhs, keys, totals is None or totals.repeated_both > 0)
+        repeats = recon.any_repeated(lhs, rhs, keys) if keys and totals is None else (
+            bool(keys) and totals.repeated_both > 0)
+        _cells(run, lhs, rhs, keys, repeats)
     run.result.passed = verdict(run.result.checks, bool(keys))
     return run.result
 

@@ -31,8 +31,18 @@ ERROR_TEXT = "Error retrieving article text."
 class _Element:
     __slots__ = ("tag", "attrs", "start", "end")
 
-    def __init__(self, tag: str, attrs: dict, start: int) -> None:
-        self.tag, self.attrs, self.start, self.end = tag, attrs, start, None
+    def __init__(self, tag: str, attrs: dict, start: tuple[int, int]) -> None:
+        self.tag, self.attrs, self.start, self.end = tag, attrs, start, start
+
+    @property
+    def at(self) -> int:
+        """Its own place in the page's list of elements."""
+        return self.start[0] - 1
+
+    @property
+    def span(self) -> range:
+        """The places of the elements inside it."""
+        return range(self.start[0], self.end[0])
 
     def is_a(self, tag: str, cls: str | None) -> bool:
         return self.tag == tag and (not cls or cls in (self.attrs.get("class") or "").split())
@@ -191,14 +201,13 @@ def html_tables(df: DataFrame, html: str, keep: Sequence[str], index: int) -> Da
         if index >= len(tables):
             return []
         table = tables[index]
-        inner = page.find_all("table", inside=table)
-        own = [r for r in page.find_all("tr", inside=table)
-               if not any(t.start[0] <= r.start[0] - 1 < t.end[0] for t in inner)]
-        rows = []
-        for tr in own:
-            cells = [e for e in page.elements[tr.start[0]:tr.end[0]] if e.tag in ("td", "th")]
-            rows.append([page.text(c).strip() for c in cells])
-        return rows
+        inner = [t.span for t in page.find_all("table", inside=table)]
+        own = lambda e: not any(e.at in t for t in inner)
+        return [
+            [page.text(c).strip() for c in page.elements[tr.start[0]:tr.end[0]]
+             if c.tag in ("td", "th") and own(c)]
+            for tr in page.find_all("tr", inside=table) if own(tr)
+        ]
 
     got = df.select(*keep, _per_page(F.col(html), "array<array<string>>", ask).alias("_t"))
     return got.select(

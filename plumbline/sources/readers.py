@@ -107,12 +107,24 @@ def crawl(
         for i, f in enumerate(df.schema.fields):
             rows.append((prefix + name, i + 1, f.name, f.dataType.simpleString(), f.name in parts))
         if register:
-            spark.sql(f"DROP TABLE IF EXISTS `{prefix + name}`")
-            spark.catalog.createTable(prefix + name, path=path, source="parquet")
+            _register(spark, prefix + name, path, df.schema, parts)
     ddl = "table_name string, position int, col_name string, data_type string, is_partition boolean"
     return spark.createDataFrame(rows, ddl)
 
 
+def _register(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, parts: set[str]
+) -> None:
+    """A catalog table over existing files, with the merged schema and its partitions."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    split = ", ".join(f"`{f.name}`" for f in schema.fields if f.name in parts)
+    by = f" PARTITIONED BY ({split})" if split else ""
+    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+    spark.sql(f"CREATE TABLE `{name}` ({cols}) USING parquet{by} LOCATION '{path}'")
+    if split:
+        spark.catalog.recoverPartitions(f"`{name}`")
+
+
 def partition_columns(df: DataFrame) -> set[str]:
     """Folder-name partition columns, read off the ``name=value`` parts of the file paths."""
     names: set[str] = set()
