@@ -24,7 +24,7 @@ HEADLINE = (
     "sales_by_category", "buying_patterns", "stock_levels", "tail_per_key", "latest_per_key",
     "ordered_concat", "nested_rollup", "text_unique", "text_sort", "json_extract", "sink_upsert",
     "star_build", "check_fk", "type_audit", "layout_key", "html_main_text", "html_paragraphs",
-    "scan_json_mapped", "stream_clickstream", "stream_cdc_apply",
+    "stream_clickstream", "stream_cdc_apply",
 )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,3 +57,14 @@ def zero_if_null(col: Column) -> Column:
 
 def flag(cond: Column) -> Column:
     return F.when(cond, 1).otherwise(0)
+
+
+def exact_sum(col: Column, scale: int = 4) -> Column:
+    """Sum of numbers with at most ``scale`` decimals as an exact decimal.
+
+    Unlike a sum of doubles it does not depend on the order of the rows. Whole numbers of the
+    smallest unit are summed, several times faster than doubles cast to decimals. A single
+    value must stay below 9e15 units.
+    """
+    units = F.rint(col * F.lit(float(10**scale))).cast("long").cast("decimal(18,0)")
+    return F.sum(units) * F.lit(Decimal(1).scaleb(-scale))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from plumbline.functions.canonical import marked_text, row_hash, value_text
+from plumbline.functions.canonical import FINGERPRINT, marked_text, row_fingerprint, value_text
 from plumbline.functions.scalars import matches
 from plumbline.spec import ReconSpec, TableSpec
 
@@ -171,11 +171,11 @@ def check_exclusive_keys(left: DataFrame, right: DataFrame, keys: Sequence[str])
 # --- row hashes -----------------------------------------------------------------------
 
 def hash_census(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Per row hash: copies on the left and on the right. Columns are matched by name."""
+    """Per row fingerprint: copies on the left and on the right. Columns are matched by name."""
     cols = left.columns
-    lh = left.select(row_hash(left, cols).alias("row_hash"))
-    rh = right.select(row_hash(right, cols).alias("row_hash"))
-    return key_census(lh, rh, ["row_hash"])
+    lh = left.select(*row_fingerprint(left, cols))
+    rh = right.select(*row_fingerprint(right, cols))
+    return key_census(lh, rh, FINGERPRINT)
 
 
 def check_hash(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -193,11 +193,11 @@ def check_hash(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def unmatched_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Left rows whose hash is in the left-minus-right set; all their copies stay."""
+    """Left rows whose fingerprint is in the left-minus-right set; all their copies stay."""
     cols = left.columns
-    missing = hash_census(left, right).filter("n_right = 0").select("row_hash")
-    hashed = left.withColumn("row_hash", row_hash(left, cols))
-    return hashed.join(missing, "row_hash", "left_semi").select(*cols)
+    missing = hash_census(left, right).filter("n_right = 0").select(*FINGERPRINT)
+    hashed = left.select("*", *row_fingerprint(left, cols))
+    return hashed.join(missing, list(FINGERPRINT), "left_semi").select(*cols)
 
 
 def sample_unmatched(left: DataFrame, right: DataFrame, n: int) -> DataFrame:

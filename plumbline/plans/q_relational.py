@@ -14,11 +14,6 @@ from plumbline.session import register_views, scratch, table
 from plumbline.spec import ReconSpec, prepare
 
 
-def dec(c: str):
-    """Exact money: sums of it do not depend on the order of the rows."""
-    return F.col(c).cast("decimal(18,4)")
-
-
 # --- P: projections and predicates ------------------------------------------------------
 
 @query("select_filter", "SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'MACHINERY'")
@@ -372,7 +367,7 @@ def filter_group_count(spark, sf):
 def multi_distinct(spark, sf):
     """Items are reduced to one row per order before the join, so a hot order joins as one."""
     per_order = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(dec("l_extendedprice")).alias("s"))
+        F.count(F.lit(1)).alias("n"), scalars.exact_sum(F.col("l_extendedprice")).alias("s"))
     joined = table(spark, sf, "orders").join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.groupBy("o_orderpriority").agg(
         F.count_distinct("o_custkey").alias("customers"),
@@ -391,7 +386,7 @@ def multi_distinct(spark, sf):
            CAST(sum(l_linenumber) AS BIGINT) AS line_numbers
     FROM lineitem GROUP BY l_returnflag, l_linestatus""")
 def group_sums(spark, sf):
-    total = lambda c, n: F.sum(dec(c)).cast("double").alias(n)
+    total = lambda c, n: scalars.exact_sum(F.col(c)).cast("double").alias(n)
     return table(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("items"), total("l_quantity", "quantity"),
         total("l_extendedprice", "price"), total("l_discount", "discount"), total("l_tax", "tax"),
@@ -501,7 +496,7 @@ def ordered_concat(spark, sf):
 def sales_by_category(spark, sf):
     """Sales per part are summed before the join, so a hot part joins as one row."""
     per_part = table(spark, sf, "lineitem").groupBy("l_partkey").agg(
-        F.sum(dec("l_extendedprice")).alias("s"))
+        scalars.exact_sum(F.col("l_extendedprice")).alias("s"))
     parts = table(spark, sf, "part").select("p_partkey", F.col("p_type").alias("category"))
     return per_part.join(parts, F.col("l_partkey") == F.col("p_partkey")).groupBy("category").agg(
         F.sum("s").cast("double").alias("total_sales"))
@@ -519,7 +514,7 @@ def buying_patterns(spark, sf):
     """Orders are reduced to one row per customer before they meet the customer table."""
     per = table(spark, sf, "orders").groupBy("o_custkey").agg(
         F.count("o_orderkey").alias("orders"),
-        F.sum(dec("o_totalprice")).cast("double").alias("spend"),
+        scalars.exact_sum(F.col("o_totalprice")).cast("double").alias("spend"),
         F.to_date(F.min("o_orderdate")).alias("first_order"),
         F.to_date(F.max("o_orderdate")).alias("last_order"),
     )

@@ -45,7 +45,7 @@ def scratch(spark: SparkSession, label: str) -> str:
 
     Only a local session (tests, bench) may fall back to a folder of its own machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

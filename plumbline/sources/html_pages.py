@@ -7,14 +7,19 @@ standard library's tokenizer inside a Pandas UDF; only the HTML column travels t
 
 from __future__ import annotations
 
+import sys
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The page helpers travel inside the function, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Elements without content, and elements whose text is not page text.
 VOID = frozenset({
     "area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link", "menuitem",

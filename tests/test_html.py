@@ -99,3 +99,26 @@ def test_only_the_page_column_travels_to_python(pages, plan):
     df = pages("<p>a</p>").withColumn("wide", F.lit("w"))
     text = plan(hp.html_paragraphs(df, "html", ["id", "wide"]))
     assert "ArrowEvalPython" in text
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """Python workers start in a folder from which the package cannot be imported."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "job.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {repo!r})
+from plumbline.session import build_session
+from plumbline.sources import html_pages as hp
+spark = build_session("ship", "local[1]")
+df = spark.createDataFrame([(0, "<p>a</p><p>b</p>")], "id int, html string")
+print("GOT", hp.html_paragraphs(df, "html", ["id"]).first().text)
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, text=True,
+                         capture_output=True, timeout=200)
+    assert "GOT a b" in out.stdout

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.functions.canonical import row_hash_hex
+from plumbline.functions.canonical import row_fingerprint, row_hash_hex
 from plumbline.operators import recon
 from plumbline.plans import report
 from plumbline.plans.derived import pair
@@ -176,27 +176,37 @@ def test_one_sided_columns_are_reported(spark):
     assert {(r.col_name, r.matched) for r in found.collect()} == {("x", False), ("y", False)}
 
 
-def test_null_position_and_separators_change_the_hash(spark):
+@pytest.fixture(params=["text hash", "fingerprint"])
+def distinct(request):
+    """Number of rows that the hash tells apart."""
+    def count(df):
+        cols = [row_hash_hex(df)] if request.param == "text hash" else row_fingerprint(df)
+        return df.select(*cols).distinct().count()
+    return count
+
+
+def test_null_position_and_separators_change_the_hash(spark, distinct):
     rows = [("a", None), (None, "a"), ("a||b", "c"), ("a", "b||c"), ("", None), (None, ""),
-            ("~", None), ("1:a", "b"), ("1", ":ab")]
-    df = frame(spark, rows, "x string, y string")
-    assert df.select(row_hash_hex(df).alias("h")).distinct().count() == len(rows)
+            ("~", None), ("1:a", "b"), ("1", ":ab"), (None, None), ("", "")]
+    assert distinct(frame(spark, rows, "x string, y string")) == len(rows)
 
 
-def test_equal_values_have_equal_hashes(spark):
+def test_equal_values_have_equal_hashes(spark, distinct):
     df = frame(spark, [(0.0, float("nan")), (-0.0, float("nan"))], "x double, y double")
-    assert df.select(row_hash_hex(df).alias("h")).distinct().count() == 1
+    assert distinct(df) == 1
 
 
-def test_microseconds_inside_nested_values_count(spark):
+def test_values_inside_nested_columns_count(spark, distinct):
     df = spark.sql("""SELECT array(TIMESTAMP_NTZ '2024-01-01 00:00:00.000001') AS a
                       UNION ALL SELECT array(TIMESTAMP_NTZ '2024-01-01 00:00:00.000002')""")
-    assert df.select(row_hash_hex(df).alias("h")).distinct().count() == 2
+    assert distinct(df) == 2
+    df = frame(spark, [([1, None],), ([None, 1],), ([1],), ([],), (None,)], "a array<int>")
+    assert distinct(df) == 5
 
 
-def test_map_entry_order_does_not_count(spark):
+def test_map_entry_order_does_not_count(spark, distinct):
     df = spark.sql("SELECT map('a', 1, 'b', 2) AS m UNION ALL SELECT map('b', 2, 'a', 1)")
-    assert df.select(row_hash_hex(df).alias("h")).distinct().count() == 1
+    assert distinct(df) == 1
 
 
 def test_copies_are_compared(spark):
