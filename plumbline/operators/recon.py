@@ -197,7 +197,7 @@ def unmatched_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     cols = left.columns
     missing = hash_census(left, right).filter("n_right = 0").select(*FINGERPRINT)
     hashed = left.select("*", *row_fingerprint(left, cols))
-    return hashed.join(missing, list(FINGERPRINT), "left_semi").select(*cols)
+    return with_keys(hashed, missing, FINGERPRINT, "left_semi").select(*cols)
 
 
 def sample_unmatched(left: DataFrame, right: DataFrame, n: int) -> DataFrame:
@@ -218,7 +218,7 @@ def any_repeated(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> bool
     return not repeated_keys(left, right, keys).limit(1).isEmpty()
 
 
-def _with_keys(df: DataFrame, found: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def with_keys(df: DataFrame, found: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Semi or anti join on null-safe keys.
 
     The hash in the condition gives this join a partitioning of its own. A later join on the
@@ -246,7 +246,7 @@ def cell_diff(
         repeats = any_repeated(left, right, keys)
     lhs, rhs = left.alias("l"), right.alias("r")
     if repeats:
-        lhs = _with_keys(left, repeated_keys(left, right, keys), keys, "left_anti").alias("l")
+        lhs = with_keys(left, repeated_keys(left, right, keys), keys, "left_anti").alias("l")
     cond = same_on("l", "r", keys) & any_diff("l", "r", cols)
     out = [F.col(f"l.`{k}`").alias(k) for k in keys]
     for c in cols:
@@ -268,7 +268,7 @@ def _values_of(
         )
         for c in cols
     ])
-    rows = _with_keys(df, repeated, keys, "left_semi")
+    rows = with_keys(df, repeated, keys, "left_semi")
     return rows.select(*keys, F.inline(cells))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from plumbline.functions.canonical import row_text
-from plumbline.operators.recon import same_on
+from plumbline.operators.recon import same_on, with_keys
 
 # A broadcast side is held whole by every executor: stay well below its memory.
 BROADCAST_MAX_ROWS = 1_000_000
@@ -154,29 +154,38 @@ def latest_row(
 def ordered_concat(
     df: DataFrame,
     by: Sequence[str],
-    order: str,
+    order: Sequence[str],
     text: Column,
     sep: str,
-    part_span: int = 10_000,
     out: str = "text",
+    max_pieces: int = 100_000,
 ) -> DataFrame:
-    """Text pieces per key joined in order, as (by, part, out).
+    """Text pieces per key joined in order, as (by, part, out); ties go in text order.
 
-    A whole-number or timestamp ``order`` is cut into spans: part k holds the pieces whose
-    order value (a timestamp counts in seconds) lies in the k-th span. Ordinary keys have one
-    part; a key with very many pieces gives several rows, to be read in part order, so that
-    no single task has to hold its whole text.
+    A key with up to ``max_pieces`` pieces gives one row, part 0. A longer one gives several
+    rows whose texts, read in part order, make up the whole: its pieces are sorted over all
+    tasks and cut every ``max_pieces`` rows, so no task holds more than that of one key.
     """
-    is_time = dict(df.dtypes)[order].startswith("timestamp")
-    pos = F.unix_seconds(F.col(order).cast("timestamp")) if is_time else F.col(order)
-    part = F.floor(pos / F.lit(part_span)).cast("long")
-    pieces = df.select(*by, part.alias("part"), F.col(order).alias("_o"), text.alias("_t"))
-    joined = pieces.groupBy(*by, "part").agg(
-        F.array_sort(F.collect_list(F.struct("_o", "_t"))).alias("_p")
-    )
-    return joined.select(
-        *by, "part", F.array_join(F.transform("_p", lambda p: p["_t"]), sep).alias(out)
-    )
+    pieces = df.select(*by, F.struct(*order, text.alias("_t")).alias("_p"))
+    counts = pieces.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    long_keys = counts.filter(F.col("n") > max_pieces).select(*by)
+
+    def joined(rows: DataFrame, part: Column) -> DataFrame:
+        lists = rows.withColumn("part", part).groupBy(*by, "part").agg(
+            F.array_sort(F.collect_list("_p")).alias("_l"))
+        return lists.select(
+            *by, "part", F.array_join(F.transform("_l", lambda p: p["_t"]), sep).alias(out))
+
+    first = F.lit(0).cast("long")
+    if long_keys.isEmpty():
+        return joined(pieces, first)
+    short = with_keys(pieces, long_keys, by, "left_anti")
+    rest = with_keys(pieces, long_keys, by, "left_semi")
+    # After the sort the id grows along the total order: partition in the high bits, row below.
+    placed = sort_spread(rest, *by, "_p").withColumn("_id", F.monotonically_increasing_id())
+    row = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    cut = F.col("_id") - row + F.floor(row / F.lit(max_pieces)).cast("long")
+    return joined(short, first).unionByName(joined(placed, cut))
 
 
 # --- windows and top-n ----------------------------------------------------------------

@@ -21,7 +21,11 @@ def html_paragraphs(spark, sf):
     return html_pages.html_paragraphs(table(spark, sf, "pages"), "html", ["page_id"])
 
 
-@query("html_main_text")
+@query("html_main_text", f"""
+    SELECT page_id, {_unescape("regexp_replace(art, '<[^>]*>', '', 'g')")} AS main_text,
+           {_unescape("regexp_extract(art, '^<h1>(.*?)</h1>', 1, 's')")} AS heading
+    FROM (SELECT page_id, regexp_extract(html, '<article>(.*?)</article>', 1, 's') AS art
+          FROM pages)""")
 def html_main_text(spark, sf):
     return html_pages.html_main_text(table(spark, sf, "pages"), "html", ["page_id"], "article")
 
@@ -50,7 +54,11 @@ def html_class_fields(spark, sf):
         [("amount", "span", "amount"), ("segment", "span", "segment")])
 
 
-@query("html_list_items")
+@query("html_list_items", f"""
+    SELECT page_id, CAST(pos AS INTEGER) AS row_no, {_unescape("item")} AS label FROM (
+      SELECT page_id, unnest(items) AS item, unnest(range(1, len(items) + 1)) AS pos FROM (
+        SELECT page_id, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1) AS items
+        FROM pages))""")
 def html_list_items(spark, sf):
     return html_pages.html_class_fields(
         table(spark, sf, "pages"), "html", ["page_id"], "li", None, [("label", "a", None)])
@@ -76,15 +84,15 @@ def page_union(spark, sf):
 
 
 @query("article_digest", """
-    SELECT user_id, floor(epoch(ts) / 86400)::BIGINT AS part,
+    SELECT user_id, 0::BIGINT AS part,
            string_agg('Date: ' || strftime(ts, '%Y-%m-%d') || chr(10) || 'Title: ' || event_type
              || chr(10) || 'Text: ' || props, chr(10) || chr(10) || '---' || chr(10) || chr(10)
              ORDER BY ts, event_id) AS digest
-    FROM events GROUP BY user_id, floor(epoch(ts) / 86400)""")
+    FROM events GROUP BY user_id""")
 def article_digest(spark, sf):
-    """Dated blocks per user in time order, cut per day so no one task holds a whole user."""
+    """Dated blocks per user in time order."""
     day = F.date_format("ts", "yyyy-MM-dd")
     block = F.concat(F.lit("Date: "), day, F.lit("\nTitle: "), "event_type", F.lit("\nText: "), "props")
     return relational.ordered_concat(
-        table(spark, sf, "events"), ["user_id"], "ts", block, "\n\n---\n\n", part_span=86400,
+        table(spark, sf, "events"), ["user_id"], ["ts", "event_id"], block, "\n\n---\n\n",
         out="digest")

@@ -319,7 +319,11 @@ def profile_nulls(spark, sf):
     return profile.nonnull_counts(pair(spark, sf)[1])
 
 
-@query("find_keys")
+@query("find_keys", """
+    SELECT 1 AS key_no, col_name FROM (VALUES ('conv_id'), ('turn')) t(col_name)
+    WHERE (SELECT count(*) = count(DISTINCT (conv_id, turn)) AND count(*) > count(DISTINCT conv_id)
+                  AND count(*) > count(DISTINCT turn) AND count(*) > count(DISTINCT role)
+           FROM conversations)""")
 def find_keys(spark, sf):
     """Keys of conversations without the text column, which is nearly unique by itself."""
     return profile.keys_frame(table(spark, sf, "conversations").drop("text"))

@@ -480,13 +480,13 @@ def max_text_length(spark, sf):
 
 
 @query("ordered_concat", """
-    SELECT conv_id, turn // 1000 AS part, string_agg(role || ': ' || text, chr(10) ORDER BY turn)
+    SELECT conv_id, 0::BIGINT AS part, string_agg(role || ': ' || text, chr(10) ORDER BY turn)
              AS dialogue
-    FROM conversations GROUP BY conv_id, turn // 1000""")
+    FROM conversations GROUP BY conv_id""")
 def ordered_concat(spark, sf):
     piece = F.concat("role", F.lit(": "), "text")
-    return relational.ordered_concat(table(spark, sf, "conversations"), ["conv_id"], "turn", piece,
-                                     "\n", part_span=1000, out="dialogue")
+    return relational.ordered_concat(table(spark, sf, "conversations"), ["conv_id"], ["turn"],
+                                     piece, "\n", out="dialogue")
 
 
 @query("sales_by_category", """

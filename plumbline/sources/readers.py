@@ -126,13 +126,10 @@ def _register(
 
 
 def partition_columns(df: DataFrame) -> set[str]:
-    """Folder-name partition columns, read off the ``name=value`` parts of the file paths."""
-    names: set[str] = set()
-    for f in df.inputFiles()[:1]:
-        for piece in f.split("/")[:-1]:
-            if "=" in piece:
-                names.add(piece.split("=", 1)[0])
-    return names & set(df.columns)
+    """Folder-name partition columns, read off the ``name=value`` parts of a file's path."""
+    one = df.select("_metadata.file_path").first()
+    folders = one.file_path.split("/")[:-1] if one else []
+    return {piece.split("=", 1)[0] for piece in folders if "=" in piece} & set(df.columns)
 
 
 def managed_table(

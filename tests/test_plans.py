@@ -69,6 +69,14 @@ def test_no_nested_loops_without_broadcast(spark, sf, plan, no_broadcast, name):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_unmatched_rows_are_joined_straight_from_shuffles(spark, sf, plan, no_broadcast):
+    lines = plan(recon.unmatched_rows(*pair(spark, sf))).splitlines()
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin LeftSemi" in line)
+    assert ":- Sort" in lines[join + 1] and "Exchange" in lines[join + 2]
+    right = next(i for i in range(join + 2, len(lines)) if "+- Sort" in lines[i])
+    assert "Exchange" in lines[right + 1]
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf, plan):
     text = plan(catalog.QUERIES["scan_parquet"](spark, sf))
     assert "GreaterThanOrEqual(l_shipdate" in text

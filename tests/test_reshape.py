@@ -97,13 +97,24 @@ def test_concat_loose_and_setdiff(spark):
     assert got == {("left", "a"), ("right", "b")}
 
 
-def test_ordered_concat_cuts_long_keys_into_parts_in_order(spark):
-    df = spark.range(2500).select(F.lit("k").alias("k"), F.col("id").alias("o"),
+@pytest.mark.parametrize("limit", [50, 400, 5000])
+def test_ordered_concat_cuts_long_keys_into_parts_in_order(spark, limit):
+    """One key and null hold a third of the rows each; order values repeat."""
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(
+        F.lit("k"), (F.col("id") % 100)))
+    df = spark.range(6000).select(key.alias("k"), F.floor(F.col("id") / 4).alias("o"),
                                   F.col("id").cast("string").alias("t"))
-    got = relational.ordered_concat(df.orderBy(F.rand()), ["k"], "o", F.col("t"), ",", 1000).orderBy(
-        "part").collect()
-    assert [r.part for r in got] == [0, 1, 2]
-    assert ",".join(r.text for r in got) == ",".join(map(str, range(2500)))
+    want = {}
+    for r in sorted(df.collect(), key=lambda r: (r.o, r.t)):
+        want.setdefault(r.k, []).append(r.t)
+    mixed = df.repartition(5).orderBy(F.rand())
+    got = relational.ordered_concat(mixed, ["k"], ["o"], F.col("t"), ",", max_pieces=limit).collect()
+    parts = {}
+    for r in sorted(got, key=lambda r: r.part):
+        assert len(r.text.split(",")) <= limit
+        parts.setdefault(r.k, []).extend(r.text.split(","))
+    assert parts == want
+    assert all(r.part == 0 for r in got if len(want[r.k]) <= limit)
 
 
 @pytest.mark.parametrize("day,first", [
