@@ -6,7 +6,7 @@ Each value becomes ``<length>:<text>`` and a null becomes ``~``, so ``(a, null)`
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,17 +55,24 @@ def row_hash_hex(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
 FINGERPRINT = ("hash_a", "hash_b")
 
 
-def row_fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> list[Column]:
+def row_fingerprint(
+    df: DataFrame,
+    cols: Sequence[str] | None = None,
+    as_types: Mapping[str, T.DataType] | None = None,
+) -> list[Column]:
     """128 bits per row as two longs, from the values themselves instead of their text.
 
     Grouping on it shuffles 16 bytes per row. Each cell goes in with a null flag, because the
     hash functions pass over nulls; nested values go in as text, since nulls inside them
-    would be passed over too.
+    would be passed over too. ``as_types`` names the types to hash in, where another table
+    holds the same values in other types.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     cells: list[Column] = []
-    for c in cols or df.columns:
+    for c in df.columns if cols is None else cols:
         col, dtype = F.col(f"`{c}`"), types[c]
+        if as_types and as_types[c] != dtype:
+            col, dtype = col.cast(as_types[c]), as_types[c]
         if isinstance(dtype, (T.DoubleType, T.FloatType)):
             col = col + F.lit(0).cast(dtype)
         elif isinstance(dtype, (T.MapType, T.ArrayType, T.StructType)):

@@ -2,23 +2,27 @@
 
 Shape of the plans: everything that only counts (rows, repeated keys, keys on one side, row
 hashes) is one union of both sides and one aggregation, so map-side partial sums shrink hot
-keys before the shuffle and no join is needed. Only the cell comparison joins, and it joins
-rows whose key is unique on at least one side, so its output grows linearly; keys repeated on
-both sides are counted in closed form instead of being paired.
+keys before the shuffle and no join is needed. Only the cell comparison joins. It first finds
+the differing keys from row fingerprints and then fetches the full rows of those keys alone. It
+joins rows whose key is unique on at least one side, so its output grows linearly; keys repeated
+on both sides are counted in closed form instead of being paired.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from plumbline.functions.canonical import FINGERPRINT, marked_text, row_fingerprint, value_text
 from plumbline.functions.scalars import matches
-from plumbline.spec import ReconSpec, TableSpec
+from plumbline.functions.sizing import broadcast_if_small
+from plumbline.session import scratch
+from plumbline.spec import TableSpec, cast_to, common_types
 
 # Type pairs that count as the same, as full-match patterns (left, right).
 TYPE_RULES = (
@@ -123,10 +127,10 @@ def _sum_if(cond: Column, value: Column) -> Column:
     return F.coalesce(F.sum(F.when(cond, value)), F.lit(0)).cast("long")
 
 
-def census_totals(census: DataFrame) -> DataFrame:
-    """Row counts, repeated keys and one-sided rows of both sides, from one census."""
+def _total_columns() -> list[Column]:
+    """Row counts, repeated keys and one-sided rows of both sides, over a census."""
     nl, nr, one = F.col("n_left"), F.col("n_right"), F.lit(1)
-    return census.agg(
+    return [
         _sum_if(F.lit(True), nl).alias("rows_left"),
         _sum_if(F.lit(True), nr).alias("rows_right"),
         _sum_if(nl > 1, one).alias("dup_left"),
@@ -134,7 +138,12 @@ def census_totals(census: DataFrame) -> DataFrame:
         _sum_if(nr == 0, nl).alias("only_left"),
         _sum_if(nl == 0, nr).alias("only_right"),
         _sum_if((nl > 1) & (nr > 1), one).alias("repeated_both"),
-    )
+    ]
+
+
+def census_totals(census: DataFrame) -> DataFrame:
+    """The totals of a census as one row."""
+    return census.agg(*_total_columns())
 
 
 def check_counts(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -172,9 +181,9 @@ def check_exclusive_keys(left: DataFrame, right: DataFrame, keys: Sequence[str])
 
 def hash_census(left: DataFrame, right: DataFrame) -> DataFrame:
     """Per row fingerprint: copies on the left and on the right. Columns are matched by name."""
-    cols = left.columns
-    lh = left.select(*row_fingerprint(left, cols))
-    rh = right.select(*row_fingerprint(right, cols))
+    types = common_types(left, right)
+    lh = left.select(*row_fingerprint(left, left.columns, types))
+    rh = right.select(*row_fingerprint(right, left.columns, types))
     return key_census(lh, rh, FINGERPRINT)
 
 
@@ -194,10 +203,11 @@ def check_hash(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def unmatched_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     """Left rows whose fingerprint is in the left-minus-right set; all their copies stay."""
-    cols = left.columns
     missing = hash_census(left, right).filter("n_right = 0").select(*FINGERPRINT)
-    hashed = left.select("*", *row_fingerprint(left, cols))
-    return with_keys(hashed, missing, FINGERPRINT, "left_semi").select(*cols)
+    prints = row_fingerprint(left, left.columns, common_types(left, right))
+    return with_keys(left.select("*", *prints), missing, FINGERPRINT, "left_semi").select(
+        *left.columns
+    )
 
 
 def sample_unmatched(left: DataFrame, right: DataFrame, n: int) -> DataFrame:
@@ -207,16 +217,6 @@ def sample_unmatched(left: DataFrame, right: DataFrame, n: int) -> DataFrame:
 
 # --- cells ----------------------------------------------------------------------------
 
-def repeated_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Key values held by several rows on both sides."""
-    census = key_census(left, right, keys)
-    return census.filter("n_left > 1 AND n_right > 1").select(*keys)
-
-
-def any_repeated(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> bool:
-    """Is any key value held by several rows on both sides? One job over the keys."""
-    return not repeated_keys(left, right, keys).limit(1).isEmpty()
-
 
 def with_keys(df: DataFrame, found: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Semi or anti join on null-safe keys.
@@ -231,22 +231,91 @@ def with_keys(df: DataFrame, found: DataFrame, keys: Sequence[str], how: str) ->
     return lhs.join(rhs, cond, how).drop("_h")
 
 
+@dataclass(frozen=True)
+class KeyFindings:
+    """What one pass over the keys and row fingerprints of both sides found.
+
+    ``marked`` holds (keys, n_left, n_right, differs) of the keys that differ or repeat on
+    both sides. It is a written table, so its size is known to the joins that use it and
+    nothing is computed twice.
+    """
+
+    totals: dict[str, int]
+    marked: DataFrame
+    keys: tuple[str, ...]
+
+    @property
+    def differing(self) -> DataFrame:
+        """Keys, unique on at least one side, whose rows are not all equal."""
+        return self.marked.filter("differs AND NOT (n_left > 1 AND n_right > 1)").select(*self.keys)
+
+    @property
+    def repeated(self) -> DataFrame:
+        """Keys held by several rows on both sides."""
+        return self.marked.filter("n_left > 1 AND n_right > 1").select(*self.keys)
+
+
+def scan_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> KeyFindings:
+    """One job over (keys, row fingerprint) of both sides.
+
+    It shuffles the keys and 16 bytes per row, after partial aggregation. The totals are
+    observed while the few keys of interest are written to the shared folder.
+    """
+    rest = [c for c in left.columns if c not in keys]
+    types = common_types(left, right)
+    left, right = cast_to(left, types), cast_to(right, types)
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        counts = [F.lit(int(name == s)).cast("long").alias(f"n_{s}") for s in ("left", "right")]
+        return df.select(*keys, *row_fingerprint(df, rest), *counts)
+
+    both = side(left, "left").unionByName(side(right, "right"))
+    bounds = [f(h).alias(f"{n}_{h}") for h in FINGERPRINT
+              for n, f in (("lo", F.min), ("hi", F.max))]
+    census = both.groupBy(*keys).agg(
+        F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"), *bounds
+    )
+    matched = (F.col("n_left") > 0) & (F.col("n_right") > 0)
+    unequal = F.lit(False)
+    for h in FINGERPRINT:
+        unequal = unequal | (F.col(f"lo_{h}") != F.col(f"hi_{h}"))
+    flagged = census.select(*keys, "n_left", "n_right", (matched & unequal).alias("differs"))
+    seen = Observation()
+    single = F.col("differs") & ~((F.col("n_left") > 1) & (F.col("n_right") > 1))
+    observed = flagged.observe(seen, *_total_columns(),
+                               _sum_if(single, F.lit(1)).alias("differing"))
+    path = scratch(left.sparkSession, "keys")
+    observed.filter("differs OR (n_left > 1 AND n_right > 1)").write.parquet(path)
+    marked = left.sparkSession.read.schema(flagged.schema).parquet(path)
+    return KeyFindings(dict(seen.get), marked, tuple(keys))
+
+
+# Up to this many differing keys the full rows are fetched by key, not shuffled.
+FEW_KEYS = 1_000_000
+
+
 def cell_diff(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], repeats: bool | None = None
+    left: DataFrame, right: DataFrame, keys: Sequence[str], found: KeyFindings | None = None
 ) -> DataFrame:
     """Matched rows that differ in a non-key column.
 
     Columns: the keys, then per compared column ``<c>_left``, ``<c>_right``, ``<c>_diff``.
     Keys repeated on both sides are left to :func:`repeated_key_values`, so no key pairs
-    more rows than it holds. Whether there are any is looked up, unless a caller who has
-    counted them says so in ``repeats``; without them the plan is one join of the two sides.
+    more rows than it holds.
+
+    With few differing keys, as is usual, the key list goes to every task and only its rows
+    are shuffled. Otherwise the two sides are joined as they are.
     """
     cols = [c for c in left.columns if c not in keys]
-    if repeats is None:
-        repeats = any_repeated(left, right, keys)
+    found = found or scan_keys(left, right, keys)
+    types = common_types(left, right)
+    left, right = cast_to(left, types), cast_to(right, types)
+    if found.totals["differing"] <= FEW_KEYS:
+        few = broadcast_if_small(found.differing, FEW_KEYS)
+        left, right = (with_keys(df, few, keys, "left_semi") for df in (left, right))
+    elif found.totals["repeated_both"]:
+        left = with_keys(left, found.repeated, keys, "left_anti")
     lhs, rhs = left.alias("l"), right.alias("r")
-    if repeats:
-        lhs = with_keys(left, repeated_keys(left, right, keys), keys, "left_anti").alias("l")
     cond = same_on("l", "r", keys) & any_diff("l", "r", cols)
     out = [F.col(f"l.`{k}`").alias(k) for k in keys]
     for c in cols:
@@ -272,16 +341,19 @@ def _values_of(
     return rows.select(*keys, F.inline(cells))
 
 
-def repeated_key_values(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def repeated_key_values(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], found: KeyFindings | None = None
+) -> DataFrame:
     """For keys repeated on both sides: (keys, col_name, value, n_left, n_right).
 
     This is the whole content of those key groups in counted form; it grows with the number
     of cells, not with the number of row pairs.
     """
     cols = [c for c in left.columns if c not in keys]
-    repeated = repeated_keys(left, right, keys)
-    lv = _values_of(left, repeated, keys, cols)
-    rv = _values_of(right, repeated, keys, cols)
+    found = found or scan_keys(left, right, keys)
+    types = common_types(left, right)
+    lv = _values_of(cast_to(left, types), found.repeated, keys, cols)
+    rv = _values_of(cast_to(right, types), found.repeated, keys, cols)
     return key_census(lv, rv, [*keys, "col_name", "value"])
 
 
@@ -313,8 +385,8 @@ def check_cells(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
+    found: KeyFindings | None = None,
     diffs: DataFrame | None = None,
-    repeats: bool | None = None,
 ) -> DataFrame:
     """(col_name, mismatch_cnt): row pairs with the same key that differ in the column.
 
@@ -324,18 +396,13 @@ def check_cells(
     cols = [c for c in left.columns if c not in keys]
     if not cols:
         return left.sparkSession.createDataFrame([], "col_name string, mismatch_cnt long")
-    if repeats is None:
-        repeats = any_repeated(left, right, keys)
-    if diffs is None:
-        diffs = cell_diff(left, right, keys, repeats)
-    single = diff_counts_of(diffs, cols)
-    if not repeats:
-        return single.filter("mismatch_cnt > 0")
-    values = repeated_key_values(left, right, keys)
-    counts = single.unionByName(_repeated_pair_counts(values, keys))
-    return counts.groupBy("col_name").agg(
-        F.sum("mismatch_cnt").alias("mismatch_cnt")
-    ).filter("mismatch_cnt > 0")
+    found = found or scan_keys(left, right, keys)
+    counts = diff_counts_of(cell_diff(left, right, keys, found) if diffs is None else diffs, cols)
+    if found.totals["repeated_both"]:
+        values = repeated_key_values(left, right, keys, found)
+        counts = counts.unionByName(_repeated_pair_counts(values, keys)).groupBy("col_name").agg(
+            F.sum("mismatch_cnt").alias("mismatch_cnt"))
+    return counts.filter("mismatch_cnt > 0")
 
 
 def _first_per(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
@@ -349,8 +416,8 @@ def diff_samples(
     right: DataFrame,
     keys: Sequence[str],
     n: int,
+    found: KeyFindings | None = None,
     diffs: DataFrame | None = None,
-    repeats: bool | None = None,
 ) -> DataFrame:
     """Up to n distinct (keys, col_name, left_val, right_val) per differing column.
 
@@ -358,27 +425,24 @@ def diff_samples(
     the n + 1 smallest distinct values of each side are enough to find the first n pairs.
     """
     cols = [c for c in left.columns if c not in keys]
-    types = {f.name: f.dataType for f in left.schema.fields}
-    rtypes = {f.name: f.dataType for f in right.schema.fields}
-    if repeats is None:
-        repeats = any_repeated(left, right, keys)
+    types = common_types(left, right)
+    found = found or scan_keys(left, right, keys)
     if diffs is None:
-        diffs = cell_diff(left, right, keys, repeats)
+        diffs = cell_diff(left, right, keys, found)
     cells = F.array(*[
         F.struct(
             F.lit(c).alias("col_name"),
             value_text(F.col(f"`{c}_left`"), types[c]).alias("left_val"),
-            value_text(F.col(f"`{c}_right`"), rtypes[c]).alias("right_val"),
+            value_text(F.col(f"`{c}_right`"), types[c]).alias("right_val"),
             F.col(f"`{c}_diff`").alias("differs"),
         )
         for c in cols
     ])
-    single = diffs.select(*keys, F.inline(cells)).filter("differs").drop("differs")
-
+    picked = diffs.select(*keys, F.inline(cells)).filter("differs").drop("differs")
     order = [*keys, "left_val", "right_val"]
-    if not repeats:
-        return _first_per(single.distinct(), ["col_name"], order, n)
-    values = repeated_key_values(left, right, keys)
+    if not found.totals["repeated_both"]:
+        return _first_per(picked.distinct(), ["col_name"], order, n)
+    values = repeated_key_values(left, right, keys, found)
     group = [*keys, "col_name"]
     lv = _first_per(values.filter("n_left > 0"), group, ["value"], n + 1)
     rv = _first_per(values.filter("n_right > 0"), group, ["value"], n + 1)
@@ -388,8 +452,7 @@ def diff_samples(
     multi = lv.join(rv, cond).select(
         *[F.col(f"l.`{c}`").alias(c) for c in group], "left_val", "right_val"
     )
-    found = single.unionByName(multi).distinct()
-    return _first_per(found, ["col_name"], order, n)
+    return _first_per(picked.unionByName(multi).distinct(), ["col_name"], order, n)
 
 
 def key_text(df: DataFrame, keys: Sequence[str]) -> Column:

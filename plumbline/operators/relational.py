@@ -8,14 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumbline.functions.canonical import row_text
+from plumbline.functions.sizing import broadcast_if_small  # noqa: F401
 from plumbline.operators.recon import same_on, with_keys
 
-# A broadcast side is held whole by every executor: stay well below its memory.
-BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
 # --- projections ----------------------------------------------------------------------
 
 def apply_mapping(df: DataFrame, mapping: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -41,21 +36,6 @@ def pick_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 # --- joins ----------------------------------------------------------------------------
 
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
-) -> DataFrame:
-    """Mark for broadcast only when a bounded look proves the side small.
-
-    At most ``max_rows + 1`` rows are read for it. Beyond either bound the frame comes back
-    unmarked, and Spark picks a shuffled join.
-    """
-    seen = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(row_text(df))).alias("b")
-    ).first()
-    small = seen.n <= max_rows and (seen.b or 0) <= max_bytes
-    return F.broadcast(df) if small else df
-
-
 def hot_keys(df: DataFrame, key: str, share: float) -> list:
     """Key values (None for null) holding more than ``share`` of the rows.
 

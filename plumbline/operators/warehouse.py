@@ -30,32 +30,35 @@ def date_dim(df: DataFrame, ts: str) -> DataFrame:
 def star_build(
     customer: DataFrame, part: DataFrame, orders: DataFrame, lineitem: DataFrame
 ) -> dict[str, DataFrame]:
-    """Conform the sources to typed dimensions and facts. Pure projections: no shuffle."""
+    """Conform the sources to typed dimensions and facts. Pure projections: no shuffle.
+
+    Identifiers are long: a fact table of this size outgrows int.
+    """
     money, cents = "decimal(10,2)", "decimal(12,2)"
     date_key = lambda c: F.date_format(c, "yyyyMMdd").cast("int").alias("date_key")
     return {
         "dim_customer": customer.select(
-            F.col("c_custkey").cast("int").alias("customer_id"),
+            F.col("c_custkey").cast("bigint").alias("customer_id"),
             F.col("c_name").alias("customer_name"),
             F.col("c_mktsegment").alias("segment"),
             F.col("c_nationkey").alias("nation_id"),
         ),
         "dim_product": part.select(
-            F.col("p_partkey").cast("int").alias("product_id"),
+            F.col("p_partkey").cast("bigint").alias("product_id"),
             F.col("p_name").alias("product_name"),
             F.col("p_type").alias("category"),
             F.col("p_retailprice").cast(money).alias("price"),
         ),
         "fact_order": orders.select(
-            F.col("o_orderkey").cast("int").alias("order_id"),
-            F.col("o_custkey").cast("int").alias("customer_id"),
+            F.col("o_orderkey").cast("bigint").alias("order_id"),
+            F.col("o_custkey").cast("bigint").alias("customer_id"),
             date_key("o_orderdate"),
             F.col("o_totalprice").cast(cents).alias("total_amount"),
         ),
         "fact_order_item": lineitem.select(
-            F.col("l_orderkey").cast("int").alias("order_id"),
+            F.col("l_orderkey").cast("bigint").alias("order_id"),
             F.col("l_linenumber").alias("line_no"),
-            F.col("l_partkey").cast("int").alias("product_id"),
+            F.col("l_partkey").cast("bigint").alias("product_id"),
             F.col("l_quantity").cast("int").alias("quantity"),
             F.col("l_extendedprice").cast(cents).alias("amount"),
             F.coalesce(F.col("l_discount").cast(money), F.lit(0).cast(money)).alias("discount"),

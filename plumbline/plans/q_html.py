@@ -12,8 +12,10 @@ from plumbline.sources import html_pages
 
 
 def _unescape(expr: str) -> str:
-    return (f"replace(replace(replace(replace({expr}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'),"
-            " '&amp;', '&')")
+    """The character references of the pages; the last semicolon may be missing."""
+    for ref, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
+        expr = f"regexp_replace({expr}, '&{ref};?', '{char}', 'g')"
+    return expr
 
 
 @query("html_paragraphs")

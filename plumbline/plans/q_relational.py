@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import scalars
 from plumbline.functions.canonical import row_hash_hex
+from plumbline.functions.sizing import task_count
 from plumbline.operators import profile, recon, relational, reshape
 from plumbline.operators import warehouse as wh
 from plumbline.plans.catalog import query
@@ -325,7 +326,7 @@ def join_colocated(spark, sf):
     orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
     root = scratch(spark, "bucketed")
-    return wh.colocated_join(spark, items, orders, "l_orderkey", 8, root)
+    return wh.colocated_join(spark, items, orders, "l_orderkey", task_count(spark), root)
 
 
 @query("join_salted", """
@@ -336,8 +337,9 @@ def join_salted(spark, sf):
     """A join on a key with a handful of values: every one is hot, so all are spread."""
     events = table(spark, sf, "events").select("event_id", "event_type")
     totals = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    hot = relational.hot_keys(events, "event_type", 0.05)
-    return relational.salted_join(events, totals, "event_type", hot, salts=8).select(
+    tasks = task_count(spark)
+    hot = relational.hot_keys(events, "event_type", 1.0 / tasks)
+    return relational.salted_join(events, totals, "event_type", hot, salts=tasks).select(
         "event_id", "event_type", "n")
 
 

@@ -10,16 +10,20 @@ from plumbline.session import scratch, table
 from plumbline.streaming import streams
 
 
-def _land(df, spark, label, fmt="parquet", files=4):
+# Landed files per batch: bounds the size of a batch, not what is read in all.
+MAX_FILES = 1000
+
+
+def _land(df, spark, label, fmt="parquet"):
     path = scratch(spark, label)
-    df.repartition(files).write.format(fmt).save(path)
+    df.write.format(fmt).save(path)
     return path
 
 
 def _typed_sales(spark, sf):
     path = _land(sales(spark, sf).select(F.to_json(F.struct("*")).alias("value")), spark,
                  "sales-topic", "text")
-    raw = streams.file_stream(spark, path, "value string", "text", max_files=2)
+    raw = streams.file_stream(spark, path, "value string", "text", MAX_FILES)
     text = ", ".join(f"{c} string" for c in SALES_COLUMNS)
     typed = streams.typed_or_bad(streams.decode_json(raw, "value", text), SALES_TYPES)
     out = scratch(spark, "sales-typed")
@@ -51,8 +55,8 @@ def stream_new_files(spark, sf):
     clicks = F.col("event_type") == "click"
     for part in (clicks, ~clicks, None):
         if part is not None:
-            events.filter(part).repartition(3).write.mode("append").parquet(path)
-        stream = streams.file_stream(spark, path, events.schema, max_files=2)
+            events.filter(part).write.mode("append").parquet(path)
+        stream = streams.file_stream(spark, path, events.schema, max_files=MAX_FILES)
         streams.run_available(stream, out, mark)
     return spark.read.parquet(out)
 
@@ -91,7 +95,7 @@ def stream_cdc_apply(spark, sf):
     changes = upserts.unionByName(deletes).unionByName(stale)
     path = _land(changes, spark, "changes")
     landed = scratch(spark, "changes-landed")
-    stream = streams.file_stream(spark, path, changes.schema, max_files=1)
+    stream = streams.file_stream(spark, path, changes.schema, max_files=MAX_FILES)
     streams.land_changes(stream, landed, scratch(spark, "changes-checkpoint"), "o_orderkey", "seq")
     return streams.apply_changes(base, spark.read.parquet(landed), "o_orderkey", "seq", "op")
 

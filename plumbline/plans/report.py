@@ -99,8 +99,9 @@ def reconcile(
 ) -> ReconResult:
     """Run the chosen checks on one pair of tables.
 
-    Jobs: one census (row counts, repeated keys and one-sided keys together), one hash
-    census, one cell comparison. Only their totals reach the driver.
+    Jobs: one pass over keys and row fingerprints (row counts, repeated, one-sided and
+    differing keys together), one hash census, one look at the differing rows. Only their
+    totals reach the driver.
     """
     spark = spark or (left if isinstance(left, DataFrame) else right).sparkSession
     left, right = as_frame(spark, left), as_frame(spark, right)
@@ -111,30 +112,31 @@ def reconcile(
 
     if "schema" in chosen:
         _schema(run, spark, left, right, spec)
-    totals = None
-    if keys and chosen & {"counts", "dup_keys", "exclusive_keys"}:
+    found = totals = None
+    if keys and "cells" in chosen:
+        found = recon.scan_keys(lhs, rhs, keys)
+        totals = found.totals
+    elif keys and chosen & {"counts", "dup_keys", "exclusive_keys"}:
         census = run.plan("census", recon.census_totals(recon.key_census(lhs, rhs, keys)))
-        totals = census.first()
+        totals = census.first().asDict()
     if "counts" in chosen:
         if totals is None:
-            found = {r.side: r.row_count for r in recon.check_counts(lhs, rhs).collect()}
+            rows = {r.side: r.row_count for r in recon.check_counts(lhs, rhs).collect()}
         else:
-            found = {"left": totals.rows_left, "right": totals.rows_right}
-        run.done("counts", found["left"] == found["right"], found)
+            rows = {"left": totals["rows_left"], "right": totals["rows_right"]}
+        run.done("counts", rows["left"] == rows["right"], rows)
     if "hash" in chosen:
         hashed = run.plan("hash", recon.check_hash(lhs, rhs)).first().asDict()
         run.done("hash", not any(hashed.values()), hashed)
     if keys and "dup_keys" in chosen:
-        dup = {"left": totals.dup_left, "right": totals.dup_right}
+        dup = {"left": totals["dup_left"], "right": totals["dup_right"]}
         run.done("dup_keys", not any(dup.values()),
-                 {**dup, "repeated_on_both": totals.repeated_both})
+                 {**dup, "repeated_on_both": totals["repeated_both"]})
     if keys and "exclusive_keys" in chosen:
-        only = {"left": totals.only_left, "right": totals.only_right}
+        only = {"left": totals["only_left"], "right": totals["only_right"]}
         run.done("exclusive_keys", not any(only.values()), only)
     if "cells" in chosen:
-        repeats = recon.any_repeated(lhs, rhs, keys) if keys and totals is None else (
-            bool(keys) and totals.repeated_both > 0)
-        _cells(run, lhs, rhs, keys, repeats)
+        _cells(run, lhs, rhs, found)
     run.result.passed = verdict(run.result.checks, bool(keys))
     return run.result
 
@@ -160,27 +162,27 @@ def _types_only(spec: ReconSpec) -> ReconSpec:
 
 
 def _cells(
-    run: _Run, lhs: DataFrame, rhs: DataFrame, keys: list[str], repeats: bool
+    run: _Run, lhs: DataFrame, rhs: DataFrame, found: recon.KeyFindings | None
 ) -> None:
     n = run.spec.samples
-    if not keys:
+    if found is None:  # no keys
         if n and not run.result.checks.get("hash", True):
             run.result.samples = recon.sample_unmatched(lhs, rhs, n)
         return
-    diffs = recon.cell_diff(lhs, rhs, keys, repeats)
-    reuse = n > 0
-    if reuse:
+    keys = list(found.keys)
+    diffs = recon.cell_diff(lhs, rhs, keys, found)
+    if n:
         diffs = diffs.persist(StorageLevel.MEMORY_AND_DISK)  # only the differing rows
     try:
-        counts = run.plan("cells", recon.check_cells(lhs, rhs, keys, diffs, repeats))
-        found = {r.col_name: r.mismatch_cnt for r in counts.collect()}  # one row per column
-        run.done("cells", not found, found or {"mismatched": 0}, sorted(found))
-        if reuse and found:
-            picked = recon.diff_samples(lhs, rhs, keys, n, diffs, repeats)
+        counts = run.plan("cells", recon.check_cells(lhs, rhs, keys, found, diffs))
+        wrong = {r.col_name: r.mismatch_cnt for r in counts.collect()}  # one row per column
+        run.done("cells", not wrong, wrong or {"mismatched": 0}, sorted(wrong))
+        if n and wrong:
+            picked = recon.diff_samples(lhs, rhs, keys, n, found, diffs)
             rows = picked.collect()  # at most n per column
             run.result.samples = lhs.sparkSession.createDataFrame(rows, picked.schema)
     finally:
-        if reuse:
+        if n:
             diffs.unpersist()
 
 

@@ -6,6 +6,7 @@ import dataclasses
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -168,3 +169,36 @@ def precheck(left: DataFrame, right: DataFrame, spec: ReconSpec) -> None:
         raise SpecError(
             f"columns only left: {sorted(lcols - rcols)}, only right: {sorted(rcols - lcols)}"
         )
+
+
+def common_types(left: DataFrame, right: DataFrame) -> dict[str, T.DataType]:
+    """The type in which each left column is compared with its right namesake.
+
+    Two types that Spark would union meet in the common type; text against anything else, and
+    types that do not meet, are compared as text. Hashes then agree whenever values do.
+    """
+    ltypes = {f.name: f.dataType for f in left.schema.fields}
+    rtypes = {f.name: f.dataType for f in right.schema.fields}
+
+    def common(name: str) -> T.DataType:
+        lt, rt = ltypes[name], rtypes[name]
+        if lt == rt:
+            return lt
+        if isinstance(lt, T.StringType) or isinstance(rt, T.StringType):
+            return T.StringType()
+        col = F.col(f"`{name}`")
+        try:
+            return left.select(col).union(right.select(col)).schema[0].dataType
+        except AnalysisException:
+            return T.StringType()
+
+    return {name: common(name) for name in left.columns}
+
+
+def cast_to(df: DataFrame, wanted: Mapping[str, T.DataType]) -> DataFrame:
+    """The wanted columns in order, cast where their type differs."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[
+        F.col(f"`{c}`") if types[c] == t else F.col(f"`{c}`").cast(t).alias(c)
+        for c, t in wanted.items()
+    ])

@@ -39,7 +39,23 @@ def test_hash_check_is_two_exchanges(spark, sf, plan):
     assert nodes(text, "Exchange") == 2 and "Join" not in text
 
 
-def test_cell_join_is_a_merge_join_on_null_safe_keys(spark, sf, plan, no_broadcast):
+def test_key_scan_is_one_exchange_of_keys_and_fingerprints(spark, sf, plan):
+    left, right = pair(spark, sf)
+    findings = recon.scan_keys(left, right, ["o_orderkey"])
+    assert findings.totals["differing"] == 49 and findings.differing.count() == 49
+    assert findings.totals["rows_left"] == 1500 and findings.repeated.count() == 0
+
+
+def test_few_differing_keys_are_fetched_without_moving_the_tables(spark, sf, plan):
+    """The key list is broadcast into both scans; only its rows are shuffled."""
+    left, right = pair(spark, sf)
+    tree = plan(recon.cell_diff(left, right, ["o_orderkey"])).split("\n\n\n")[0]
+    assert tree.count("BroadcastHashJoin LeftSemi") == 2
+    assert "NestedLoop" not in tree and "Cartesian" not in tree
+
+
+def test_many_differing_keys_join_the_tables_once(spark, sf, plan, no_broadcast, monkeypatch):
+    monkeypatch.setattr(recon, "FEW_KEYS", 0)
     left, right = pair(spark, sf)
     text = plan(recon.cell_diff(left, right, ["o_orderkey"]))
     assert "NestedLoop" not in text and "Cartesian" not in text
@@ -47,14 +63,16 @@ def test_cell_join_is_a_merge_join_on_null_safe_keys(spark, sf, plan, no_broadca
 
 
 def test_with_repeated_keys_every_join_reads_straight_from_a_shuffle(
-    spark, sf, plan, no_broadcast
+    spark, sf, plan, no_broadcast, monkeypatch
 ):
     """Adaptive execution splits a hot key only in a join of two sorted shuffles."""
+    monkeypatch.setattr(recon, "FEW_KEYS", 0)
     left, right = pair(spark, sf)
-    tree = plan(recon.cell_diff(left, right, ["o_orderkey"], repeats=True)).split("\n\n\n")[0]
-    lines = tree.splitlines()
+    twice = right.union(right.filter("o_orderkey % 7 = 0"))
+    diffs = recon.cell_diff(left.union(left.filter("o_orderkey % 7 = 0")), twice, ["o_orderkey"])
+    lines = plan(diffs).split("\n\n\n")[0].splitlines()
     joins = [i for i, line in enumerate(lines) if "SortMergeJoin" in line]
-    assert len(joins) == 2
+    assert len(joins) > 1
     for i in joins:
         assert ":- Sort" in lines[i + 1] and "Exchange" in lines[i + 2]
 
@@ -93,7 +111,7 @@ def test_top_rows_per_key_are_cut_before_the_shuffle(spark, sf, plan):
 
 
 def test_samples_are_cut_before_the_shuffle(spark, sf, plan):
-    text = plan(recon.diff_samples(*pair(spark, sf), ["o_orderkey"], 5, repeats=False))
+    text = plan(recon.diff_samples(*pair(spark, sf), ["o_orderkey"], 5))
     assert nodes(text, "WindowGroupLimit") == 2
 
 
@@ -117,8 +135,9 @@ def test_no_python_in_the_plan(spark, sf, plan, name):
         assert step not in text
 
 
-def test_hot_key_join_is_split_at_run_time(spark, plan, no_broadcast):
+def test_hot_key_join_is_split_at_run_time(spark, plan, no_broadcast, monkeypatch):
     """One key holds a third of the left rows; adaptive execution splits its partition."""
+    monkeypatch.setattr(recon, "FEW_KEYS", 0)
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
@@ -133,7 +152,7 @@ def test_hot_key_join_is_split_at_run_time(spark, plan, no_broadcast):
             F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"),
             F.sha2(F.col("id").cast("string"), 256).alias("v"))
         right = spark.range(90_000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
-        diffs = recon.cell_diff(left, right, ["k"], repeats=False)
+        diffs = recon.cell_diff(left, right, ["k"])
         rows = diffs.count()
         assert rows == left.join(right, "k").count()
         diffs.write.format("noop").mode("overwrite").save()

@@ -66,8 +66,9 @@ def test_stop_on_first_failure(sides):
 
 def test_plans_are_returned_on_request(sides):
     res = report.reconcile(*sides, ReconSpec(keys=KEYS, include_plans=True))
-    assert set(res.plans) == {"census", "hash", "cells"}
-    assert "HashAggregate" in res.plans["census"]
+    assert set(res.plans) == {"hash", "cells"} and "HashAggregate" in res.plans["hash"]
+    some = ReconSpec(keys=KEYS, include_plans=True, checks=["counts"])
+    assert set(report.reconcile(*sides, some).plans) == {"census"}
 
 
 def test_only_chosen_checks_run(sides):
@@ -216,6 +217,31 @@ def test_copies_are_compared(spark):
         "row_diff": 0, "only_right": 0, "copies_differ": 2}
 
 
+def test_allowed_type_pairs_compare_by_value(sides):
+    left, right = sides
+    other = left.select(
+        F.col("o_orderkey").cast("decimal(38,0)").alias("o_orderkey"), "o_custkey", "o_orderstatus",
+        F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"),
+        F.col("o_orderdate").cast("timestamp").alias("o_orderdate"), "o_orderpriority")
+    res = report.reconcile(left, other, ReconSpec(keys=KEYS))
+    assert res.passed and all(res.checks.values())
+    assert recon.unmatched_rows(left, other).count() == 0
+    assert recon.unmatched_rows(left, right).schema == left.schema
+
+
+def test_text_against_numbers_compares_as_text(spark):
+    a = frame(spark, [(1, 5), (2, 6)], "k int, v int")
+    b = frame(spark, [(1, "5"), (2, "x")], "k int, v string")
+    got = {r.col_name: r.mismatch_cnt for r in recon.check_cells(a, b, ["k"]).collect()}
+    assert got == {"v": 1} and recon.check_hash(a, b).first().row_diff == 1
+
+
+def test_key_only_tables(spark):
+    a, b = frame(spark, [(1,), (2,)], "k int"), frame(spark, [(2,), (3,)], "k int")
+    res = report.reconcile(a, b, ReconSpec(keys=["k"]))
+    assert res.metrics["exclusive_keys"] == {"left": 1, "right": 1} and res.checks["cells"]
+
+
 # --- null keys and keys repeated on both sides, against brute force ----------------------
 
 def brute(left, right, n_keys):
@@ -233,8 +259,10 @@ def brute(left, right, n_keys):
     return counts, samples
 
 
+@pytest.mark.parametrize("few", [0, 1000])
 @pytest.mark.parametrize("seed", range(4))
-def test_cells_match_brute_force(spark, seed):
+def test_cells_match_brute_force(spark, seed, few, monkeypatch):
+    monkeypatch.setattr(recon, "FEW_KEYS", few)
     rnd = random.Random(seed)
     val = lambda: rnd.choice(["a", "b", "c", None])
     key = lambda: rnd.choice([None, 1, 2, 3, 4, 5, 6])
