@@ -10,6 +10,7 @@ on both sides are counted in closed form instead of being paired.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -19,7 +20,6 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from plumbline.functions.canonical import FINGERPRINT, marked_text, row_fingerprint, value_text
-from plumbline.functions.scalars import matches
 from plumbline.functions.sizing import broadcast_if_small
 from plumbline.session import scratch
 from plumbline.spec import TableSpec, cast_to, common_types
@@ -54,33 +54,6 @@ def any_diff(left: str, right: str, cols: Sequence[str]) -> Column:
 
 # --- schema ---------------------------------------------------------------------------
 
-def match_types(pairs: DataFrame, rules: DataFrame) -> DataFrame:
-    """Flag each (left_type, right_type) row that is equal or allowed by a rule row.
-
-    ``rules`` (left_pattern, right_pattern) is a handful of rows, so the pattern join is a
-    broadcast of a fixed-size list. A pair that several rules allow still gives one row.
-    """
-    cond = matches(F.col("p.left_type"), F.col("r.left_pattern"), whole=True) & matches(
-        F.col("p.right_type"), F.col("r.right_pattern"), whole=True
-    )
-    joined = pairs.alias("p").join(F.broadcast(rules.alias("r")), cond, "left")
-    allowed = F.max(F.col("r.left_pattern").isNotNull()).alias("allowed")
-    return (
-        joined.groupBy(*[F.col(f"p.{c}").alias(c) for c in pairs.columns])
-        .agg(allowed)
-        .withColumn(
-            "matched",
-            F.coalesce(F.col("left_type") == F.col("right_type"), F.lit(False))
-            | F.col("allowed"),
-        )
-        .drop("allowed")
-    )
-
-
-def type_rules(spark: SparkSession, rules: Sequence[tuple[str, str]] = TYPE_RULES) -> DataFrame:
-    return spark.createDataFrame(list(rules), "left_pattern string, right_pattern string")
-
-
 def schema_pairs(
     spark: SparkSession, left: T.StructType, right: T.StructType
 ) -> DataFrame:
@@ -92,14 +65,36 @@ def schema_pairs(
     return rows(left, "left_type").join(rows(right, "right_type"), "col_name", "full_outer")
 
 
+def schema_rows(
+    left: T.StructType, right: T.StructType, rules: Sequence[tuple[str, str]] = TYPE_RULES
+) -> list[tuple[str, str | None, str | None, bool]]:
+    """(name, left type, right type, matched) of every column of either side.
+
+    Types match when they are equal or one rule covers the pair. Schemas are driver objects,
+    so no job runs.
+    """
+    lt = {c.name: c.data_type for c in TableSpec.of(left).columns}
+    rt = {c.name: c.data_type for c in TableSpec.of(right).columns}
+
+    def matched(a: str | None, b: str | None) -> bool:
+        if a is None or b is None:
+            return False
+        return a == b or any(re.fullmatch(x, a) and re.fullmatch(y, b) for x, y in rules)
+
+    return [(n, lt.get(n), rt.get(n), matched(lt.get(n), rt.get(n))) for n in {**lt, **rt}]
+
+
 def check_schema(
     spark: SparkSession,
     left: T.StructType,
     right: T.StructType,
     rules: Sequence[tuple[str, str]] = TYPE_RULES,
 ) -> DataFrame:
-    """(col_name, left_type, right_type, matched); works on schema objects, reads no data."""
-    return match_types(schema_pairs(spark, left, right), type_rules(spark, rules))
+    """:func:`schema_rows` as (col_name, left_type, right_type, matched)."""
+    return spark.createDataFrame(
+        schema_rows(left, right, rules),
+        "col_name string, left_type string, right_type string, matched boolean",
+    )
 
 
 # --- counts and keys ------------------------------------------------------------------
@@ -311,7 +306,7 @@ def cell_diff(
     types = common_types(left, right)
     left, right = cast_to(left, types), cast_to(right, types)
     if found.totals["differing"] <= FEW_KEYS:
-        few = broadcast_if_small(found.differing, FEW_KEYS)
+        few = broadcast_if_small(found.differing, FEW_KEYS, known_rows=found.totals["differing"])
         left, right = (with_keys(df, few, keys, "left_semi") for df in (left, right))
     elif found.totals["repeated_both"]:
         left = with_keys(left, found.repeated, keys, "left_anti")

@@ -111,7 +111,7 @@ def reconcile(
     run, keys, chosen = _Run(spec), list(spec.keys), set(spec.checks)
 
     if "schema" in chosen:
-        _schema(run, spark, left, right, spec)
+        _schema(run, left, right, spec)
     found = totals = None
     if keys and "cells" in chosen:
         found = recon.scan_keys(lhs, rhs, keys)
@@ -141,15 +141,11 @@ def reconcile(
     return run.result
 
 
-def _schema(run: _Run, spark: SparkSession, left: DataFrame, right: DataFrame, spec: ReconSpec):
+def _schema(run: _Run, left: DataFrame, right: DataFrame, spec: ReconSpec) -> None:
     """Types as they are in the tables (filters and expressions aside), after renaming."""
     lraw = prepare(left, _types_only(spec), "left").schema
     rraw = prepare(right, _types_only(spec), "right").schema
-    bad = [
-        f"{r.col_name}: {r.left_type} / {r.right_type}"
-        for r in recon.check_schema(spark, lraw, rraw).filter("NOT matched").orderBy("col_name")
-        .collect()  # at most one row per column
-    ]
+    bad = [f"{n}: {lt} / {rt}" for n, lt, rt, ok in recon.schema_rows(lraw, rraw) if not ok]
     run.done("schema", not bad, {
         "left_cols": len(TableSpec.of(lraw).columns),
         "right_cols": len(TableSpec.of(rraw).columns),
