@@ -55,21 +55,16 @@ def row_hash_hex(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
 FINGERPRINT = ("hash_a", "hash_b")
 
 
-def row_fingerprint(
-    df: DataFrame,
-    cols: Sequence[str] | None = None,
-    as_types: Mapping[str, T.DataType] | None = None,
+def _hash_cells(
+    df: DataFrame, cols: Sequence[str], as_types: Mapping[str, T.DataType] | None
 ) -> list[Column]:
-    """128 bits per row as two longs, from the values themselves instead of their text.
+    """Arguments for a hash over rows: each value with a null flag.
 
-    Grouping on it shuffles 16 bytes per row. Each cell goes in with a null flag, because the
-    hash functions pass over nulls; nested values go in as text, since nulls inside them
-    would be passed over too. ``as_types`` names the types to hash in, where another table
-    holds the same values in other types.
+    The hash functions pass over nulls, also inside nested values, so those go in as text.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     cells: list[Column] = []
-    for c in df.columns if cols is None else cols:
+    for c in cols:
         col, dtype = F.col(f"`{c}`"), types[c]
         if as_types and as_types[c] != dtype:
             col, dtype = col.cast(as_types[c]), as_types[c]
@@ -78,4 +73,23 @@ def row_fingerprint(
         elif isinstance(dtype, (T.MapType, T.ArrayType, T.StructType)):
             col = value_text(col, dtype)
         cells += [F.col(f"`{c}`").isNull(), col]
+    return cells
+
+
+def row_fingerprint(
+    df: DataFrame,
+    cols: Sequence[str] | None = None,
+    as_types: Mapping[str, T.DataType] | None = None,
+) -> list[Column]:
+    """128 bits per row as two longs, from the values themselves instead of their text.
+
+    Grouping on it shuffles 16 bytes per row. ``as_types`` names the types to hash in, where
+    another table holds the same values in other types.
+    """
+    cells = _hash_cells(df, df.columns if cols is None else cols, as_types)
     return [F.xxhash64(F.lit(i), *cells).alias(name) for i, name in enumerate(FINGERPRINT)]
+
+
+def row_mark(df: DataFrame) -> Column:
+    """64 bits per row for placing rows; equal rows have equal marks."""
+    return F.xxhash64(*_hash_cells(df, df.columns, None))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from plumbline.functions.canonical import row_mark
 from plumbline.functions.sizing import broadcast_if_small  # noqa: F401
 from plumbline.operators.recon import same_on, with_keys
 
@@ -54,10 +55,21 @@ def is_hot(key: str, hot: list) -> Column:
 
 
 def salted(df: DataFrame, key: str, hot: list, salts: int) -> DataFrame:
-    """Add ``salt``: spread over ``salts`` values for hot keys, 0 for the others."""
+    """Add ``salt``: spread over ``salts`` values for hot keys, 0 for the others.
+
+    The salt comes from the row itself, so a task that runs again after a lost executor puts
+    every row where it was. Only rows with very many exact copies (at most ``salts`` distinct
+    ones) are placed at random, and copies may change places.
+    """
     if not hot:
         return df.withColumn("salt", F.lit(0))
-    spread = (F.rand(17) * salts).cast("int")
+    mark = row_mark(df)
+    marks = df.filter(is_hot(key, hot)).select(mark.alias("m"))
+    copies = marks.groupBy("m").agg(F.count(F.lit(1)).alias("n"))
+    many = copies.filter(F.col("n") > F.lit(marks.count() / salts)).select("m").collect()
+    at_random = mark.isin([r.m for r in many]) if many else F.lit(False)
+    spread = F.when(at_random, (F.rand(17) * salts).cast("int")).otherwise(
+        F.pmod(mark, F.lit(salts)).cast("int"))
     return df.withColumn("salt", F.when(is_hot(key, hot), spread).otherwise(0))
 
 
@@ -81,10 +93,17 @@ def salted_join(
 def sort_spread(df: DataFrame, *cols: str | Column) -> DataFrame:
     """A total sort in which rows that tie on all columns still spread over several tasks.
 
-    Sort partitions are ranges of the sort key, and one repeated key cannot be cut; a random
-    last key lets it be.
+    Sort partitions are ranges of the sort key, and one repeated key cannot be cut. Ties go by
+    a mark of the whole row, and only exact copies by chance.
     """
-    return df.withColumn("_tie", F.rand(11)).orderBy(*cols, "_tie").drop("_tie")
+    ties = df.withColumns({"_mark": row_mark(df), "_tie": F.rand(11)})
+    return ties.orderBy(*cols, "_mark", "_tie").drop("_mark", "_tie")
+
+
+def range_spread(df: DataFrame, *cols: str, n: int | None = None) -> DataFrame:
+    """Range partitions by the columns; rows that tie on them spread as in :func:`sort_spread`."""
+    keys = [*[F.col(c) for c in cols], row_mark(df), F.rand(13)]
+    return df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
 
 
 def anti_nullsafe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

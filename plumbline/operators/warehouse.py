@@ -10,7 +10,9 @@ from pyspark.sql import types as T
 
 from plumbline.functions.canonical import value_text
 from plumbline.functions.scalars import date_parts
-from plumbline.operators.relational import hot_keys, is_hot, salted, salted_join
+from plumbline.operators.relational import (
+    hot_keys, is_hot, range_spread, salted, salted_join,
+)
 from plumbline.sources.readers import unique_name
 
 # --- star schema ----------------------------------------------------------------------
@@ -189,13 +191,8 @@ def layout_even(df: DataFrame, n: int) -> DataFrame:
 
 
 def layout_sort(df: DataFrame, cols: Sequence[str], n: int | None = None) -> DataFrame:
-    """Range partitions sorted by the columns, so file min/max statistics skip blocks.
-
-    The random last range key lets a repeated sort key spread over several partitions.
-    """
-    spread = [*[F.col(c) for c in cols], F.rand(13)]
-    laid = df.repartitionByRange(n, *spread) if n else df.repartitionByRange(*spread)
-    return laid.sortWithinPartitions(*cols)
+    """Range partitions sorted by the columns, so file min/max statistics skip blocks."""
+    return range_spread(df, *cols, n=n).sortWithinPartitions(*cols)
 
 
 def layout_skew(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.operators.relational import upsert
+from plumbline.operators.relational import range_spread, upsert
 from plumbline.sources.readers import unique_name
 
 
@@ -30,11 +30,11 @@ def sink_partitioned(
 ) -> None:
     """Replace a table, partitioned by a column and sorted inside each file.
 
-    A range exchange on (partition, sort columns, random) spreads a large partition value over
+    A range exchange on the partition and sort columns spreads a large partition value over
     several tasks and files instead of sending it to one.
     """
     rest = [c for c in order if c != part]
-    laid = df.repartitionByRange(part, *rest, F.rand(13)).sortWithinPartitions(part, *rest)
+    laid = range_spread(df, part, *rest).sortWithinPartitions(part, *rest)
     _table_writer(laid, "overwrite", path).partitionBy(part).saveAsTable(name)
 
 
@@ -65,7 +65,7 @@ def sink_hive_layout(df: DataFrame, path: str, ts: str) -> None:
     """Files under ``year=/month=/day=/hour=``.
 
     The range exchange groups an hour's rows so each hour has few files; an hour too large
-    for one task is split at random.
+    for one task is split.
     """
     parts = ["year", "month", "day", "hour"]
     laid = with_hive_parts(df, ts).repartitionByRange(*parts, ts)

@@ -60,6 +60,19 @@ def test_hot_key_is_spread_and_rows_survive(spark):
     assert plain.max_rows > 3000
 
 
+def test_exact_copies_are_spread_too(spark):
+    df = spark.range(9000).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(5).alias("k"))
+    assert wh.layout_skew(wh.layout_key(df, "k", 8)).first().max_rows < 2500
+
+
+def test_rows_keep_their_salt_in_another_order(spark):
+    df = spark.range(900).select("id", F.lit(1).alias("k"), F.array(F.col("id")).alias("a"))
+    first = relational.salted(df, "k", [1], 8)
+    again = relational.salted(df.repartition(5).orderBy(F.desc("id")), "k", [1], 8)
+    assert first.exceptAll(again).count() == 0
+    assert first.select("salt").distinct().count() == 8
+
+
 def test_sort_layout_spreads_a_repeated_key(spark):
     df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"))
     assert wh.layout_skew(wh.layout_sort(df, ["k"], 8)).first().max_rows < 2500
