@@ -41,3 +41,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumbline.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op2_bpe")
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.bpe import encode_texts
+
+    return encode_texts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"),
+                        digests_only=True)

@@ -34,12 +34,67 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
-class ByteEncoder:
+class WordTable:
+    """ids of distinct words, each worked out once per process while the table has room."""
+
+    def __init__(self) -> None:
+        self.forget()
+
+    def forget(self) -> None:
+        self.slot: dict[int, int] = {}
+        self.begin = self.size = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def encode_new(self, words: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Order in which the words were encoded, their ids in a row, and how many each has."""
+        raise NotImplementedError
+
+    def slots(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Place of each word in ``begin`` and ``size``."""
+        back, keys = pd.factorize(T.span_hash(T.prefix(data, T.EXACT), start, end))
+        first = np.zeros(len(keys), np.int64)
+        first[back[::-1]] = np.arange(len(back))[::-1]
+        if len(self.slot) > CACHE:
+            self.forget()
+        listed = keys.tolist()
+        slots = np.array([self.slot.get(key, -1) for key in listed], np.int64)
+        missing = np.flatnonzero(slots < 0)
+        if len(missing):
+            raw = data.tobytes()
+            at = first[missing]
+            order, ids, sizes = self.encode_new(
+                [raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)])
+            self.size = np.concatenate([self.size, sizes]).astype(np.int64)
+            self.begin = np.cumsum(self.size) - self.size
+            self.flat = np.concatenate([self.flat, ids])
+            for i in order:
+                self.slot[listed[missing[i]]] = len(self.slot)
+            slots[missing] = [self.slot[listed[i]] for i in missing]
+        return slots[back]
+
+    def ids(self, slots: np.ndarray) -> np.ndarray:
+        """ids of the words at ``slots``, one word after the other."""
+        return self.flat[T.spread(self.begin[slots], self.size[slots])]
+
+
+def space_words(data: np.ndarray, bounds: np.ndarray
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text of the parts between cuts before each space; together they are all."""
+    n = len(data)
+    cut = ~NOT_SPACE[data]
+    cut[bounds[bounds < n]] = True
+    start = np.flatnonzero(cut)
+    end = np.append(start[1:], n)[:len(start)]
+    return start, end, np.searchsorted(bounds, start, "right") - 1
+
+
+class ByteEncoder(WordTable):
     """ids of texts, equal to ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``."""
 
     def __init__(self, path: str) -> None:
         import tiktoken
 
+        super().__init__()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
@@ -55,10 +110,6 @@ class ByteEncoder:
         self.bytes_of = np.zeros(len({**vocab, **special}), np.int64)
         for token, i in [*ranks.items(), *((t.encode(), i) for t, i in special.items())]:
             self.bytes_of[i] = len(token)
-        # Known words: the place of each in three arrays.
-        self.slot: dict[int, int] = {}
-        self.begin = self.size = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
 
     @classmethod
     def load(cls, path: str) -> ByteEncoder:
@@ -69,33 +120,23 @@ class ByteEncoder:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.core.encode(text, allowed_special="all"), np.uint32)
 
-    def learn(self, raw: bytes, new: list[tuple[int, int, int]]) -> None:
-        """Encode new words (key, start, end in ``raw``), nearly all of them in one call."""
-        run, alone, lengths = [], [], []
-        for key, a, b in new:
-            word = raw[a:b].decode()
-            if len(word) > 1 and word[0] == " " and not (word[1].isspace() or word[-1].isspace()):
-                run.append((key, word))
-                lengths.append(b - a)
-            else:
-                alone.append((key, word))
-        ids = np.zeros(0, np.uint32)
-        sizes = np.zeros(0, np.int64)
-        if run:
-            ids = self.core.encode_to_numpy("".join([w for _, w in run]), allowed_special="all")
-            ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(lengths), "left") + 1
-            sizes = np.diff(ends, prepend=0)
-        own = [self.whole(word) for _, word in alone]
-        ids = np.concatenate([self.flat, ids, *own])
-        self.size = np.concatenate([self.size, sizes, [len(x) for x in own]]).astype(np.int64)
-        self.begin = np.cumsum(self.size) - self.size
-        self.flat = ids
-        for key, _ in run + alone:
-            self.slot[key] = len(self.slot)
+    def encode_new(self, words: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Nearly all words go through the encoder in one call, as cutting there is safe."""
+        run, alone, texts = [], [], [w.decode() for w in words]
+        for i, word in enumerate(texts):
+            joins = (len(word) > 1 and word[0] == " "
+                     and not word[1].isspace() and not word[-1].isspace())
+            (run if joins else alone).append(i)
+        ids = self.core.encode_to_numpy("".join([texts[i] for i in run]), allowed_special="all")
+        ends = np.cumsum([len(words[i]) for i in run]).astype(np.int64)
+        last = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, "left") + 1
+        own = [self.whole(texts[i]) for i in alone]
+        sizes = np.r_[np.diff(last, prepend=0), np.array([len(x) for x in own], np.int64)]
+        return run + alone, np.concatenate([ids, *own]).astype(np.uint32), sizes
 
     def slice(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids of all texts of a slice in a row, and how many each text has."""
-        rows, n = len(bounds) - 1, len(data)
+        rows = len(bounds) - 1
         raw = data.tobytes()
         apart = {}
         if JOINED.search(raw.decode()):
@@ -103,31 +144,13 @@ class ByteEncoder:
                 text = raw[bounds[row]:bounds[row + 1]].decode()
                 if JOINED.search(text):
                     apart[row] = self.whole(text)
-        # A word runs from one cut to the next; cuts are the spaces and the bounds of texts.
-        cut = ~NOT_SPACE[data]
-        cut[bounds[bounds < n]] = True
-        start = np.flatnonzero(cut)
-        end = np.append(start[1:], n)[:len(start)]
-        owner = np.searchsorted(bounds, start, "right") - 1
+        start, end, owner = space_words(data, bounds)
         if apart:
             keep = ~np.isin(owner, list(apart))
             start, end, owner = start[keep], end[keep], owner[keep]
-        back, keys = pd.factorize(T.span_hash(T.prefix(data, T.EXACT), start, end))
-        first = np.zeros(len(keys), np.int64)
-        first[back[::-1]] = np.arange(len(back))[::-1]
-        if len(self.slot) > CACHE:
-            self.slot.clear()
-            self.begin = self.size = np.zeros(0, np.int64)
-            self.flat = np.zeros(0, np.uint32)
-        listed = keys.tolist()
-        slots = np.array([self.slot.get(key, -1) for key in listed], np.int64)
-        missing = np.flatnonzero(slots < 0).tolist()
-        if missing:
-            self.learn(raw, [(listed[i], start[first[i]], end[first[i]]) for i in missing])
-            slots[missing] = [self.slot[listed[i]] for i in missing]
-        per_word = self.size[slots][back]
-        ids = self.flat[T.spread(self.begin[slots][back], per_word)]
-        counts = np.bincount(owner, weights=per_word, minlength=rows).astype(np.int64)
+        slots = self.slots(data, start, end)
+        ids = self.ids(slots)
+        counts = np.bincount(owner, weights=self.size[slots], minlength=rows).astype(np.int64)
         if apart:
             parts = np.split(ids, np.cumsum(counts)[:-1])
             for row, own in apart.items():
