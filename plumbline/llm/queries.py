@@ -49,3 +49,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return encode_texts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"),
                         digests_only=True)
+
+
+@query("op9_language_model")
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.language_model import score_held_out
+
+    return score_held_out(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
