@@ -57,3 +57,10 @@ def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return score_held_out(table(spark, sf_dir, "documents")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op10_licenses")
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.licenses import labelled, scan
+
+    return labelled(scan(table(spark, sf_dir, "documents")))
