@@ -10,7 +10,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from plumbline.llm.tables import small_batches
 from plumbline.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,7 +21,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            small_batches(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -64,3 +70,19 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumbline.llm.licenses import labelled, scan
 
     return labelled(scan(table(spark, sf_dir, "documents")))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.toxicity import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted", F.size("spans").alias("n_spans"))
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted", F.size("lines").alias("n_lines"))
