@@ -32,7 +32,7 @@ from plumbline.llm.tables import kept, pieces, remainder
 #: Training tokens per filter block: an upper bound of its expected bigrams.
 BLOCK_TOKENS = 1 << 20
 #: Bits of the filter per training token, and probes per entry.
-BITS_PER_TOKEN, PROBES = 8, 4
+BITS_PER_TOKEN, PROBES = 5, 4
 #: Base of the quantised counts.
 LOG_BASE = 1.5
 #: Largest broadcast.
@@ -178,6 +178,11 @@ class Model:
         return out
 
 
+def narrow(counts: np.ndarray) -> np.ndarray:
+    """The same counts in 4 bytes each, if the largest fits."""
+    return counts.astype(np.uint32) if not len(counts) or counts.max() < 1 << 32 else counts
+
+
 def learn(texts: DataFrame) -> Model | None:
     """Count every token of ``texts`` (one column text) and build the model; None without texts."""
     spark = texts.sparkSession
@@ -223,7 +228,7 @@ def learn(texts: DataFrame) -> Model | None:
     words = kept(words, "lm-words")
     sizes = words.agg(F.count("*").alias("n"), F.sum(
         (F.col("seen") > 0).cast("long")).alias("v")).first()
-    parts = -(-sizes.n * 24 // PART_BYTES)
+    parts = -(-sizes.n * 16 // PART_BYTES)
     word_parts = []
     for number in range(parts):
         own = words.where(F.pmod(F.col("word"), F.lit(parts)) == number).select(
@@ -231,7 +236,8 @@ def learn(texts: DataFrame) -> Model | None:
         known = own["word"].to_numpy().view(np.uint64)
         order = np.argsort(known)
         word_parts.append(spark.sparkContext.broadcast(
-            (known[order], own["seen"].to_numpy()[order], own["follow"].to_numpy()[order])))
+            (known[order], narrow(own["seen"].to_numpy()[order]),
+             narrow(own["follow"].to_numpy()[order]))))
     per_part = max(1, PART_BYTES // block_bytes)
     filters = []
     made = built.where("block >= 0").select("block", "bits")
@@ -262,7 +268,7 @@ def score(documents: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            for first, end, data, bounds in T.slices(batch.column(1), 4 * T.SLICE):
+            for first, end, data, bounds in T.slices(batch.column(1)):
                 rows = end - first
                 before, word, owner = sequence(data, bounds)
                 if model:
