@@ -86,3 +86,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "held_out", "score", "predicted", F.size("lines").alias("n_lines"))
+
+
+@query("op4_fingerprints")
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.fingerprints import compare_edited
+
+    return compare_edited(table(spark, sf_dir, "documents"))
