@@ -3,8 +3,8 @@
 The lexicon holds the terms whose document frequency, counted over all documents, lies in a band:
 ``LOW_SHARE`` to ``HIGH_SHARE`` of the documents. A fingerprint hashes a document's distinct terms,
 sorted, within several random subsets of the lexicon. Subsets come in levels of halving density; a
-document uses the two levels at which a subset holds about one of its terms, so that a subset
-survives an edit with a fair chance for short and long texts alike. Two fingerprints are as like
+document uses the levels from the one at which a subset holds about half a term of it, so that a
+subset survives an edit with a fair chance for short and long texts alike. Two fingerprints are as like
 as the share of subsets that hold terms of either and hash equal, over the levels both have.
 
 A lexicon term occurs in ``LOW_SHARE`` of all documents, so the lexicon has at most (mean distinct
@@ -32,8 +32,8 @@ from plumbline.llm.tables import pieces
 
 #: Shares of all documents that bound the lexicon's document frequencies.
 LOW_SHARE, HIGH_SHARE = 0.0005, 0.02
-#: Random subsets of each level, and terms that a document's subsets should hold.
-SUBSETS, TERMS = 16, 1.0
+#: Random subsets of each level, levels of a document, and terms its densest should hold.
+SUBSETS, LEVELS, TERMS = 16, 4, 0.5
 #: Bytes of text in a range of documents.
 RANGE_BYTES = 8 << 20
 #: Pairs of term and count that a counting task holds before it hands them on.
@@ -113,8 +113,8 @@ class Prints:
         a, b = self.hashes[i], other.hashes[j]
         same_kind = self.kind[i] == other.kind[j]
         matched, used = np.zeros(len(i)), np.zeros(len(i))
-        for x in (0, 1):
-            for y in (0, 1):
+        for x in range(LEVELS):
+            for y in range(LEVELS):
                 common = same_kind & (self.level[i] + x == other.level[j] + y)
                 p = a[:, x * SUBSETS:(x + 1) * SUBSETS]
                 q = b[:, y * SUBSETS:(y + 1) * SUBSETS]
@@ -130,7 +130,7 @@ def fingerprints(array, words: np.ndarray) -> Prints:
     terms has a digest of its bytes in place of every hash."""
     n = len(array)
     kind, level = np.full(n, 2, np.int64), np.zeros(n, np.int64)
-    hashes = np.zeros((n, 2 * SUBSETS), np.uint32)
+    hashes = np.zeros((n, LEVELS * SUBSETS), np.uint32)
     for first, end, data, bounds in T.slices(array):
         rows = end - first
         text, term = distinct_terms(data, bounds, words)
@@ -145,16 +145,15 @@ def fingerprints(array, words: np.ndarray) -> Prints:
             order = np.argsort(text, kind="stable")
             text, term = text[order], term[order]
         count = np.bincount(text, minlength=rows)
-        at = np.maximum(0, np.floor(np.log2(np.maximum(count, 1) / TERMS))).astype(np.int64)
+        at = np.maximum(1, np.floor(np.log2(np.maximum(count, 1) / TERMS))).astype(np.int64)
         heads = np.flatnonzero(np.r_[True, text[1:] != text[:-1]]) if len(text) else text
         owner = text[heads]
         value = T.mix(term ^ np.uint64(0x2545F4914F6CDD1D))
         for s, seed in enumerate(SEEDS):
             draw = T.mix(term + seed)
-            for x in (0, 1):
+            for x in range(LEVELS):
                 shift = (at[text] + x).astype(np.uint64)
-                inside = (draw >> (np.uint64(63) - shift)) >> np.uint64(1) == 0
-                inside |= shift == 0
+                inside = draw >> (np.uint64(64) - shift) == 0
                 if len(heads):
                     total = T.mix(np.add.reduceat(np.where(inside, value, np.uint64(0)), heads))
                     empty = np.add.reduceat(inside.astype(np.int64), heads) == 0
@@ -163,7 +162,7 @@ def fingerprints(array, words: np.ndarray) -> Prints:
         none = count == 0
         for i in np.flatnonzero(none).tolist():
             digest = hashlib.sha256(data[bounds[i]:bounds[i + 1]].tobytes()).digest()
-            hashes[first + i] = np.frombuffer(digest[:4] * 2 * SUBSETS, np.uint32) | 1
+            hashes[first + i] = np.frombuffer(digest[:4] * (LEVELS * SUBSETS), np.uint32) | 1
         kind[first:end] = np.where(none, 2, own_kind)
         level[first:end] = np.where(none, 0, at)
     return Prints(kind, level, hashes)
