@@ -8,8 +8,9 @@ from the bigrams dealt to it: their expected number is a parameter, so the numbe
 with the training tokens and the work of a task does not.
 
 Word counts are exact (they fix the base score) and sit in sorted arrays. Filter blocks and word
-arrays reach the workers as broadcasts of at most ``PART_BYTES`` each: more data make more parts,
-not larger ones. A part passes the driver alone.
+arrays are broadcast as files of at most ``PART_BYTES`` each: more data make more files, not larger
+ones. A file passes the driver alone, executors fetch it once, and their workers share it as
+mapped memory, so that a worker's own memory does not grow with the model.
 
 The score of a text is the sum over its tokens of log10 of the Witten-Bell interpolation of the
 bigram's estimate with the base probability of the word.
@@ -18,12 +19,15 @@ bigram's estimate with the base probability of the word.
 from __future__ import annotations
 
 import math
+import os
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import text as T
@@ -98,7 +102,7 @@ def bigram_counts(texts: DataFrame, blocks: int) -> DataFrame:
     def packed(parts: list[tuple]) -> pa.RecordBatch:
         before, word, count = (np.concatenate(x) for x in zip(*parts, strict=True))
         block = (joint(before, word) >> np.uint64(20)) % np.uint64(blocks)
-        order = np.argsort(block, kind="stable")
+        order = np.lexsort((before, block))  # equal words before stand together and compress well
         before, word, count, block = before[order], word[order], count[order], block[order]
         edges = np.r_[0, np.flatnonzero(np.diff(block)) + 1, len(block)]
         blobs = [pa.compress(before[a:b].tobytes() + word[a:b].tobytes()
@@ -137,6 +141,28 @@ def summed(before: np.ndarray, word: np.ndarray, count: np.ndarray) -> tuple:
     return before[first], word[first], total
 
 
+_OPEN: dict[str, np.ndarray] = {}
+
+
+def send(spark: SparkSession, array: np.ndarray) -> str:
+    """Broadcast an array as a file of the session; its name."""
+    name = f"lm-{uuid.uuid4().hex}.npy"
+    path = os.path.join(SparkFiles.getRootDirectory(), f"make-{name}")
+    os.makedirs(path)
+    np.save(os.path.join(path, name), array)
+    spark.sparkContext.addFile(os.path.join(path, name))
+    os.remove(os.path.join(path, name))  # addFile has made its own copy
+    os.rmdir(path)
+    return name
+
+
+def sent(name: str) -> np.ndarray:
+    """The array of a broadcast file, mapped and not read."""
+    if name not in _OPEN:
+        _OPEN[name] = np.load(SparkFiles.get(name), mmap_mode="r")
+    return _OPEN[name]
+
+
 class Model:
     """Word counts and filter of a training set, in broadcast parts."""
 
@@ -152,7 +178,7 @@ class Model:
         codes, keys = pd.factorize(hashes)
         count, follow = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         for part in self.word_parts:
-            known, c, f = part.value
+            known, c, f = (sent(name) for name in part)
             at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
             hit = known[at] == keys
             count[hit], follow[hit] = c[at[hit]], f[at[hit]]
@@ -163,7 +189,7 @@ class Model:
         block = ((pair >> np.uint64(20)) % np.uint64(self.blocks)).astype(np.int64)
         out = np.zeros(len(pair), np.int64)
         for number, part in enumerate(self.filter_parts):
-            bits = part.value
+            bits = sent(part)
             here = np.flatnonzero(block // self.blocks_per_part == number)
             base = (block[here] % self.blocks_per_part) * self.block_bytes
             step = 0
@@ -235,9 +261,9 @@ def learn(texts: DataFrame) -> Model | None:
             "word", "seen", "follow").toArrow()
         known = own["word"].to_numpy().view(np.uint64)
         order = np.argsort(known)
-        word_parts.append(spark.sparkContext.broadcast(
-            (known[order], narrow(own["seen"].to_numpy()[order]),
-             narrow(own["follow"].to_numpy()[order]))))
+        word_parts.append(tuple(send(spark, column) for column in (
+            known[order], narrow(own["seen"].to_numpy()[order]),
+            narrow(own["follow"].to_numpy()[order]))))
     per_part = max(1, PART_BYTES // block_bytes)
     filters = []
     made = built.where("block >= 0").select("block", "bits")
@@ -247,7 +273,7 @@ def learn(texts: DataFrame) -> Model | None:
         for block, data in zip(rows["block"].to_pylist(), rows["bits"], strict=True):
             at = (block - first) * block_bytes
             bits[at:at + block_bytes] = np.frombuffer(data.as_buffer(), np.uint8)
-        filters.append(spark.sparkContext.broadcast(bits))
+        filters.append(send(spark, bits))
     return Model(total, sizes.v, blocks, block_bytes, word_parts, filters, per_part)
 
 
