@@ -147,12 +147,9 @@ _OPEN: dict[str, np.ndarray] = {}
 def send(spark: SparkSession, array: np.ndarray) -> str:
     """Broadcast an array as a file of the session; its name."""
     name = f"lm-{uuid.uuid4().hex}.npy"
-    path = os.path.join(SparkFiles.getRootDirectory(), f"make-{name}")
-    os.makedirs(path)
-    np.save(os.path.join(path, name), array)
-    spark.sparkContext.addFile(os.path.join(path, name))
-    os.remove(os.path.join(path, name))  # addFile has made its own copy
-    os.rmdir(path)
+    path = os.path.join(SparkFiles.getRootDirectory(), name)
+    np.save(path, array)
+    spark.sparkContext.addFile(path)
     return name
 
 
