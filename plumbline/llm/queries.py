@@ -93,3 +93,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumbline.llm.fingerprints import compare_edited
 
     return compare_edited(table(spark, sf_dir, "documents"))
+
+
+@query("op3_jaccard")
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.jaccard import join
+
+    return join(table(spark, sf_dir, "documents"))
