@@ -27,13 +27,13 @@ from plumbline.llm import text as T
 from plumbline.llm.tables import pieces, remainder
 
 #: Training documents per label.
-SAMPLE = 2500
+SAMPLE = 1200
 #: Weights of the hashed features: bounds what is sent to the workers.
 WEIGHTS = 1 << 18
 #: Bytes of word beginnings and of the end that are features.
 BEGINNINGS, ENDING = (4, 5, 7), 4
-#: Evidence: toxic documents at least, their least share, and how many times the share of clean
-#: documents it must exceed.
+#: Evidence: occurrences in toxic documents at least, their least number per toxic document, and
+#: how many times the number per clean document it must exceed.
 EVIDENCE_DOCS, EVIDENCE_SHARE, EVIDENCE_RATIO = 3, 0.008, 40.0
 STEPS, RATE, DECAY = 70, 0.15, 1e-7
 
@@ -74,16 +74,25 @@ def slots(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
 
 
 def evidence(hashes: np.ndarray, text: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """True for tokens of toxic documents whose word or a beginning marks toxic documents."""
+    """True for tokens of toxic documents whose word or a beginning marks toxic documents.
+
+    Occurrences between the same neighbours count once, so that copies of a document do not make
+    its words evidence.
+    """
     found = np.zeros(hashes.shape[1], bool)
     of = toxic[text].astype(bool)
     n_toxic, n_clean = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
+    word = hashes[0]
+    context = np.zeros_like(word)
+    context[1:] += T.mix(word[:-1])
+    context[:-1] += word[1:]
     for row in hashes[:1 + len(BEGINNINGS)]:
         keys, codes = np.unique(row, return_inverse=True)
-        pair = np.unique(codes.astype(np.int64) * len(toxic) + text)
-        key, doc = pair // len(toxic), pair % len(toxic)
-        seen = np.bincount(key, weights=toxic[doc], minlength=len(keys))
-        clean = np.bincount(key, weights=1 - toxic[doc], minlength=len(keys))
+        counts = []
+        for side in (of, ~of):
+            _, first = np.unique(T.mix(row[side] ^ T.mix(context[side])), return_index=True)
+            counts.append(np.bincount(codes[side][first], minlength=len(keys)))
+        seen, clean = counts
         marks = (seen >= max(EVIDENCE_DOCS, EVIDENCE_SHARE * n_toxic)) & (
             seen / n_toxic > EVIDENCE_RATIO * (clean + 0.05) / n_clean)
         found |= marks[codes] & of
