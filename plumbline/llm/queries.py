@@ -100,3 +100,10 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumbline.llm.jaccard import join
 
     return join(table(spark, sf_dir, "documents"))
+
+
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.suffix_dedup import dedup
+
+    return dedup(table(spark, sf_dir, "documents"), texts=False)
