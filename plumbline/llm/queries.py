@@ -107,3 +107,11 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumbline.llm.suffix_dedup import dedup
 
     return dedup(table(spark, sf_dir, "documents"), texts=False)
+
+
+@query("op5_neighbours")
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.neighbours import search
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.where(F.col("vec_id") % 20 == 0))
