@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm import text as T
 from plumbline.llm.components import components
-from plumbline.llm.tables import kept, pieces
+from plumbline.llm.tables import kept, pieces, texts_of
 
 SIZE = 5
 THRESHOLD = 0.8
@@ -166,7 +166,8 @@ def join(documents: DataFrame, size: int = SIZE, threshold: float = THRESHOLD,
     Two documents are linked if the Jaccard similarity of their sets of ``size``-word n-grams
     (lower-cased A-Z, split at white space; of a shorter text all its words as one) is at least
     ``threshold``; classes are the connected components of the links. Rows, one for each row given:
-    doc_id, class_id (the least doc_id of the class), links (how many other rows it is linked to).
+    doc_id, class_id (the least doc_id of the class), links (how many other rows it is linked to),
+    row_key (hash of id and text) and class_key (that of the class's first row, null without words).
     A text without words (null, empty, white space) is linked to none and is its own class; null
     ids take part and sort last, a class of null ids alone has a null class_id; repeated rows are
     linked to each other; other columns are not read; an empty table gives no rows.
@@ -175,11 +176,11 @@ def join(documents: DataFrame, size: int = SIZE, threshold: float = THRESHOLD,
     probability ``recall`` for a pair at the threshold, and more for closer ones and for chains.
     """
     bands, rows = bands_for(threshold, recall)
-    docs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn(
-        "row_key", F.xxhash64("doc_id", "text"))
+    docs = texts_of(documents).withColumn("row_key", F.xxhash64("doc_id", "text"))
     signed = kept(signatures(docs, size, bands, rows), "signatures")
     classes = kept(signed.where("node is not null").groupBy("node").agg(
-        F.count("*").alias("copies"), F.min("doc_id").alias("first_id"),
+        F.count("*").alias("copies"), F.min(F.struct(
+            F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("first"),
         F.min("row_key").alias("row_key"), F.first("bands").alias("bands")), "classes")
     keys = classes.select("node", F.explode("bands").alias("key"))
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where(
@@ -205,12 +206,30 @@ def join(documents: DataFrame, size: int = SIZE, threshold: float = THRESHOLD,
         verify, "node long, links long, peer long"), "links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("node").alias("u"), F.col("peer").alias("v")))
-    named = classes.select("node", "copies", "first_id").join(joined, "node", "left").join(
+    named = classes.select("node", "copies", "first").join(joined, "node", "left").join(
         links, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("first_id").alias("class_id"))
+    least = named.groupBy("root").agg(F.min("first").alias("least"))
     info = named.join(least, "root").select(
-        "node", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
-    return signed.select("doc_id", "node").join(info, "node", "left").select(
-        "doc_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(
-            F.col("class_id")).alias("class_id"),
-        F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+        "node", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    alone = F.col("node").isNull()
+    return signed.select("doc_id", "row_key", "node").join(info, "node", "left").select(
+        "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("class_id"),
+        F.coalesce("links", F.lit(0)).cast("long").alias("links"), "row_key",
+        F.when(alone, F.lit(None)).otherwise(F.col("least.row_key")).alias("class_key"))
+
+
+def representatives(documents: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``documents`` that stay: one of each class of ``join``, its least doc_id.
+
+    Rows without words stay all. Of equal rows (id and text) that stand for a class one stays.
+    """
+    stay = classes.where("class_key is null or class_key = row_key").groupBy("row_key").agg(
+        F.count("class_key").alias("equal"))
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = texts_of(documents, carry=True).select("row", key.alias("row_key"))
+    once = rows.join(stay.where("equal <= 1"), "row_key", "left_semi").select("row")
+    if stay.where("equal > 1").isEmpty():
+        return once.select("row.*")
+    several = rows.join(stay.where("equal > 1"), "row_key", "left_semi").groupBy("row_key").agg(
+        F.first("row").alias("row"))
+    return once.unionAll(several.select("row")).select("row.*")

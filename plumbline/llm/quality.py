@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm import crf
 from plumbline.llm import text as T
-from plumbline.llm.tables import pieces, remainder
+from plumbline.llm.tables import pieces, remainder, result_schema, texts_of
 from plumbline.llm.toxicity import training_sample
 
 #: Training documents per label.
@@ -162,14 +162,15 @@ SCHEMA = ("doc_id long, score double, predicted int, "
           "lines array<struct<start:long,end:long,good:double>>")
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
+def score(documents: DataFrame, model: Model, carry: bool = False) -> DataFrame:
     """Quality of every whole text of ``documents`` (doc_id, text).
 
     Rows: doc_id, score (0 to 1), predicted (1 from 0.5 on) and lines: bytes [start, end) of each
     line with its probability to be good. A null or empty text is one empty line; a null doc_id
-    stays null; repeated rows are scored each; other columns are not read; an empty table gives no
-    rows.
+    stays null; repeated rows are scored each; other columns are not read unless ``carry``
+    puts the whole row into the struct ``row``; an empty table gives no rows.
     """
+    rows_in = texts_of(documents, carry)
     sent = documents.sparkSession.sparkContext.broadcast(model)
     kind = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("good", pa.float64())])
 
@@ -192,19 +193,21 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
                     [pa.array(start - base), pa.array(end - base), pa.array(p)],
                     fields=list(kind))
                 offsets = np.searchsorted(owner, np.arange(rows + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, rows), pa.array(result),
+                columns = [batch.column(0).slice(first, rows), pa.array(result),
                      pa.array((result >= 0.5).astype(np.int32)),
-                     pa.ListArray.from_arrays(pa.array(offsets), found)],
-                    ["doc_id", "score", "predicted", "lines"])
+                     pa.ListArray.from_arrays(pa.array(offsets), found)]
+                names = ["doc_id", "score", "predicted", "lines"]
+                if carry:
+                    columns.append(batch.column(2).slice(first, rows))
+                    names.append("row")
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")
-                            ).mapInArrow(run, SCHEMA)
+    return rows_in.mapInArrow(run, result_schema(rows_in, SCHEMA))
 
 
 def classify(documents: DataFrame, labels: DataFrame, size: int = SAMPLE, by: int = 3,
-             out: int = 1) -> DataFrame:
+             out: int = 1, carry: bool = False) -> DataFrame:
     """Scores of all ``documents``, learned outside the fold crc32(doc_id) mod ``by`` = ``out``."""
     model = fit(training_sample(documents, labels, "quality", size, by, out))
-    return score(documents, model).withColumn(
+    return score(documents, model, carry).withColumn(
         "held_out", remainder(F.col("doc_id"), by) == out)

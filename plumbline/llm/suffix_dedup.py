@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm import text as T
-from plumbline.llm.tables import kept, pieces
+from plumbline.llm.tables import kept, pieces, quoted, result_schema
 
 LENGTH = 50
 #: Bytes of an anchor. Shorter ones are fewer, but meet by chance more often.
@@ -293,18 +293,22 @@ def spans_of(n: int, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np
 
 
 def dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
-          texts: bool = True) -> DataFrame:
+          texts: bool = True, carry: bool = False) -> DataFrame:
     """What is left of every whole text of ``documents`` (doc_id, text) without repeated strings.
 
     Rows, one for each given: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with
     ``texts``, kept (the remaining bytes). A null text counts as empty; texts shorter than
     ``length`` stay whole; null ids count as smaller than all others; rows of one id do not remove
-    each other's strings; other columns are not read; an empty table gives no rows.
+    each other's strings; other columns are not read, unless ``carry`` puts all but the text into the
+    struct ``row``; an empty table gives no rows.
     """
-    docs = documents.select(
+    extra = [F.struct(*[F.col(quoted(c)) for c in documents.columns if c != "text"]).alias("row")
+             ] if carry else []
+    whole = documents.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).select(
-        "doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *extra)
+    key = F.xxhash64("doc_id", "text").alias("row_key")
+    docs = whole.select("doc_id", key, "text")
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     groups = max(1, -(-total // GROUP))
     found = kept(send_anchors(docs, groups, length, gram).groupBy("group").applyInArrow(
@@ -326,9 +330,12 @@ def dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
                 blobs.append(pa.compress(raw, "zstd", asbytes=True) if raw.size else b"")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
-                 pa.array(blobs, pa.binary())], ["doc_id", "row_key", "n", "data"])
+                 pa.array(blobs, pa.binary()), *batch.columns[3:]],
+                ["doc_id", "row_key", "n", "data", *["row"] * len(batch.columns[3:])])
 
-    small = docs.mapInArrow(compressed, "doc_id long, row_key long, n long, data binary")
+    def shrunk(rows: DataFrame) -> DataFrame:
+        return rows.mapInArrow(compressed, result_schema(
+            rows, "doc_id long, row_key long, n long, data binary"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -357,7 +364,7 @@ def dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
         names = ["row_key", "windows"]
         return pa.table(lists(pairs[0], pairs[1].astype(np.int32)), names)
 
-    compared = kept(small.join(asked, "row_key").select(
+    compared = kept(shrunk(docs).join(asked, "row_key").select(
         "doc_id", "row_key", "n", "data", "asked", "anchor").mapInArrow(
         contexts, "merge long, doc_id long, row_key long, start int, context binary").groupBy(
         "merge").applyInArrow(compare, "row_key long, windows array<int>"), "windows")
@@ -376,8 +383,8 @@ def dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
                 n = batch.column(1)[i].as_py()
                 raw = pa.decompress(batch.column(2)[i].as_buffer(), n, "zstd",
                                     asbytes=True) if n else b""
-                whole, windows = batch.column(3)[i], batch.column(4)[i]
-                p = whole.values.to_numpy().astype(np.int64) if whole.is_valid else np.zeros(
+                lost, windows = batch.column(3)[i], batch.column(4)[i]
+                p = lost.values.to_numpy().astype(np.int64) if lost.is_valid else np.zeros(
                     0, np.int64)
                 w = windows.values.to_numpy().astype(np.int64) if windows.is_valid else np.zeros(
                     0, np.int64)
@@ -389,11 +396,14 @@ def dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
                             hashlib.sha256(left).hexdigest(), left)[:6 if texts else 5])
             types = [pa.int64()] * 4 + [pa.string(), pa.binary()][:2 if texts else 1]
             names = [f.strip().split(" ")[0] for f in fields.split(",")]
+            columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+                columns + batch.columns[5:], names + ["row"] * len(batch.columns[5:]))
 
-    done = small.join(per_row, "row_key", "left").select(
-        "doc_id", "n", "data", "gone", "windows").mapInArrow(cut, fields)
+    rows = shrunk(whole.select("doc_id", key, "text", *["row"] * carry)).join(
+        per_row, "row_key", "left").select("doc_id", "n", "data", "gone", "windows",
+                                           *["row"] * carry)
+    done = rows.mapInArrow(cut, result_schema(rows, fields))
     return done.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
 
 

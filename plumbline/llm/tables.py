@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plumbline.session import scratch
 
@@ -30,6 +31,23 @@ def remainders(ids, by: int) -> np.ndarray:
     return np.array([zlib.crc32(b"" if i is None else str(i).encode()) % by for i in ids], np.int64)
 
 
+def texts_of(documents: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id and text, and with ``carry`` the whole row given as the struct ``row``."""
+    extra = [F.struct(*[F.col(quoted(c)) for c in documents.columns]).alias("row")] if carry else []
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"),
+                            F.col("text").cast("string").alias("text"), *extra)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def result_schema(rows: DataFrame, ddl: str) -> StructType:
+    """The fields of ``ddl`` and, if ``rows`` carries it, the struct ``row``."""
+    fields = list(StructType.fromDDL(ddl).fields)
+    return StructType(fields + [f for f in rows.schema.fields if f.name == "row"])
+
+
 def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches without rows left out."""
     return (b for b in batches if b.num_rows)

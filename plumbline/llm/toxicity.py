@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm import crf
 from plumbline.llm import text as T
-from plumbline.llm.tables import pieces, remainder
+from plumbline.llm.tables import pieces, remainder, result_schema, texts_of
 
 #: Training documents per label.
 SAMPLE = 1200
@@ -185,14 +185,16 @@ SCHEMA = ("doc_id long, score double, predicted int, "
           "spans array<struct<start:long,end:long,score:double>>")
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
+def score(documents: DataFrame, model: Model, carry: bool = False) -> DataFrame:
     """Toxicity of every whole text of ``documents`` (doc_id, text).
 
     Rows: doc_id, score (0 to 1), predicted (1 from 0.5 on) and spans: code points [start, end)
     of runs of toxic tokens with their highest marginal. A null text counts as empty; a text
     without tokens has the score of one without toxic tokens; a null doc_id stays null; repeated
-    rows are scored each; other columns are not read; an empty table gives no rows.
+    rows are scored each; other columns are not read unless ``carry``
+    puts the whole row into the struct ``row``; an empty table gives no rows.
     """
+    rows_in = texts_of(documents, carry)
     sent = documents.sparkSession.sparkContext.broadcast(model)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()),
                                ("score", pa.float64())]))
@@ -220,19 +222,21 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
                          pa.array(points[end[hot[tail]]] - base),
                          pa.array(np.maximum.reduceat(p[hot], head))], fields=list(kind.value_type))
                     offsets = np.searchsorted(owner, np.arange(rows + 1))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, rows), pa.array(result),
+                columns = [batch.column(0).slice(first, rows), pa.array(result),
                      pa.array((result >= 0.5).astype(np.int32)),
-                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)],
-                    ["doc_id", "score", "predicted", "spans"])
+                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)]
+                names = ["doc_id", "score", "predicted", "spans"]
+                if carry:
+                    columns.append(batch.column(2).slice(first, rows))
+                    names.append("row")
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")
-                            ).mapInArrow(run, SCHEMA)
+    return rows_in.mapInArrow(run, result_schema(rows_in, SCHEMA))
 
 
 def classify(documents: DataFrame, labels: DataFrame, size: int = SAMPLE, by: int = 5,
-             out: int = 0) -> DataFrame:
+             out: int = 0, carry: bool = False) -> DataFrame:
     """Scores of all ``documents``, learned outside the fold crc32(doc_id) mod ``by`` = ``out``."""
     model = fit(training_sample(documents, labels, "toxic", size, by, out))
-    return score(documents, model).withColumn(
+    return score(documents, model, carry).withColumn(
         "held_out", remainder(F.col("doc_id"), by) == out)
