@@ -37,7 +37,7 @@ LENGTH = 50
 GRAM = 24
 #: Bytes of text whose anchors a task holds, of text per anchor group, of contexts per group, and
 #: of a shard.
-HELD, GROUP, MERGED, SHARD = 8 << 20, 16 << 20, 4 << 20, 256 << 10
+HELD, GROUP, MERGED, SHARD = 8 << 20, 16 << 20, 1 << 20, 64 << 10
 
 
 def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -163,11 +163,14 @@ def lists(keys: np.ndarray, *columns: np.ndarray) -> list:
             *(pa.ListArray.from_arrays(offsets, pa.array(c[order])) for c in columns)]
 
 
-FOUND = "row_key long, gone array<int>, asked array<int>, anchor array<long>"
+FOUND = "target long, n_gone long, n_asked long, gone binary, asked binary"
+#: Columns of what is found: rows and places, and the anchor of those to be compared.
+GONE, ASKED = [np.int64, np.int32], [np.int64, np.int32, np.int64]
 
 
-def compare_anchors(table: pa.Table) -> pa.Table:
-    """Of one group of anchors: places whose whole context goes, and contexts to be compared."""
+def compare_anchors(table: pa.Table, groups: int) -> pa.Table:
+    """Of one group of anchors: places whose whole context goes, and contexts to be compared,
+    packed for each of ``groups`` groups of rows."""
     live, dead = [], []
     for n_live, n_dead, a, b in zip(table["n_live"].to_pylist(), table["n_dead"].to_pylist(),
                                     table["live"], table["dead"], strict=True):
@@ -189,18 +192,45 @@ def compare_anchors(table: pa.Table) -> pa.Table:
     asked = order[several]
     group = table["group"][0].as_py()
     anchor = key[asked].astype(np.int64) << 24 | group & 0xFFFFFF
-    a = lists(np.r_[row[gone], dead_row], np.r_[place[gone], dead_place])
-    b = lists(row[asked], place[asked], anchor)
-    empty_place, empty_anchor = pa.array([], pa.int32()), pa.array([], pa.int64())
-
-    def blank(n: int, values: pa.Array) -> pa.ListArray:
-        return pa.ListArray.from_arrays(pa.array(np.zeros(n + 1, np.int32)), values)
-
-    x = pa.table([a[0], a[1], blank(len(a[0]), empty_place), blank(len(a[0]), empty_anchor)],
-                 ["row_key", "gone", "asked", "anchor"])
-    y = pa.table([b[0], blank(len(b[0]), empty_place), b[1], b[2]],
-                 ["row_key", "gone", "asked", "anchor"])
-    return pa.concat_tables([x, y]).combine_chunks()
+    lost = [np.r_[row[gone], dead_row], np.r_[place[gone], dead_place]]
+    open_ = [row[asked], place[asked], anchor]
+    out = []
+    cuts = []
+    for columns in (lost, open_):
+        target = columns[0] % groups
+        by = np.argsort(target, kind="stable")
+        columns[:] = [c[by] for c in columns]
+        cuts.append(np.searchsorted(target[by], np.arange(groups + 1)))
+    for g in range(groups):
+        (a, b), (c, d) = ((cut[g], cut[g + 1]) for cut in cuts)
+        if b > a or d > c:
+            out.append((g, b - a, d - c, pack_columns([x[a:b] for x in lost]),
+                        pack_columns([x[c:d] for x in open_])))
+    names = ["target", "n_gone", "n_asked", "gone", "asked"]
+    types = [pa.int64()] * 3 + [pa.binary()] * 2
+    columns = zip(*out, strict=True) if out else [[]] * 5
+    return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+
+BY_ROW = "row_key long, gone array<int>, asked array<int>, anchor array<long>"
+
+
+def by_row(table: pa.Table) -> pa.Table:
+    """What all groups of anchors found for a group of rows: one line for each row."""
+    parts = [], []
+    for n_gone, n_asked, a, b in zip(table["n_gone"].to_pylist(), table["n_asked"].to_pylist(),
+                                     table["gone"], table["asked"], strict=True):
+        parts[0].append(unpack_columns(a, n_gone, GONE))
+        parts[1].append(unpack_columns(b, n_asked, ASKED))
+    gone, asked = ([np.concatenate(c) for c in zip(*p, strict=True)] for p in parts)
+    keys = np.unique(np.r_[gone[0], asked[0]])
+    arrays = [pa.array(keys)]
+    for columns in (gone, asked):
+        order = np.lexsort((columns[1], columns[0]))
+        offsets = np.append(np.searchsorted(columns[0][order], keys), len(order))
+        arrays += [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(c[order]))
+                   for c in columns[1:]]
+    return pa.table(arrays, ["row_key", "gone", "asked", "anchor"])
 
 
 def rotations(symbols: np.ndarray, depth: int) -> np.ndarray:
@@ -213,31 +243,44 @@ def rotations(symbols: np.ndarray, depth: int) -> np.ndarray:
     return np.argsort(rank, kind="stable")
 
 
-def merge(transforms: list[np.ndarray], rounds: int) -> list[np.ndarray]:
-    """Blocks of the merged transforms: a number for each suffix of each shard, in shard order.
+def merge(transforms: list[np.ndarray], rounds: int, end: int = 0
+          ) -> tuple[np.ndarray, np.ndarray]:
+    """Repeated intervals of the merged transforms: suffixes and the block of each.
 
-    Suffixes get equal numbers if and only if their first ``rounds`` symbols agree.
+    Suffixes are numbered through all shards, in the order of each shard. The result holds those
+    whose first ``rounds`` symbols have no ``end`` among them and are also those of another
+    suffix; they have one block number if and only if these symbols agree. A round puts one symbol
+    in front: the suffixes of the interleave are sorted stably by the symbol before them, and the
+    step to the suffix that starts with it (last to first) is known from its shard alone. A suffix
+    that agrees with no other leaves the interleave, as whatever is put before it agrees with none.
     """
-    source = np.repeat(np.arange(len(transforms), dtype=np.uint16), [len(t) for t in transforms])
     symbols = np.concatenate(transforms)
-    block = np.zeros(len(symbols), np.int64)
-    last = np.empty_like(symbols)
+    base = np.cumsum([0, *[len(t) for t in transforms]])
+    step = np.empty(len(symbols), np.int32)
+    for t, first in zip(transforms, base, strict=False):
+        step[first + np.argsort(t, kind="stable")] = np.arange(first, first + len(t))
+    suffix = np.arange(len(symbols), dtype=np.int32)
+    block = np.zeros(len(symbols), np.int32)
     for _ in range(rounds):
-        # The i-th place of a shard in the interleave holds that shard's i-th symbol.
-        last[np.argsort(source, kind="stable")] = symbols
-        order = np.argsort(last, kind="stable")
-        first, came = last[order], block[order]
-        split = np.zeros(len(order), np.int64)
-        split[1:] = (first[1:] != first[:-1]) | (came[1:] != came[:-1])
-        source, block = source[order], np.cumsum(split)
-    by_shard = block[np.argsort(source, kind="stable")]
-    return np.split(by_shard, np.cumsum([len(t) for t in transforms])[:-1])
-
-
-def repeated(contexts: list[bytes], docs: np.ndarray, length: int, shard: int = SHARD
+        before = symbols[suffix]
+        order = np.argsort(before, kind="stable")
+        order = order[np.searchsorted(before[order], end, "right"):]  # ``end`` is the least symbol
+        if not len(order):
+            return suffix[:0], block[:0]
+        before, came = before[order], block[order]
+        head = np.ones(len(order) + 1, bool)
+        head[1:-1] = (before[1:] != before[:-1]) | (came[1:] != came[:-1])
+        shared = ~(head[:-1] & head[1:])
+        block = np.cumsum(head[:-1], dtype=np.int32)[shared]
+        suffix = step[suffix[order[shared]]]
+    return suffix, block
+
+
+def repeated(contexts: list[bytes], docs: np.ndarray, length: int, shard: int | None = None
              ) -> list[np.ndarray]:
     """Starts in each context of strings of ``length`` bytes that occur in a context of a smaller
     document. Contexts may repeat."""
+    shard = shard or SHARD
     found, number = {}, np.empty(len(contexts), np.int64)
     for i, text in enumerate(contexts):
         number[i] = found.setdefault(text, len(found))
@@ -251,7 +294,7 @@ def repeated(contexts: list[bytes], docs: np.ndarray, length: int, shard: int =
             size = 0
         groups[-1].append(i)
         size += len(text) + 1
-    shards, orders, owners, places = [], [], [], []
+    transforms, owners, places = [], [], []
     for group in groups:
         lengths = np.array([len(distinct[i]) for i in group])
         raw = np.frombuffer(b"\0".join([distinct[i] for i in group]) + b"\0", np.uint8)
@@ -259,26 +302,20 @@ def repeated(contexts: list[bytes], docs: np.ndarray, length: int, shard: int =
         starts = np.cumsum(lengths + 1) - (lengths + 1)
         symbols[starts + lengths] = 0  # ends of contexts
         order = rotations(symbols, length)
-        shards.append(symbols[order - 1])
-        orders.append(order)
-        owners.append(np.repeat(np.array(group), lengths + 1))
-        places.append(np.arange(len(symbols)) - np.repeat(starts, lengths + 1))
-    blocks = []
-    for order, ranked in zip(orders, merge(shards, length), strict=True):
-        own = np.empty(len(order), np.int64)
-        own[order] = ranked
-        blocks.append(own)
-    owner, place, block = (np.concatenate(x) for x in (owners, places, blocks))
-    sizes = np.array([len(t) for t in distinct])
-    whole = place + length <= sizes[owner]
-    owner, place, block = owner[whole], place[whole], block[whole]
+        transforms.append(symbols[order - 1])
+        owners.append(np.repeat(np.array(group), lengths + 1)[order])
+        places.append((np.arange(len(symbols)) - np.repeat(starts, lengths + 1))[order])
+    suffix, block = merge(transforms, length)
+    owner, place = np.concatenate(owners)[suffix], np.concatenate(places)[suffix]
     first = np.full(int(block.max()) + 1 if len(block) else 0, np.iinfo(np.int64).max)
     np.minimum.at(first, block, least[owner])
+    order = np.argsort(owner, kind="stable")
+    owner, place, first = owner[order], place[order], first[block[order]]
     edges = np.searchsorted(owner, np.arange(len(distinct) + 1))
     out = []
-    for i in range(len(contexts)):
-        a, b = edges[number[i]], edges[number[i] + 1]
-        out.append(place[a:b][first[block[a:b]] < docs[i]])
+    for n, doc in zip(number.tolist(), docs.tolist(), strict=True):
+        a, b = edges[n], edges[n + 1]
+        out.append(place[a:b][first[a:b] < doc])
     return out
 
 
@@ -311,12 +348,11 @@ def dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
     docs = whole.select("doc_id", key, "text")
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     groups = max(1, -(-total // GROUP))
-    found = kept(send_anchors(docs, groups, length, gram).groupBy("group").applyInArrow(
-        compare_anchors, FOUND), "anchors")
-    asked = found.where(F.size("asked") > 0).groupBy("row_key").agg(
-        F.flatten(F.collect_list("asked")).alias("asked"),
-        F.flatten(F.collect_list("anchor")).alias("anchor"))
-    n_asked = found.agg(F.sum(F.size("asked")).alias("n")).first().n or 0
+    anchored = send_anchors(docs, groups, length, gram).groupBy("group").applyInArrow(
+        lambda table: compare_anchors(table, groups), FOUND)
+    found = kept(anchored.groupBy("target").applyInArrow(by_row, BY_ROW), "anchors")
+    asked = found.where(F.size("asked") > 0).select("row_key", "asked", "anchor")
+    n_asked = asked.agg(F.sum(F.size("asked")).alias("n")).first().n or 0
     reach = 2 * length - gram
     merges = max(1, -(-n_asked * reach // MERGED))
     width = length - gram
@@ -368,11 +404,9 @@ def dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
         "doc_id", "row_key", "n", "data", "asked", "anchor").mapInArrow(
         contexts, "merge long, doc_id long, row_key long, start int, context binary").groupBy(
         "merge").applyInArrow(compare, "row_key long, windows array<int>"), "windows")
-    gone = found.where(F.size("gone") > 0).select("row_key", "gone", F.array().cast(
-        "array<int>").alias("windows")).unionAll(compared.select(
-            "row_key", F.array().cast("array<int>").alias("gone"), "windows"))
-    per_row = gone.groupBy("row_key").agg(F.flatten(F.collect_list("gone")).alias("gone"),
-                                          F.flatten(F.collect_list("windows")).alias("windows"))
+    windows = compared.groupBy("row_key").agg(
+        F.flatten(F.collect_list("windows")).alias("windows"))
+    per_row = found.select("row_key", "gone").join(windows, "row_key", "left")
     fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (
         ", kept binary" if texts else "")
 

@@ -137,20 +137,21 @@ def test_suffix_dedup_equals_brute_force(make, monkeypatch):
     assert suffix_dedup.dedup(make([])).count() == 0
 
 
-def test_merged_transforms_give_the_common_prefixes():
+def test_merged_transforms_give_the_repeated_strings():
     draw = np.random.default_rng(4)
     shards = [draw.integers(1, 4, n).astype(np.uint16) for n in (40, 7, 90)]
     for s in shards:
         s[-1] = 0
     orders = [suffix_dedup.rotations(s, 6) for s in shards]
-    blocks = suffix_dedup.merge([s[o - 1] for s, o in zip(shards, orders, strict=True)], 6)
-    heads = []
-    for s, order, block in zip(shards, orders, blocks, strict=True):
-        heads += [(int(b), tuple(np.roll(s, -p)[:6].tolist()) if len(s) >= 6 else None)
-                  for p, b in zip(order, block, strict=True)]
-    numbers = {b: h for b, h in heads}
-    assert len(set(numbers.values())) == len(numbers) and all(numbers[b] == h for b, h in heads)
-    assert [numbers[b] for b in sorted(numbers)] == sorted(numbers.values())
+    suffix, block = suffix_dedup.merge([s[o - 1] for s, o in zip(shards, orders, strict=True)], 6)
+    heads = [tuple(np.roll(s, -p)[:6].tolist()) for s, o in zip(shards, orders, strict=True)
+             for p in o]
+    count = Counter(h for h in heads if 0 not in h)
+    assert sorted(suffix.tolist()) == [i for i, h in enumerate(heads) if count[h] > 1]
+    numbers = {}
+    for i, b in zip(suffix.tolist(), block.tolist(), strict=True):
+        assert numbers.setdefault(b, heads[i]) == heads[i]
+    assert [numbers[b] for b in sorted(numbers)] == sorted(set(numbers.values()))
 
 
 def test_fingerprints_of_edited_texts(corpus):
