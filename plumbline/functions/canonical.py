@@ -20,6 +20,19 @@ _JSON_OPTIONS = {
 }
 
 
+def quoted(name: str) -> str:
+    """A column name as an expression, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free_name(base: str, *frames: DataFrame) -> str:
+    """``base``, or ``base`` with underscores, that no column of the frames has."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def value_text(col: Column, dtype: T.DataType) -> Column:
     """Text of one value; equal values give equal text, null stays null."""
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
@@ -43,7 +56,7 @@ def row_text(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
     """All columns of a row as one unambiguous text."""
     cols = list(cols or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
-    return F.concat(*[marked_text(F.col(f"`{c}`"), types[c]) for c in cols])
+    return F.concat(*[marked_text(F.col(quoted(c)), types[c]) for c in cols])
 
 
 def row_hash_hex(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
@@ -65,14 +78,14 @@ def _hash_cells(
     types = {f.name: f.dataType for f in df.schema.fields}
     cells: list[Column] = []
     for c in cols:
-        col, dtype = F.col(f"`{c}`"), types[c]
+        col, dtype = F.col(quoted(c)), types[c]
         if as_types and as_types[c] != dtype:
             col, dtype = col.cast(as_types[c]), as_types[c]
         if isinstance(dtype, (T.DoubleType, T.FloatType)):
             col = col + F.lit(0).cast(dtype)
         elif isinstance(dtype, (T.MapType, T.ArrayType, T.StructType)):
             col = value_text(col, dtype)
-        cells += [F.col(f"`{c}`").isNull(), col]
+        cells += [F.col(quoted(c)).isNull(), col]
     return cells
 
 

@@ -9,6 +9,9 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from plumbline.functions.canonical import free_name
 
 
 def size0(arr: Column) -> Column:
@@ -66,12 +69,15 @@ def sort_json_keys(text: Column) -> Column:
 def to_map_of_samples(samples: DataFrame, by: list[str], key: str, per_key: int) -> DataFrame:
     """Rows of ``samples`` as one map per group: key value -> list of the other columns.
 
-    The input must already hold at most ``per_key`` rows for each (group, key), which is
-    what the sampling operators return, so each collected list is bounded.
+    A list holds the first ``per_key`` rows of its (group, key) in the order of their values; the
+    others are cut off before anything is collected, so each list is bounded.
     """
     rest = [c for c in samples.columns if c not in by and c != key]
-    lists = samples.groupBy(*by, key).agg(
-        F.slice(F.array_sort(F.collect_list(F.struct(*rest))), 1, per_key).alias("rows")
+    place = free_name("place", samples)
+    first = Window.partitionBy(*by, key).orderBy(*rest)
+    kept = samples.withColumn(place, F.row_number().over(first)).filter(F.col(place) <= per_key)
+    lists = kept.groupBy(*by, key).agg(
+        F.array_sort(F.collect_list(F.struct(*rest))).alias("rows")
     )
     return lists.groupBy(*by).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "rows")))).alias("samples")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,12 +57,11 @@ def flag(cond: Column) -> Column:
     return F.when(cond, 1).otherwise(0)
 
 
-def exact_sum(col: Column, scale: int = 4) -> Column:
-    """Sum of numbers with at most ``scale`` decimals as an exact decimal.
+def exact_sum(col: Column, scale: int = 4, inner: int = 12) -> Column:
+    """Sum of numbers as a decimal with ``scale`` decimals, exact up to its last rounding.
 
-    Unlike a sum of doubles it does not depend on the order of the rows. Whole numbers of the
-    smallest unit are summed, several times faster than doubles cast to decimals. A single
-    value must stay below 9e15 units.
+    Unlike a sum of doubles it does not depend on the order of the rows. Values are added with
+    ``inner`` decimals, so small ones are not lost; only the sum is rounded. A value of more
+    than 16 digits before the point fails the sum in ANSI mode instead of being cut.
     """
-    units = F.rint(col * F.lit(float(10**scale))).cast("long").cast("decimal(18,0)")
-    return F.sum(units) * F.lit(Decimal(1).scaleb(-scale))
+    return F.sum(col.cast(f"decimal(28,{inner})")).cast(f"decimal(38,{scale})")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.canonical import value_text
+from plumbline.functions.canonical import quoted, value_text
 
 ALL_COLUMNS = "<all columns>"
 
@@ -33,7 +33,7 @@ def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     types = {f.name: f.dataType for f in df.schema.fields}
     cells = F.array(*[
         F.struct(
-            F.lit(c).alias("col_name"), _short(value_text(F.col(f"`{c}`"), types[c])).alias("v")
+            F.lit(c).alias("col_name"), _short(value_text(F.col(quoted(c)), types[c])).alias("v")
         )
         for c in cols
     ])
@@ -47,7 +47,7 @@ def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 
 def distinct_rows_count(df: DataFrame) -> DataFrame:
     """One row: distinct rows, null-safe, and all rows."""
-    groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(
+    groups = df.groupBy(*[F.col(quoted(c)) for c in df.columns]).agg(
         F.count(F.lit(1)).alias("copies")
     )
     return groups.agg(
@@ -77,15 +77,18 @@ def profile(df: DataFrame, tbl_name: str = "") -> DataFrame:
 
 def nonnull_counts(df: DataFrame) -> DataFrame:
     """(col_name, non_null) in one pass."""
-    one = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
-    return one.unpivot([], [F.col(f"`{c}`") for c in df.columns], "col_name", "non_null")
+    one = df.agg(*[F.count(F.col(quoted(c))).alias(c) for c in df.columns])
+    return one.unpivot([], [F.col(quoted(c)) for c in df.columns], "col_name", "non_null")
 
 
 def text_widths(df: DataFrame) -> DataFrame:
     """(col_name, max_length, suggested_type) of the string columns, in one pass."""
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    one = df.agg(*[F.coalesce(F.max(F.length(f"`{c}`")), F.lit(0)).alias(c) for c in cols])
-    long = one.unpivot([], [F.col(f"`{c}`") for c in cols], "col_name", "max_length")
+    if not cols:
+        return df.sparkSession.createDataFrame(
+            [], "col_name string, max_length int, suggested_type string")
+    one = df.agg(*[F.coalesce(F.max(F.length(F.col(quoted(c)))), F.lit(0)).alias(c) for c in cols])
+    long = one.unpivot([], [F.col(quoted(c)) for c in cols], "col_name", "max_length")
     return long.withColumn(
         "suggested_type", F.format_string("varchar(%d)", F.greatest("max_length", F.lit(1)))
     )
@@ -93,7 +96,7 @@ def text_widths(df: DataFrame) -> DataFrame:
 
 def has_repeats(df: DataFrame, cols: Sequence[str]) -> bool:
     """Is any value combination of the columns held by more than one row?"""
-    groups = df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("n"))
+    groups = df.groupBy(*[F.col(quoted(c)) for c in cols]).agg(F.count(F.lit(1)).alias("n"))
     return not groups.filter("n > 1").limit(1).isEmpty()
 
 
@@ -122,7 +125,7 @@ def find_keys(df: DataFrame, profiled: DataFrame | None = None) -> list[tuple[st
     """Key column tuples: every single-column key, else one minimal composite key.
 
     Only per-column counts reach the driver. Columns are tried in ascending order of their
-    distinct counts, whole chunks first. A column that a larger set needs, every smaller set
+    distinct counts, whole halves first. A column that a larger set needs, every smaller set
     needs too, so one pass ends with a minimal key. A set whose value combinations are fewer
     than the rows is ruled out without a job.
     """
@@ -135,11 +138,7 @@ def find_keys(df: DataFrame, profiled: DataFrame | None = None) -> list[tuple[st
     if not whole.is_pk or whole.distinct_val_count == 0:
         return []
     order = sorted(df.columns, key=lambda c: (counts[c], c))
-    kept = list(df.columns)
-    step = max(1, len(order) // 6)
-    for i in range(0, len(order), step):
-        kept = _removable(df, kept, order[i:i + step], counts, whole.distinct_val_count)
-    return [tuple(kept)]
+    return [tuple(_removable(df, list(df.columns), order, counts, whole.distinct_val_count))]
 
 
 def keys_frame(df: DataFrame) -> DataFrame:

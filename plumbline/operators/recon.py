@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from plumbline.functions.canonical import FINGERPRINT, marked_text, row_fingerprint, value_text
+from plumbline.functions.canonical import (
+    FINGERPRINT, free_name, marked_text, quoted, row_fingerprint, value_text,
+)
 from plumbline.functions.sizing import broadcast_if_small
 from plumbline.session import scratch
 from plumbline.spec import TableSpec, cast_to, common_types
@@ -35,11 +37,15 @@ TYPE_RULES = (
 )
 
 
+def columns(names: Sequence[str]) -> list[Column]:
+    return [F.col(quoted(n)) for n in names]
+
+
 def same_on(left: str, right: str, cols: Sequence[str]) -> Column:
     """Null-safe equality of the columns of two aliased frames."""
     cond = F.lit(True)
     for i, c in enumerate(cols):
-        eq = F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`"))
+        eq = F.col(f"{left}.{quoted(c)}").eqNullSafe(F.col(f"{right}.{quoted(c)}"))
         cond = eq if i == 0 else cond & eq
     return cond
 
@@ -47,7 +53,7 @@ def same_on(left: str, right: str, cols: Sequence[str]) -> Column:
 def any_diff(left: str, right: str, cols: Sequence[str]) -> Column:
     cond = F.lit(False)
     for i, c in enumerate(cols):
-        ne = ~F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`"))
+        ne = ~F.col(f"{left}.{quoted(c)}").eqNullSafe(F.col(f"{right}.{quoted(c)}"))
         cond = ne if i == 0 else cond | ne
     return cond
 
@@ -101,7 +107,7 @@ def check_schema(
 
 def _tagged(df: DataFrame, cols: Sequence[str], side: str) -> DataFrame:
     return df.select(
-        *[F.col(f"`{c}`") for c in cols],
+        *[F.col(quoted(c)) for c in cols],
         F.lit(int(side == "left")).cast("long").alias("n_left"),
         F.lit(int(side == "right")).cast("long").alias("n_right"),
     )
@@ -113,7 +119,7 @@ def key_census(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
     Grouping treats null keys as equal, as the null-safe join does.
     """
     both = _tagged(left, keys, "left").unionByName(_tagged(right, keys, "right"))
-    return both.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
+    return both.groupBy(*[F.col(quoted(k)) for k in keys]).agg(
         F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right")
     )
 
@@ -201,13 +207,13 @@ def unmatched_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     missing = hash_census(left, right).filter("n_right = 0").select(*FINGERPRINT)
     prints = row_fingerprint(left, left.columns, common_types(left, right))
     return with_keys(left.select("*", *prints), missing, FINGERPRINT, "left_semi").select(
-        *left.columns
+        *columns(left.columns)
     )
 
 
 def sample_unmatched(left: DataFrame, right: DataFrame, n: int) -> DataFrame:
     """The first n unmatched left rows in column order (a stable choice of samples)."""
-    return unmatched_rows(left, right).orderBy(*left.columns).limit(n)
+    return unmatched_rows(left, right).orderBy(*columns(left.columns)).limit(n)
 
 
 # --- cells ----------------------------------------------------------------------------
@@ -220,10 +226,12 @@ def with_keys(df: DataFrame, found: DataFrame, keys: Sequence[str], how: str) ->
     keys then reads its sides straight from a shuffle, which is what adaptive execution needs
     to split a hot key.
     """
-    mark = F.xxhash64(*[F.col(f"`{k}`") for k in keys]).alias("_h")
-    lhs, rhs = df.select("*", mark).alias("d"), found.select(*keys, mark).alias("f")
-    cond = (F.col("d._h") == F.col("f._h")) & same_on("d", "f", keys)
-    return lhs.join(rhs, cond, how).drop("_h")
+    name = free_name("_h", df, found)
+    own = [F.col(quoted(k)) for k in keys]
+    mark = F.xxhash64(*own).alias(name)
+    lhs, rhs = df.select("*", mark).alias("d"), found.select(*own, mark).alias("f")
+    cond = (F.col(f"d.{name}") == F.col(f"f.{name}")) & same_on("d", "f", keys)
+    return lhs.join(rhs, cond, how).drop(name)
 
 
 @dataclass(frozen=True)
@@ -242,12 +250,14 @@ class KeyFindings:
     @property
     def differing(self) -> DataFrame:
         """Keys, unique on at least one side, whose rows are not all equal."""
-        return self.marked.filter("differs AND NOT (n_left > 1 AND n_right > 1)").select(*self.keys)
+        return self.marked.filter("differs AND NOT (n_left > 1 AND n_right > 1)").select(
+            *columns(self.keys))
 
     @property
     def repeated(self) -> DataFrame:
         """Keys held by several rows on both sides."""
-        return self.marked.filter("n_left > 1 AND n_right > 1").select(*self.keys)
+        return self.marked.filter("n_left > 1 AND n_right > 1").select(
+            *columns(self.keys))
 
 
 def scan_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> KeyFindings:
@@ -262,19 +272,19 @@ def scan_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> KeyFind
 
     def side(df: DataFrame, name: str) -> DataFrame:
         counts = [F.lit(int(name == s)).cast("long").alias(f"n_{s}") for s in ("left", "right")]
-        return df.select(*keys, *row_fingerprint(df, rest), *counts)
+        return df.select(*columns(keys), *row_fingerprint(df, rest), *counts)
 
     both = side(left, "left").unionByName(side(right, "right"))
     bounds = [f(h).alias(f"{n}_{h}") for h in FINGERPRINT
               for n, f in (("lo", F.min), ("hi", F.max))]
-    census = both.groupBy(*keys).agg(
+    census = both.groupBy(*columns(keys)).agg(
         F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"), *bounds
     )
     matched = (F.col("n_left") > 0) & (F.col("n_right") > 0)
     unequal = F.lit(False)
     for h in FINGERPRINT:
         unequal = unequal | (F.col(f"lo_{h}") != F.col(f"hi_{h}"))
-    flagged = census.select(*keys, "n_left", "n_right", (matched & unequal).alias("differs"))
+    flagged = census.select(*columns(keys), "n_left", "n_right", (matched & unequal).alias("differs"))
     seen = Observation()
     single = F.col("differs") & ~((F.col("n_left") > 1) & (F.col("n_right") > 1))
     observed = flagged.observe(seen, *_total_columns(),
@@ -312,9 +322,11 @@ def cell_diff(
         left = with_keys(left, found.repeated, keys, "left_anti")
     lhs, rhs = left.alias("l"), right.alias("r")
     cond = same_on("l", "r", keys) & any_diff("l", "r", cols)
-    out = [F.col(f"l.`{k}`").alias(k) for k in keys]
+    if not found.totals["differing"]:
+        cond = F.lit(False)  # known to be empty: the plan then reads nothing
+    out = [F.col(f"l.{quoted(k)}").alias(k) for k in keys]
     for c in cols:
-        lc, rc = F.col(f"l.`{c}`"), F.col(f"r.`{c}`")
+        lc, rc = F.col(f"l.{quoted(c)}"), F.col(f"r.{quoted(c)}")
         out += [lc.alias(f"{c}_left"), rc.alias(f"{c}_right"),
                 (~lc.eqNullSafe(rc)).alias(f"{c}_diff")]
     return lhs.join(rhs, cond, "inner").select(*out)
@@ -328,12 +340,12 @@ def _values_of(
     cells = F.array(*[
         F.struct(
             F.lit(c).alias("col_name"),
-            value_text(F.col(f"`{c}`"), types[c]).alias("value"),
+            value_text(F.col(quoted(c)), types[c]).alias("value"),
         )
         for c in cols
     ])
     rows = with_keys(df, repeated, keys, "left_semi")
-    return rows.select(*keys, F.inline(cells))
+    return rows.select(*columns(keys), F.inline(cells))
 
 
 def repeated_key_values(
@@ -355,7 +367,7 @@ def repeated_key_values(
 def _repeated_pair_counts(values: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(col_name, mismatch_cnt): differing row pairs, as all pairs less equal pairs."""
     big = T.DecimalType(38, 0)
-    per_key = values.groupBy(*keys, "col_name").agg(
+    per_key = values.groupBy(*columns(keys), "col_name").agg(
         F.sum("n_left").cast(big).alias("nl"),
         F.sum("n_right").cast(big).alias("nr"),
         F.sum(F.col("n_left").cast(T.DecimalType(19, 0)) * F.col("n_right")).cast(big)
@@ -371,9 +383,9 @@ def _repeated_pair_counts(values: DataFrame, keys: Sequence[str]) -> DataFrame:
 def diff_counts_of(diffs: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(col_name, mismatch_cnt) from a cell difference frame: one row of sums, unpivoted."""
     sums = diffs.agg(*[
-        F.coalesce(F.sum(F.col(f"`{c}_diff`").cast("long")), F.lit(0)).alias(c) for c in cols
+        F.coalesce(F.sum(F.col(quoted(c + "_diff")).cast("long")), F.lit(0)).alias(c) for c in cols
     ])
-    return sums.unpivot([], [F.col(f"`{c}`") for c in cols], "col_name", "mismatch_cnt")
+    return sums.unpivot([], [F.col(quoted(c)) for c in cols], "col_name", "mismatch_cnt")
 
 
 def check_cells(
@@ -402,8 +414,10 @@ def check_cells(
 
 def _first_per(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     """First n rows per group; Spark cuts each partition to n before the shuffle."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n).drop("_n")
+    place = free_name("_n", df)
+    w = Window.partitionBy(*[F.col(quoted(c)) for c in by]).orderBy(
+        *[F.col(quoted(c)) for c in order])
+    return df.withColumn(place, F.row_number().over(w)).filter(F.col(place) <= n).drop(place)
 
 
 def diff_samples(
@@ -427,13 +441,13 @@ def diff_samples(
     cells = F.array(*[
         F.struct(
             F.lit(c).alias("col_name"),
-            value_text(F.col(f"`{c}_left`"), types[c]).alias("left_val"),
-            value_text(F.col(f"`{c}_right`"), types[c]).alias("right_val"),
-            F.col(f"`{c}_diff`").alias("differs"),
+            value_text(F.col(quoted(c + "_left")), types[c]).alias("left_val"),
+            value_text(F.col(quoted(c + "_right")), types[c]).alias("right_val"),
+            F.col(quoted(c + "_diff")).alias("differs"),
         )
         for c in cols
     ])
-    picked = diffs.select(*keys, F.inline(cells)).filter("differs").drop("differs")
+    picked = diffs.select(*columns(keys), F.inline(cells)).filter("differs").drop("differs")
     order = [*keys, "left_val", "right_val"]
     if not found.totals["repeated_both"]:
         return _first_per(picked.distinct(), ["col_name"], order, n)
@@ -445,7 +459,7 @@ def diff_samples(
     rv = rv.select(*group, F.col("value").alias("right_val")).alias("r")
     cond = same_on("l", "r", group) & ~F.col("left_val").eqNullSafe(F.col("right_val"))
     multi = lv.join(rv, cond).select(
-        *[F.col(f"l.`{c}`").alias(c) for c in group], "left_val", "right_val"
+        *[F.col(f"l.{quoted(c)}").alias(c) for c in group], "left_val", "right_val"
     )
     return _first_per(picked.unionByName(multi).distinct(), ["col_name"], order, n)
 
@@ -453,4 +467,4 @@ def diff_samples(
 def key_text(df: DataFrame, keys: Sequence[str]) -> Column:
     """The key columns as one unambiguous text."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    return F.concat(*[marked_text(F.col(f"`{k}`"), types[k]) for k in keys])
+    return F.concat(*[marked_text(F.col(quoted(k)), types[k]) for k in keys])

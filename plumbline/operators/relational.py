@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumbline.functions.canonical import row_mark
+from plumbline.functions.canonical import free_name, quoted, row_mark
 from plumbline.functions.sizing import broadcast_if_small  # noqa: F401
 from plumbline.operators.recon import same_on, with_keys
 
@@ -19,20 +19,20 @@ def apply_mapping(df: DataFrame, mapping: Sequence[tuple[str, str, str]]) -> Dat
 
     A value that does not fit becomes null instead of failing the job.
     """
-    return df.select(*[F.col(f"`{s}`").try_cast(t).alias(n) for s, n, t in mapping])
+    return df.select(*[F.col(quoted(s)).try_cast(t).alias(n) for s, n, t in mapping])
 
 
 def retype(df: DataFrame, manifest: Sequence[tuple[int, str, str]]) -> DataFrame:
     """All-text rows to typed columns by a (position, name, type) manifest."""
     ordered = sorted(manifest)
     return df.select(*[
-        F.col(f"`{df.columns[pos]}`").try_cast(dtype).alias(name) for pos, name, dtype in ordered
+        F.col(quoted(df.columns[pos])).try_cast(dtype).alias(name) for pos, name, dtype in ordered
     ])
 
 
 def pick_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """The first columns under new names."""
-    return df.select(*df.columns[: len(names)]).toDF(*names)
+    return df.select(*[F.col(quoted(c)) for c in df.columns[: len(names)]]).toDF(*names)
 
 
 # --- joins ----------------------------------------------------------------------------
@@ -42,27 +42,32 @@ def hot_keys(df: DataFrame, key: str, share: float) -> list:
 
     There are at most 1 / share of them, so the list on the driver is bounded.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(F.col(quoted(key)).alias("k")).agg(F.count(F.lit(1)).alias("n"))
     total = df.count()
-    return [r[0] for r in counts.filter(F.col("n") > F.lit(share * total)).select(key).collect()]
+    return [r[0] for r in counts.filter(F.col("n") > F.lit(share * total)).select("k").collect()]
 
 
 def is_hot(key: str, hot: list) -> Column:
     """True for the rows of a hot key, never null."""
     values = [v for v in hot if v is not None]
-    cond = F.coalesce(F.col(key).isin(values), F.lit(False)) if values else F.lit(False)
-    return cond | F.col(key).isNull() if None in hot else cond
+    col = F.col(quoted(key))
+    cond = F.coalesce(col.isin(values), F.lit(False)) if values else F.lit(False)
+    return cond | col.isNull() if None in hot else cond
 
 
-def salted(df: DataFrame, key: str, hot: list, salts: int) -> DataFrame:
-    """Add ``salt``: spread over ``salts`` values for hot keys, 0 for the others.
+def salted(df: DataFrame, key: str, hot: list, salts: int, name: str = "salt") -> DataFrame:
+    """Add a salt column: spread over ``salts`` values for hot keys, 0 for the others.
+
+    ``name`` must not be a column of the frame; ``free_name`` finds one that is not.
 
     The salt comes from the row itself, so a task that runs again after a lost executor puts
     every row where it was. Only rows with very many exact copies (at most ``salts`` distinct
     ones) are placed at random, and copies may change places.
     """
+    if name in df.columns:
+        raise ValueError(f"the frame has a column {name}")
     if not hot:
-        return df.withColumn("salt", F.lit(0))
+        return df.withColumn(name, F.lit(0))
     mark = row_mark(df)
     marks = df.filter(is_hot(key, hot)).select(mark.alias("m"))
     copies = marks.groupBy("m").agg(F.count(F.lit(1)).alias("n"))
@@ -70,7 +75,7 @@ def salted(df: DataFrame, key: str, hot: list, salts: int) -> DataFrame:
     at_random = mark.isin([r.m for r in many]) if many else F.lit(False)
     spread = F.when(at_random, (F.rand(17) * salts).cast("int")).otherwise(
         F.pmod(mark, F.lit(salts)).cast("int"))
-    return df.withColumn("salt", F.when(is_hot(key, hot), spread).otherwise(0))
+    return df.withColumn(name, F.when(is_hot(key, hot), spread).otherwise(0))
 
 
 def salted_join(
@@ -86,8 +91,9 @@ def salted_join(
     only_zero = F.array(F.lit(0))
     all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
     copies = F.when(is_hot(key, hot), all_salts).otherwise(only_zero) if hot else only_zero
-    right = other.withColumn("salt", F.explode(copies))
-    return salted(big, key, hot, salts).join(right, [key, "salt"], how).drop("salt")
+    name = free_name("salt", big, other)
+    right = other.withColumn(name, F.explode(copies))
+    return salted(big, key, hot, salts, name).join(right, [key, name], how).drop(name)
 
 
 def sort_spread(df: DataFrame, *cols: str | Column) -> DataFrame:
@@ -96,13 +102,15 @@ def sort_spread(df: DataFrame, *cols: str | Column) -> DataFrame:
     Sort partitions are ranges of the sort key, and one repeated key cannot be cut. Ties go by
     a mark of the whole row, and only exact copies by chance.
     """
-    ties = df.withColumns({"_mark": row_mark(df), "_tie": F.rand(11)})
-    return ties.orderBy(*cols, "_mark", "_tie").drop("_mark", "_tie")
+    mark, tie = free_name("_mark", df), free_name("_tie", df)
+    ties = df.withColumns({mark: row_mark(df), tie: F.rand(11)})
+    keys = [F.col(quoted(c)) if isinstance(c, str) else c for c in cols]
+    return ties.orderBy(*keys, mark, tie).drop(mark, tie)
 
 
 def range_spread(df: DataFrame, *cols: str, n: int | None = None) -> DataFrame:
     """Range partitions by the columns; rows that tie on them spread as in :func:`sort_spread`."""
-    keys = [*[F.col(c) for c in cols], row_mark(df), F.rand(13)]
+    keys = [*[F.col(quoted(c)) for c in cols], row_mark(df), F.rand(13)]
     return df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
 
 
@@ -126,7 +134,9 @@ def zero_filled_counts(df: DataFrame, by: str, groups: DataFrame) -> DataFrame:
 
 def dup_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values held by more than one row, with their count."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    out = free_name("copies", df.select(*[F.col(quoted(k)) for k in keys]))
+    groups = df.groupBy(*[F.col(quoted(k)) for k in keys]).agg(F.count(F.lit(1)).alias(out))
+    return groups.filter(F.col(out) > 1)
 
 
 def latest_per_key(
@@ -144,10 +154,11 @@ def latest_row(
     df: DataFrame, key: str, order: Sequence[str], defaults: Mapping[str, Column]
 ) -> DataFrame:
     """The last row's fields per key, each with a default where the field is missing."""
-    cols = list(defaults)
-    last = df.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_r"))
-    return last.select(key, *[F.coalesce(F.col(f"_r.{c}"), d).alias(c)
-                              for c, d in defaults.items()])
+    cols = [F.col(quoted(c)) for c in defaults]
+    newest = F.struct(*[F.col(quoted(c)) for c in order])
+    last = df.groupBy(F.col(quoted(key))).agg(F.max_by(F.struct(*cols), newest).alias("_r"))
+    return last.select(quoted(key), *[F.coalesce(F.col(f"_r.{quoted(c)}"), d).alias(c)
+                                      for c, d in defaults.items()])
 
 
 def ordered_concat(
@@ -190,9 +201,13 @@ def ordered_concat(
 # --- windows and top-n ----------------------------------------------------------------
 
 def tail_per_key(df: DataFrame, key: str, order: Sequence[str], n: int) -> DataFrame:
-    """The last n rows per key; each input partition is cut to n per key before the shuffle."""
-    w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
-    return df.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n)
+    """The last n rows per key; each input partition is cut to n per key before the shuffle.
+
+    The place from the end is added as ``rn``, with underscores if the frame has such a column.
+    """
+    place = free_name("rn", df)
+    w = Window.partitionBy(F.col(quoted(key))).orderBy(*[F.col(quoted(c)).desc() for c in order])
+    return df.withColumn(place, F.row_number().over(w)).filter(F.col(place) <= n)
 
 
 def first_rows(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:

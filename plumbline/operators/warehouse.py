@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.canonical import value_text
+from plumbline.functions.canonical import free_name, quoted, value_text
 from plumbline.functions.scalars import date_parts
 from plumbline.operators.relational import (
     hot_keys, is_hot, range_spread, salted, salted_join,
 )
-from plumbline.sources.readers import unique_name
+from plumbline.sources.readers import partition_columns, unique_name
 
 # --- star schema ----------------------------------------------------------------------
 
@@ -73,9 +73,10 @@ def star_build(
 
 def check_pk(df: DataFrame, keys: Sequence[str], rule: str) -> DataFrame:
     """(rule, bad_rows): rows with a null key part or a key that another row holds too."""
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    parts = df.select(*[F.col(quoted(k)).alias(f"k{i}") for i, k in enumerate(keys)])
+    groups = parts.groupBy(*parts.columns).agg(F.count(F.lit(1)).alias("n"))
     has_null = F.lit(False)
-    for k in keys:
+    for k in parts.columns:
         has_null = has_null | F.col(k).isNull()
     bad = F.coalesce(F.sum(F.when(has_null | (F.col("n") > 1), F.col("n"))), F.lit(0))
     return groups.agg(bad.cast("long").alias("bad_rows")).select(
@@ -85,8 +86,8 @@ def check_pk(df: DataFrame, keys: Sequence[str], rule: str) -> DataFrame:
 
 def check_not_null(df: DataFrame, cols: Sequence[str], prefix: str = "") -> DataFrame:
     """(rule, bad_rows) per column, all in one pass."""
-    one = df.agg(*[F.count_if(F.col(c).isNull()).alias(prefix + c) for c in cols])
-    return one.unpivot([], [F.col(f"`{prefix + c}`") for c in cols], "rule", "bad_rows")
+    one = df.agg(*[F.count_if(F.col(quoted(c)).isNull()).alias(prefix + c) for c in cols])
+    return one.unpivot([], [F.col(quoted(prefix + c)) for c in cols], "rule", "bad_rows")
 
 
 def check_fk(
@@ -96,10 +97,10 @@ def check_fk(
 
     References are counted per value first, so a hot value joins as one row.
     """
-    refs = child.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(
+    refs = child.select(F.col(quoted(key)).alias("_k")).filter("_k IS NOT NULL").groupBy("_k").agg(
         F.count(F.lit(1)).alias("n")
     )
-    parents = parent.select(F.col(parent_key).alias("_k"))
+    parents = parent.select(F.col(quoted(parent_key)).alias("_k"))
     orphans = refs.join(parents, "_k", "left_anti")
     return orphans.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("bad_rows")
@@ -112,34 +113,47 @@ def apply_default(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     })
 
 
-NUMERIC_TYPES = frozenset({
-    "tinyint", "smallint", "int", "integer", "bigint", "float", "double", "decimal",
-})
+def _changed(src: Column, source: T.DataType, new: Column, target: T.DataType) -> Column:
+    """Does a converted value say something else than its source? Null where either is null.
+
+    Numbers, also those in text, are compared as decimals of 38 digits, which hold every bigint
+    and the digits of a double; where one does not fit, as doubles. Times compare as timestamps,
+    any other value after the way back to its own type. Text that becomes text keeps its value.
+    """
+    timed = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    if isinstance(target, T.NumericType):
+        exact = src.try_cast("decimal(38,10)") != new.try_cast("decimal(38,10)")
+        return F.coalesce(exact, src.try_cast("double") != new.cast("double"))
+    if isinstance(target, timed):
+        return src.try_cast("timestamp") != new.cast("timestamp")
+    if isinstance(source, (T.StringType, T.BinaryType)):
+        return src.cast("string") != new.cast("string")
+    return src != new.try_cast(source)
 
 
 def type_audit(df: DataFrame, wanted: Mapping[str, str]) -> DataFrame:
     """(col_name, wanted_type, non_null, misfits, changed) for narrower column types.
 
-    ``misfits`` do not convert at all; ``changed`` convert, but to another number. One pass.
+    ``misfits`` do not convert at all; ``changed`` convert, but to another value. One pass.
     """
     aggs: list[Column] = []
-    for c, dtype in wanted.items():
-        src = F.col(f"`{c}`")
+    for i, (c, dtype) in enumerate(wanted.items()):
+        src = F.col(quoted(c))
         new = src.try_cast(dtype)
-        numeric = dtype.split("(")[0].strip().lower() in NUMERIC_TYPES
-        back = new.cast("double") != src.try_cast("double") if numeric else F.lit(False)
+        target = T.StructType.fromDDL(f"c {dtype}").fields[0].dataType
+        changed = _changed(src, df.schema[c].dataType, new, target)
         aggs += [
-            F.count(src).alias(f"n_{c}"),
-            F.count_if(src.isNotNull() & new.isNull()).alias(f"bad_{c}"),
-            F.count_if(F.coalesce(back, F.lit(False))).alias(f"chg_{c}"),
+            F.count(src).alias(f"n_{i}"),
+            F.count_if(src.isNotNull() & new.isNull()).alias(f"bad_{i}"),
+            F.count_if(F.coalesce(changed, F.lit(False))).alias(f"chg_{i}"),
         ]
     rows = F.array(*[
         F.struct(
             F.lit(c).alias("col_name"), F.lit(t).alias("wanted_type"),
-            F.col(f"`n_{c}`").alias("non_null"), F.col(f"`bad_{c}`").alias("misfits"),
-            F.col(f"`chg_{c}`").alias("changed"),
+            F.col(f"n_{i}").alias("non_null"), F.col(f"bad_{i}").alias("misfits"),
+            F.col(f"chg_{i}").alias("changed"),
         )
-        for c, t in wanted.items()
+        for i, (c, t) in enumerate(wanted.items())
     ])
     return df.agg(*aggs).select(F.inline(rows))
 
@@ -152,10 +166,18 @@ def redundant_columns(df: DataFrame) -> DataFrame:
     fingerprint, value by value, so the work is linear in the number of columns.
     """
     empty = df.sparkSession.createDataFrame([], "col_a string, col_b string")
-    fields = [f for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    row = F.xxhash64(*[F.col(f"`{f.name}`") for f in fields])
+    fields = df.schema.fields
+
+    def plain(f: T.StructField) -> Column:
+        """A value that can be hashed and compared: nested ones, which may hold maps, as text."""
+        nested = isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))
+        col = F.col(quoted(f.name))
+        return value_text(col, f.dataType) if nested else col
+
+    values = {f.name: plain(f) for f in fields}
+    row = F.xxhash64(*values.values())
     prints = df.agg(*[
-        F.bit_xor(F.xxhash64(F.coalesce(value_text(F.col(f"`{f.name}`"), f.dataType), F.lit("~")),
+        F.bit_xor(F.xxhash64(F.coalesce(value_text(F.col(quoted(f.name)), f.dataType), F.lit("~")),
                              row)).alias(f"p{i}")
         for i, f in enumerate(fields)
     ]).first()
@@ -166,7 +188,7 @@ def redundant_columns(df: DataFrame) -> DataFrame:
     if not pairs:
         return empty
     one = df.agg(*[
-        F.coalesce(F.bool_or(~F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`"))), F.lit(False))
+        F.coalesce(F.bool_or(~values[a].eqNullSafe(values[b])), F.lit(False))
         .alias(f"d{i}")
         for i, (a, b) in enumerate(pairs)
     ])
@@ -183,7 +205,8 @@ def redundant_columns(df: DataFrame) -> DataFrame:
 def layout_key(df: DataFrame, key: str, n: int, hot_share: float | None = None) -> DataFrame:
     """Rows of a key together, over n partitions; a key above the share is spread by salt."""
     hot = hot_keys(df, key, hot_share or 1.0 / n)
-    return salted(df, key, hot, n).repartition(n, key, "salt").drop("salt")
+    name = free_name("salt", df)
+    return salted(df, key, hot, n, name).repartition(n, F.col(quoted(key)), name).drop(name)
 
 
 def layout_even(df: DataFrame, n: int) -> DataFrame:
@@ -192,7 +215,7 @@ def layout_even(df: DataFrame, n: int) -> DataFrame:
 
 def layout_sort(df: DataFrame, cols: Sequence[str], n: int | None = None) -> DataFrame:
     """Range partitions sorted by the columns, so file min/max statistics skip blocks."""
-    return range_spread(df, *cols, n=n).sortWithinPartitions(*cols)
+    return range_spread(df, *cols, n=n).sortWithinPartitions(*[F.col(quoted(c)) for c in cols])
 
 
 def layout_skew(df: DataFrame) -> DataFrame:
@@ -237,23 +260,36 @@ def colocated_join(
 
 
 def table_info(df: DataFrame) -> DataFrame:
-    """One row: files, bytes and rows behind a file-based frame, from the file metadata column."""
-    per_file = df.select(
-        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")
-    ).groupBy("f", "b").agg(F.count(F.lit(1)).alias("n"))
-    return per_file.agg(
-        F.count(F.lit(1)).alias("files"), F.sum("b").alias("bytes"), F.sum("n").alias("rows")
-    )
+    """One row: files, bytes and rows behind a file-based frame.
+
+    Files and sizes come from the listing, so files without rows count; the row count of Parquet
+    files comes from their footers.
+    """
+    files = df.inputFiles()
+    sizes = df.sparkSession.read.format("binaryFile").load(files).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
+    ) if files else df.sparkSession.sql("SELECT 0L AS files, 0L AS bytes")
+    return sizes.crossJoin(df.agg(F.count(F.lit(1)).alias("rows")))  # one row each
 
 
-def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 128 << 20) -> dict:
+def compact(
+    spark: SparkSession, source: str, target: str, file_bytes: int = 128 << 20,
+    order: Sequence[str] = (),
+) -> dict:
     """Rewrite a folder into files of about the target size in a new folder.
 
-    Returns files and bytes before and after. The caller swaps the folders.
+    Folder partitions stay folders. With ``order`` rows are range-dealt and sorted by it, so
+    files stay skippable; without it whole files are put together in their own order, with no
+    shuffle. Returns files and bytes before and after. The caller swaps the folders.
     """
-    before = table_info(spark.read.parquet(source)).first()
+    rows = spark.read.parquet(source)
+    before = table_info(rows).first()
     files = max(1, -(-(before.bytes or 0) // file_bytes))
-    spark.read.parquet(source).repartition(files).write.mode("overwrite").parquet(target)
+    found = partition_columns(rows)
+    parts = [c for c in rows.columns if c in found]
+    keys = [*parts, *[c for c in order if c not in found]]
+    laid = layout_sort(rows, keys, files) if keys else rows.coalesce(files)
+    laid.write.mode("overwrite").partitionBy(*parts).parquet(target)
     after = table_info(spark.read.parquet(target)).first()
     return {"files_before": before.files, "bytes_before": before.bytes,
             "files_after": after.files, "bytes_after": after.bytes, "rows": after.rows}
@@ -290,19 +326,25 @@ def load_dry_run(df: DataFrame, schema: str | T.StructType) -> DataFrame:
     """(row_id, col_name, value, reason) of every all-text cell that would not load.
 
     Nothing is written. ``df`` holds the file's columns as text, in file order, and may carry
-    a ``row_id``; target columns match by position.
+    a ``row_id``; target columns match by position. A value beyond the last target column is
+    reported too.
     """
     target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     source = [c for c in df.columns if c != "row_id"]
     checks = []
     for i, f in enumerate(target.fields):
-        text = F.col(f"`{source[i]}`") if i < len(source) else F.lit(None).cast("string")
+        text = F.col(quoted(source[i])) if i < len(source) else F.lit(None).cast("string")
         wrong = text.isNotNull() & text.try_cast(f.dataType).isNull()
         reason = F.when(wrong, F.lit(f"not a {f.dataType.simpleString()}"))
         if not f.nullable:
             reason = F.when(text.isNull(), F.lit("missing")).otherwise(reason)
         checks.append(F.struct(F.lit(f.name).alias("col_name"), text.alias("value"),
                                reason.alias("reason")))
+    for name in source[len(target.fields):]:
+        text = F.col(quoted(name))
+        reason = F.when(text.isNotNull(), F.lit("no such column"))
+        checks.append(F.struct(F.lit(name).alias("col_name"), text.alias("value"),
+                               reason.alias("reason")))
     row_id = [F.col("row_id")] if "row_id" in df.columns else []
     return df.select(*row_id, F.inline(F.array(*checks))).filter(F.col("reason").isNotNull())
 

@@ -32,18 +32,25 @@ def config_rows(cfg: DataFrame, table: str, user: str) -> DataFrame:
     evaluating the expression on the partition values.
     """
     return cfg.filter(
-        (F.lower("user_id") == user.strip().lower())
-        & (F.lower("left_tbl") == table.strip().lower())
+        (F.lower(F.trim("user_id")) == user.strip().lower())
+        & (F.lower(F.trim("left_tbl")) == table.strip().lower())
     ).select(F.lower(F.trim("arg_name")).alias("arg_name"), "arg_dt", "arg_val")
 
 
 def config_load(cfg: DataFrame, table: str, user: str, passed: Mapping[str, object]) -> dict:
-    """Options for a run: the passed ones win, saved ones fill in, unknown ones are skipped."""
+    """Options for a run: the passed ones win, saved ones fill in, unknown ones are skipped.
+
+    Two different saved values of one option are an error.
+    """
     known = {f.name for f in dataclasses.fields(ReconSpec)}
     out = dict(passed)
-    rows = config_rows(cfg, table, user).filter(F.col("arg_name").isin(sorted(known)))
+    rows = config_rows(cfg, table, user).filter(F.col("arg_name").isin(sorted(known))).distinct()
+    seen = set()
     for row in rows.collect():  # at most one row per option
-        if row.arg_name in out:
+        if row.arg_name in seen:
+            raise ValueError(f"{table} has several saved values of {row.arg_name} for {user}")
+        seen.add(row.arg_name)
+        if row.arg_name in passed:
             continue
         out[row.arg_name] = row.arg_val if row.arg_dt == "str" else json.loads(row.arg_val)
     return out
@@ -70,8 +77,17 @@ def spec_rows(
 
 
 def config_save(cfg: DataFrame, new: DataFrame) -> DataFrame:
-    """The config table with the new rows put in: updated where present, else added."""
-    return upsert(cfg, new, CONFIG_KEYS)
+    """The config table with the new rows put in: updated where present, else added.
+
+    Names compare without case and outer blanks, as they do in :func:`config_rows`.
+    """
+    keys = [f"key_{c}" for c in CONFIG_KEYS]
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.select("*", *[F.lower(F.trim(c)).alias(k)
+                                for c, k in zip(CONFIG_KEYS, keys, strict=True)])
+
+    return upsert(keyed(cfg), keyed(new), keys).drop(*keys)
 
 
 def json_option_rows(cfg: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -129,13 +129,13 @@ NESTED_SQL = """
       SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS line FROM documents),
     items AS (
       SELECT doc_id, length(line) % 7 AS item_type, line LIKE '%a%' AS flag,
-             CASE WHEN length(line) >= 40 THEN len(string_split(line, ' ')) ELSE 0 END AS n_event
+             CASE WHEN length(line) % 3 <> 0 THEN len(string_split(line, ' ')) ELSE 0 END AS n_event
       FROM lines),
     per_doc AS (
       SELECT documents.doc_id, lang,
-             CASE WHEN n_chars >= 200 THEN n ELSE 0 END AS n_items,
-             CASE WHEN n_chars >= 200 THEN n_flag ELSE 0 END AS n_flag,
-             CASE WHEN n_chars >= 200 THEN n_events ELSE 0 END AS n_events
+             CASE WHEN doc_id % 5 <> 0 THEN n ELSE 0 END AS n_items,
+             CASE WHEN doc_id % 5 <> 0 THEN n_flag ELSE 0 END AS n_flag,
+             CASE WHEN doc_id % 5 <> 0 THEN n_events ELSE 0 END AS n_events
       FROM documents JOIN (
         SELECT doc_id, count(*) AS n, sum(CASE WHEN flag THEN 1 ELSE 0 END) AS n_flag,
                sum(n_event) AS n_events FROM items GROUP BY doc_id) USING (doc_id))
@@ -143,9 +143,10 @@ NESTED_SQL = """
 
 
 def nested(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, lang, items): one item per line with a flag and, on long lines, its words.
+    """(doc_id, lang, items): one item per line with a flag and, on most lines, its words.
 
-    Short documents have null items and short lines null events. Everything is row-local.
+    Every fifth document has null items and every third line length null events, so texts of
+    every size take part. Everything is row-local.
     """
     docs = table(spark, folder, "documents")
     lines = F.split("text", "\n")
@@ -155,9 +156,9 @@ def nested(spark: SparkSession, folder: str) -> DataFrame:
         return F.struct(
             (F.length(line) % 7).alias("item_type"),
             line.contains("a").alias("flag"),
-            F.when(F.length(line) >= 40, words).alias("event"),
+            F.when(F.length(line) % 3 != 0, words).alias("event"),
         )
 
     return docs.select(
-        "doc_id", "lang", F.when(F.col("n_chars") >= 200, F.transform(lines, item)).alias("items")
+        "doc_id", "lang", F.when(F.col("doc_id") % 5 != 0, F.transform(lines, item)).alias("items")
     )

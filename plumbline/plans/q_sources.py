@@ -37,13 +37,13 @@ def scan_text_lines(spark, sf):
 
 @query("frame_from_rows", """
     SELECT event_id, e.event_type, weight
-    FROM events e JOIN (VALUES ('click', 1), ('view', 2), ('purchase', 3)) w(event_type, weight)
+    FROM events e LEFT JOIN (VALUES ('click', 1), ('view', 2), ('purchase', 3)) w(event_type, weight)
       ON e.event_type = w.event_type""")
 def frame_from_rows(spark, sf):
     weights = spark.createDataFrame(
         [("click", 1), ("view", 2), ("purchase", 3)], "event_type string, weight int"
     )
-    return table(spark, sf, "events").join(weights, "event_type").select(
+    return table(spark, sf, "events").join(weights, "event_type", "left").select(
         "event_id", "event_type", "weight"
     )
 
@@ -109,10 +109,9 @@ def _ragged(spark, sf):
                                                    F.lit(', part"')))
     line = F.concat(F.lit('"page '), F.col("page_id"), F.lit('",'), F.array_join(quoted, ","))
     pages = table(spark, sf, "pages")
-    most = pages.agg(F.max(F.size(parts)).alias("n")).first().n
     path = scratch(spark, "ragged")
     pages.select(line.alias("value")).write.text(path)
-    return readers.scan_ragged_csv(spark, path, most + 1)
+    return readers.scan_ragged_csv(spark, path)
 
 
 @query("scan_ragged_csv", """

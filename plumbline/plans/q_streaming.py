@@ -21,11 +21,15 @@ def _land(df, spark, label, fmt="parquet"):
 
 
 def _typed_sales(spark, sf):
-    path = _land(sales(spark, sf).select(F.to_json(F.struct("*")).alias("value")), spark,
-                 "sales-topic", "text")
+    """Every sale as a JSON message, and with every seventh order a message cut short."""
+    rows = sales(spark, sf).select(F.to_json(F.struct("*")).alias("value"))
+    cut = table(spark, sf, "orders").where("o_orderkey % 7 = 0").select(
+        F.concat(F.lit('{"uuid": "'), F.col("o_orderkey").cast("string")).alias("value"))
+    path = _land(rows.unionByName(cut), spark, "sales-topic", "text")
     raw = streams.file_stream(spark, path, "value string", "text", MAX_FILES)
     text = ", ".join(f"{c} string" for c in SALES_COLUMNS)
-    typed = streams.typed_or_bad(streams.decode_json(raw, "value", text), SALES_TYPES)
+    typed = streams.typed_or_bad(streams.decode_json(raw, "value", text, "malformed"),
+                                 SALES_TYPES, "malformed")
     out = scratch(spark, "sales-typed")
     streams.run_available(typed, out, scratch(spark, "sales-typed-checkpoint"))
     return spark.read.parquet(out)
@@ -41,9 +45,15 @@ def stream_json_typed(spark, sf):
 
 
 @query("stream_json_bad_rows", f"""
-    WITH {SALES_SQL} SELECT uuid, 'unitssold' AS bad_columns FROM sales WHERE unitssold = 'n/a'""")
+    WITH {SALES_SQL}
+    SELECT uuid, 'unitssold' AS bad_columns, NULL::VARCHAR AS message FROM sales
+      WHERE unitssold = 'n/a'
+    UNION ALL SELECT NULL, 'malformed', '{{"uuid": "' || o_orderkey FROM orders
+      WHERE o_orderkey % 7 = 0""")
 def stream_json_bad_rows(spark, sf):
-    return _typed_sales(spark, sf).filter("bad_columns <> ''").select("uuid", "bad_columns")
+    return _typed_sales(spark, sf).filter("bad_columns <> ''").select(
+        F.when(F.col("malformed").isNull(), F.col("uuid")).alias("uuid"), "bad_columns",
+        F.col("malformed").alias("message"))
 
 
 @query("stream_new_files", "SELECT event_id, ts, user_id, event_type, value FROM events")

@@ -240,9 +240,9 @@ def reconcile_many(
 
 # --- drill-down -----------------------------------------------------------------------
 
-def guess_join_columns(names: Sequence[str], limit: int = 4) -> list[str]:
-    """The first few columns whose names end in ``_dt`` or ``_id``."""
-    return [n for n in names if n.lower().endswith(("_dt", "_id"))][:limit]
+def guess_join_columns(names: Sequence[str]) -> list[str]:
+    """All columns whose names end in ``_dt`` or ``_id``."""
+    return [n for n in names if n.lower().endswith(("_dt", "_id"))]
 
 
 def drilldown(

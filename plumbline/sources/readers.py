@@ -48,19 +48,22 @@ def scan_manifest(
     return scan_delimited(spark, urls, schema, sep)
 
 
-def scan_ragged_csv(
-    spark: SparkSession, path: str, max_fields: int, out: str = "fields"
-) -> DataFrame:
+# One field after a separator: in quotes, in which a quote is doubled, or plain.
+_FIELD = ',("(?:[^"]|"")*"|[^,]*)'
+
+
+def scan_ragged_csv(spark: SparkSession, path: str, out: str = "fields") -> DataFrame:
     """Quoted CSV with any number of fields per row, as one array per row.
 
-    ``max_fields`` only sizes the parse schema; trailing absent fields are cut off again.
+    A row has as many items as the line has fields, with no bound; an empty line has none.
     """
-    ddl = ", ".join(f"c{i} string" for i in range(max_fields))
-    parsed = spark.read.text(path).select(
-        F.from_csv("value", F.lit(ddl), {"nullValue": "\u0000"}).alias("r")  # "" is a value
-    )
-    fields = F.array(*[F.col(f"r.c{i}") for i in range(max_fields)])
-    return parsed.select(F.filter(fields, lambda x: x.isNotNull()).alias(out))
+    found = F.regexp_extract_all(F.concat(F.lit(","), "value"), F.lit(_FIELD), F.lit(1))
+    plain = F.transform(found, lambda x: F.when(
+        x.startswith('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'),
+                                     F.lit('"'))).otherwise(x))
+    empty = F.array().cast("array<string>")
+    return spark.read.text(path).select(
+        F.when(F.col("value") == "", empty).otherwise(plain).alias(out))
 
 
 def scan_quoted_csv(

@@ -64,12 +64,14 @@ def with_hive_parts(df: DataFrame, ts: str) -> DataFrame:
 def sink_hive_layout(df: DataFrame, path: str, ts: str) -> None:
     """Files under ``year=/month=/day=/hour=``.
 
-    The range exchange groups an hour's rows so each hour has few files; an hour too large
-    for one task is split.
+    The range exchange groups an hour's rows so each hour has few files; an hour, or one moment,
+    too large for one task is split. The hours that the rows name are replaced and the others
+    stay, so a repeated job leaves the same files' rows.
     """
     parts = ["year", "month", "day", "hour"]
-    laid = with_hive_parts(df, ts).repartitionByRange(*parts, ts)
-    laid.write.mode("append").partitionBy(*parts).parquet(path)
+    laid = range_spread(with_hive_parts(df, ts), *parts, ts)
+    laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *parts).parquet(path)
 
 
 def sink_view(df: DataFrame, name: str) -> None:

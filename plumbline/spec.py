@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.functions.canonical import quoted
 from plumbline.functions.nested import sort_json_keys
 
 CHECKS = ("schema", "counts", "hash", "dup_keys", "exclusive_keys", "cells")
@@ -146,7 +147,7 @@ def prepare(df: DataFrame, spec: ReconSpec, side: str) -> DataFrame:
     out: list[Column] = []
     for name in spec.kept(df, side):
         shared = spec.shared_name(name, side)
-        text = f"`{name}`"
+        text = quoted(name)
         if shared in spec.column_exprs:
             text = spec.column_exprs[shared].replace("{col}", text)
         if types[name] in spec.type_exprs:
@@ -186,7 +187,7 @@ def common_types(left: DataFrame, right: DataFrame) -> dict[str, T.DataType]:
             return lt
         if isinstance(lt, T.StringType) or isinstance(rt, T.StringType):
             return T.StringType()
-        col = F.col(f"`{name}`")
+        col = F.col(quoted(name))
         try:
             return left.select(col).union(right.select(col)).schema[0].dataType
         except AnalysisException:
@@ -199,6 +200,6 @@ def cast_to(df: DataFrame, wanted: Mapping[str, T.DataType]) -> DataFrame:
     """The wanted columns in order, cast where their type differs."""
     types = {f.name: f.dataType for f in df.schema.fields}
     return df.select(*[
-        F.col(f"`{c}`") if types[c] == t else F.col(f"`{c}`").cast(t).alias(c)
+        F.col(quoted(c)) if types[c] == t else F.col(quoted(c)).cast(t).alias(c)
         for c, t in wanted.items()
     ])

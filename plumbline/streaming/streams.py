@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.functions.canonical import quoted, row_mark
+
 
 def file_stream(
     spark: SparkSession,
@@ -44,24 +46,49 @@ def kafka_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def decode_json(stream: DataFrame, value: str, schema: str) -> DataFrame:
-    """Message bytes or text to columns by a JSON schema; batch and stream alike."""
-    return stream.select(F.from_json(F.col(value).cast("string"), schema).alias("_m")).select(
-        "_m.*"
-    )
+def decode_json(
+    stream: DataFrame, value: str, schema: str, malformed: str | None = None
+) -> DataFrame:
+    """Message bytes or text to columns by a JSON schema; batch and stream alike.
 
+    With ``malformed`` a column of that name holds the text of each message that is no JSON
+    object, or null; without it such a message gives a row of nulls.
+    """
+    if malformed is None:
+        message = F.from_json(F.col(value).cast("string"), schema)
+        return stream.select(message.alias("_m")).select("_m.*")
+    text = F.col(value).cast("string")
+    message = F.from_json(text, f"{schema}, {quoted(malformed)} string",
+                          {"columnNameOfCorruptRecord": malformed})
+    broken = F.coalesce(F.col(f"_m.{quoted(malformed)}"),
+                        F.when(F.col("_m").isNull() | ~F.coalesce(
+                            F.ltrim(F.col("_t")).startswith("{"), F.lit(False)),
+                            F.coalesce(F.col("_t"), F.lit(""))))
+    rows = stream.select(message.alias("_m"), text.alias("_t"))
+    return rows.select(F.col("_m").dropFields(malformed).alias("_m"), broken.alias(malformed)
+                       ).select("_m.*", quoted(malformed))
+
+
+def typed_or_bad(
+    df: DataFrame, types: Mapping[str, str], malformed: str | None = None
+) -> DataFrame:
+    """All-text columns to typed ones plus ``bad_columns``: the names that did not convert.
 
-def typed_or_bad(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """All-text columns to typed ones plus ``bad_columns``: the names that did not convert."""
+    A row whose ``malformed`` text is set has that name as its bad column and keeps the text.
+    """
     bad = F.filter(
         F.array(*[
-            F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c))
+            F.when(F.col(quoted(c)).isNotNull() & F.col(quoted(c)).try_cast(t).isNull(), F.lit(c))
             for c, t in types.items()
         ]),
         lambda x: x.isNotNull(),
     )
-    return df.select(*[F.col(c).try_cast(t).alias(c) for c, t in types.items()],
-                     F.array_join(bad, ",").alias("bad_columns"))
+    typed = [F.col(quoted(c)).try_cast(t).alias(c) for c, t in types.items()]
+    names = F.array_join(bad, ",")
+    if malformed is None:
+        return df.select(*typed, names.alias("bad_columns"))
+    names = F.when(F.col(quoted(malformed)).isNotNull(), F.lit(malformed)).otherwise(names)
+    return df.select(*typed, names.alias("bad_columns"), quoted(malformed))
 
 
 def run_available(
@@ -111,10 +138,15 @@ def latest_update(spark: SparkSession, path: str, keys: Sequence[str], value: st
 
 
 def newest_changes(changes: DataFrame, key: str, seq: str) -> DataFrame:
-    """The change with the highest sequence number per key; a partial aggregate."""
+    """The change with the highest sequence number per key; a partial aggregate.
+
+    Of equal numbers the row with the greatest mark counts, whatever order they arrive in.
+    """
     rest = [c for c in changes.columns if c != key]
-    top = changes.groupBy(key).agg(F.max_by(F.struct(*rest), seq).alias("_c"))
-    return top.select(key, *[F.col(f"_c.`{c}`").alias(c) for c in rest])
+    newest = F.struct(F.col(quoted(seq)).alias("seq"), row_mark(changes).alias("mark"))
+    top = changes.groupBy(F.col(quoted(key))).agg(
+        F.max_by(F.struct(*[F.col(quoted(c)) for c in rest]), newest).alias("_c"))
+    return top.select(quoted(key), *[F.col(f"_c.{quoted(c)}").alias(c) for c in rest])
 
 
 def land_changes(changes: DataFrame, path: str, checkpoint: str, key: str, seq: str) -> None:
@@ -131,6 +163,21 @@ def land_changes(changes: DataFrame, path: str, checkpoint: str, key: str, seq:
     ).start().awaitTermination()
 
 
+def fold_changes(
+    spark: SparkSession, base: str, log: str, target: str, key: str, seq: str, op: str
+) -> list[int]:
+    """Write the next base, with all landed batches folded in, to a new folder.
+
+    Returns the numbers of the batches that it holds, so that the caller can retire exactly
+    these after switching to the new base. A rerun writes the same rows.
+    """
+    rows, landed = spark.read.parquet(base), spark.read.parquet(log)
+    batches = sorted(r.batch for r in landed.select("batch").distinct().collect())
+    taken = landed.filter(F.col("batch").isin(batches)).drop("batch")
+    apply_changes(rows, taken, key, seq, op).write.mode("overwrite").parquet(target)
+    return batches
+
+
 def apply_changes(
     base: DataFrame, changes: DataFrame, key: str, seq: str, op: str
 ) -> DataFrame:

@@ -324,7 +324,7 @@ def test_drilldown_shows_absent_keys_as_nulls(spark):
 
 def test_guess_join_columns():
     names = ["event_dt", "v", "A_ID", "x_id", "y_id", "z_id"]
-    assert report.guess_join_columns(names) == ["event_dt", "A_ID", "x_id", "y_id"]
+    assert report.guess_join_columns(names) == ["event_dt", "A_ID", "x_id", "y_id", "z_id"]
 
 
 # --- many pairs -------------------------------------------------------------------------

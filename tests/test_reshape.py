@@ -51,7 +51,7 @@ def ragged_lines():
 def test_ragged_rows_keep_every_name(spark, tmp_path):
     text = "\n".join(",".join(f'"{x}"' for x in (g, *names)) for g, names in ragged_lines())
     (tmp_path / "in.csv").write_text(text + "\n")
-    df = readers.scan_ragged_csv(spark, str(tmp_path / "in.csv"), 8)
+    df = readers.scan_ragged_csv(spark, str(tmp_path / "in.csv"))
     got = {(r.group_name, r.pos, r.name) for r in reshape.explode_ragged(df, "fields").collect()}
     assert got == {(g, i + 1, x) for g, names in ragged_lines() for i, x in enumerate(names)}
     assert len(got) == 15
@@ -59,7 +59,7 @@ def test_ragged_rows_keep_every_name(spark, tmp_path):
 
 def test_ragged_rows_keep_empty_quoted_fields(spark, tmp_path):
     (tmp_path / "in.csv").write_text('"g","","b"\n"h"\n')
-    df = readers.scan_ragged_csv(spark, str(tmp_path / "in.csv"), 5)
+    df = readers.scan_ragged_csv(spark, str(tmp_path / "in.csv"))
     assert [r.fields for r in df.collect()] == [["g", "", "b"], ["h"]]
     assert reshape.explode_ragged(df, "fields").count() == 2
 
