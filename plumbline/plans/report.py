@@ -101,7 +101,7 @@ def reconcile(
 
     Jobs: one pass over keys and row fingerprints (row counts, repeated, one-sided and
     differing keys together), one hash census, one look at the differing rows. Only their
-    totals reach the driver.
+    totals reach the driver. With ``stop_on_failure`` rows are counted before anything costly.
     """
     spark = spark or (left if isinstance(left, DataFrame) else right).sparkSession
     left, right = as_frame(spark, left), as_frame(spark, right)
@@ -113,6 +113,10 @@ def reconcile(
     if "schema" in chosen:
         _schema(run, left, right, spec)
     found = totals = None
+    if "counts" in chosen and spec.stop_on_failure:  # the cheap check first, to stop at it
+        rows = {r.side: r.row_count for r in recon.check_counts(lhs, rhs).collect()}
+        run.done("counts", rows["left"] == rows["right"], rows)
+        chosen.discard("counts")
     if keys and "cells" in chosen:
         found = recon.scan_keys(lhs, rhs, keys)
         totals = found.totals

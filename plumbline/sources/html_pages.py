@@ -28,6 +28,13 @@ VOID = frozenset({
 })
 HIDDEN = frozenset({"script", "style", "template"})
 PRESERVED = frozenset({"pre", "textarea"})
+# Elements whose start ends an open paragraph, and those that shield one outside.
+ENDS_PARAGRAPH = frozenset({
+    "address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl",
+    "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
+    "header", "hgroup", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "ul",
+})
+SHIELDS = frozenset({"button", "caption", "marquee", "object", "table", "td", "template", "th"})
 ASCII_BLANKS = " \n\t\f\r"
 
 ERROR_TEXT = "Error retrieving article text."
@@ -57,7 +64,8 @@ class Page(HTMLParser):
     """Elements in document order, each with the span of text pieces it holds.
 
     An end tag closes the nearest open element of its name and all inside it; an end tag
-    without one is ignored; what stays open ends with the page.
+    without one is ignored; a paragraph ends where a block starts; what stays open ends with the
+    page.
     """
 
     def __init__(self, html: str) -> None:
@@ -71,7 +79,21 @@ class Page(HTMLParser):
         for e in self._open:
             e.end = (len(self.elements), len(self.pieces))
 
+    def _end_paragraph(self) -> None:
+        """End the open paragraph, unless something that shields it was opened inside it."""
+        if self._depth["p"] and not self._inside(SHIELDS):
+            self.handle_endtag("p")
+        elif self._depth["p"]:
+            for e in reversed(self._open):
+                if e.tag == "p":
+                    self.handle_endtag("p")
+                    return
+                if e.tag in SHIELDS:
+                    return
+
     def handle_starttag(self, tag, attrs):
+        if tag in ENDS_PARAGRAPH:
+            self._end_paragraph()
         e = _Element(tag, dict(attrs), (len(self.elements) + 1, len(self.pieces)))
         self.elements.append(e)
         if tag in VOID:
@@ -130,7 +152,7 @@ def _per_page(html: Column, return_type: str, ask) -> Column:
 def html_paragraphs(df: DataFrame, html: str, keep: Sequence[str], out: str = "text") -> DataFrame:
     """Text of all paragraphs, joined with a blank; a fixed error text where there is no page.
 
-    A paragraph inside an unclosed one counts in both, as a document-tree search gives it.
+    A paragraph without an end tag ends where the next one starts, so no text counts twice.
     """
     def ask(h: str) -> str:
         page = Page(h)

@@ -25,7 +25,7 @@ def test_paragraphs(pages):
         "",
     )
     assert col(hp.html_paragraphs(df, "html", ["id"]), "text") == [
-        "one two bold", "a & b", "opennested tail nested", "", hp.ERROR_TEXT, ""]
+        "one two bold", "a & b", "open nested", "", hp.ERROR_TEXT, ""]
 
 
 def test_stray_end_tags_and_open_elements(pages):
@@ -122,3 +122,9 @@ print("GOT", hp.html_paragraphs(df, "html", ["id"]).first().text)
     out = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, text=True,
                          capture_output=True, timeout=200)
     assert "GOT a b" in out.stdout
+
+
+def test_open_paragraphs_do_not_pile_up(pages):
+    df = pages("<p>x" * 2000, "<p>a<table><tr><td><p>b</table>c</p>", "<p>a<div>b</div>c")
+    assert [len(t) for t in col(hp.html_paragraphs(df, "html", ["id"]), "text")][0] == 3999
+    assert col(hp.html_paragraphs(df, "html", ["id"]), "text")[1:] == ["abc b", "a"]
