@@ -10,8 +10,9 @@ texts (two hashes and a place), dealt by anchor; texts stay. Equal contexts are
 all but the earliest document lose the whole context. Within a task this happens before anything is
 sent, so a passage in a third of all documents arrives once per sending task.
 
-Comparison. Where an anchor has several different contexts, the earliest document of each sends it.
-A task that receives contexts cuts them into shards, builds the transform of each shard, and merges
+Comparison. Where an anchor has several different contexts, the earliest document of each sends it in
+two halves, each dealt by the bytes that all its windows share: a frequent anchor in ever new
+surroundings spreads over all tasks, and halves that no other document has are left out. A task cuts them into shards, builds the transform of each shard, and merges
 the transforms by refining their interleave: each round sorts the interleave stably by the symbol
 that precedes each suffix, which orders it by one symbol more, and splits the blocks of suffixes
 that agree so far. No suffix is sorted again. After LENGTH rounds a block is an interval whose
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -164,8 +166,8 @@ def lists(keys: np.ndarray, *columns: np.ndarray) -> list:
 
 
 FOUND = "target long, n_gone long, n_asked long, gone binary, asked binary"
-#: Columns of what is found: rows and places, and the anchor of those to be compared.
-GONE, ASKED = [np.int64, np.int32], [np.int64, np.int32, np.int64]
+#: Columns of what is found: rows and places.
+PLACES = [np.int64, np.int32]
 
 
 def compare_anchors(table: pa.Table, groups: int) -> pa.Table:
@@ -190,10 +192,8 @@ def compare_anchors(table: pa.Table, groups: int) -> pa.Table:
         spread_docs = d[np.r_[head[1:], len(k)] - 1] > d[head]
         several = np.repeat(spread_docs, size)
     asked = order[several]
-    group = table["group"][0].as_py()
-    anchor = key[asked].astype(np.int64) << 24 | group & 0xFFFFFF
     lost = [np.r_[row[gone], dead_row], np.r_[place[gone], dead_place]]
-    open_ = [row[asked], place[asked], anchor]
+    open_ = [row[asked], place[asked]]
     out = []
     cuts = []
     for columns in (lost, open_):
@@ -212,7 +212,7 @@ def compare_anchors(table: pa.Table, groups: int) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
 
-BY_ROW = "row_key long, gone array<int>, asked array<int>, anchor array<long>"
+BY_ROW = "row_key long, gone array<int>, asked array<int>"
 
 
 def by_row(table: pa.Table) -> pa.Table:
@@ -220,8 +220,8 @@ def by_row(table: pa.Table) -> pa.Table:
     parts = [], []
     for n_gone, n_asked, a, b in zip(table["n_gone"].to_pylist(), table["n_asked"].to_pylist(),
                                      table["gone"], table["asked"], strict=True):
-        parts[0].append(unpack_columns(a, n_gone, GONE))
-        parts[1].append(unpack_columns(b, n_asked, ASKED))
+        parts[0].append(unpack_columns(a, n_gone, PLACES))
+        parts[1].append(unpack_columns(b, n_asked, PLACES))
     gone, asked = ([np.concatenate(c) for c in zip(*p, strict=True)] for p in parts)
     keys = np.unique(np.r_[gone[0], asked[0]])
     arrays = [pa.array(keys)]
@@ -230,7 +230,34 @@ def by_row(table: pa.Table) -> pa.Table:
         offsets = np.append(np.searchsorted(columns[0][order], keys), len(order))
         arrays += [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(c[order]))
                    for c in columns[1:]]
-    return pa.table(arrays, ["row_key", "gone", "asked", "anchor"])
+    return pa.table(arrays, ["row_key", "gone", "asked"])
+
+
+def sides(raw: bytes, place: int, length: int, gram: int) -> Iterator[tuple[int, int, int]]:
+    """The two halves of the context of an anchor: (hash of what its windows share, start, end).
+
+    A window reaches at least half of the bytes beyond the anchor on one side, so equal windows
+    have the anchor and that half in common: only contexts with an equal hash need to meet.
+    """
+    half = (length - gram) // 2
+    if place + length - half <= len(raw):  # windows with up to half before the anchor
+        yield (xxhash.xxh64_intdigest(raw[place:place + length - half], 1) >> 1,
+               max(0, place - half), min(len(raw), place + length))
+    if place > half:
+        yield (xxhash.xxh64_intdigest(raw[place - half - 1:place + gram], 2) >> 1,
+               max(0, place - length + gram), min(len(raw), place - half - 1 + length))
+
+
+def several_docs(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """True where a key occurs with more than one document."""
+    order = np.lexsort((doc, key))
+    k, d = key[order], doc[order]
+    head = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else order
+    size = np.diff(np.r_[head, len(k)])
+    out = np.zeros(len(k), bool)
+    if len(k):
+        out[order] = np.repeat(d[head + size - 1] > d[head], size)
+    return out
 
 
 def rotations(symbols: np.ndarray, depth: int) -> np.ndarray:
@@ -280,6 +307,8 @@ def repeated(contexts: list[bytes], docs: np.ndarray, length: int, shard: int |
              ) -> list[np.ndarray]:
     """Starts in each context of strings of ``length`` bytes that occur in a context of a smaller
     document. Contexts may repeat."""
+    if not contexts:
+        return []
     shard = shard or SHARD
     found, number = {}, np.empty(len(contexts), np.int64)
     for i, text in enumerate(contexts):
@@ -351,9 +380,9 @@ def dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
     anchored = send_anchors(docs, groups, length, gram).groupBy("group").applyInArrow(
         lambda table: compare_anchors(table, groups), FOUND)
     found = kept(anchored.groupBy("target").applyInArrow(by_row, BY_ROW), "anchors")
-    asked = found.where(F.size("asked") > 0).select("row_key", "asked", "anchor")
+    asked = found.where(F.size("asked") > 0).select("row_key", "asked")
     n_asked = asked.agg(F.sum(F.size("asked")).alias("n")).first().n or 0
-    reach = 2 * length - gram
+    reach = 2 * (length + (length - gram) // 2)  # of both sides together
     merges = max(1, -(-n_asked * reach // MERGED))
     width = length - gram
 
@@ -380,30 +409,32 @@ def dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
             for i in range(batch.num_rows):
                 n = batch.column(2)[i].as_py()
                 raw = pa.decompress(batch.column(3)[i].as_buffer(), n, "zstd", asbytes=True)
-                for p, h in zip(batch.column(4)[i].as_py(), batch.column(5)[i].as_py(),
-                                strict=True):
-                    start = max(0, p - width)
-                    out.append((hash_group(h, merges), doc_ids[i], keys[i], start,
-                                raw[start:min(n, p + length)]))
+                for p in batch.column(4)[i].as_py():
+                    for side, start, end in sides(raw, p, length, gram):
+                        out.append((side % merges, side, doc_ids[i], keys[i], start,
+                                    raw[start:end]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (
-                    pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)],
-                ["merge", "doc_id", "row_key", "start", "context"])
+                [pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 6, (
+                    pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()),
+                    strict=True)],
+                ["merge", "side", "doc_id", "row_key", "start", "context"])
 
     def compare(table: pa.Table) -> pa.Table:
+        table = table.filter(pa.array(several_docs(table["side"].to_numpy(),
+                                                   table["doc_id"].to_numpy())))
         starts = repeated(table["context"].to_pylist(), table["doc_id"].to_numpy(), length)
-        count = np.array([len(s) for s in starts])
+        count = np.array([len(s) for s in starts], np.int64)
         base = np.repeat(table["start"].to_numpy(), count)
         keys = np.repeat(table["row_key"].to_numpy(), count)
-        places = (np.concatenate(starts) + base if len(starts) else base).astype(np.int32)
+        places = (np.concatenate([*starts, np.zeros(0, np.int64)]) + base).astype(np.int32)
         pairs = np.unique(np.array([keys, places.astype(np.int64)]), axis=1)
         names = ["row_key", "windows"]
         return pa.table(lists(pairs[0], pairs[1].astype(np.int32)), names)
 
     compared = kept(shrunk(docs).join(asked, "row_key").select(
-        "doc_id", "row_key", "n", "data", "asked", "anchor").mapInArrow(
-        contexts, "merge long, doc_id long, row_key long, start int, context binary").groupBy(
-        "merge").applyInArrow(compare, "row_key long, windows array<int>"), "windows")
+        "doc_id", "row_key", "n", "data", "asked").mapInArrow(
+        contexts, "merge long, side long, doc_id long, row_key long, start int, context binary"
+        ).groupBy("merge").applyInArrow(compare, "row_key long, windows array<int>"), "windows")
     windows = compared.groupBy("row_key").agg(
         F.flatten(F.collect_list("windows")).alias("windows"))
     per_row = found.select("row_key", "gone").join(windows, "row_key", "left")
@@ -441,6 +472,3 @@ def dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
     return done.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
 
 
-def hash_group(anchor: int, groups: int) -> int:
-    """Group of an anchor: equal anchors share one."""
-    return (anchor * 0x9E3779B97F4A7C15 >> 17) % groups
