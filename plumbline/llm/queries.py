@@ -95,11 +95,37 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_edited(table(spark, sf_dir, "documents"))
 
 
-@query("op3_jaccard")
+@query("op3_jaccard", r"""
+    WITH RECURSIVE split AS (
+      SELECT doc_id, list_filter(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                         'abcdefghijklmnopqrstuvwxyz'), '[\t\n\v\f\r ]+'),
+               lambda x: x <> '') AS words
+      FROM documents),
+    grams AS (
+      SELECT DISTINCT doc_id, unnest(
+               CASE WHEN len(words) >= 5 THEN list_transform(
+                      range(1, len(words) - 3), lambda i: list_slice(words, i, i + 4))
+                    WHEN len(words) > 0 THEN [words] ELSE [] END) AS gram
+      FROM split),
+    sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+    shared AS (
+      SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+      FROM grams a JOIN grams b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+    near AS (
+      SELECT x, y FROM shared JOIN sizes sx ON x = sx.doc_id JOIN sizes sy ON y = sy.doc_id
+      WHERE 5 * c >= 4 * (sx.n + sy.n - c)),
+    reach(a, b) AS (
+      SELECT doc_id, doc_id FROM documents
+      UNION SELECT reach.a, near.y FROM reach JOIN near ON reach.b = near.x)
+    SELECT doc_id, class_id, links
+    FROM (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a)
+    JOIN (SELECT doc_id, count(y) AS links FROM documents LEFT JOIN near ON doc_id = x
+          GROUP BY doc_id) USING (doc_id)""")
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumbline.llm.jaccard import join
 
-    return join(table(spark, sf_dir, "documents"))
+    return join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "links")
 
 
 @query("op7_suffix_dedup")
