@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from plumbline.operators import profile, recon
-from plumbline.plans import report
+from plumbline.plans import report, saved
 from plumbline.plans.catalog import query
 from plumbline.plans.derived import pair, with_pair
 from plumbline.plans.q_relational import SAMPLES_SQL
@@ -58,6 +58,23 @@ def recon_schema(spark, sf):
     return recon.check_schema(spark, left.schema, changed.schema)
 
 
+@query("recon_saved", with_pair("""
+    SELECT run, side, CASE side WHEN 'left' THEN l ELSE r END AS row_count, 10::BIGINT AS saved
+    FROM (SELECT (SELECT count(*) FROM orders) AS l, (SELECT count(*) FROM pair) AS r),
+         (VALUES ('first'), ('second')) a(run), (VALUES ('left'), ('right')) b(side)"""))
+def recon_saved(spark, sf):
+    """Two runs on one config table: the second finds the keys that the first was given."""
+    path, rows = scratch(spark, "saved-options"), []
+    for run, passed in (("first", {"keys": KEYS, "checks": ["counts", "dup_keys"]}),
+                        ("second", {"checks": ["counts", "dup_keys"]})):
+        result = saved.reconcile_saved(spark, path, ("orders", "pair"), *pair(spark, sf), "u1", passed)
+        if "dup_keys" not in result.checks:  # without keys there is nothing to repeat
+            raise ValueError("the saved keys were not found")
+        kept = saved.config_table(spark, path).count()
+        rows += [(run, side, n, kept) for side, n in result.metrics["counts"].items()]
+    return spark.createDataFrame(rows, "run string, side string, row_count long, saved long")
+
+
 @query("recon_counts", with_pair("""
     SELECT 'left' AS side, count(*) AS row_count FROM orders
     UNION ALL SELECT 'right', count(*) FROM pair"""))
