@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.canonical import quoted, value_text
+from plumbline.functions.canonical import free_name, quoted, value_text
 
 ALL_COLUMNS = "<all columns>"
 
@@ -95,9 +95,19 @@ def text_widths(df: DataFrame) -> DataFrame:
 
 
 def has_repeats(df: DataFrame, cols: Sequence[str]) -> bool:
-    """Is any value combination of the columns held by more than one row?"""
-    groups = df.groupBy(*[F.col(quoted(c)) for c in cols]).agg(F.count(F.lit(1)).alias("n"))
-    return not groups.filter("n > 1").limit(1).isEmpty()
+    """Is any value combination of the columns held by more than one row?
+
+    Combinations of one hash value in 64 are looked at first. A repeat among them settles the
+    question with a shuffle of few rows; only without one all rows are grouped.
+    """
+    own = [F.col(quoted(c)) for c in cols]
+    few = df.filter(F.pmod(F.xxhash64(*own), F.lit(64)) == 0)
+
+    def repeats(rows: DataFrame) -> bool:
+        groups = rows.groupBy(*own).agg(F.count(F.lit(1)).alias(free_name("n", rows)))
+        return not groups.filter(F.col(groups.columns[-1]) > 1).limit(1).isEmpty()
+
+    return repeats(few) or repeats(df)
 
 
 def _removable(

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from plumbline.functions.canonical import free_name, quoted, row_mark
 from plumbline.functions.sizing import broadcast_if_small  # noqa: F401
 from plumbline.operators.recon import same_on, with_keys
+from plumbline.session import scratch
 
 # --- projections ----------------------------------------------------------------------
 
@@ -172,9 +173,10 @@ def ordered_concat(
 ) -> DataFrame:
     """Text pieces per key joined in order, as (by, part, out); ties go in text order.
 
-    A key with up to ``max_pieces`` pieces gives one row, part 0. A longer one gives several
-    rows whose texts, read in part order, make up the whole: its pieces are sorted over all
-    tasks and cut every ``max_pieces`` rows, so no task holds more than that of one key.
+    Part k holds pieces k * ``max_pieces`` up to the next multiple, so a key with fewer gives one
+    row, part 0, and the parts of a longer one, read in order, make up the whole. The rule is the
+    same for all keys and the same in every run. Pieces of long keys are sorted over all tasks, so
+    no task holds more than ``max_pieces`` of one key.
     """
     pieces = df.select(*by, F.struct(*order, text.alias("_t")).alias("_p"))
     counts = pieces.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
@@ -191,11 +193,23 @@ def ordered_concat(
         return joined(pieces, first)
     short = with_keys(pieces, long_keys, by, "left_anti")
     rest = with_keys(pieces, long_keys, by, "left_semi")
-    # After the sort the id grows along the total order: partition in the high bits, row below.
-    placed = sort_spread(rest, *by, "_p").withColumn("_id", F.monotonically_increasing_id())
-    row = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    cut = F.col("_id") - row + F.floor(row / F.lit(max_pieces)).cast("long")
-    return joined(short, first).unionByName(joined(placed, cut))
+    # The ranges of a sort may differ between runs, so the sorted rows are written once; the place
+    # of a piece is its row within the file part, after the pieces of its key in earlier parts.
+    spark, path = df.sparkSession, scratch(df.sparkSession, "pieces")
+    sort_spread(rest, *by, "_p").withColumns({
+        "_task": F.spark_partition_id(), "_id": F.monotonically_increasing_id()}
+    ).write.parquet(path)
+    placed = spark.read.parquet(path)
+    runs = placed.groupBy(*by, "_task").agg(
+        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*by).orderBy("_task").rowsBetween(
+        Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    found = placed.alias("l").join(runs.alias("r"), same_on("l", "r", [*by, "_task"])).select(
+        *[F.col(f"l.{quoted(c)}").alias(c) for c in by], "_p",
+        (F.col("_id") - F.col("_first") + F.col("_before")).alias("_at"))
+    cut = F.floor(F.col("_at") / F.lit(max_pieces)).cast("long")
+    return joined(short, first).unionByName(joined(found, cut))
 
 
 # --- windows and top-n ----------------------------------------------------------------

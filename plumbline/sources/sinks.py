@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.relational import range_spread, upsert
+from plumbline.session import scratch
 from plumbline.sources.readers import unique_name
 
 
@@ -97,6 +98,25 @@ def sink_upsert(
     sink_swap_table(spark, name, new)
 
 
+def sink_upsert_slices(
+    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], part: str
+) -> None:
+    """Put rows into a Parquet folder partitioned by ``part``; only the slices they name are read
+    and written again.
+
+    ``part`` must be one of the keys, so that a row cannot move to another slice. The new slices go
+    to the shared folder first, since files that are being read cannot be replaced.
+    """
+    if part not in keys:
+        raise ValueError(f"the keys must hold the partition column {part}")
+    target = spark.read.parquet(path)
+    touched = source.select(part).distinct()
+    own = target.join(touched, part, "left_semi").select(*target.columns)
+    staged = scratch(spark, "upsert")
+    upsert(own, source, keys, check=True).write.parquet(staged)
+    sink_replace_slice(spark.read.schema(target.schema).parquet(staged), path, part)
+
+
 def merge_into(df: DataFrame, table: str, on: Column) -> None:
     """MERGE rows into a table of a transactional format (the format's jar must be present)."""
     df.mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll().merge()

@@ -154,3 +154,31 @@ def test_hive_layout_can_run_twice(spark, tmp_path):
     for _ in range(2):
         sinks.sink_hive_layout(df, path, "ts")
     assert spark.read.parquet(path).count() == 50
+
+
+def test_parts_of_a_long_text_are_the_same_in_every_run(spark):
+    df = spark.createDataFrame([(i % 2, i * 7 % 100, f"t{i:03}") for i in range(100)],
+                               "k int, o int, t string")
+    got = []
+    for n in ("3", "7"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        rows = relational.ordered_concat(df, ["k"], ["o"], F.col("t"), ",", max_pieces=8)
+        got.append(sorted(map(tuple, rows.collect())))
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1] and [p for k, p, _ in got[0] if k == 0] == list(range(7))
+    whole = [t for i, t in sorted((i * 7 % 100, f"t{i:03}") for i in range(0, 100, 2))]
+    assert ",".join(t for k, _, t in got[0] if k == 0) == ",".join(whole)
+
+
+def test_upsert_rewrites_only_the_slices_it_names(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(30).selectExpr("id", "id % 3 AS p", "'old' AS v").write.partitionBy("p").parquet(path)
+    files = {f for f in tmp_path.rglob("*.parquet") if "p=0" in str(f) or "p=2" in str(f)}
+    source = spark.createDataFrame([(1, 1, "new"), (100, 1, "new")], "id long, p int, v string")
+    sinks.sink_upsert_slices(spark, path, source, ["id", "p"], "p")
+    rows = {r.id: r.v for r in spark.read.parquet(path).collect()}
+    assert len(rows) == 31 and {i for i, v in rows.items() if v == "new"} == {1, 100}
+    assert files <= set(tmp_path.rglob("*.parquet"))
+    with pytest.raises(ValueError, match="partition column"):
+        sinks.sink_upsert_slices(spark, path, source, ["id"], "p")
