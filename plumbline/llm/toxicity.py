@@ -148,20 +148,21 @@ def fit(labelled: DataFrame) -> Model:
         side = np.clip(share, 1e-3, 1 - 1e-3)
         return Model(np.zeros(WEIGHTS, np.float32), np.zeros((2, 2)), 0.0,
                      float(np.log(side / (1 - side))))
-    hashes, text = [], []
-    for first, _, data, bounds in T.slices(rows["text"]):
-        _, _, own, parts = token_parts(data, bounds)
-        hashes.append(parts)
-        text.append(own + first)
-    hashes, text = np.concatenate(hashes, 1), np.concatenate(text)
-    labels = evidence(hashes, text, toxic).astype(np.int64)
+    parts = []  # of each slice: its first and last row, text numbers and hashes of its tokens
+    for first, end, data, bounds in T.slices(rows["text"]):
+        _, _, own, found = token_parts(data, bounds)
+        parts.append((first, end, own, found))
+    text = np.concatenate([own + first for first, _, own, _ in parts])
+    labels = evidence(np.concatenate([h for *_, h in parts], 1), text, toxic).astype(np.int64)
     # Long stretches of clean tokens say little: the fit sees the surroundings of each label and
     # every eighth stretch of 16 tokens as sequences of their own.
     near = np.convolve(labels, np.ones(33), "same")[:len(labels)] > 0 if len(labels) else labels
     place = np.arange(len(text)) // 16
     keep = near | (T.mix(place.astype(np.uint64)) % np.uint64(8) == 0)
     at = np.flatnonzero(keep)
-    features = slots(hashes, text)[:, at]
+    edges = np.cumsum([0, *[len(own) for _, _, own, _ in parts]])
+    features = np.concatenate([slots(h, own)[:, keep[i:j]] for (_, _, own, h), i, j in zip(
+        parts, edges, edges[1:], strict=False)], 1)
     breaks = np.r_[True, (np.diff(at) > 1) | (np.diff(text[at]) != 0)] if len(at) else keep
     lengths = np.diff(np.r_[np.flatnonzero(breaks), len(at)])
     flat = features.ravel()
@@ -175,8 +176,9 @@ def fit(labelled: DataFrame) -> Model:
     weights, transitions = crf.fit(WEIGHTS, emission, gradient, lengths, labels[at], STEPS, RATE,
                                    DECAY)
     weights = weights.astype(np.float32)
-    p = token_marginals(weights, transitions, hashes, text, len(toxic))
-    x = summary(p, text, len(toxic))
+    x = np.concatenate([
+        summary(token_marginals(weights, transitions, h, own, end - first), own, end - first)
+        for first, end, own, h in parts])
     weight = np.where(toxic == 1, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean()))
     return Model(weights, transitions, *crf.calibrate(x, toxic, weight))
 
