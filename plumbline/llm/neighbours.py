@@ -22,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PROJECTIONS = 128
+PROJECTIONS = 64
 #: Half width of a window in units of the radius.
-WIDTH = 1.2
+WIDTH = 1.0
 #: Probability that a vector at the radius reaches the threshold.
 RECALL = 0.98
 #: First radius and its growth, in units where lifted vectors have length 1.
-FIRST, GROWTH = 0.2, 1.25
-BLOCK, QUERIES = 16384, 1024
+FIRST, GROWTH = 0.6, 1.25
+BLOCK, QUERIES = 8192, 1024
 
 FOUND = "query_id long, vec_id long, score double"
 
@@ -60,8 +60,7 @@ class Index:
         self.directions = np.random.default_rng(20240229).standard_normal(
             (vectors.shape[1] + 1, projections))
         values = lift(vectors, largest) @ self.directions
-        self.order = [np.argsort(values[:, j], kind="stable").astype(np.int32)
-                      for j in range(projections)]
+        self.order = [np.argsort(values[:, j], kind="stable") for j in range(projections)]
         self.sorted = [values[o, j] for j, o in enumerate(self.order)]
         self.largest = largest
         self.need = threshold(projections, WIDTH, RECALL)
@@ -79,6 +78,7 @@ class Index:
         score = [np.zeros(0) for _ in ids]
         known = [np.zeros(0, np.int64) for _ in ids]
         radius = np.full(len(queries), FIRST)
+        slack = 1e-12 * self.largest * self.vectors.shape[1]  # rounding of a product
         active = np.arange(len(queries))
         while len(active):
             half = WIDTH * radius[active]
@@ -99,8 +99,14 @@ class Index:
                 new = np.flatnonzero((counts[q] >= self.need) & ~checked[q])
                 checked[q, new] = True
                 new = new[self.ids[new] != ids[q]]
+                # One product for all; those that may be among the best are then summed row by
+                # row, so that equal vectors get equal scores.
+                found = self.vectors[new] @ queries[q]
+                if len(score[q]) + len(new) > k:
+                    both = np.r_[score[q], found]
+                    limit = np.partition(both, -k)[-k]
+                    new = new[found >= limit - slack * length[q]]
                 known[q] = np.r_[known[q], new]
-                # Row by row, so that equal vectors get equal scores.
                 score[q] = np.r_[score[q], (self.vectors[new] * queries[q]).sum(1)]
                 if len(known[q]) > k:
                     best = np.lexsort((self.ids[known[q]], -score[q]))[:k]
