@@ -35,8 +35,12 @@ from plumbline.llm.tables import kept, pieces, remainder
 
 #: Training tokens per filter block: an upper bound of its expected bigrams.
 BLOCK_TOKENS = 1 << 20
-#: Bits of the filter per training token, and probes per entry.
-BITS_PER_TOKEN, PROBES = 5, 4
+#: Probes per entry, and how often a bigram that was never counted may be found: its bound, which a
+#: filter reaches if no bigram repeats. Repeated ones make fewer entries than tokens.
+PROBES, FALSE_POSITIVES = 4, 0.01
+#: Bits of the filter per training token that keep the bound, 10.5. A count has no more steps than
+#: occurrences, so the entries of a filter are at most its tokens.
+BITS_PER_TOKEN = -PROBES / math.log(1 - FALSE_POSITIVES ** (1 / PROBES))
 #: Base of the quantised counts.
 LOG_BASE = 1.5
 #: Largest broadcast.
@@ -213,7 +217,7 @@ def learn(texts: DataFrame) -> Model | None:
     if not total:
         return None
     blocks = -(-total // BLOCK_TOKENS)
-    block_bytes = max(64, -(-min(total, BLOCK_TOKENS) * BITS_PER_TOKEN // 8))
+    block_bytes = max(64, math.ceil(min(total, BLOCK_TOKENS) * BITS_PER_TOKEN / 8))
 
     def build(table: pa.Table) -> pa.Table:
         parts = []

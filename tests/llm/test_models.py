@@ -147,6 +147,16 @@ def test_language_model_reads_quantised_counts_back(spark, make):
     assert language_model.score_held_out(make([])).count() == 0
 
 
+def test_language_model_rarely_finds_absent_bigrams(make):
+    draw = np.random.default_rng(6)
+    texts = [" ".join(f"w{i}" for i in draw.integers(0, 5000, 400)) for _ in range(150)]
+    model = language_model.learn(make(texts).select("text"))
+    absent = draw.integers(0, 1 << 63, 200_000).astype(np.uint64)
+    found = (model.steps(absent) > 0).mean()
+    assert found <= language_model.FALSE_POSITIVES + 0.002
+    assert model.block_bytes * 8 >= 8 * model.total
+
+
 def brute_licenses(text, templates, threshold, block):
     low = (text or "").translate(FOLD)
     words, lines = [], []
