@@ -97,20 +97,20 @@ def tokens_in(texts: DataFrame) -> int:
     return texts.mapInArrow(run, "n long").agg(F.sum("n").alias("n")).first().n or 0
 
 
-#: Distinct bigrams that a counting task holds before it hands them on.
+#: Bigrams that a counting task holds. It sums them when they are so many, and hands them on only if
+#: more than half are left: a bigram leaves a task once for at least HELD tokens.
 HELD = 1 << 21
 
 
 def bigram_counts(texts: DataFrame, blocks: int) -> DataFrame:
     """Bigrams of a task's texts with their counts, packed for each filter block."""
-    def packed(parts: list[tuple]) -> pa.RecordBatch:
-        before, word, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+    def packed(before: np.ndarray, word: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
         block = (joint(before, word) >> np.uint64(20)) % np.uint64(blocks)
         order = np.lexsort((before, block))  # equal words before stand together and compress well
         before, word, count, block = before[order], word[order], count[order], block[order]
         edges = np.r_[0, np.flatnonzero(np.diff(block)) + 1, len(block)]
         blobs = [pa.compress(before[a:b].tobytes() + word[a:b].tobytes()
-                             + count[a:b].astype("<u4").tobytes(), "zstd", asbytes=True)
+                             + count[a:b].astype("<i8").tobytes(), "zstd", asbytes=True)
                  for a, b in zip(edges[:-1], edges[1:], strict=True)]
         return pa.RecordBatch.from_arrays(
             [pa.array(block[edges[:-1]].astype(np.int64)),
@@ -124,14 +124,14 @@ def bigram_counts(texts: DataFrame, blocks: int) -> DataFrame:
                 before, word, _ = sequence(data, bounds)
                 parts.append((before, word, np.ones(len(word), np.int64)))
                 held += len(word)
-                if held >= 2 * HELD:
-                    parts = [summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
-                    held = len(parts[0][0])
                 if held >= HELD:
-                    yield packed(parts)
-                    parts, held = [], 0
+                    parts = [merged(parts)]
+                    held = len(parts[0][0])
+                    if held > HELD // 2:
+                        yield packed(*parts[0])
+                        parts, held = [], 0
         if parts:
-            yield packed([summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))])
+            yield packed(*merged(parts))
 
     return texts.mapInArrow(run, "block long, n long, data binary")
 
@@ -145,6 +145,11 @@ def summed(before: np.ndarray, word: np.ndarray, count: np.ndarray) -> tuple:
     return before[first], word[first], total
 
 
+def merged(parts: list[tuple]) -> tuple:
+    """The parts' bigrams, each once."""
+    return summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+
 _OPEN: dict[str, np.ndarray] = {}
 
 
@@ -220,12 +225,17 @@ def learn(texts: DataFrame) -> Model | None:
     block_bytes = max(64, math.ceil(min(total, BLOCK_TOKENS) * BITS_PER_TOKEN / 8))
 
     def build(table: pa.Table) -> pa.Table:
-        parts = []
+        parts, held, limit = [], 0, BLOCK_TOKENS
         for blob, n in zip(table["data"], table["n"].to_pylist(), strict=True):
-            raw = pa.decompress(blob.as_buffer(), 20 * n, "zstd", asbytes=True)
+            raw = pa.decompress(blob.as_buffer(), 24 * n, "zstd", asbytes=True)
             parts.append((np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, np.uint64, n, 8 * n),
-                          np.frombuffer(raw, "<u4", n, 16 * n).astype(np.int64)))
-        before, word, count = summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+                          np.frombuffer(raw, "<i8", n, 16 * n)))
+            held += n
+            if held >= limit:  # partial sums: a bigram of every task is held a few times
+                parts = [merged(parts)]
+                held = len(parts[0][0])
+                limit = max(BLOCK_TOKENS, 2 * held)
+        before, word, count = merged(parts)
         bits = np.zeros(block_bytes * 8, bool)
         pair, left = joint(before, word), quantise(count)
         step = 0

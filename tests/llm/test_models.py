@@ -157,6 +157,19 @@ def test_language_model_rarely_finds_absent_bigrams(make):
     assert model.block_bytes * 8 >= 8 * model.total
 
 
+def test_language_model_sends_a_bigram_once_per_flush(make, monkeypatch):
+    monkeypatch.setattr(language_model, "HELD", 1 << 18)
+    texts = make(["a " * 400_000] * 4 + ["a b"]).select("text").coalesce(1)
+    sent = language_model.bigram_counts(texts, 1).collect()
+    assert sum(r.n for r in sent) == 5  # begin a, a a, a end, a b, b end
+    monkeypatch.setattr(language_model, "BLOCK_TOKENS", 1 << 17)
+    model = language_model.learn(make(["a " * 400_000] * 4 + ["a b"]).select("text"))
+    a = language_model.sequence(np.frombuffer(b"a", np.uint8), np.array([0, 1]))[1][:1]
+    steps = language_model.quantise(np.array([4 * 399_999]))
+    assert model.steps(language_model.joint(a, a))[0] >= steps[0]
+    assert model.words(a)[0][0] == 4 * 400_000 + 1 and model.words(a)[1][0] == 3
+
+
 def brute_licenses(text, templates, threshold, block):
     low = (text or "").translate(FOLD)
     words, lines = [], []
