@@ -1,7 +1,8 @@
 """License scan: exact set-similarity join of text blocks with license templates.
 
-A block is a run of at most ``BLOCK`` words of one line; runs overlap by half, so a notice of up
-to half a block lies whole in one of them. A template is a set of words. A block matches a template
+A block is a run of at most ``BLOCK`` words; runs overlap by half, so a notice of up to half a block
+lies whole in one of them. Blocks are made of each line, and again of all words of the text, for
+notices that are wrapped over lines. A template is a set of words. A block matches a template
 if it contains at least ``threshold`` of its words. Tokens are ordered by their frequency in all
 documents, rarest first. If the overlap is large enough, a block must hold one of the template's
 first words in that order (prefix filter), hold enough template words at all (length filter), and
@@ -103,7 +104,8 @@ class Join:
 
     def matches(self, hashes: np.ndarray, line: np.ndarray
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(first word, words, template, containment) of all blocks that match; ``line`` rises."""
+        """(first word, words, template, containment) of all blocks that match; no block passes
+        from one value of ``line`` to the next, which rises."""
         n, half = len(hashes), self.block // 2
         hit, rank = self.find(hashes)
         if not len(hit):
@@ -176,7 +178,7 @@ def phrase_places(hashes: np.ndarray, text: np.ndarray, phrase: np.ndarray) -> n
 
 
 MATCHES = "array<struct<label:string,first:long,words:long,containment:double>>"
-SCHEMA = (f"doc_id long, n_words long, phrases {MATCHES}, blocks {MATCHES}")
+SCHEMA = (f"doc_id long, n_words long, phrases {MATCHES}, blocks {MATCHES}, wrapped {MATCHES}")
 
 
 def scan(documents: DataFrame, templates: list[tuple[str, str]] | None = None,
@@ -185,8 +187,10 @@ def scan(documents: DataFrame, templates: list[tuple[str, str]] | None = None,
     """All phrase places and all template matches of every whole text.
 
     ``documents`` has doc_id and text; other columns are not read. Rows: doc_id, n_words,
-    ``phrases`` (label, first word, words, 1.0) and ``blocks`` (label, first word and words of the
-    block, containment), both in text order and then in the order of the lists given. A null text
+    ``phrases`` (label, first word, words, 1.0), ``blocks`` (label, first word and words of the
+    block, containment) of blocks of single lines, and ``wrapped``, the same of those blocks of the
+    whole text that pass a line end, all in text order and then in the order of the lists given. A
+    notice of up to half a block lies whole in a block of one of the two kinds. A null text
     counts as empty and matches nothing; a null doc_id stays null; repeated rows give repeated
     results; an empty table gives no rows; blocks that match several templates are listed for each.
     """
@@ -213,21 +217,24 @@ def scan(documents: DataFrame, templates: list[tuple[str, str]] | None = None,
                 hashes = T.span_hash(T.prefix(data, T.FOLDED), start, stop)
                 begins = np.searchsorted(text, np.arange(n))
                 line = np.cumsum(data == 10)[start] + text if len(start) else start
-                exact, similar = [], []
+                exact, similar, wrapped = [], [], []
                 for number, (phrase, label) in enumerate(fixed):
                     for at in phrase_places(hashes, text, phrase).tolist():
                         own = int(text[at])
                         exact.append((own, at - int(begins[own]), len(phrase), number, label, 1.0))
-                for at, words, number, share in zip(*(x.tolist() for x in join.matches(
-                        hashes, line)), strict=True):
-                    own = int(text[at])
-                    similar.append((own, at - int(begins[own]), words, number,
-                                    join.labels[number], share))
+                for found, within in (similar, line), (wrapped, text):
+                    for at, words, number, share in zip(*(x.tolist() for x in join.matches(
+                            hashes, within)), strict=True):
+                        if found is wrapped and line[at] == line[at + words - 1]:
+                            continue
+                        own = int(text[at])
+                        found.append((own, at - int(begins[own]), words, number,
+                                      join.labels[number], share))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, n),
                      pa.array(np.bincount(text, minlength=n).astype(np.int64)),
-                     listed(exact, n), listed(similar, n)],
-                    ["doc_id", "n_words", "phrases", "blocks"])
+                     listed(exact, n), listed(similar, n), listed(wrapped, n)],
+                    ["doc_id", "n_words", "phrases", "blocks", "wrapped"])
 
     return rows.mapInArrow(run, SCHEMA)
 
@@ -236,10 +243,11 @@ def labelled(found: DataFrame) -> DataFrame:
     """One line per document from ``scan``: places, labels and the best containment."""
     first = F.col("phrases.first")
     joined = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
-    both = F.concat(F.col("phrases.label"), F.col("blocks.label"))
-    share = F.concat(F.col("phrases.containment"), F.col("blocks.containment"))
+    of_all = lambda field: F.concat(*[
+        F.col(f"{kind}.{field}") for kind in ("phrases", "blocks", "wrapped")])
     return found.select(
         "doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"),
         F.array_min(first).alias("first_word"), F.array_max(first).alias("last_word"),
-        joined(F.col("phrases.label")).alias("base_labels"), joined(both).alias("labels"),
-        F.coalesce(F.array_max(share), F.lit(0.0)).alias("score"))
+        joined(F.col("phrases.label")).alias("base_labels"),
+        joined(of_all("label")).alias("labels"),
+        F.coalesce(F.array_max(of_all("containment")), F.lit(0.0)).alias("score"))

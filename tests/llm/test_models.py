@@ -2,7 +2,9 @@
 
 import itertools
 import math
+import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -218,6 +220,44 @@ def test_license_scan_equals_brute_force(make, larger):
     assert licenses.scan(make(["x"]), templates=[], phrases={}).first().blocks == []
 
 
+def brute_wrapped(text, templates, threshold, block):
+    words, lines = [], []
+    for number, line in enumerate((text or "").translate(FOLD).split("\n")):
+        own = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", line)
+        words += own
+        lines += [number] * len(own)
+    found = set()
+    for at in range(0, len(words), block // 2):
+        part = set(words[at:at + block])
+        if lines[at] == lines[at:at + block][-1]:
+            continue
+        for t, label in templates:
+            want = set(t.split())
+            if len(want & part) >= threshold * len(want) - 1e-9:
+                found.add((label, at, len(want & part) / len(want)))
+    return found
+
+
+def test_license_scan_finds_wrapped_notices(make):
+    draw = random.Random(8)
+    texts, labels = [None, "", "\n\n", "one line"], [None] * 4
+    for notice, label in licenses.TEMPLATES:
+        for width in (30, 70, 80):
+            before = " ".join(f"x{draw.randrange(99)}" for _ in range(draw.randrange(150)))
+            for sign in ("\n", "\n * ", "\r\n# "):
+                texts.append(sign.join(textwrap.wrap(f"{before} {notice} and more", width)))
+                labels.append(label)
+    grant = licenses.TEMPLATES[1][0].split()
+    texts.append(" ".join(grant[:14]) + "\n" + " ".join(grant[14:]))
+    labels.append("mit")
+    found = licenses.scan(make(texts))
+    for r in found.collect():
+        assert {(b.label, b.first, b.containment) for b in r.wrapped} == brute_wrapped(
+            texts[r.doc_id], licenses.TEMPLATES, licenses.THRESHOLD, licenses.BLOCK)
+    for r in licenses.labelled(found).collect():
+        assert (labels[r.doc_id] or "") in r.labels.split(",")
+
+
 def test_pipeline_stages(spark, sf, corpus):
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["toxicity", "quality classifier", "n-gram Jaccard join",
