@@ -7,7 +7,8 @@ if it contains at least ``threshold`` of its words. Tokens are ordered by their
 documents, rarest first. If the overlap is large enough, a block must hold one of the template's
 first words in that order (prefix filter), hold enough template words at all (length filter), and
 leave enough words after the first shared one on both sides (positional filter). The pairs left
-are compared in full, so the join is exact.
+are compared in full, so the join is exact. Of these, a short template's pairs count only if the block
+holds the words that name its license (``REQUIRED``).
 """
 
 from __future__ import annotations
@@ -54,6 +55,18 @@ TEMPLATES = [
      "without fee is hereby granted", "isc"),
 ]
 
+#: Words of a short template without which a block is no match, however many of the
+#: others it holds. They tell its notice from those of other licenses with the same wording.
+REQUIRED = {
+    "released under the mit license": "mit",
+    "licensed under the apache license version 2 0": "apache 2",
+    "licensed under cc by nc 4 0": "cc nc",
+    "creative commons attribution noncommercial 4 0 international license": "noncommercial",
+    "creative commons attribution 4 0 international license": "attribution",
+    "this work is licensed under the gnu general public license version 3": "gnu general 3",
+    "subject to the terms of the mozilla public license v 2 0": "mozilla 2",
+}
+
 
 def hashes_of(phrase: str) -> np.ndarray:
     data, bounds = T.utf8(pa.array([phrase]))
@@ -63,13 +76,18 @@ def hashes_of(phrase: str) -> np.ndarray:
 class Join:
     """Templates in the global order of their tokens, with the prefixes that candidates must hit."""
 
-    def __init__(self, templates: list[tuple[str, str]], threshold: float, block: int) -> None:
+    def __init__(self, templates: list[tuple[str, str]], threshold: float, block: int,
+                 required: dict[str, str]) -> None:
         self.threshold, self.block = threshold, block
         self.labels = [label for _, label in templates]
         self.sets = [np.unique(hashes_of(t)) for t, _ in templates]
         for words in self.sets:
             if not 0 < len(words) <= block // 2:
                 raise ValueError("a template needs 1 to block / 2 different words")
+        self.required = [np.unique(hashes_of(required.get(t, ""))) for t, _ in templates]
+        for words, own in zip(self.required, self.sets, strict=True):
+            if not np.isin(words, own).all():
+                raise ValueError("required words must be words of their template")
         self.vocabulary = np.unique(np.concatenate([*self.sets, np.zeros(0, np.uint64)]))
         self.order_by(np.zeros(len(self.vocabulary), np.int64))
 
@@ -81,6 +99,9 @@ class Join:
         self.need = np.array([math.ceil(self.threshold * len(s) - 1e-9) for s in self.sets])
         self.size = np.array([len(s) for s in self.sets])
         self.member = np.zeros((len(self.sets), size), bool)
+        self.core = np.zeros((len(self.sets), size), bool)
+        for number, words in enumerate(self.required):
+            self.core[number, self.rank[np.searchsorted(self.vocabulary, words)]] = True
         token, template, place = [], [], []
         for number, words in enumerate(self.sets):
             ranks = np.sort(self.rank[np.searchsorted(self.vocabulary, words)])
@@ -140,8 +161,10 @@ class Join:
         owner = np.repeat(np.arange(len(lead)), size[of_block])
         shared = np.bincount(owner, weights=self.member[of_template[owner], rank[words]],
                              minlength=len(lead))
+        core = np.bincount(owner, weights=self.core[of_template[owner], rank[words]],
+                           minlength=len(lead))
         share = shared / self.size[of_template]
-        ok = shared >= self.need[of_template]
+        ok = (shared >= self.need[of_template]) & (core == self.core.sum(1)[of_template])
         begin = blocks[of_block[ok]]
         return begin, block_end[first[of_block[ok]]] - begin, of_template[ok], share[ok]
 
@@ -183,7 +206,7 @@ SCHEMA = (f"doc_id long, n_words long, phrases {MATCHES}, blocks {MATCHES}, wrap
 
 def scan(documents: DataFrame, templates: list[tuple[str, str]] | None = None,
          phrases: dict[str, str] | None = None, threshold: float = THRESHOLD,
-         block: int = BLOCK) -> DataFrame:
+         block: int = BLOCK, required: dict[str, str] | None = None) -> DataFrame:
     """All phrase places and all template matches of every whole text.
 
     ``documents`` has doc_id and text; other columns are not read. Rows: doc_id, n_words,
@@ -194,7 +217,8 @@ def scan(documents: DataFrame, templates: list[tuple[str, str]] | None = None,
     counts as empty and matches nothing; a null doc_id stays null; repeated rows give repeated
     results; an empty table gives no rows; blocks that match several templates are listed for each.
     """
-    join = Join(TEMPLATES if templates is None else templates, threshold, block)
+    join = Join(TEMPLATES if templates is None else templates, threshold, block,
+                REQUIRED if required is None else required)
     known = PHRASES if phrases is None else phrases
     fixed = [(hashes_of(p), label) for p, label in known.items()]
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

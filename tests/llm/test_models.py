@@ -232,8 +232,8 @@ def brute_wrapped(text, templates, threshold, block):
         if lines[at] == lines[at:at + block][-1]:
             continue
         for t, label in templates:
-            want = set(t.split())
-            if len(want & part) >= threshold * len(want) - 1e-9:
+            want, core = set(t.split()), set(licenses.REQUIRED.get(t, "").split())
+            if len(want & part) >= threshold * len(want) - 1e-9 and core <= part:
                 found.add((label, at, len(want & part) / len(want)))
     return found
 
@@ -258,6 +258,27 @@ def test_license_scan_finds_wrapped_notices(make):
         assert (labels[r.doc_id] or "") in r.labels.split(",")
 
 
+def test_license_scan_needs_the_words_that_name_a_license(make):
+    expected = {
+        "Released under the GPL license": "", "released under an mit license": "mit",
+        "Creative Commons Attribution 4.0 International License": "cc-by",
+        "Creative Commons Attribution\n4.0 International License": "cc-by",
+        "licensed under CC BY 4.0": "", "licensed under CC BY-NC 4.0": "cc-by-nc",
+        "Creative Commons 4.0 International License": "",
+        "Licensed under the Foo License, Version 2.0": "",
+        "Licensed under the Apache License, Version 1.0": "",
+        "Licensed under an Apache License, Version 2.0": "apache-2",
+        "This work is licensed under the GNU General Public License version 2": "",
+        "This work is licensed under GNU General Public License version 3": "gpl-3",
+        "subject to the terms of the Eclipse Public License v 2.0": "",
+        "subject to terms of the Mozilla Public License v 2.0": "mpl-2"}
+    found = licenses.labelled(licenses.scan(make(list(expected)), phrases={}))
+    got = {r.doc_id: r.labels for r in found.collect()}
+    assert [got[i] for i in range(len(expected))] == list(expected.values())
+    with pytest.raises(ValueError):
+        licenses.Join([("a b", "x")], 0.8, 64, {"a b": "c"})
+
+
 def test_pipeline_stages(spark, sf, corpus):
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["toxicity", "quality classifier", "n-gram Jaccard join",
