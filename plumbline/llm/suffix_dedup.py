@@ -11,9 +11,11 @@ all but the earliest document lose the whole context. Within a task this happens
 sent, so a passage in a third of all documents arrives once per sending task.
 
 Comparison. Where an anchor has several different contexts, the earliest document of each sends it in
-two halves, each dealt by the bytes that all its windows share: a frequent anchor in ever new
-surroundings spreads over all tasks, and halves that no other document has are left out. A task cuts them into shards, builds the transform of each shard, and merges
-the transforms by refining their interleave: each round sorts the interleave stably by the symbol
+two halves, each dealt by the bytes that all its windows share; halves that no other document has are
+left out. An anchor with more than ``HOT`` contexts, as of a frequent line in ever new surroundings,
+would bring them all to one task: instead each of its windows is dealt by 128 bits of its own hash,
+and tasks hand on the least document of each. A task cuts contexts into shards, builds the transform
+of each shard, and merges the transforms by refining their interleave: each round sorts the interleave stably by the symbol
 that precedes each suffix, which orders it by one symbol more, and splits the blocks of suffixes
 that agree so far. No suffix is sorted again. After LENGTH rounds a block is an interval whose
 common prefix has at least LENGTH bytes, that is a repeated string, and the least document in it
@@ -40,6 +42,11 @@ GRAM = 24
 #: Bytes of text whose anchors a task holds, of text per anchor group, of contexts per group, and
 #: of a shard.
 HELD, GROUP, MERGED, SHARD = 8 << 20, 16 << 20, 1 << 20, 64 << 10
+#: Different contexts of an anchor beyond which their windows are compared one by one.
+HOT = 1 << 13
+#: Occurrences of an anchor beyond which they are dealt by context too, as far as one in
+#: ``SAMPLED`` rows shows them; that says where they go and not what is found.
+FREQUENT, SAMPLED = 1 << 18, 64
 
 
 def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -113,12 +120,42 @@ SENT = [np.uint32, np.uint64, np.int64, np.int64, np.int32]
 DONE = [np.int64, np.int32]
 
 
-def send_anchors(docs: DataFrame, groups: int, length: int, gram: int) -> DataFrame:
-    """Anchors of all texts, packed for each group. ``docs``: doc_id, row_key, text."""
+def frequent(docs: DataFrame, length: int, gram: int) -> np.ndarray:
+    """Anchors with about ``FREQUENT`` occurrences or more; at most all anchors / ``FREQUENT``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+
+        def counted() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(parts), return_counts=True)
+            keys, n = keys[n > 1], n[n > 1]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+
+        for batch in pieces(batches):
+            for _, _, data, bounds in T.slices(batch.column(0)):
+                parts.append(anchors(data, bounds, length, gram)[2])
+                held += len(data)
+                if held >= HELD:
+                    yield counted()
+                    parts, held = [], 0
+        if parts:
+            yield counted()
+
+    rows = docs.where(F.pmod("row_key", F.lit(SAMPLED)) == 0).select("text")
+    found = rows.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    keys = found.where(F.col("n") * SAMPLED >= FREQUENT).select("key").toArrow()["key"]
+    return np.sort(keys.to_numpy().view(np.uint64))
+
+
+def send_anchors(docs: DataFrame, groups: int, length: int, gram: int, often: np.ndarray
+                 ) -> DataFrame:
+    """Anchors of all texts, packed for each group. ``docs``: doc_id, row_key, text. The anchors
+    ``often`` are dealt by their contexts too."""
     def packed(parts: list[tuple]) -> pa.RecordBatch:
         key, context, doc, row, place = (np.concatenate(x) for x in zip(*parts, strict=True))
         gone = settle(key, context, doc)
-        group = ((key >> np.uint64(16)) % np.uint64(groups)).astype(np.int64)
+        deal = np.where(np.isin(key, often), T.mix(key ^ context), key) if len(often) else key
+        group = ((deal >> np.uint64(16)) % np.uint64(groups)).astype(np.int64)
         order = np.argsort(group, kind="stable")
         cuts = np.searchsorted(group[order], np.arange(groups + 1))
         rows = []
@@ -170,9 +207,10 @@ FOUND = "target long, n_gone long, n_asked long, gone binary, asked binary"
 PLACES = [np.int64, np.int32]
 
 
-def compare_anchors(table: pa.Table, groups: int) -> pa.Table:
+def compare_anchors(table: pa.Table, groups: int, often: np.ndarray, most: int) -> pa.Table:
     """Of one group of anchors: places whose whole context goes, and contexts to be compared,
-    packed for each of ``groups`` groups of rows."""
+    packed for each of ``groups`` groups of rows. Places p of anchors with more than ``most``
+    contexts, and of those ``often`` seen, are given as -1 - p."""
     live, dead = [], []
     for n_live, n_dead, a, b in zip(table["n_live"].to_pylist(), table["n_dead"].to_pylist(),
                                     table["live"], table["dead"], strict=True):
@@ -187,13 +225,16 @@ def compare_anchors(table: pa.Table, groups: int) -> pa.Table:
     k, d = key[order], doc[order]
     head = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else k
     size = np.diff(np.r_[head, len(k)])
-    several = np.zeros(len(k), bool)
+    several = hot = np.zeros(len(k), bool)
     if len(k):
         spread_docs = d[np.r_[head[1:], len(k)] - 1] > d[head]
-        several = np.repeat(spread_docs, size)
+        # Other contexts of an anchor seen often may be in other groups.
+        dealt = np.isin(k[head], often.astype(np.uint32))
+        several = np.repeat(spread_docs | dealt, size)
+        hot = np.repeat((size > most) | dealt, size)[several]
     asked = order[several]
     lost = [np.r_[row[gone], dead_row], np.r_[place[gone], dead_place]]
-    open_ = [row[asked], place[asked]]
+    open_ = [row[asked], np.where(hot[:len(asked)], -1 - place[asked], place[asked])]
     out = []
     cuts = []
     for columns in (lost, open_):
@@ -248,6 +289,13 @@ def sides(raw: bytes, place: int, length: int, gram: int) -> Iterator[tuple[int,
                max(0, place - length + gram), min(len(raw), place - half - 1 + length))
 
 
+def window_starts(places: np.ndarray, n: int, length: int, gram: int) -> np.ndarray:
+    """Starts of all windows in n bytes that hold one of the anchors."""
+    start, end = spans_of(n, np.maximum(0, places - (length - gram)),
+                          np.minimum(places, n - length) + 1)
+    return T.spread(start, end - start)
+
+
 def several_docs(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """True where a key occurs with more than one document."""
     order = np.lexsort((doc, key))
@@ -377,11 +425,17 @@ def dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
     docs = whole.select("doc_id", key, "text")
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     groups = max(1, -(-total // GROUP))
-    anchored = send_anchors(docs, groups, length, gram).groupBy("group").applyInArrow(
-        lambda table: compare_anchors(table, groups), FOUND)
+    often = frequent(docs, length, gram)
+    anchored = send_anchors(docs, groups, length, gram, often).groupBy("group").applyInArrow(
+        lambda table: compare_anchors(table, groups, often, HOT), FOUND)
     found = kept(anchored.groupBy("target").applyInArrow(by_row, BY_ROW), "anchors")
-    asked = found.where(F.size("asked") > 0).select("row_key", "asked")
-    n_asked = asked.agg(F.sum(F.size("asked")).alias("n")).first().n or 0
+    single = found.select("row_key", F.filter("asked", lambda p: p >= 0).alias("asked"),
+                          F.transform(F.filter("asked", lambda p: p < 0), lambda p: -1 - p
+                                      ).alias("hot"))
+    asked = single.where(F.size("asked") > 0).select("row_key", "asked")
+    by_window = single.where(F.size("hot") > 0).select("row_key", "hot")
+    sizes = single.agg(F.sum(F.size("asked")).alias("n"), F.sum(F.size("hot")).alias("hot")).first()
+    n_asked = sizes.n or 0
     reach = 2 * (length + (length - gram) // 2)  # of both sides together
     merges = max(1, -(-n_asked * reach // MERGED))
     width = length - gram
@@ -419,6 +473,20 @@ def dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
                     strict=True)],
                 ["merge", "side", "doc_id", "row_key", "start", "context"])
 
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            doc_ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for i in range(batch.num_rows):
+                n = batch.column(2)[i].as_py()
+                raw = pa.decompress(batch.column(3)[i].as_buffer(), n, "zstd", asbytes=True)
+                at = window_starts(batch.column(4)[i].values.to_numpy().astype(np.int64), n, length,
+                                   gram)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([xxhash.xxh3_128_digest(raw[a:a + length]) for a in at.tolist()],
+                              pa.binary()),
+                     pa.array(np.repeat(doc_ids[i], len(at))), pa.array(np.repeat(keys[i], len(at))),
+                     pa.array(at.astype(np.int32))], ["window", "doc_id", "row_key", "start"])
+
     def compare(table: pa.Table) -> pa.Table:
         table = table.filter(pa.array(several_docs(table["side"].to_numpy(),
                                                    table["doc_id"].to_numpy())))
@@ -435,6 +503,15 @@ def dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
         "doc_id", "row_key", "n", "data", "asked").mapInArrow(
         contexts, "merge long, side long, doc_id long, row_key long, start int, context binary"
         ).groupBy("merge").applyInArrow(compare, "row_key long, windows array<int>"), "windows")
+    if sizes.hot:
+        seen = kept(shrunk(docs).join(by_window, "row_key").select(
+            "doc_id", "row_key", "n", "data", "hot").mapInArrow(
+            hashed, "window binary, doc_id long, row_key long, start int"), "hot-windows")
+        least = kept(seen.groupBy("window").agg(
+            F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where(
+            "least < most").select("window", "least"), "least")
+        compared = compared.unionAll(seen.join(least, "window").where("doc_id > least").groupBy(
+            "row_key").agg(F.collect_set("start").alias("windows")))
     windows = compared.groupBy("row_key").agg(
         F.flatten(F.collect_list("windows")).alias("windows"))
     per_row = found.select("row_key", "gone").join(windows, "row_key", "left")

@@ -137,6 +137,37 @@ def test_suffix_dedup_equals_brute_force(make, monkeypatch):
     assert suffix_dedup.dedup(make([])).count() == 0
 
 
+@pytest.mark.parametrize("often", [1 << 18, 100])
+def test_suffix_dedup_of_a_line_in_ever_new_surroundings(make, monkeypatch, often):
+    monkeypatch.setattr(suffix_dedup, "HOT", 20)
+    monkeypatch.setattr(suffix_dedup, "FREQUENT", often)
+    monkeypatch.setattr(suffix_dedup, "SAMPLED", 2)
+    monkeypatch.setattr(suffix_dedup, "GROUP", 8000)
+    monkeypatch.setattr(suffix_dedup, "MERGED", 3000)
+    compare = suffix_dedup.repeated
+    draw = random.Random(9)
+    word = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    lines = [word(n) for n in (40, 47, 60, 90)]
+    texts = [word(60) + draw.choice(lines) + draw.choice(["", "some", word(1)]) + word(60)
+             for _ in range(250)]
+    texts += [word(20) + lines[0] for _ in range(30)] + [lines[3]] * 3 + ["z" * 80] * 3
+    rows = list(enumerate(texts)) + [(None, texts[3]), (4, texts[9]), (4, texts[9])]
+    draw.shuffle(rows)
+    docs = make([t for _, t in rows], [i for i, _ in rows])
+
+    def bounded(contexts, docs, *rest):
+        assert len(contexts) <= 70, len(contexts)
+        return compare(contexts, docs, *rest)
+
+    monkeypatch.setattr(suffix_dedup, "repeated", bounded)
+    found = suffix_dedup.dedup(docs)
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+                  for r in found.collect())
+    assert got == brute_dedup(rows)
+    whole = docs.selectExpr("coalesce(doc_id, -1) doc_id", "xxhash64(doc_id, text) row_key", "text")
+    assert (len(suffix_dedup.frequent(whole, 50, 24)) > 0) == (often == 100)
+
+
 def test_merged_transforms_give_the_repeated_strings():
     draw = np.random.default_rng(4)
     shards = [draw.integers(1, 4, n).astype(np.uint16) for n in (40, 7, 90)]
