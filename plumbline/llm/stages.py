@@ -42,8 +42,7 @@ def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A character that lost some of its bytes goes; n_chars counts what is left.
     """
     small_batches(spark)
-    left = suffix_dedup.dedup(docs, carry=True)
-    text = F.try_validate_utf8(F.col("kept").cast("string"))
+    left = suffix_dedup.dedup(docs, carry=True, characters=True)
     columns = []
     for name in docs.columns:
         if name == "text":
@@ -52,9 +51,8 @@ def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             columns.append(F.length("left_text").cast(docs.schema[name].dataType).alias(name))
         else:
             columns.append(F.col("row." + quoted(name)).alias(name))
-    # make_valid_utf8 marks broken characters; those that the text had before stay.
-    return left.withColumn("left_text", F.coalesce(text, F.regexp_replace(
-        F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", ""))).select(*columns)
+    # Whole characters are removed, so what a text has of U+FFFD by itself stays.
+    return left.withColumn("left_text", F.col("kept").cast("string")).select(*columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -406,15 +406,26 @@ def spans_of(n: int, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
+def character_bounds(raw: bytes, start: np.ndarray, end: np.ndarray
+                     ) -> tuple[np.ndarray, np.ndarray]:
+    """The runs, widened to the bounds of the UTF-8 characters that they cut."""
+    inner = np.r_[(np.frombuffer(raw, np.uint8) & 0xC0) == 0x80, False]
+    for _ in range(3):  # a character has three bytes at most after its first
+        start = start - (inner[start] & (start > 0))
+        end = end + inner[end]
+    return start, end
+
+
 def dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
-          texts: bool = True, carry: bool = False) -> DataFrame:
+          texts: bool = True, carry: bool = False, characters: bool = False) -> DataFrame:
     """What is left of every whole text of ``documents`` (doc_id, text) without repeated strings.
 
     Rows, one for each given: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with
     ``texts``, kept (the remaining bytes). A null text counts as empty; texts shorter than
     ``length`` stay whole; null ids count as smaller than all others; rows of one id do not remove
     each other's strings; other columns are not read, unless ``carry`` puts all but the text into the
-    struct ``row``; an empty table gives no rows.
+    struct ``row``; an empty table gives no rows. With ``characters`` each removed run is widened to
+    whole UTF-8 characters.
     """
     extra = [F.struct(*[F.col(quoted(c)) for c in documents.columns if c != "text"]).alias("row")
              ] if carry else []
@@ -532,6 +543,8 @@ def dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
                     0, np.int64)
                 start, end = spans_of(n, np.r_[np.maximum(0, p - width), w],
                                       np.r_[np.minimum(n, p + length), w + length])
+                if characters:
+                    start, end = spans_of(n, *character_bounds(raw, start, end))
                 left = b"".join([raw[a:b] for a, b in zip([0, *end.tolist()],
                                                          [*start.tolist(), n], strict=True)])
                 out.append((batch.column(0)[i].as_py(), n, n - len(left), len(start),

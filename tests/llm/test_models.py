@@ -304,3 +304,12 @@ def test_pipeline_stages_on_odd_rows(spark, sf, make):
             assert after.count() <= docs.count()
     left = {r.doc_id: r.text for r in stages.unrepeated(spark, odd, sf).collect()}
     assert left[5] == "é" * 60 + "x" and left[6] == "y"
+
+
+def test_pipeline_dedup_keeps_replacement_characters(spark, sf, make):
+    passage = "".join(f"{i:x}-" for i in range(900, 920))
+    texts = ["\u00e9" + passage, "\ufffd \u0129" + passage + "\ufffd tail",  # both have byte A9
+             "\ufffd" + passage + "\u20ac", "\U0001f600" * 20 + "\u00e9" * 40, "\u00e9" * 40 + "\ufffd"]
+    left = {r.doc_id: r.text for r in stages.unrepeated(spark, make(texts), sf).collect()}
+    assert left == {0: texts[0], 1: "\ufffd \ufffd tail", 2: "\ufffd\u20ac", 3: texts[3],
+                    4: "\ufffd"}
