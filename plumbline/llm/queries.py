@@ -141,3 +141,10 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = table(spark, sf_dir, "embeddings")
     return search(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@query("op11_spelling")
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.spelling import group_variants
+
+    return group_variants(table(spark, sf_dir, "documents"))

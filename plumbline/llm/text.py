@@ -156,3 +156,96 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def cut_table(*ranges: tuple[int, int]) -> np.ndarray:
+    """True for the bytes of the given inclusive ranges."""
+    return ~byte_class(*ranges)
+
+
+#: A byte that is a character of its own and no letter or digit.
+BREAK = cut_table((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
+
+
+def _cut(data: np.ndarray, at: int, stop: int, end: int, here: np.ndarray, before: np.ndarray
+         ) -> int:
+    """The last place in (at, stop] before which a cut is allowed, else the first one after."""
+    step = 1 << 16
+    high = stop
+    while high > at:
+        low = max(at, high - step)
+        ok = np.flatnonzero(here[data[low + 1:high + 1]] & before[data[low:high]])
+        if len(ok):
+            return low + 1 + int(ok[-1])
+        high = low
+    low = stop
+    while low + 1 < end:
+        high = min(end - 1, low + step)
+        ok = np.flatnonzero(here[data[low + 1:high + 1]] & before[data[low:high]])
+        if len(ok):
+            return low + 1 + int(ok[0])
+        low = high
+    return end
+
+
+def parts(array, here: np.ndarray, before: np.ndarray | None = None, size: int = SLICE
+          ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool, bool]]:
+    """(row of each text, bytes, bounds, opens, closes) of about ``size`` bytes at once.
+
+    Short texts come whole and together. A longer text comes alone in consecutive parts, cut only
+    before a byte of ``here`` that follows a byte of ``before``, so memory does not follow the
+    longest text unless it has no such place; ``opens`` and ``closes`` mark its first and last part.
+    """
+    before = np.ones(256, bool) if before is None else before
+    data, bounds = utf8(array)
+    first, rows = 0, len(bounds) - 1
+    while first < rows:
+        at, end = int(bounds[first]), int(bounds[first + 1])
+        if end - at > size:
+            opens = True
+            while at < end:
+                stop = end if end - at <= size else _cut(data, at, at + size, end, here, before)
+                yield (np.array([first]), data[at:stop], np.array([0, stop - at]), opens,
+                       stop == end)
+                at, opens = stop, False
+            first += 1
+            continue
+        last = int(np.searchsorted(bounds, at + size, "right")) - 1
+        last = min(rows, max(last, first + 1))
+        yield (np.arange(first, last), data[at:bounds[last]], bounds[first:last + 1] - at, True,
+               True)
+        first = last
+
+
+def taken(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.StringArray:
+    """The spans as Arrow strings."""
+    length = end - start
+    offsets = np.zeros(len(start) + 1, np.int32)
+    np.cumsum(length, out=offsets[1:])
+    raw = data[spread(start, length)]
+    return pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets.tobytes()),
+                                       pa.py_buffer(raw.tobytes()))
+
+
+class Memo:
+    """Slots of distinct words in a process, forgotten as a whole when they hold too much."""
+
+    def __init__(self, limit: int = 48 << 20) -> None:
+        self.limit, self.slot, self.held = limit, {}, 0
+
+    def missing(self, keys: np.ndarray, weight: int = 160) -> np.ndarray:
+        """Places of the keys without a slot; all of them if the memo was full, and is now empty."""
+        if self.held > self.limit:
+            self.slot, self.held = {}, 0
+        known = self.slot
+        gone = np.flatnonzero([k not in known for k in keys.tolist()])
+        self.held += weight * len(gone)
+        return gone
+
+    def add(self, keys: np.ndarray) -> None:
+        at = len(self.slot)
+        self.slot.update(zip(keys.tolist(), range(at, at + len(keys)), strict=True))
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        known = self.slot
+        return np.array([known[k] for k in keys.tolist()], np.int64)
