@@ -148,3 +148,19 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumbline.llm.spelling import group_variants
 
     return group_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op12_language")
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.language_id import identify
+
+    return identify(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.alignment import align
+
+    return align(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                 vocabulary("piece_bpe_32k.model"), digests_only=True)
