@@ -33,10 +33,14 @@ from plumbline.llm.tokens import ByteEncoder
 HELD = 1 << 22
 #: Records of a block of a run, which is decompressed as a whole.
 BLOCK = 1 << 14
-#: Bytes of text for each radix, until each id of the second side has one.
+#: Bytes of text for each radix, and radixes at most, so that runs do not become tiny; beyond, salts
+#: split a radix further.
 RADIX_TEXT = 64 << 20
+RADIXES = 1024
 #: Records of one merge at most, beyond which a radix is salted.
 MERGED = 1 << 24
+#: Runs of counts that one merge takes at once.
+FAN = 64
 #: Ids of either side have to be below.
 IDS = 1 << 16
 
@@ -485,51 +489,77 @@ def encoded(documents: DataFrame, path_a: str, path_b: str, radixes: int, digest
         run, f"{LINE}, groups string, {RUN}")
 
 
-def pair_counts(runs: DataFrame) -> DataFrame:
-    """(radix, blocks, pairs) from runs (radix, salt, blocks): sorted pairs with counts and marks of the best.
+def pair_counts(runs: DataFrame, salts: int) -> DataFrame:
+    """(radix, pairs, blocks) from runs (radix, salt, blocks) with at most ``salts`` salts: the sorted
+    pairs of a radix with their counts, and marks of the best of each id.
 
-    A radix holds at most the pairs of its ids of the second side, 2**16 for each.
+    A radix holds the pairs of its ids of the second side, 2**16 at most for each.
     """
-    def count(group: pa.Table) -> pa.Table:
-        parts = list(merged_counts([((c, n) for c, n, _ in read_blocks(b, RUN_KINDS))
-                                    for b in group["blocks"].to_pylist()]))
-        code, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pa.table({"radix": group["radix"][:1],
+    def merge(group: pa.Table, kinds: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        return merged_counts([((x[0], x[1]) for x in read_blocks(b, kinds))
+                              for b in group["blocks"].to_pylist()])
+
+    def summed(group: pa.Table, kinds: list[str]) -> pa.Table:
+        code, n = (np.concatenate(x) for x in zip(*merge(group, kinds), strict=True))
+        return pa.table({"radix": group["radix"][:1], "salt": group["salt"][:1],
                          "blocks": pa.array([blocks_of([code, n])], pa.list_(pa.binary()))})
 
+    def count(group: pa.Table) -> pa.Table:
+        return summed(group, RUN_KINDS)
+
+    def again(group: pa.Table) -> pa.Table:
+        return summed(group, ["u4", "i8"])
+
     def best(group: pa.Table) -> pa.Table:
-        parts = list(with_best(merged_counts([((c, n) for c, n in read_blocks(b, ["u4", "i8"]))
-                                              for b in group["blocks"].to_pylist()])))
+        parts = list(with_best(merge(group, ["u4", "i8"])))
         code, n, top = (np.concatenate(x) for x in zip(*parts, strict=True))
         return pa.table({"radix": group["radix"][:1], "pairs": pa.array([len(code)], pa.int64()),
                          "blocks": pa.array([blocks_of([code, n, top])], pa.list_(pa.binary()))})
 
-    partial = runs.groupBy("radix", "salt").applyInArrow(count, "radix int, blocks array<binary>")
+    partial = runs.groupBy("radix", "salt").applyInArrow(
+        count, "radix int, salt int, blocks array<binary>")
+    while salts > FAN:  # merge by merge, so that no task gets more than FAN runs of counts
+        salts = -(-salts // FAN)
+        partial = partial.withColumn("salt", F.floor(F.col("salt") / FAN).cast("int")).groupBy(
+            "radix", "salt").applyInArrow(again, "radix int, salt int, blocks array<binary>")
     return partial.groupBy("radix").applyInArrow(
         best, "radix int, pairs long, blocks array<binary>")
 
 
 def shares(runs: DataFrame, counts: DataFrame) -> DataFrame:
-    """(row_id, n_best, count_sum) of each run's documents, from the counts of the run's radix."""
+    """(row_id, n_best, count_sum) of the documents, from the counts of each run's radix.
+
+    A run sends one row back; the runs of one spill, which hold the same documents, are added up
+    together.
+    """
+    kinds = ["u4", "i8", "i8"]
+
+    def added(row: np.ndarray, values: list[np.ndarray]) -> list[np.ndarray]:
+        by = np.argsort(row, kind="stable")
+        first = np.flatnonzero(np.r_[True, np.diff(row[by]) != 0])
+        return [row[by][first], *(np.add.reduceat(v[by], first) for v in values)]
+
     def back(run: pa.Table, known: pa.Table) -> pa.Table:
         columns = list(zip(*read_blocks(known["blocks"][0].as_py(), ["u4", "i8", "u1"]),
                            strict=True))
         code, n, top = (np.concatenate(c) for c in columns)
-        rows, best, total = ([np.zeros(0, np.int64)] for _ in range(3))  # a salt may have no run
-        for base, blocks in zip(run["base"].to_pylist(), run["blocks"].to_pylist(), strict=True):
+        out = []
+        for blocks in run["blocks"].to_pylist():  # none, if the salt has no run
             parts = [np.concatenate(c) for c in zip(*read_blocks(blocks, RUN_KINDS), strict=True)]
-            at = np.searchsorted(code, parts[0])
-            links, row = parts[1].astype(np.int64), parts[2]
-            by = np.argsort(row, kind="stable")
-            first = np.flatnonzero(np.r_[True, np.diff(row[by]) != 0])
-            rows.append(base + row[by][first].astype(np.int64))
-            best.append(np.add.reduceat((links * top[at])[by], first))
-            total.append(np.add.reduceat((links * n[at])[by], first))
-        return pa.table({"row_id": np.concatenate(rows), "n_best": np.concatenate(best),
-                         "count_sum": np.concatenate(total)})
+            at, links = np.searchsorted(code, parts[0]), parts[1].astype(np.int64)
+            out.append(blocks_of(added(parts[2], [links * top[at], links * n[at]])))
+        return pa.table({"base": run["base"], "blocks": pa.array(out, pa.list_(pa.binary()))})
+
+    def summed(group: pa.Table) -> pa.Table:
+        parts = [p for blocks in group["blocks"].to_pylist() for p in read_blocks(blocks, kinds)]
+        row, top, total = (np.concatenate(c) for c in zip(*parts, strict=True))
+        row, top, total = added(row, [top, total])
+        return pa.table({"row_id": group["base"][0].as_py() + row.astype(np.int64),
+                         "n_best": top, "count_sum": total})
 
-    return runs.groupBy("radix", "salt").cogroup(counts.groupBy("radix", "salt")).applyInArrow(
-        back, "row_id long, n_best long, count_sum long")
+    sent = runs.groupBy("radix", "salt").cogroup(counts.groupBy("radix", "salt")).applyInArrow(
+        back, "base long, blocks array<binary>")
+    return sent.groupBy("base").applyInArrow(summed, "row_id long, n_best long, count_sum long")
 
 
 def align(documents: DataFrame, path_a: str, path_b: str, digests_only: bool = False,
@@ -547,17 +577,18 @@ def align(documents: DataFrame, path_a: str, path_b: str, digests_only: bool = F
     """
     spark = documents.sparkSession
     size = documents.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    radixes = int(min(IDS, max(1, -(-size // radix_text))))
+    radixes = int(min(RADIXES, max(1, -(-size // radix_text))))
     rows = kept(encoded(documents, path_a, path_b, radixes, digests_only), "alignment")
     lines = rows.where("radix is null").select(
         "row_id", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups")
     runs = rows.where("radix is not null").select("radix", "base", "records", "blocks")
     salts = runs.groupBy("radix").agg(
         F.ceil(F.sum("records") / merged).cast("int").alias("salts"))
-    # At most one row for each id of the second side.
+    most = salts.agg(F.max("salts")).first()[0] or 1
+    # At most RADIXES rows.
     salted = runs.join(F.broadcast(salts), "radix").select(
         "radix", "base", "blocks", F.pmod(F.xxhash64("base"), F.col("salts")).cast("int").alias("salt"))
-    counts = kept(pair_counts(salted), "alignment-counts")
+    counts = kept(pair_counts(salted, most), "alignment-counts")
     dealt = counts.join(F.broadcast(salts), "radix").select(
         "radix", "blocks", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     back = shares(salted, dealt).groupBy("row_id").agg(

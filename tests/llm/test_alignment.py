@@ -109,6 +109,7 @@ def test_corpus_with_many_radixes_salts_and_small_blocks(spark, corpus, paths, m
     want = sorted(((r.doc_id, *line) for r, line in zip(
         rows, Plain(paths).align([r.text for r in rows]), strict=True)), key=str)
     assert found(A.align(frame, *paths)) == want
+    monkeypatch.setattr(A, "FAN", 3)  # several levels of merges
     assert found(A.align(frame, *paths, radix_text=1000, merged=50)) == want
     digest = {r.doc_id: r.groups_sha256 for r in A.align(frame, *paths, digests_only=True).collect()}
     assert digest == {w[0]: hashlib.sha256(w[-1].encode()).hexdigest() if w[-1] else ""
