@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumbline.functions.canonical import free_name
+from plumbline.functions.canonical import free_name, quoted
 
 
 def size0(arr: Column) -> Column:
@@ -55,9 +55,11 @@ def item_rollup(df: DataFrame, by: str, items: str = "items") -> DataFrame:
 
 def json_fields(df: DataFrame, json_col: str, fields: Mapping[str, str]) -> DataFrame:
     """Add one column per (name, type), read from a JSON object column in one parse."""
-    ddl = ", ".join(f"`{name}` {dtype}" for name, dtype in fields.items())
-    parsed = df.withColumn("_json", F.from_json(json_col, ddl))
-    return parsed.select(*df.columns, *[F.col(f"_json.`{n}`").alias(n) for n in fields])
+    ddl = ", ".join(f"{quoted(name)} {dtype}" for name, dtype in fields.items())
+    name = free_name("_json", df)
+    parsed = df.withColumn(name, F.from_json(F.col(quoted(json_col)), ddl))
+    return parsed.select(*[F.col(quoted(c)) for c in df.columns],
+                         *[F.col(f"{name}.{quoted(n)}").alias(n) for n in fields])
 
 
 def sort_json_keys(text: Column) -> Column:
@@ -72,13 +74,15 @@ def to_map_of_samples(samples: DataFrame, by: list[str], key: str, per_key: int)
     A list holds the first ``per_key`` rows of its (group, key) in the order of their values; the
     others are cut off before anything is collected, so each list is bounded.
     """
+    cols = lambda names: [F.col(quoted(c)) for c in names]
     rest = [c for c in samples.columns if c not in by and c != key]
-    place = free_name("place", samples)
-    first = Window.partitionBy(*by, key).orderBy(*rest)
+    place, rows = free_name("place", samples), free_name("rows", samples)
+    first = Window.partitionBy(*cols([*by, key])).orderBy(*cols(rest))
     kept = samples.withColumn(place, F.row_number().over(first)).filter(F.col(place) <= per_key)
-    lists = kept.groupBy(*by, key).agg(
-        F.array_sort(F.collect_list(F.struct(*rest))).alias("rows")
+    lists = kept.groupBy(*cols([*by, key])).agg(
+        F.array_sort(F.collect_list(F.struct(*cols(rest)))).alias(rows)
     )
-    return lists.groupBy(*by).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "rows")))).alias("samples")
+    pairs = F.struct(F.col(quoted(key)), F.col(rows).alias("rows"))
+    return lists.groupBy(*cols(by)).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(pairs))).alias("samples")
     )

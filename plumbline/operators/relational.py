@@ -123,12 +123,16 @@ def anti_nullsafe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Dat
 def zero_filled_counts(df: DataFrame, by: str, groups: DataFrame) -> DataFrame:
     """(by, row_count) for every wanted group, 0 where there are no rows.
 
-    Rows are counted before the join, so it joins one row per group.
+    Rows are counted before the join, so it joins one row per group. The count is ``row_count_`` where
+    the key has that name.
     """
-    counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("row_count"))
-    return groups.join(counts, by, "left").select(
-        by, F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count")
-    )
+    key, n = F.col(quoted(by)), "row_count"
+    counts = df.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n")).alias("c")
+    if by.lower() == n:
+        n = free_name(n, groups.select(key))
+    joined = groups.select(key.alias("k")).alias("g").join(
+        counts, F.col("g.k") == F.col("c.k"), "left")
+    return joined.select(F.col("g.k").alias(by), F.coalesce("c.n", F.lit(0)).cast("long").alias(n))
 
 
 # --- aggregations ---------------------------------------------------------------------
@@ -147,8 +151,16 @@ def latest_per_key(
 
     ``max_by`` is a partial aggregate, so a hot key is reduced before the shuffle.
     """
-    last = df.groupBy(key).agg(F.max_by(value, F.struct(*order)).alias(value))
-    return last if keys is None else keys.join(last, key, "left")
+    newest = F.struct(*[F.col(quoted(c)) for c in order])
+    last = df.groupBy(F.col(quoted(key)).alias("k")).agg(
+        F.max_by(F.col(quoted(value)), newest).alias("v"))
+    if keys is None:
+        return last.select(F.col("k").alias(key), F.col("v").alias(value))
+    own = keys.select(F.col(quoted(key)).alias("k"), F.struct(*[
+        F.col(quoted(c)) for c in keys.columns if c != key] or [F.lit(None)]).alias("rest")).alias("o")
+    rest = [F.col(f"o.rest.{quoted(c)}").alias(c) for c in keys.columns if c != key]
+    return own.join(last.alias("t"), F.col("o.k") == F.col("t.k"), "left").select(
+        F.col("o.k").alias(key), *rest, F.col("t.v").alias(value))
 
 
 def latest_row(
@@ -157,9 +169,10 @@ def latest_row(
     """The last row's fields per key, each with a default where the field is missing."""
     cols = [F.col(quoted(c)) for c in defaults]
     newest = F.struct(*[F.col(quoted(c)) for c in order])
-    last = df.groupBy(F.col(quoted(key))).agg(F.max_by(F.struct(*cols), newest).alias("_r"))
-    return last.select(quoted(key), *[F.coalesce(F.col(f"_r.{quoted(c)}"), d).alias(c)
-                                      for c, d in defaults.items()])
+    last = df.groupBy(F.col(quoted(key)).alias("k")).agg(
+        F.max_by(F.struct(*cols), newest).alias("r"))
+    return last.select(F.col("k").alias(key), *[F.coalesce(F.col(f"r.{quoted(c)}"), d).alias(c)
+                                                for c, d in defaults.items()])
 
 
 def ordered_concat(
@@ -178,6 +191,8 @@ def ordered_concat(
     same for all keys and the same in every run. Pieces of long keys are sorted over all tasks, so
     no task holds more than ``max_pieces`` of one key.
     """
+    if clash := {"part", out} & set(by):
+        raise ValueError(f"the result has columns of its own named {sorted(clash)}")
     pieces = df.select(*by, F.struct(*order, text.alias("_t")).alias("_p"))
     counts = pieces.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
     long_keys = counts.filter(F.col("n") > max_pieces).select(*by)
@@ -230,6 +245,13 @@ def first_rows(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFram
 
 # --- upsert ---------------------------------------------------------------------------
 
+def without(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key no source row has; a null key matches none."""
+    own = source.select(*[F.col(quoted(k)) for k in keys]).alias("s")
+    cond = [F.col(f"t.{quoted(k)}") == F.col(f"s.{quoted(k)}") for k in keys]
+    return target.alias("t").join(own, cond, "left_anti")
+
+
 def upsert(
     target: DataFrame, source: DataFrame, keys: Sequence[str], check: bool = False
 ) -> DataFrame:
@@ -240,8 +262,8 @@ def upsert(
     """
     if check and not dup_groups(source, keys).limit(1).isEmpty():
         raise ValueError(f"source holds several rows for one key {list(keys)}")
-    keep = target.join(source.select(*keys), list(keys), "left_anti")
-    return keep.select(*target.columns).unionByName(source.select(*target.columns))
+    cols = [F.col(quoted(c)) for c in target.columns]
+    return without(target, source, keys).select(*cols).unionByName(source.select(*cols))
 
 
 def delete_where(df: DataFrame, predicate: str) -> DataFrame:

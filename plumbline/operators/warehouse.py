@@ -109,26 +109,32 @@ def check_fk(
 
 def apply_default(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     return df.withColumns({
-        c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType)) for c, v in defaults.items()
+        c: F.coalesce(F.col(quoted(c)), F.lit(v).cast(df.schema[c].dataType))
+        for c, v in defaults.items()
     })
 
 
 def _changed(src: Column, source: T.DataType, new: Column, target: T.DataType) -> Column:
     """Does a converted value say something else than its source? Null where either is null.
 
-    Numbers, also those in text, are compared as decimals of 38 digits, which hold every bigint
-    and the digits of a double; where one does not fit, as doubles. Times compare as timestamps,
-    any other value after the way back to its own type. Text that becomes text keeps its value.
+    Values are compared after the way back to their own type. Numbers in text have none: they are
+    compared as decimals, as doubles, and by the digits that no decimal of the target's scale holds.
     """
     timed = (T.DateType, T.TimestampType, T.TimestampNTZType)
-    if isinstance(target, T.NumericType):
-        exact = src.try_cast("decimal(38,10)") != new.try_cast("decimal(38,10)")
-        return F.coalesce(exact, src.try_cast("double") != new.cast("double"))
-    if isinstance(target, timed):
-        return src.try_cast("timestamp") != new.cast("timestamp")
     if isinstance(source, (T.StringType, T.BinaryType)):
-        return src.cast("string") != new.cast("string")
-    return src != new.try_cast(source)
+        text = src.cast("string")
+        if isinstance(target, timed):
+            return text.try_cast("timestamp") != new.cast("timestamp")
+        if not isinstance(target, T.NumericType):
+            return text != new.cast("string")
+        scale = max(18, getattr(target, "scale", 0))
+        exact = text.try_cast(f"decimal(38,{scale})") != new.try_cast(f"decimal(38,{scale})")
+        rough = text.try_cast("double") != new.try_cast("double")
+        deeper = text.rlike(rf"^[^eE]*\.\d{{{scale}}}\d*[1-9]")
+        return F.coalesce(exact | rough | deeper, exact, rough)
+    if isinstance(target, timed) and isinstance(source, timed):
+        return src.cast("timestamp") != new.cast("timestamp")
+    return F.coalesce(src != new.try_cast(source), src.isNotNull() & new.isNotNull())
 
 
 def type_audit(df: DataFrame, wanted: Mapping[str, str]) -> DataFrame:

@@ -108,8 +108,8 @@ def json_option_rows(cfg: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def config_json_to_rows(cfg: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The config table with the named blob keys promoted to rows."""
-    return upsert(cfg, json_option_rows(cfg, names), CONFIG_KEYS)
+    """The config table with the named blob keys promoted to rows, which replace rows of that name."""
+    return config_save(cfg, json_option_rows(cfg, names))
 
 
 def config_migrate(

@@ -9,7 +9,7 @@ from plumbline.plans import config
 from plumbline.plans.catalog import query
 from plumbline.plans.derived import pair, with_pair
 from plumbline.session import scratch, table
-from plumbline.sources import readers, sinks
+from plumbline.sources import manifest, readers, sinks
 
 
 @query("sink_overwrite", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
@@ -103,6 +103,30 @@ def sink_upsert(spark, sf):
     return spark.table(name)
 
 
+@query("sink_upsert_files", with_pair("""
+    , new AS (SELECT DISTINCT * FROM pair WHERE o_orderkey % 1000 < 50 AND o_orderkey < (
+                SELECT max(o_orderkey) / 4 FROM orders))
+    SELECT *, TRUE AS others_kept FROM orders o
+      WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.o_orderkey = o.o_orderkey)
+    UNION ALL SELECT *, TRUE FROM new"""))
+def sink_upsert_files(spark, sf):
+    """Changes to keys of the first quarter: files without such a key keep their names, and there
+    are some; files with one are gone."""
+    target, changed = pair(spark, sf)
+    root = scratch(spark, "orders-files")
+    most = target.agg(F.max("o_orderkey")).first()[0]
+    quarter = F.least(F.floor(F.col("o_orderkey") * 4 / most), F.lit(3))
+    old = manifest.create(spark, root, target.filter(quarter == 0), ["o_orderkey"])
+    for k in (1, 2, 3):
+        old = manifest.append(spark, root, target.filter(quarter == k))
+    top = most / 4
+    rows = changed.distinct().filter(f"o_orderkey % 1000 < 50 AND o_orderkey < {top}")
+    found = set(manifest.touched(spark, old, rows, ["o_orderkey"]))
+    new = manifest.upsert_files(spark, root, rows, ["o_orderkey"])
+    kept = old.names - found <= new.names and not found & new.names
+    return manifest.read(spark, new).withColumn("others_kept", F.lit(kept))
+
+
 @query("sink_swap_table", "SELECT s_suppkey, s_name FROM supplier")
 def sink_swap_table(spark, sf):
     df = table(spark, sf, "supplier")

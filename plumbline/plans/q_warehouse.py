@@ -9,7 +9,7 @@ from plumbline.operators import warehouse as wh
 from plumbline.plans.catalog import query
 from plumbline.plans.derived import SALES_SQL, sales
 from plumbline.session import scratch, table
-from plumbline.sources import readers, sinks
+from plumbline.sources import manifest, readers, sinks
 
 
 @query("date_dim", """
@@ -201,6 +201,23 @@ def recluster_tail(spark, sf):
     return spark.read.parquet(path).select("o_orderkey", "o_orderdate", "year")
 
 
+@query("recluster_overlaps", """
+    SELECT o_orderkey, o_orderdate, o_totalprice, 1 AS depth, TRUE AS sorted_kept FROM orders""")
+def recluster_overlaps(spark, sf):
+    """Orders to 1997 are loaded in order and the rest in two uploads as they come; the files that
+    overlap are found by their ranges, and only these are sorted."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    tail = F.col("o_orderdate") >= F.expr("TIMESTAMP_NTZ '1997-01-01'")
+    root = scratch(spark, "orders-clustered")
+    first = manifest.create(spark, root, orders.filter(~tail), ["o_orderdate", "o_orderkey"])
+    for k in range(2):
+        old = manifest.append(spark, root, orders.filter(tail & (F.col("o_orderkey") % 2 == k)))
+    new = manifest.recluster(spark, root)
+    kept = first.names <= new.names and not (old.names - first.names) & new.names
+    return manifest.read(spark, new).withColumns({
+        "depth": F.lit(manifest.overlap_depth(spark, new)), "sorted_kept": F.lit(kept)})
+
+
 @query("compact", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderstatus <> 'F'")
 def compact(spark, sf):
     """Rows that a delete left behind in many small files are rewritten into few."""

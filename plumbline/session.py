@@ -54,6 +54,23 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/plumbline/{label}-{uuid.uuid4().hex}"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The path and its file system, whatever store it is in."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at, store = _hadoop(spark, path)
+    return store.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote; one that is gone already is fine."""
+    at, store = _hadoop(spark, path)
+    store.delete(at, True)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

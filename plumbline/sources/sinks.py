@@ -62,17 +62,25 @@ def with_hive_parts(df: DataFrame, ts: str) -> DataFrame:
     )
 
 
-def sink_hive_layout(df: DataFrame, path: str, ts: str) -> None:
-    """Files under ``year=/month=/day=/hour=``.
+def sink_batch(
+    df: DataFrame, path: str, parts: Sequence[str], order: Sequence[str], batch: int | str
+) -> None:
+    """One batch as files under ``<part>=.../batch=<batch>``.
 
-    The range exchange groups an hour's rows so each hour has few files; an hour, or one moment,
-    too large for one task is split. The hours that the rows name are replaced and the others
-    stay, so a repeated job leaves the same files' rows.
+    A range exchange groups the rows of a folder so that it has few files; a folder, or one value of
+    the order, too large for one task is split. Only folders of the same batch are replaced: a
+    repeated batch leaves what it left before, and a later batch of the same hour is added.
     """
-    parts = ["year", "month", "day", "hour"]
-    laid = range_spread(with_hive_parts(df, ts), *parts, ts)
+    if "batch" in {c.lower() for c in df.columns}:
+        raise ValueError("the frame has a column batch")
+    laid = range_spread(df, *parts, *order).withColumn("batch", F.lit(batch))
     laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *parts).parquet(path)
+        *parts, "batch").parquet(path)
+
+
+def sink_hive_layout(df: DataFrame, path: str, ts: str, batch: int | str = 0) -> None:
+    """Files under ``year=/month=/day=/hour=/batch=``, as by :func:`sink_batch`."""
+    sink_batch(with_hive_parts(df, ts), path, ["year", "month", "day", "hour"], [ts], batch)
 
 
 def sink_view(df: DataFrame, name: str) -> None:

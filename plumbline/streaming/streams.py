@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.canonical import quoted, row_mark
+from plumbline.functions.canonical import free_name, quoted, row_mark
+from plumbline.session import exists
+from plumbline.sources.sinks import sink_batch
 
 
 def file_stream(
@@ -62,7 +65,7 @@ def decode_json(
                           {"columnNameOfCorruptRecord": malformed})
     broken = F.coalesce(F.col(f"_m.{quoted(malformed)}"),
                         F.when(F.col("_m").isNull() | ~F.coalesce(
-                            F.ltrim(F.col("_t")).startswith("{"), F.lit(False)),
+                            F.ltrim(F.col("_t"), F.lit(" \t\n\r")).startswith("{"), F.lit(False)),
                             F.coalesce(F.col("_t"), F.lit(""))))
     rows = stream.select(message.alias("_m"), text.alias("_t"))
     return rows.select(F.col("_m").dropFields(malformed).alias("_m"), broken.alias(malformed)
@@ -106,6 +109,22 @@ def with_lake_parts(stream: DataFrame, ts: str) -> DataFrame:
     return stream.withColumns({"dt": F.to_date(ts), "hour": F.hour(ts)})
 
 
+def land_lake(
+    stream: DataFrame, path: str, checkpoint: str, ts: str, parts: Sequence[str] = ("dt", "hour")
+) -> None:
+    """Land everything available now under ``dt=/hour=/batch=``, then stop.
+
+    Each batch is dealt by range to tasks before it is written, so that an hour has few files, and
+    an hour too large for one task is split. A batch repeated after a failure replaces itself.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rest = [c for c in ("dt", "hour") if c not in parts]
+        sink_batch(with_lake_parts(batch, ts).drop(*rest), path, parts, [ts], batch_id)
+
+    stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(
+        availableNow=True).start().awaitTermination()
+
+
 def clickstream_counts(
     stream: DataFrame, ts: str, by: str, window: str = "1 day", delay: str = "1 hour"
 ) -> DataFrame:
@@ -134,6 +153,76 @@ def latest_update(spark: SparkSession, path: str, keys: Sequence[str], value: st
     return spark.read.parquet(path).groupBy(*keys).agg(F.max_by(value, "batch").alias(value))
 
 
+# --- late rows ------------------------------------------------------------------------
+
+
+def windows_with_late(
+    stream: DataFrame, out: str, checkpoint: str, ts: str, by: str, window: str = "1 day",
+    delay: str = "1 hour",
+) -> None:
+    """Rows per tumbling event-time window and type, and every late row set aside.
+
+    A row is late if its window had ended at the watermark: the latest time of all earlier batches
+    less ``delay``, the rule by which Spark's own windowed counts drop rows. Each batch is bounded by
+    the reader's option and leaves folders under its number: ``late`` (the rows as they came, and
+    rows without a time), ``closed`` (windows that can no longer change), ``open`` (the others, all
+    that the next batch needs), and ``mark``, written last. A batch repeated after a failure
+    replaces its folders and starts from the same earlier ones, so counted and late rows together
+    are the input.
+    """
+    spark = stream.sparkSession
+
+    def earlier(name: str, schema: str, batch_id: int) -> DataFrame:
+        if not exists(spark, f"{out}/{name}"):
+            return spark.createDataFrame([], f"{schema}, batch long")
+        return spark.read.schema(f"{schema}, batch long").parquet(f"{out}/{name}").where(
+            F.col("batch") < batch_id)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        def put(df: DataFrame, name: str) -> None:
+            df.write.mode("overwrite").parquet(f"{out}/{name}/batch={batch_id}")
+
+        rows, seen = free_name("rows", batch), Observation()
+        before = earlier("mark", "latest timestamp", batch_id).agg(
+            F.max("latest").alias("latest"), F.max("batch").alias("batch")).first()
+        span = F.window(F.col(quoted(ts)).cast("timestamp"), window)
+        ended = F.lit(before.latest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        late = F.coalesce(span.end <= ended, F.col(quoted(ts)).isNull())
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)  # one bounded batch
+        try:
+            put(kept.observe(seen, F.max(F.col(quoted(ts)).cast("timestamp")).alias("latest")).where(
+                late), "late")
+            latest = max((t for t in (before.latest, seen.get["latest"]) if t), default=None)
+            counts = kept.where(~late).groupBy(
+                span.start.alias("window_start"), F.col(quoted(by)).alias("type")).agg(
+                    F.count(F.lit(1)).alias(rows))
+            last = -1 if before.batch is None else before.batch
+            kind = f"window_start timestamp, type {batch.schema[by].dataType.simpleString()}, n long"
+            still = earlier("open", kind, batch_id).where(F.col("batch") == last).drop("batch")
+            now = counts.withColumnRenamed(rows, "n").unionByName(still).groupBy(
+                "window_start", "type").agg(F.sum("n").alias("n"))
+            closes = F.col("window_start") + F.expr(f"INTERVAL {window}") <= (
+                F.lit(latest).cast("timestamp") - F.expr(f"INTERVAL {delay}"))
+            put(now.where(F.coalesce(closes, F.lit(False))), "closed")
+            put(now.where(~F.coalesce(closes, F.lit(False))), "open")
+            put(spark.createDataFrame([(latest,)], "latest timestamp"), "mark")
+        finally:
+            kept.unpersist()
+
+    stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(
+        availableNow=True).start().awaitTermination()
+
+
+def counted_windows(spark: SparkSession, out: str, kind: str = "string") -> DataFrame:
+    """(window_start, type, n) of closed and open windows, as of the last whole batch."""
+    schema = f"window_start timestamp, type {kind}, n long, batch long"
+    last = spark.read.parquet(f"{out}/mark").agg(F.max("batch")).first()[0]
+    closed, still = (spark.read.schema(schema).parquet(f"{out}/{name}") for name in (
+        "closed", "open"))
+    return closed.where(F.col("batch") <= last).unionByName(
+        still.where(F.col("batch") == last)).drop("batch")
+
+
 # --- change data ----------------------------------------------------------------------
 
 
@@ -163,29 +252,14 @@ def land_changes(changes: DataFrame, path: str, checkpoint: str, key: str, seq:
     ).start().awaitTermination()
 
 
-def fold_changes(
-    spark: SparkSession, base: str, log: str, target: str, key: str, seq: str, op: str
-) -> list[int]:
-    """Write the next base, with all landed batches folded in, to a new folder.
-
-    Returns the numbers of the batches that it holds, so that the caller can retire exactly
-    these after switching to the new base. A rerun writes the same rows.
-    """
-    rows, landed = spark.read.parquet(base), spark.read.parquet(log)
-    batches = sorted(r.batch for r in landed.select("batch").distinct().collect())
-    taken = landed.filter(F.col("batch").isin(batches)).drop("batch")
-    apply_changes(rows, taken, key, seq, op).write.mode("overwrite").parquet(target)
-    return batches
-
-
 def apply_changes(
     base: DataFrame, changes: DataFrame, key: str, seq: str, op: str
 ) -> DataFrame:
     """The live rows of a table after all changes, without op and sequence number.
 
     Each key takes its change with the highest sequence number, so a stale change loses
-    whenever it arrives; untouched rows come through an anti join. Writing the result as the
-    next base folds the landed changes in.
+    whenever it arrives; untouched rows come through an anti join. ``changelog`` keeps such a table
+    with the landed changes folded in.
     """
     newest = newest_changes(changes, key, seq)
     live = newest.filter(F.col(op) != "D").select(*base.columns)
