@@ -142,6 +142,19 @@ def _total_columns() -> list[Column]:
     ]
 
 
+def _hash_columns(equal: Column, single: Column) -> list[Column]:
+    """Row-hash differences over a key census: a key whose rows are all equal is one distinct row, and
+    two unequal rows, one of each side, are two. The other keys are ``tangled``."""
+    nl, nr, one = F.col("n_left"), F.col("n_right"), F.lit(1)
+    pair = ~equal & single
+    return [
+        _sum_if((equal & (nr == 0)) | pair, one).alias("row_diff"),
+        _sum_if((equal & (nl == 0)) | pair, one).alias("only_right_rows"),
+        _sum_if(equal & (nl > 0) & (nr > 0) & (nl != nr), one).alias("copies_differ"),
+        _sum_if(~equal & ~single, one).alias("tangled"),
+    ]
+
+
 def census_totals(census: DataFrame) -> DataFrame:
     """The totals of a census as one row."""
     return census.agg(*_total_columns())
@@ -238,9 +251,9 @@ def with_keys(df: DataFrame, found: DataFrame, keys: Sequence[str], how: str) ->
 class KeyFindings:
     """What one pass over the keys and row fingerprints of both sides found.
 
-    ``marked`` holds (keys, n_left, n_right, differs) of the keys that differ or repeat on
-    both sides. It is a written table, so its size is known to the joins that use it and
-    nothing is computed twice.
+    ``marked`` holds (keys, n_left, n_right, differs, tangled) of the keys that differ, repeat on
+    both sides, or have several unequal rows. It is a written table, so its size is known to the
+    joins that use it and nothing is computed twice.
     """
 
     totals: dict[str, int]
@@ -259,6 +272,11 @@ class KeyFindings:
         return self.marked.filter("n_left > 1 AND n_right > 1").select(
             *columns(self.keys))
 
+    @property
+    def tangled(self) -> DataFrame:
+        """Keys of several rows that are not all equal: their rows have to be looked at."""
+        return self.marked.filter("tangled").select(*columns(self.keys))
+
 
 def scan_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> KeyFindings:
     """One job over (keys, row fingerprint) of both sides.
@@ -284,13 +302,18 @@ def scan_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> KeyFind
     unequal = F.lit(False)
     for h in FINGERPRINT:
         unequal = unequal | (F.col(f"lo_{h}") != F.col(f"hi_{h}"))
-    flagged = census.select(*columns(keys), "n_left", "n_right", (matched & unequal).alias("differs"))
+    each = (F.col("n_left") <= 1) & (F.col("n_right") <= 1)
+    flagged = census.select(*columns(keys), "n_left", "n_right", (matched & unequal).alias("differs"),
+                            (unequal & ~each).alias("tangled"), unequal.alias("unequal"))
     seen = Observation()
+    wanted = F.expr("differs OR tangled OR (n_left > 1 AND n_right > 1)")
     single = F.col("differs") & ~((F.col("n_left") > 1) & (F.col("n_right") > 1))
-    observed = flagged.observe(seen, *_total_columns(),
-                               _sum_if(single, F.lit(1)).alias("differing"))
+    observed = flagged.observe(
+        seen, *_total_columns(), *_hash_columns(~F.col("unequal"), each),
+        _sum_if(single, F.lit(1)).alias("differing"), _sum_if(wanted, F.lit(1)).alias("marked"))
     path = scratch(left.sparkSession, "keys")
-    observed.filter("differs OR (n_left > 1 AND n_right > 1)").write.parquet(path)
+    flagged = flagged.drop("unequal")
+    observed.filter(wanted).drop("unequal").write.parquet(path)
     marked = left.sparkSession.read.schema(flagged.schema).parquet(path)
     return KeyFindings(dict(seen.get), marked, tuple(keys))
 
@@ -299,6 +322,37 @@ def scan_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> KeyFind
 FEW_KEYS = 1_000_000
 
 
+def fetch(left: DataFrame, right: DataFrame, found: KeyFindings) -> tuple[DataFrame, DataFrame]:
+    """The rows of marked keys of both sides, written once for all checks that look at them.
+
+    With very many marked keys the sides come back as they are: the checks then read them.
+    """
+    n = found.totals["marked"]
+    if n > FEW_KEYS:
+        return left, right
+    types, spark = common_types(left, right), left.sparkSession
+    few = broadcast_if_small(found.marked.select(*columns(found.keys)), FEW_KEYS, known_rows=n)
+
+    def kept(df: DataFrame) -> DataFrame:
+        path = scratch(spark, "rows")
+        rows = with_keys(cast_to(df, types), few, found.keys, "left_semi") if n else df.limit(0)
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    return kept(left), kept(right)
+
+
+def hash_differences(left: DataFrame, right: DataFrame, found: KeyFindings) -> dict[str, int]:
+    """The totals of :func:`check_hash` from the key scan, and from the rows of tangled keys."""
+    totals = {"row_diff": found.totals["row_diff"], "only_right": found.totals["only_right_rows"],
+              "copies_differ": found.totals["copies_differ"]}
+    if found.totals["tangled"]:
+        lt, rt = (with_keys(df, found.tangled, found.keys, "left_semi") for df in (left, right))
+        more = check_hash(lt, rt).first().asDict()
+        totals = {k: v + more[k] for k, v in totals.items()}
+    return totals
+
+
 def cell_diff(
     left: DataFrame, right: DataFrame, keys: Sequence[str], found: KeyFindings | None = None
 ) -> DataFrame:
@@ -364,20 +418,43 @@ def repeated_key_values(
     return key_census(lv, rv, [*keys, "col_name", "value"])
 
 
-def _repeated_pair_counts(values: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(col_name, mismatch_cnt): differing row pairs, as all pairs less equal pairs."""
-    big = T.DecimalType(38, 0)
-    per_key = values.groupBy(*columns(keys), "col_name").agg(
-        F.sum("n_left").cast(big).alias("nl"),
-        F.sum("n_right").cast(big).alias("nr"),
-        F.sum(F.col("n_left").cast(T.DecimalType(19, 0)) * F.col("n_right")).cast(big)
-        .alias("same"),
-    )
-    pairs = (F.col("nl").cast(T.DecimalType(19, 0)) * F.col("nr").cast(T.DecimalType(19, 0)))
-    return per_key.groupBy("col_name").agg(
-        F.sum((pairs - F.col("same")).cast(T.DecimalType(28, 0))).cast("long")
-        .alias("mismatch_cnt")
-    )
+def _repeated_pair_counts(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], found: KeyFindings
+) -> DataFrame:
+    """(col_name, mismatch_cnt): differing row pairs of keys repeated on both sides, as all pairs less
+    equal pairs.
+
+    Both sides are one table of rows; equal rows become one row with two counts, then equal values
+    of a key and column do, by 128 bits of hash. No value travels as text, and every step is a
+    partial aggregate, so neither a hot key nor a hot row meets in one task unreduced.
+    """
+    cols = [c for c in left.columns if c not in keys]
+    types = common_types(left, right)
+    key = [f"k{i}" for i in range(len(keys))]
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        df = cast_to(df, types)
+        counts = [F.lit(int(name == s)).cast("long").alias(f"n_{s}") for s in ("left", "right")]
+        cells = F.array(*[F.struct(*row_fingerprint(df, [c])) for c in cols])
+        return df.select(*[F.col(quoted(k)).alias(a) for k, a in zip(keys, key, strict=True)],
+                         cells.alias("cells"), *counts)
+
+    repeated = found.repeated.toDF(*key)
+    few = broadcast_if_small(repeated, FEW_KEYS, known_rows=found.totals["repeated_both"])
+    rows = with_keys(side(left, "left").unionByName(side(right, "right")), few, key, "left_semi")
+    both = [F.sum(n).alias(n) for n in ("n_left", "n_right")]
+    distinct = rows.groupBy(*key, "cells").agg(*both)
+    values = distinct.select(*key, F.posexplode("cells").alias("at", "cell"), "n_left", "n_right"
+                             ).groupBy(*key, "at", "cell").agg(*both)
+    big, wide = T.DecimalType(38, 0), T.DecimalType(19, 0)
+    product = lambda a, b: a.cast(wide) * b.cast(wide)
+    per_key = values.groupBy(*key, "at").agg(
+        F.sum("n_left").alias("nl"), F.sum("n_right").alias("nr"),
+        F.sum(product(F.col("n_left"), F.col("n_right"))).cast(big).alias("same"))
+    names = F.array(*[F.lit(c) for c in cols])
+    differ = (product(F.col("nl"), F.col("nr")) - F.col("same")).cast(T.DecimalType(28, 0))
+    return per_key.groupBy("at").agg(F.sum(differ).cast("long").alias("mismatch_cnt")).select(
+        F.get(names, F.col("at")).alias("col_name"), "mismatch_cnt")
 
 
 def diff_counts_of(diffs: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -398,16 +475,19 @@ def check_cells(
     """(col_name, mismatch_cnt): row pairs with the same key that differ in the column.
 
     Only columns with differences are listed. Pairs of keys repeated on both sides are
-    counted without being formed.
+    counted without being formed. Each side is read twice at most: for the key scan, and for the
+    rows of the keys that it marks.
     """
     cols = [c for c in left.columns if c not in keys]
     if not cols:
         return left.sparkSession.createDataFrame([], "col_name string, mismatch_cnt long")
-    found = found or scan_keys(left, right, keys)
+    if found is None:
+        found = scan_keys(left, right, keys)
+        left, right = fetch(left, right, found)
     counts = diff_counts_of(cell_diff(left, right, keys, found) if diffs is None else diffs, cols)
     if found.totals["repeated_both"]:
-        values = repeated_key_values(left, right, keys, found)
-        counts = counts.unionByName(_repeated_pair_counts(values, keys)).groupBy("col_name").agg(
+        more = _repeated_pair_counts(left, right, keys, found)
+        counts = counts.unionByName(more).groupBy("col_name").agg(
             F.sum("mismatch_cnt").alias("mismatch_cnt"))
     return counts.filter("mismatch_cnt > 0")
 
@@ -420,6 +500,17 @@ def _first_per(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int) -
     return df.withColumn(place, F.row_number().over(w)).filter(F.col(place) <= n).drop(place)
 
 
+def _first_distinct(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """First n distinct rows per group, in the order of all other columns.
+
+    Equal rows have one rank, so Spark cuts each task to n ranks per group before the shuffle.
+    """
+    place = free_name("_n", df)
+    w = Window.partitionBy(*columns(by)).orderBy(*columns(order))
+    return df.withColumn(place, F.dense_rank().over(w)).filter(F.col(place) <= n).drop(
+        place).distinct()
+
+
 def diff_samples(
     left: DataFrame,
     right: DataFrame,
@@ -435,7 +526,9 @@ def diff_samples(
     """
     cols = [c for c in left.columns if c not in keys]
     types = common_types(left, right)
-    found = found or scan_keys(left, right, keys)
+    if found is None:
+        found = scan_keys(left, right, keys)
+        left, right = fetch(left, right, found)
     if diffs is None:
         diffs = cell_diff(left, right, keys, found)
     cells = F.array(*[
@@ -450,7 +543,7 @@ def diff_samples(
     picked = diffs.select(*columns(keys), F.inline(cells)).filter("differs").drop("differs")
     order = [*keys, "left_val", "right_val"]
     if not found.totals["repeated_both"]:
-        return _first_per(picked.distinct(), ["col_name"], order, n)
+        return _first_distinct(picked, ["col_name"], order, n)
     values = repeated_key_values(left, right, keys, found)
     group = [*keys, "col_name"]
     lv = _first_per(values.filter("n_left > 0"), group, ["value"], n + 1)
@@ -461,7 +554,7 @@ def diff_samples(
     multi = lv.join(rv, cond).select(
         *[F.col(f"l.{quoted(c)}").alias(c) for c in group], "left_val", "right_val"
     )
-    return _first_per(picked.unionByName(multi).distinct(), ["col_name"], order, n)
+    return _first_distinct(picked.unionByName(multi), ["col_name"], order, n)
 
 
 def key_text(df: DataFrame, keys: Sequence[str]) -> Column:

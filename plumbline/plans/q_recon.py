@@ -129,23 +129,18 @@ def recon_exclusive_keys(spark, sf):
     return recon.check_exclusive_keys(*_sides(spark, sf), KEYS)
 
 
+_VALUES = ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 _CELLS = f"""
-    SELECT o.o_orderkey, o.o_custkey AS o_custkey_left, p.o_custkey AS o_custkey_right,
-           o.o_custkey IS DISTINCT FROM p.o_custkey AS o_custkey_diff,
-           o.o_orderstatus AS o_orderstatus_left, p.o_orderstatus AS o_orderstatus_right,
-           o.o_orderstatus IS DISTINCT FROM p.o_orderstatus AS o_orderstatus_diff,
-           o.o_totalprice AS o_totalprice_left, p.o_totalprice AS o_totalprice_right,
-           o.o_totalprice IS DISTINCT FROM p.o_totalprice AS o_totalprice_diff
+    SELECT o.o_orderkey, {", ".join(
+        f"o.{c} AS {c}_left, p.{c} AS {c}_right, o.{c} IS DISTINCT FROM p.{c} AS {c}_diff"
+        for c in _VALUES)}
     FROM orders o JOIN pair p ON {_EQ}
-     AND (o.o_orderstatus IS DISTINCT FROM p.o_orderstatus
-          OR o.o_totalprice IS DISTINCT FROM p.o_totalprice
-          OR o.o_custkey IS DISTINCT FROM p.o_custkey)"""
+     AND ({" OR ".join(f"o.{c} IS DISTINCT FROM p.{c}" for c in _VALUES)})"""
 
 
 @query("recon_cell_diff", with_pair(_CELLS))
 def recon_cell_diff(spark, sf):
-    spec = ReconSpec(keys=KEYS, exclude=["o_orderdate", "o_orderpriority"])
-    return recon.cell_diff(*_sides(spark, sf, spec), KEYS)
+    return recon.cell_diff(*_sides(spark, sf), KEYS)
 
 
 _DIFF_COUNTS = f"""
@@ -161,21 +156,31 @@ def recon_diff_counts(spark, sf):
 
 
 @query("recon_repeated_keys", """
-    WITH l AS (SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem),
-    r AS (SELECT l_orderkey, l_linenumber,
-                 CASE WHEN l_returnflag = 'R' THEN l_quantity + 1 ELSE l_quantity END AS l_quantity
-          FROM lineitem)
-    SELECT 'l_quantity' AS col_name, count(*) AS mismatch_cnt
-    FROM l JOIN r ON l.l_orderkey = r.l_orderkey AND l.l_linenumber = r.l_linenumber
-    WHERE l.l_quantity <> r.l_quantity""")
+    WITH r AS (SELECT * REPLACE (CASE WHEN l_returnflag = 'R' THEN l_quantity + 1 ELSE l_quantity END
+                                 AS l_quantity,
+                                 CASE WHEN l_suppkey % 10 = 0 THEN NULL ELSE l_linestatus END
+                                 AS l_linestatus) FROM lineitem),
+    pairs AS (SELECT * FROM (SELECT * FROM lineitem) l JOIN r
+                ON l.l_orderkey = r.l_orderkey AND l.l_linenumber = r.l_linenumber)
+    SELECT c AS col_name, n AS mismatch_cnt FROM (
+      UNPIVOT (SELECT count(*) FILTER (l_partkey IS DISTINCT FROM l_partkey_1) AS l_partkey,
+        count(*) FILTER (l_suppkey IS DISTINCT FROM l_suppkey_1) AS l_suppkey,
+        count(*) FILTER (l_quantity IS DISTINCT FROM l_quantity_1) AS l_quantity,
+        count(*) FILTER (l_extendedprice IS DISTINCT FROM l_extendedprice_1) AS l_extendedprice,
+        count(*) FILTER (l_discount IS DISTINCT FROM l_discount_1) AS l_discount,
+        count(*) FILTER (l_tax IS DISTINCT FROM l_tax_1) AS l_tax,
+        count(*) FILTER (l_returnflag IS DISTINCT FROM l_returnflag_1) AS l_returnflag,
+        count(*) FILTER (l_linestatus IS DISTINCT FROM l_linestatus_1) AS l_linestatus,
+        count(*) FILTER (l_shipdate IS DISTINCT FROM l_shipdate_1) AS l_shipdate FROM pairs)
+      ON * INTO NAME c VALUE n) WHERE n > 0""")
 def recon_repeated_keys(spark, sf):
     """Line items have repeated keys on both sides: their pairs are counted, not formed."""
-    left = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
-                                               "l_returnflag")
+    left = table(spark, sf, "lineitem")
     more = F.when(F.col("l_returnflag") == "R", F.col("l_quantity") + 1)
-    right = left.withColumn("l_quantity", more.otherwise(F.col("l_quantity")))
-    return recon.check_cells(left.drop("l_returnflag"), right.drop("l_returnflag"),
-                             ["l_orderkey", "l_linenumber"])
+    right = left.withColumns({
+        "l_quantity": more.otherwise(F.col("l_quantity")),
+        "l_linestatus": F.when(F.col("l_suppkey") % 10 != 0, F.col("l_linestatus"))})
+    return recon.check_cells(left, right, ["l_orderkey", "l_linenumber"])
 
 
 @query("recon_diff_samples", SAMPLES_SQL)
@@ -272,20 +277,37 @@ def recon_verdict(spark, sf):
     , m AS (SELECT o.o_orderkey FROM orders o JOIN pair p ON o.o_orderkey = p.o_orderkey
             WHERE o.o_totalprice <> p.o_totalprice)
     SELECT * FROM (
-      SELECT 'right' AS side, p.o_orderkey, p.o_orderstatus, p.o_totalprice
-      FROM (SELECT DISTINCT o_orderkey FROM m) m LEFT JOIN pair p ON m.o_orderkey = p.o_orderkey
+      SELECT 'right' AS side, p.* FROM (SELECT DISTINCT o_orderkey FROM m) m
+        LEFT JOIN pair p ON m.o_orderkey = p.o_orderkey
       UNION ALL
-      SELECT 'left', o.o_orderkey, o.o_orderstatus, o.o_totalprice
-      FROM (SELECT DISTINCT o_orderkey FROM m) m LEFT JOIN orders o ON m.o_orderkey = o.o_orderkey)
-    ORDER BY side, o_orderkey, o_orderstatus NULLS FIRST, o_totalprice LIMIT 100"""))
+      SELECT 'left', o.* FROM (SELECT DISTINCT o_orderkey FROM m) m
+        LEFT JOIN orders o ON m.o_orderkey = o.o_orderkey)
+    ORDER BY side, o_orderkey, o_custkey, o_orderstatus NULLS FIRST, o_totalprice LIMIT 100"""))
 def recon_drilldown(spark, sf):
-    left, right = pair(spark, sf)
-    spec = ReconSpec(keys=KEYS, exclude=["o_custkey", "o_orderdate", "o_orderpriority"])
-    lhs, rhs = prepare(left, spec, "left"), prepare(right, spec, "right")
+    lhs, rhs = _sides(spark, sf)
     wrong = recon.cell_diff(lhs, rhs, KEYS).filter("o_totalprice_diff")
     return report.drilldown(wrong, lhs, rhs, KEYS, lhs.columns, 100)
 
 
+_GUESSED = "o_orderkey AS order_id, o_custkey AS cust_id, o_orderdate AS order_dt, o_totalprice AS price"
+
+
+@query("recon_drilldown_guessed", with_pair(f"""
+    , a AS (SELECT {_GUESSED} FROM orders), b AS (SELECT {_GUESSED} FROM pair),
+    m AS (SELECT DISTINCT order_id, cust_id, order_dt FROM a JOIN b USING (order_id, cust_id,
+          order_dt) WHERE a.price <> b.price)
+    SELECT * FROM (
+      SELECT 'left' AS side, a.* FROM a JOIN m USING (order_id, cust_id, order_dt)
+      UNION ALL SELECT 'right', b.* FROM b JOIN m USING (order_id, cust_id, order_dt))
+    ORDER BY side, order_id, cust_id, order_dt, price LIMIT 100"""))
+def recon_drilldown_guessed(spark, sf):
+    """The join columns of the drill-down are guessed from the names."""
+    lhs, rhs = (df.selectExpr(*_GUESSED.split(", ")) for df in _sides(spark, sf))
+    on = report.guess_join_columns(lhs.columns)
+    wrong = recon.cell_diff(lhs, rhs, on).filter("price_diff")
+    return report.drilldown(wrong, lhs, rhs, on, lhs.columns, 100)
+
+
 @query("join_drilldown", with_pair("""
     SELECT * FROM (
       SELECT 'left' AS side, o_orderkey, o_totalprice FROM orders o

@@ -99,9 +99,9 @@ def reconcile(
 ) -> ReconResult:
     """Run the chosen checks on one pair of tables.
 
-    Jobs: one pass over keys and row fingerprints (row counts, repeated, one-sided and
-    differing keys together), one hash census, one look at the differing rows. Only their
-    totals reach the driver. With ``stop_on_failure`` rows are counted before anything costly.
+    Jobs: one pass over keys and row fingerprints (row counts, repeated, one-sided and differing
+    keys, and row hashes together), and one that fetches the rows of the keys that need a look; so
+    each side is read twice. Only totals reach the driver. With ``stop_on_failure`` rows are counted before anything costly.
     """
     spark = spark or (left if isinstance(left, DataFrame) else right).sparkSession
     left, right = as_frame(spark, left), as_frame(spark, right)
@@ -129,8 +129,11 @@ def reconcile(
         else:
             rows = {"left": totals["rows_left"], "right": totals["rows_right"]}
         run.done("counts", rows["left"] == rows["right"], rows)
+    if found is not None:
+        rows = recon.fetch(lhs, rhs, found)
     if "hash" in chosen:
-        hashed = run.plan("hash", recon.check_hash(lhs, rhs)).first().asDict()
+        hashed = recon.hash_differences(*rows, found) if found is not None else run.plan(
+            "hash", recon.check_hash(lhs, rhs)).first().asDict()
         run.done("hash", not any(hashed.values()), hashed)
     if keys and "dup_keys" in chosen:
         dup = {"left": totals["dup_left"], "right": totals["dup_right"]}
@@ -140,7 +143,7 @@ def reconcile(
         only = {"left": totals["only_left"], "right": totals["only_right"]}
         run.done("exclusive_keys", not any(only.values()), only)
     if "cells" in chosen:
-        _cells(run, lhs, rhs, found)
+        _cells(run, *(rows if found is not None else (lhs, rhs)), found)
     run.result.passed = verdict(run.result.checks, bool(keys))
     return run.result
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.canonical import free_name, quoted, row_mark
+from plumbline.functions.canonical import quoted, row_mark
 from plumbline.session import exists
 from plumbline.sources.sinks import sink_batch
 
@@ -182,27 +182,29 @@ def windows_with_late(
         def put(df: DataFrame, name: str) -> None:
             df.write.mode("overwrite").parquet(f"{out}/{name}/batch={batch_id}")
 
-        rows, seen = free_name("rows", batch), Observation()
+        seen = Observation()
         before = earlier("mark", "latest timestamp", batch_id).agg(
             F.max("latest").alias("latest"), F.max("batch").alias("batch")).first()
-        span = F.window(F.col(quoted(ts)).cast("timestamp"), window)
-        ended = F.lit(before.latest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
-        late = F.coalesce(span.end <= ended, F.col(quoted(ts)).isNull())
+        # In microseconds: a window expression would drop rows without a time.
+        micros = lambda interval: F.expr(
+            f"unix_micros(timestamp_micros(0) + INTERVAL {interval})")
+        at = F.unix_micros(F.col(quoted(ts)).cast("timestamp"))
+        start = at - F.pmod(at, micros(window))
+        mark = lambda t: F.unix_micros(F.lit(t).cast("timestamp")) - micros(delay)
+        late = F.coalesce(start + micros(window) <= mark(before.latest), at.isNull())
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)  # one bounded batch
         try:
             put(kept.observe(seen, F.max(F.col(quoted(ts)).cast("timestamp")).alias("latest")).where(
                 late), "late")
             latest = max((t for t in (before.latest, seen.get["latest"]) if t), default=None)
             counts = kept.where(~late).groupBy(
-                span.start.alias("window_start"), F.col(quoted(by)).alias("type")).agg(
-                    F.count(F.lit(1)).alias(rows))
+                F.timestamp_micros(start).alias("window_start"), F.col(quoted(by)).alias("type")
+            ).agg(F.count(F.lit(1)).alias("n"))
             last = -1 if before.batch is None else before.batch
             kind = f"window_start timestamp, type {batch.schema[by].dataType.simpleString()}, n long"
             still = earlier("open", kind, batch_id).where(F.col("batch") == last).drop("batch")
-            now = counts.withColumnRenamed(rows, "n").unionByName(still).groupBy(
-                "window_start", "type").agg(F.sum("n").alias("n"))
-            closes = F.col("window_start") + F.expr(f"INTERVAL {window}") <= (
-                F.lit(latest).cast("timestamp") - F.expr(f"INTERVAL {delay}"))
+            now = counts.unionByName(still).groupBy("window_start", "type").agg(F.sum("n").alias("n"))
+            closes = F.unix_micros("window_start") + micros(window) <= mark(latest)
             put(now.where(F.coalesce(closes, F.lit(False))), "closed")
             put(now.where(~F.coalesce(closes, F.lit(False))), "open")
             put(spark.createDataFrame([(latest,)], "latest timestamp"), "mark")

@@ -346,3 +346,45 @@ def test_verdict():
     assert not report.verdict(ok, has_keys=True)
     assert report.verdict({**ok, "cells": True}, has_keys=True)
     assert not report.verdict({**ok, "hash": False, "cells": True}, has_keys=True)
+
+
+def test_hash_totals_of_the_key_scan_equal_the_hash_check(spark):
+    """Random sides with repeated, one-sided, null and unequal keys."""
+    import random
+
+    draw = random.Random(8)
+    for _ in range(4):
+        side = lambda n: spark.createDataFrame(
+            [(draw.choice([None, 1, 2, 3, 4, 5, 6]), draw.choice(["a", "b", None]))
+             for _ in range(n)], "k int, v string")
+        left, right = side(draw.randint(0, 14)), side(draw.randint(0, 14))
+        found = recon.scan_keys(left, right, ["k"])
+        want = recon.check_hash(left, right).first().asDict()
+        assert recon.hash_differences(left, right, found) == want
+        rows = recon.fetch(left, right, found)
+        assert recon.hash_differences(*rows, found) == want
+        assert sorted(map(tuple, recon.check_cells(left, right, ["k"]).collect())) == sorted(
+            map(tuple, recon.check_cells(left, right, ["k"], found).collect()))
+
+
+def test_each_side_is_read_twice_at_most(spark, tmp_path):
+    """A whole report, counted from the scans of the plans that ran."""
+    from plumbline.plans import report
+    from plumbline.spec import ReconSpec
+
+    paths = [str(tmp_path / side) for side in ("left", "right")]
+    for k, path in enumerate(paths):
+        spark.range(0, 400).selectExpr(
+            "id AS k", f"if(id % 50 = {k}, 'x', 'y') AS v", "id % 7 AS w").union(
+            spark.range(0, 20).selectExpr("id % 3 AS k", "'z' AS v", "id AS w")).write.parquet(path)
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    result = report.reconcile(spark.read.parquet(paths[0]), spark.read.parquet(paths[1]),
+                              ReconSpec(keys=["k"], samples=3))
+    assert not result.passed and result.metrics["hash"]["row_diff"] > 0
+    ran = store.executionsList()
+    plans = [ran.apply(i).physicalPlanDescription() for i in range(before, store.executionsCount())]
+    final = [p.split("== Initial Plan ==")[0] for p in plans]
+    for path in paths:
+        assert 1 <= sum(line.count(path) for p in final for line in p.splitlines()
+                        if line.startswith("Location:")) <= 2
