@@ -1,10 +1,10 @@
 """Packing of documents into token sequences: first-fit decreasing in randomised groups.
 
 Each document is tokenized where it is read and cut into pieces of at most ``length`` ids. Only
-piece descriptions travel. A piece that fills a sequence is one; the others go to a random group
-of bounded expected size, and each group is packed alone by first-fit decreasing: pieces by
-falling length, each into the first open sequence with room, which a tournament tree over the
-free space of the sequences finds in logarithmic time.
+piece descriptions travel. They are written once and counted, and each goes to a random group of
+bounded expected size. A group is packed alone by first-fit decreasing: pieces by falling length, each
+into the first open sequence with room, which a tournament tree over the free space of the
+sequences finds in logarithmic time.
 """
 
 from __future__ import annotations
@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm import text as T
-from plumbline.llm.tables import pieces
+from plumbline.llm.tables import kept, pieces
 from plumbline.llm.tokens import ByteEncoder
 
 LENGTH = 1024
-#: Expected short pieces of a group, so a group is some hundred KB at any size of the input.
+#: Expected pieces of a group, so a group is some hundred KB at any size of the input.
 GROUP = 8192
 
 PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -111,9 +111,11 @@ def pack(documents: DataFrame, path: str, length: int = LENGTH, group: int = GRO
     """
     if length & (length - 1):
         raise ValueError("length must be a power of two")
-    groups = max(1, -(-documents.count() // group))
-    rows = cut(documents, path, length).withColumn(
-        "group", F.pmod(F.col("group_key"), F.lit(groups)))
+    rows = kept(cut(documents, path, length), "pieces")
+    groups = max(1, -(-rows.count() // group))
+    # The place in the written table spreads equal rows; a task that runs again finds the same one.
+    dice = F.xxhash64("group_key", F.monotonically_increasing_id())
+    rows = rows.withColumn("group", F.pmod(dice, F.lit(groups)))
 
     def run(table: pa.Table) -> pa.Table:
         sizes = table["length"].to_numpy()

@@ -17,6 +17,10 @@ from plumbline.llm import text as T
 
 #: A space after white space and before white space or the end: cutting there changes ids.
 JOINED = re.compile(r"\s (?:\s|\Z)")
+#: What the split pattern takes as white space, here in long runs, on which its engine
+#: would run out of stack.
+BLANK = re.compile("[\\t-\\r %s]{4096,}" % "".join(map(chr, (
+    0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))))
 #: Words start at a space; the space belongs to the word.
 NOT_SPACE = T.byte_class((0x20, 0x20))
 #: Distinct words kept per process.
@@ -107,6 +111,7 @@ class ByteEncoder(WordTable):
                  if token not in special}
         self.core = tiktoken.Encoding(path, pat_str=SPLIT, mergeable_ranks=ranks,
                                       special_tokens=special)
+        self.special = tuple(special)
         self.bytes_of = np.zeros(len({**vocab, **special}), np.int64)
         for token, i in [*ranks.items(), *((t.encode(), i) for t, i in special.items())]:
             self.bytes_of[i] = len(token)
@@ -118,7 +123,18 @@ class ByteEncoder(WordTable):
         return _LOADED[path]
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.core.encode(text, allowed_special="all"), np.uint32)
+        """ids of a text. A long run of white space is split as the pattern does it: all but its
+        last character are one word, and the whole run before the end or a special token is."""
+        out, at = [], 0
+        for run in BLANK.finditer(text):
+            stop = run.end()
+            if stop < len(text) and not text.startswith(self.special, stop):
+                stop -= 1
+            out += [self.core.encode_to_numpy(text[at:run.start()], allowed_special="all"),
+                    np.array(self.core._encode_single_piece(text[run.start():stop]))]
+            at = stop
+        out.append(self.core.encode_to_numpy(text[at:], allowed_special="all"))
+        return np.concatenate(out).astype(np.uint32)
 
     def encode_new(self, words: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray]:
         """Nearly all words go through the encoder in one call, as cutting there is safe."""

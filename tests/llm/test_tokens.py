@@ -3,7 +3,7 @@
 import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -130,3 +130,29 @@ def test_stream_with_bounded_lookahead_equals_whole_merge(seed):
     for _ in range(20):
         symbols = [draw.choice(letters) for _ in range(draw.randint(1, 400))]
         assert list(machine.stream(symbols)) == machine.merge(symbols)
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", "\u3000", "\r\n"])
+def test_packing_survives_long_white_space(make, bpe_path, blank):
+    """Runs of millions, on which the split pattern's engine runs out of stack; the shorter ones equal
+    the library."""
+    tok = Tokenizer.from_file(bpe_path)
+    encoder = ByteEncoder.load(bpe_path)
+    for text in (f"a{blank * 5000} b", f"a{blank * 5000}b", f"a{blank * 5000}",
+                 f"{blank * 5000}<|endoftext|>x{blank * 4096}\x1cy"):
+        assert encoder.whole(text).tolist() == tok.encode(text, add_special_tokens=False).ids
+    texts = [f"x{blank * 3_000_000} y", blank * 2_000_000]
+    found = packing.pack(make(texts), bpe_path).collect()
+    for i, text in enumerate(texts):
+        pieces = sorted((r for r in found if r.doc_id == i), key=lambda r: r.start)
+        assert sum(r.length for r in pieces) == pieces[0].doc_tokens == len(encoder.whole(text)) + 1
+
+
+def test_packing_groups_are_bounded_by_pieces(spark, make, bpe_path):
+    """Many equal rows and a few long documents: groups follow the number of pieces."""
+    texts = [""] * 3000 + ["word " * 100_000] * 2
+    frame = make(texts, [None] * 3000 + [1, 1])
+    found = packing.pack(frame, bpe_path, group=256).collect()
+    groups = Counter(r.sequence_id >> 32 for r in found)
+    assert len(found) > 3150 and len(groups) >= 11 and max(groups.values()) < 400
+    assert len({(r.sequence_id, r.offset) for r in found}) == len(found)
