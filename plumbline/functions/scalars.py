@@ -57,11 +57,21 @@ def flag(cond: Column) -> Column:
     return F.when(cond, 1).otherwise(0)
 
 
-def exact_sum(col: Column, scale: int = 4, inner: int = 12) -> Column:
-    """Sum of numbers as a decimal with ``scale`` decimals, exact up to its last rounding.
+def exact_sum(col: Column, scale: int = 4) -> Column:
+    """Sum of doubles as a decimal with ``scale`` decimals, exact to 18 decimals of each value.
 
-    Unlike a sum of doubles it does not depend on the order of the rows. Values are added with
-    ``inner`` decimals, so small ones are not lost; only the sum is rounded. A value of more
-    than 16 digits before the point fails the sum in ANSI mode instead of being cut.
+    Unlike a sum of doubles it does not depend on the order of the rows. Each value is a part of four
+    decimals and what that leaves, both short decimals, which Spark adds as whole numbers; values
+    of 10**14 and more, beyond such a part, are added apart. Only the sum is rounded.
     """
-    return F.sum(col.cast(f"decimal(28,{inner})")).cast(f"decimal(38,{scale})")
+    large = F.abs(col) >= 1e14
+    part = F.when(~large, col).cast("decimal(18,4)")
+    deeper = part.cast("double") != col.cast("double")  # rare, and dearer to add
+    rest = F.when(deeper, (col.cast("decimal(38,18)") - part).cast("decimal(18,18)"))
+    zero = F.lit(0).cast("decimal(38,18)")
+    total = F.coalesce(F.sum(part).cast("decimal(38,18)"), zero) + F.coalesce(
+        F.sum(rest).cast("decimal(38,18)"), zero)
+    whole = F.sum(F.when(large, col.cast("decimal(38,4)")))
+    kind = f"decimal(38,{scale})"
+    return F.when(whole.isNotNull(), (total.cast(kind) + whole).cast(kind)).when(
+        F.count(col) > 0, total.cast(kind))

@@ -13,7 +13,8 @@ from plumbline.functions.scalars import date_parts
 from plumbline.operators.relational import (
     hot_keys, is_hot, range_spread, salted, salted_join,
 )
-from plumbline.sources.readers import partition_columns, unique_name
+from plumbline.sources.lines import quoted_records
+from plumbline.sources.readers import partition_columns, ragged_fields, unique_name
 
 # --- star schema ----------------------------------------------------------------------
 
@@ -355,6 +356,38 @@ def load_dry_run(df: DataFrame, schema: str | T.StructType) -> DataFrame:
     return df.select(*row_id, F.inline(F.array(*checks))).filter(F.col("reason").isNotNull())
 
 
+def load_dry_run_lines(
+    spark: SparkSession, path: str, schema: str | T.StructType, header: bool = False
+) -> DataFrame:
+    """(file, line_no, col_name, value, reason) of every cell of quoted CSV files that would not load.
+
+    Each record is read as it stands, whatever width the first one has: surplus cells and records
+    that end early are reported with the line that they start on. Nothing is written.
+    """
+    target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    records = quoted_records(spark, path)
+    if header:
+        records = records.where("record > 1")
+    cells = records.select("file", "line_no", ragged_fields(F.col("text")).alias("cells"))
+    size, checks = F.size("cells"), []
+    for i, f in enumerate(target.fields):
+        text = F.get("cells", F.lit(i))
+        text = F.when(text != "", text)
+        wrong = text.isNotNull() & text.try_cast(f.dataType).isNull()
+        reason = F.when(wrong, F.lit(f"not a {f.dataType.simpleString()}"))
+        if not f.nullable:
+            reason = F.when(text.isNull(), F.lit("missing")).otherwise(reason)
+        reason = F.when(size <= i, F.lit("record ends early")).otherwise(reason)
+        checks.append(F.struct(F.lit(f.name).alias("col_name"), text.alias("value"),
+                               reason.alias("reason")))
+    extra = F.transform(F.slice("cells", len(target.fields) + 1, F.greatest(
+        size - len(target.fields), F.lit(0))), lambda x: F.struct(
+            F.lit(None).cast("string").alias("col_name"), x.alias("value"),
+            F.lit("no such column").alias("reason")))
+    return cells.select("file", "line_no", F.inline(F.concat(F.array(*checks), extra))).where(
+        "reason IS NOT NULL")
+
+
 def load_check(frames: Mapping[str, tuple[DataFrame, int]]) -> DataFrame:
     """(table_name, row_count, expected, passed) after a load."""
     out = None

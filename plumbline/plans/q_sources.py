@@ -8,7 +8,7 @@ from plumbline.operators import reshape
 from plumbline.plans.catalog import query
 from plumbline.plans.derived import SALES_COLUMNS, SALES_SQL, sales
 from plumbline.session import TABLES, scratch, table
-from plumbline.sources import html_pages, readers, sinks
+from plumbline.sources import html_pages, lines, readers, sinks
 
 
 @query("scan_csv_infer", """
@@ -137,6 +137,23 @@ def scan_quoted_csv(spark, sf):
     return readers.scan_quoted_csv(spark, path, df.schema)
 
 
+@query("scan_quoted_split", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def scan_quoted_split(spark, sf):
+    """Texts with line breaks in one file, which is read in splits of 256 KB."""
+    df = table(spark, sf, "documents")
+    path = scratch(spark, "documents-one-csv")
+    sinks.sink_csv(df.coalesce(1), path)
+    key, size = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(key, 256 << 10)
+    try:
+        rows = lines.scan_quoted_split(spark, path, df.schema)
+        out = scratch(spark, "documents-again")
+        rows.write.parquet(out)
+    finally:
+        spark.conf.set(key, size)
+    return spark.read.parquet(out)
+
+
 def sales_json(spark, sf) -> str:
     """Sales events exported as JSON whose keys are in upper and mixed case."""
     path = scratch(spark, "sales-json")

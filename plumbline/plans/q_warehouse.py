@@ -9,7 +9,7 @@ from plumbline.operators import warehouse as wh
 from plumbline.plans.catalog import query
 from plumbline.plans.derived import SALES_SQL, sales
 from plumbline.session import scratch, table
-from plumbline.sources import manifest, readers, sinks
+from plumbline.sources import lines, manifest, readers, sinks
 
 
 @query("date_dim", """
@@ -163,14 +163,18 @@ def layout_all(spark, sf):
         "l_orderkey", "l_linenumber", "p_name")
 
 
-@query("layout_skew")
+@query("layout_skew", """
+    SELECT layout, count(*) AS "rows", TRUE AS all_used, TRUE AS balanced
+    FROM events, (VALUES ('by type, salted'), ('even')) t(layout) GROUP BY layout""")
 def layout_skew(spark, sf):
     """Events have five types; salting still spreads them over all partitions."""
-    events = table(spark, sf, "events").select("event_id", "event_type")
+    events, n = table(spark, sf, "events").select("event_id", "event_type"), 4
     out = None
-    for name, laid in (("by type, salted", wh.layout_key(events, "event_type", task_count(spark))),
-                       ("even", wh.layout_even(events, task_count(spark)))):
-        one = wh.layout_skew(laid).select(F.lit(name).alias("layout"), "*")
+    for name, laid in (("by type, salted", wh.layout_key(events, "event_type", n)),
+                       ("even", wh.layout_even(events, n))):
+        one = wh.layout_skew(laid).select(
+            F.lit(name).alias("layout"), "rows", (F.col("partitions") == n).alias("all_used"),
+            (F.col("skew") <= 2).alias("balanced"))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -259,6 +263,18 @@ def table_info(spark, sf):
     return info.select("rows", ((F.col("files") > 0) & (F.col("bytes") > 0)).alias("has_files"))
 
 
+@query("table_info_visible", """
+    SELECT count(*) AS visible_rows, TRUE AS holds_replaced_rows FROM orders""")
+def table_info_visible(spark, sf):
+    """A file-wise table after an upsert: the replaced files hold rows that no reader sees."""
+    orders, root = table(spark, sf, "orders"), scratch(spark, "orders-visible")
+    manifest.create(spark, root, orders, ["o_orderkey"])
+    manifest.upsert_files(spark, root, orders.filter("o_orderkey % 10 = 0"), ["o_orderkey"])
+    info = manifest.table_info(spark, root)
+    return info.select("visible_rows", (F.col("rows") > F.col("visible_rows"))
+                       .alias("holds_replaced_rows"))
+
+
 @query("load_dry_run", """
     SELECT c_custkey || '' AS row_id, 'segment' AS col_name, c_mktsegment AS value,
            'not a int' AS reason FROM customer
@@ -273,6 +289,33 @@ def load_dry_run(spark, sf):
         text, "id bigint, name date, nation int, balance double, segment int, since date not null")
 
 
+@query("load_dry_run_lines", """
+    SELECT c_custkey AS row_id, 'segment' AS col_name, c_mktsegment AS value, 'not a int' AS reason,
+           TRUE AS on_its_line FROM customer WHERE c_custkey % 7 <> 0
+    UNION ALL SELECT c_custkey, 'segment', NULL, 'record ends early', TRUE FROM customer
+      WHERE c_custkey % 7 = 0
+    UNION ALL SELECT c_custkey, NULL, 'more, ' || c_custkey, 'no such column', TRUE FROM customer
+      WHERE c_custkey % 5 = 0 AND c_custkey % 7 <> 0""")
+def load_dry_run_lines(spark, sf):
+    """Customers as lines of which some have a cell too many and some end early, in any place."""
+    text = lambda c: F.col(c).cast("string")
+    cells = [text("c_custkey"), F.concat(F.lit('"'), "c_name", F.lit('"')), text("c_nationkey"),
+             text("c_acctbal")]
+    extra = F.when(F.col("c_custkey") % 5 == 0, F.concat(
+        F.lit('"more, '), text("c_custkey"), F.lit('"')))
+    short = F.concat_ws(",", *cells)
+    line = F.when(F.col("c_custkey") % 7 == 0, short).otherwise(
+        F.concat_ws(",", short, "c_mktsegment", extra))
+    path = scratch(spark, "dry-run-lines")
+    table(spark, sf, "customer").select(line.alias("value")).write.text(path)
+    found = wh.load_dry_run_lines(
+        spark, path, "id bigint, name string, nation int, balance double, segment int")
+    known = lines.numbered_lines(spark, path).select(
+        "file", "line_no", F.split("line", ",")[0].cast("long").alias("row_id"))
+    return found.join(known, ["file", "line_no"], "left").select(
+        "row_id", "col_name", "value", "reason", F.col("row_id").isNotNull().alias("on_its_line"))
+
+
 @query("load_check", """
     SELECT 'region' AS table_name, count(*) AS row_count, 5::BIGINT AS expected, count(*) = 5 AS passed
       FROM region

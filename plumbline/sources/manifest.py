@@ -248,6 +248,21 @@ def recluster(spark: SparkSession, root: str) -> Version:
         old.schema, old.note))
 
 
+def table_info(spark: SparkSession, root: str) -> DataFrame:
+    """One row: files, bytes and rows that the table's folder holds, and the rows and files of them
+    that its current version shows."""
+    version = current(spark, root)
+    stored = spark.read.schema(version.schema).option("recursiveFileLookup", True).parquet(
+        f"{root}/files")
+    each = stored.groupBy("_metadata.file_path").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("_metadata.file_size").alias("bytes"))
+    return each.agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).withColumns({
+            "visible_files": F.lit(len(version.files)).cast("long"),
+            "visible_rows": F.lit(sum(f.rows for f in version.files)).cast("long")})
+
+
 def retire(spark: SparkSession, root: str, keep: int = 1) -> None:
     """Delete the versions before the last ``keep``, and the files that only they name.
 

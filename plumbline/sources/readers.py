@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,22 +48,28 @@ def scan_manifest(
     return scan_delimited(spark, urls, schema, sep)
 
 
-# One field after a separator: in quotes, in which a quote is doubled, or plain.
-_FIELD = ',("(?:[^"]|"")*"|[^,]*)'
+# Fixed pieces of a pattern: text in quotes, in which a quote is doubled, and one field after a
+# separator. Possessive loops, so that a long field does not use up the stack.
+_QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
+_FIELD = f',((?:{_QUOTED}|[^,"]++|")*+)'
 
 
-def scan_ragged_csv(spark: SparkSession, path: str, out: str = "fields") -> DataFrame:
-    """Quoted CSV with any number of fields per row, as one array per row.
+def ragged_fields(line: Column) -> Column:
+    """The fields of a line of quoted CSV as an array; an empty line has none.
 
-    A row has as many items as the line has fields, with no bound; an empty line has none.
+    A field that is in quotes as a whole comes without them. Whatever else stands between two
+    separators outside quotes is kept as it is.
     """
-    found = F.regexp_extract_all(F.concat(F.lit(","), "value"), F.lit(_FIELD), F.lit(1))
+    found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1))
     plain = F.transform(found, lambda x: F.when(
-        x.startswith('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'),
-                                     F.lit('"'))).otherwise(x))
-    empty = F.array().cast("array<string>")
-    return spark.read.text(path).select(
-        F.when(F.col("value") == "", empty).otherwise(plain).alias(out))
+        x.rlike(f"(?s)^{_QUOTED}$"), F.replace(F.substring(x, F.lit(2), F.length(x) - 2),
+                                               F.lit('""'), F.lit('"'))).otherwise(x))
+    return F.when(line == "", F.array().cast("array<string>")).otherwise(plain)
+
+
+def scan_ragged_csv(spark: SparkSession, path: str, out: str = "fields") -> DataFrame:
+    """Quoted CSV with any number of fields per row, as one array per row: :func:`ragged_fields`."""
+    return spark.read.text(path).select(ragged_fields(F.col("value")).alias(out))
 
 
 def scan_quoted_csv(
@@ -71,7 +77,7 @@ def scan_quoted_csv(
 ) -> DataFrame:
     """Quoted CSV whose fields may hold separators, doubled quotes and line breaks.
 
-    Line breaks inside quotes keep a file from being split: one task per file.
+    One task reads a file; ``lines.scan_quoted_split`` reads a large one in splits.
     """
     reader = spark.read.options(header=True, multiLine=True, quote='"', escape='"')
     return (reader.schema(schema) if schema is not None else reader).csv(path)
