@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.canonical import free_name, quoted, value_text
+from plumbline.functions.canonical import (
+    FINGERPRINT, quoted, row_fingerprint, value_text,
+)
 
 ALL_COLUMNS = "<all columns>"
 
@@ -94,50 +96,70 @@ def text_widths(df: DataFrame) -> DataFrame:
     )
 
 
-def has_repeats(df: DataFrame, cols: Sequence[str]) -> bool:
-    """Is any value combination of the columns held by more than one row?
+# Cells that take part in the first look for rows that agree, and repeats that a failed key shows.
+SAMPLE_CELLS = 200_000
+SHOWN = 1_000
 
-    Combinations of one hash value in 64 are looked at first. A repeat among them settles the
-    question with a shuffle of few rows; only without one all rows are grouped.
+
+def _cells(df: DataFrame) -> Column:
+    """A 64-bit hash of each value of a row; null has one of its own."""
+    return F.array(*[F.struct(*row_fingerprint(df, [c]))["hash_a"] for c in df.columns])
+
+
+def _agreements(groups: DataFrame, by: Sequence[str]) -> list[frozenset[int]]:
+    """Column places in which pairs of rows of a group agree; ``cells`` holds the rows' hashes.
+
+    Each group gives two pairs, the extremes of two orders of its rows, by partial aggregates: a
+    group that holds a third of all rows arrives as a few rows for each task.
+    """
+    orders = [F.xxhash64(F.lit(i), "cells") for i in range(2)]
+    pairs = groups.groupBy(*by).agg(*[
+        f("cells", o).alias(f"{n}{i}") for i, o in enumerate(orders)
+        for n, f in (("lo", F.min_by), ("hi", F.max_by))])
+    same = [F.zip_with(f"lo{i}", f"hi{i}", lambda a, b: a == b) for i in range(2)]
+    # A pair that agrees in everything is one row twice, or a row paired with itself.
+    rows = pairs.select(F.explode(F.array(*same)).alias("same")).where(
+        F.exists("same", lambda x: ~x)).distinct().limit(SAMPLE_CELLS).collect()
+    return [frozenset(i for i, x in enumerate(r.same) if x) for r in rows]
+
+
+def _maximal(sets: Iterable[frozenset[int]]) -> list[frozenset[int]]:
+    out: list[frozenset[int]] = []
+    for one in sorted(set(sets), key=len, reverse=True):
+        if not any(one <= other for other in out):
+            out.append(one)
+    return out
+
+
+def _disproof(df: DataFrame, places: Sequence[int]) -> list[frozenset[int]] | None:
+    """None if no two rows agree in the columns at ``places``, else sets of columns in which some do.
+
+    One hash value in 64 is looked at first; only without a repeat there all rows are grouped, by 128
+    bits of hash.
     """
-    own = [F.col(quoted(c)) for c in cols]
-    few = df.filter(F.pmod(F.xxhash64(*own), F.lit(64)) == 0)
-
-    def repeats(rows: DataFrame) -> bool:
-        groups = rows.groupBy(*own).agg(F.count(F.lit(1)).alias(free_name("n", rows)))
-        return not groups.filter(F.col(groups.columns[-1]) > 1).limit(1).isEmpty()
-
-    return repeats(few) or repeats(df)
-
-
-def _removable(
-    df: DataFrame,
-    kept: list[str],
-    chunk: list[str],
-    counts: dict[str, int],
-    rows: int,
-) -> list[str]:
-    """The columns left in ``kept`` after removing what ``chunk`` does not need."""
-    rest = [c for c in kept if c not in chunk]
-    possible = 1
-    for c in rest:
-        possible *= counts[c] + 1  # one more for null
-    if rest and possible >= rows and not has_repeats(df, rest):
-        return rest
-    if len(chunk) == 1:
-        return kept
-    half = len(chunk) // 2
-    kept = _removable(df, kept, chunk[:half], counts, rows)
-    return _removable(df, kept, chunk[half:], counts, rows)
+    cols = [df.columns[i] for i in places]
+    rows = df.select(*row_fingerprint(df, cols), _cells(df).alias("cells"))
+    few = rows.where(F.pmod("hash_a", F.lit(64)) == 0)
+    by = list(FINGERPRINT)
+    for part in (few, rows):
+        repeats = part.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+            *by).limit(SHOWN).collect()
+        if repeats:
+            shown = df.sparkSession.createDataFrame(repeats, "hash_a long, hash_b long")
+            found = _agreements(part.join(F.broadcast(shown), by, "left_semi"), by)  # SHOWN rows
+            return [*found, frozenset(places)]
+    return None
 
 
 def find_keys(df: DataFrame, profiled: DataFrame | None = None) -> list[tuple[str, ...]]:
     """Key column tuples: every single-column key, else one minimal composite key.
 
-    Only per-column counts reach the driver. Columns are tried in ascending order of their
-    distinct counts, whole halves first. A column that a larger set needs, every smaller set
-    needs too, so one pass ends with a minimal key. A set whose value combinations are fewer
-    than the rows is ruled out without a job.
+    Columns are taken away in ascending order of their distinct counts while the rest is a key. Rows
+    that agree in some columns show sets that are no keys, and so are all their subsets: a sample of
+    groups of equal values gives such sets, and they decide the search on the driver. Its result
+    is then verified over all rows. Repeats that show up there join the sets and the search runs again.
+    A verified result is what a search with full looks would give: each set that was kept holds the
+    key, and each that was refused lies in a set in which two rows agree.
     """
     found = (profiled if profiled is not None else profile(df)).collect()  # one row per column
     counts = {r.col_name: r.distinct_val_count for r in found}
@@ -145,10 +167,29 @@ def find_keys(df: DataFrame, profiled: DataFrame | None = None) -> list[tuple[st
     single = sorted(r.col_name for r in found if r.is_pk and r.col_name != ALL_COLUMNS)
     if single:
         return [(c,) for c in single]
-    if not whole.is_pk or whole.distinct_val_count == 0:
+    n = whole.distinct_val_count
+    if not whole.is_pk or n == 0:
         return []
-    order = sorted(df.columns, key=lambda c: (counts[c], c))
-    return [tuple(_removable(df, list(df.columns), order, counts, whole.distinct_val_count))]
+    share = min(1.0, SAMPLE_CELLS / (n * len(df.columns)))
+    cells = df.select(_cells(df).alias("cells")).select(
+        F.posexplode("cells").alias("at", "value"), "cells").where(
+            F.pmod(F.xxhash64("at", "value"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
+    no_keys = _maximal(_agreements(cells, ["at", "value"]))
+    order = sorted(range(len(df.columns)), key=lambda i: (counts[df.columns[i]], df.columns[i]))
+    while True:
+        key = set(order)
+        for i in order:
+            rest = key - {i}
+            possible = 1
+            for j in rest:
+                possible *= counts[df.columns[j]] + 1  # one more for null
+            if rest and possible >= n and not any(rest <= s for s in no_keys):
+                key = rest
+        places = sorted(key)
+        more = _disproof(df, places) if len(key) < len(order) else None
+        if more is None:
+            return [tuple(df.columns[i] for i in places)]
+        no_keys = _maximal([*no_keys, *more])
 
 
 def keys_frame(df: DataFrame) -> DataFrame:

@@ -368,6 +368,18 @@ def find_keys(spark, sf):
     return profile.keys_frame(table(spark, sf, "conversations").drop("text"))
 
 
+@query("find_keys_whole", """
+    SELECT CAST(row_number() OVER (ORDER BY col_name) AS INTEGER) AS key_no, col_name FROM (
+      SELECT 'conv_id' AS col_name, count(DISTINCT conv_id) AS d FROM conversations
+      UNION ALL SELECT 'turn', count(DISTINCT turn) FROM conversations
+      UNION ALL SELECT 'role', count(DISTINCT role) FROM conversations
+      UNION ALL SELECT 'text', count(DISTINCT text) FROM conversations)
+    WHERE d = (SELECT count(*) FROM conversations)""")
+def find_keys_whole(spark, sf):
+    """All columns of conversations, the texts included."""
+    return profile.keys_frame(table(spark, sf, "conversations"))
+
+
 @query("find_keys_single", """
     SELECT CAST(row_number() OVER (ORDER BY col_name) AS INTEGER) AS key_no, col_name FROM (
       SELECT 'c_custkey' AS col_name, count(DISTINCT c_custkey) AS d FROM customer
