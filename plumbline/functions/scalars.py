@@ -60,18 +60,19 @@ def flag(cond: Column) -> Column:
 def exact_sum(col: Column, scale: int = 4) -> Column:
     """Sum of doubles as a decimal with ``scale`` decimals, exact to 18 decimals of each value.
 
-    Unlike a sum of doubles it does not depend on the order of the rows. Each value is a part of four
-    decimals and what that leaves, both short decimals, which Spark adds as whole numbers; values
-    of 10**14 and more, beyond such a part, are added apart. Only the sum is rounded.
+    Unlike a sum of doubles it does not depend on the order of the rows. A value of at most four
+    decimals is added as a whole number of their units; one with more decimals or very many digits
+    is added as a longer decimal, which costs more and is rare. Only the sum is rounded.
     """
+    units = F.rint(F.when(F.abs(col) < 9e11, col) * 1e4)  # below 2**53, where doubles hold them
+    short = F.coalesce(units / 1e4 == col, F.lit(False))
     large = F.abs(col) >= 1e14
-    part = F.when(~large, col).cast("decimal(18,4)")
-    deeper = part.cast("double") != col.cast("double")  # rare, and dearer to add
-    rest = F.when(deeper, (col.cast("decimal(38,18)") - part).cast("decimal(18,18)"))
-    zero = F.lit(0).cast("decimal(38,18)")
-    total = F.coalesce(F.sum(part).cast("decimal(38,18)"), zero) + F.coalesce(
-        F.sum(rest).cast("decimal(38,18)"), zero)
+    kind, zero = f"decimal(38,{scale})", F.lit(0).cast("decimal(38,18)")
+    few = F.sum(F.when(short, units.cast("long")).cast("decimal(18,0)")) * F.lit(1e-4).cast(
+        "decimal(5,4)")
+    deep = F.sum(F.when(~short & ~large, col.cast("decimal(38,18)")))
     whole = F.sum(F.when(large, col.cast("decimal(38,4)")))
-    kind = f"decimal(38,{scale})"
+    total = F.coalesce(few.cast("decimal(38,18)"), zero) + F.coalesce(
+        deep.cast("decimal(38,18)"), zero)
     return F.when(whole.isNotNull(), (total.cast(kind) + whole).cast(kind)).when(
         F.count(col) > 0, total.cast(kind))

@@ -82,4 +82,5 @@ def test_sums_of_small_and_large_values(spark):
     big = spark.createDataFrame([(1e17,), (0.25,)], "v double").agg(
         scalars.exact_sum(F.col("v")).alias("s")).first().s
     assert big == Decimal("100000000000000000.25")
+    assert total([99999999999999.98, 99999999999999.98]) == Decimal("199999999999999.96")
     assert total([None]) is None
