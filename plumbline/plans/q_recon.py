@@ -340,6 +340,25 @@ def profile_distinct(spark, sf):
     return profile.profile(table(spark, sf, "customer"), "customer")
 
 
+@query("profile_saved", f"""{_PROFILE}
+    UNION ALL SELECT 'supplier', col_name, d, d = (SELECT count(*) FROM supplier) FROM (
+      SELECT 's_suppkey' AS col_name, count(DISTINCT s_suppkey) AS d FROM supplier
+      UNION ALL SELECT 's_name', count(DISTINCT s_name) FROM supplier
+      UNION ALL SELECT 's_nationkey', count(DISTINCT s_nationkey) FROM supplier
+      UNION ALL SELECT 's_acctbal', count(DISTINCT s_acctbal) FROM supplier
+      UNION ALL SELECT '<all columns>', count(*) FROM (SELECT DISTINCT * FROM supplier))""")
+def profile_saved(spark, sf):
+    """Profiles kept as one slice for each table; a later profile replaces its table's slice alone."""
+    path, schema = scratch(spark, "profiles"), None
+    part = table(spark, sf, "customer").filter("c_acctbal > 0")
+    for name, df in (("customer", part), ("supplier", table(spark, sf, "supplier")),
+                     ("customer", table(spark, sf, "customer"))):
+        found = profile.profile(df, name)
+        schema = found.schema
+        sinks.sink_replace_slice(found, path, "tbl_name")
+    return spark.read.schema(schema).parquet(path)
+
+
 @query("profile_text_width", """
     SELECT col_name, max_length, 'varchar(' || max_length || ')' AS suggested_type FROM (
       SELECT 'p_name' AS col_name, CAST(max(length(p_name)) AS INTEGER) AS max_length FROM part

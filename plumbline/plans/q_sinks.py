@@ -103,6 +103,21 @@ def sink_upsert(spark, sf):
     return spark.table(name)
 
 
+@query("sink_upsert_slices", with_pair("""
+    SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM pair p WHERE p.o_orderkey = o.o_orderkey
+                                               AND p.o_orderpriority = o.o_orderpriority)
+                              OR o_orderpriority NOT LIKE '1%'
+    UNION ALL SELECT DISTINCT * FROM pair WHERE o_orderpriority LIKE '1%'"""))
+def sink_upsert_slices(spark, sf):
+    """Changes to orders of one priority: only the slice that they name is read and written."""
+    target, changed = pair(spark, sf)
+    path = scratch(spark, "orders-slices")
+    target.write.partitionBy("o_orderpriority").parquet(path)
+    rows = changed.distinct().filter("o_orderpriority LIKE '1%'")
+    sinks.sink_upsert_slices(spark, path, rows, ["o_orderkey", "o_orderpriority"], "o_orderpriority")
+    return spark.read.schema(target.schema).parquet(path)
+
+
 @query("sink_upsert_files", with_pair("""
     , new AS (SELECT DISTINCT * FROM pair WHERE o_orderkey % 1000 < 50 AND o_orderkey < (
                 SELECT max(o_orderkey) / 4 FROM orders))
