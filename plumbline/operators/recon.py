@@ -259,6 +259,7 @@ class KeyFindings:
     totals: dict[str, int]
     marked: DataFrame
     keys: tuple[str, ...]
+    scan: DataFrame | None = None  # the pass itself, for its plan
 
     @property
     def differing(self) -> DataFrame:
@@ -315,7 +316,7 @@ def scan_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> KeyFind
     flagged = flagged.drop("unequal")
     observed.filter(wanted).drop("unequal").write.parquet(path)
     marked = left.sparkSession.read.schema(flagged.schema).parquet(path)
-    return KeyFindings(dict(seen.get), marked, tuple(keys))
+    return KeyFindings(dict(seen.get), marked, tuple(keys), flagged)
 
 
 # Up to this many differing keys the full rows are fetched by key, not shuffled.

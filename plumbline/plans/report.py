@@ -131,6 +131,8 @@ def reconcile(
         run.done("counts", rows["left"] == rows["right"], rows)
     if found is not None:
         rows = recon.fetch(lhs, rhs, found)
+        if "hash" in chosen:
+            run.plan("hash", found.scan)  # the row hashes come from the key scan
     if "hash" in chosen:
         hashed = recon.hash_differences(*rows, found) if found is not None else run.plan(
             "hash", recon.check_hash(lhs, rhs)).first().asDict()
