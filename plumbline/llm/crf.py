@@ -8,7 +8,8 @@ side, their maps are chained, and all chunks run again from the right odds. The
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -99,26 +100,43 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray,
     return p, np.array([(w / total).sum() for w in weights]).reshape(2, 2)
 
 
-def fit(size: int, emission: Callable[[np.ndarray], np.ndarray],
-        gradient: Callable[[np.ndarray], np.ndarray], lengths: np.ndarray, labels: np.ndarray,
-        steps: int, rate: float, decay: float) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and transitions that fit ``labels``, by Adam on the conditional likelihood.
+@dataclass(frozen=True)
+class Part:
+    """Some whole sequences: ``emission(w)`` gives the scores of their items, ``gradient(d)`` the sum
+    of d times the features of each weight."""
+
+    emission: Callable[[np.ndarray], np.ndarray]
+    gradient: Callable[[np.ndarray], np.ndarray]
+    lengths: np.ndarray
+    labels: np.ndarray
+
+
+def label_pairs(part: Part) -> np.ndarray:
+    """How often each label follows each other one inside the sequences."""
+    inner = np.ones(len(part.labels), bool)
+    inner[np.cumsum(part.lengths[part.lengths > 0]) - 1] = False
+    at = np.flatnonzero(inner)
+    return np.bincount(part.labels[at] * 2 + part.labels[at + 1], minlength=4).reshape(2, 2)
+
+
+def fit_parts(size: int, parts: Sequence[Part], steps: int, rate: float, decay: float
+              ) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and transitions that fit the labels of all parts, by Adam on the conditional likelihood.
 
-    ``emission(w)`` gives the scores of all items, ``gradient(d)`` the sum of d times the
-    features of each weight. Every step sees all items.
+    Every step sees all items, one part after the other, so that working memory follows the largest
+    part.
     """
     w, t = np.zeros(size), np.zeros((2, 2))
-    lengths = lengths[lengths > 0]
-    n = max(1, len(labels))
-    last = np.cumsum(lengths) - 1
-    inner = np.ones(len(labels), bool)
-    inner[last] = False
-    at = np.flatnonzero(inner)
-    seen = np.bincount(labels[at] * 2 + labels[at + 1], minlength=4).reshape(2, 2)
+    n = max(1, sum(len(part.labels) for part in parts))
+    seen = sum((label_pairs(part) for part in parts), np.zeros((2, 2)))
     moments = [np.zeros(size + 4), np.zeros(size + 4)]
     for i in range(1, steps + 1):
-        p, expected = marginals(emission(w), lengths, t, pairs=True)
-        g = np.r_[gradient(labels - p) / n - decay * w, ((seen - expected) / n).ravel()]
+        slope, expected = np.zeros(size), np.zeros((2, 2))
+        for part in parts:
+            p, pairs = marginals(part.emission(w), part.lengths, t, pairs=True)
+            slope += part.gradient(part.labels - p)
+            expected += pairs
+        g = np.r_[slope / n - decay * w, ((seen - expected) / n).ravel()]
         moments[0] = 0.9 * moments[0] + 0.1 * g
         moments[1] = 0.999 * moments[1] + 0.001 * g * g
         move = rate * moments[0] / (1 - 0.9 ** i) / (
@@ -128,6 +146,13 @@ def fit(size: int, emission: Callable[[np.ndarray], np.ndarray],
     return w, t
 
 
+def fit(size: int, emission: Callable[[np.ndarray], np.ndarray],
+        gradient: Callable[[np.ndarray], np.ndarray], lengths: np.ndarray, labels: np.ndarray,
+        steps: int, rate: float, decay: float) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`fit_parts` of one part."""
+    return fit_parts(size, [Part(emission, gradient, lengths, labels)], steps, rate, decay)
+
+
 def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and intercept of a one-variable logistic regression, by Newton steps that ascend."""
     middle, scale = float(np.mean(x)), float(np.std(x)) or 1.0

@@ -8,30 +8,29 @@ beginnings. Forward-backward marginals give every token's probability. A documen
 calibrated function of the probability that at least one token is toxic; spans are the runs of
 tokens at or above one half.
 
-The fit reads a bounded sample of labelled rows (``SAMPLE`` documents per label, those of smallest
-hashed id); scoring reads every whole text, and the fitted weights are of fixed size. ``SAMPLE`` was
-2500 and is 1200 since the fit took 1624 MB of the driver, whose limit is 1500. Of this sample the
-fit uses the surroundings of each labelled token and one in eight stretches of 16 tokens; evidence and
-calibration use all of it. Wording seen fewer than about 10 times in its toxic documents
-(``EVIDENCE_SHARE``) is no evidence.
+The fit reads a bounded sample of labelled rows (``SAMPLE`` documents and ``SAMPLE_BYTES`` bytes of
+text per label, those of smallest hashed id) and uses every token of it, slice by slice; scoring reads
+every whole text, and the fitted weights are of fixed size. Wording seen fewer than about 20 times in
+2500 toxic documents (``EVIDENCE_SHARE``) is no evidence.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm import crf
 from plumbline.llm import text as T
-from plumbline.llm.tables import pieces, remainder, result_schema, texts_of
+from plumbline.llm.tables import kept, pieces, remainder, result_schema, texts_of
 
-#: Training documents per label.
-SAMPLE = 1200
+#: Training documents per label, and bytes of their texts. A text over a 32nd of the bytes is not
+#: taken for training.
+SAMPLE, SAMPLE_BYTES = 2500, 16 << 20
 #: Weights of the hashed features: bounds what is sent to the workers.
 WEIGHTS = 1 << 18
 #: Bytes of word beginnings and of the end that are features.
@@ -77,24 +76,26 @@ def slots(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
             ).astype(np.int32)
 
 
-def evidence(hashes: np.ndarray, text: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+def evidence(rows: Iterable[np.ndarray], text: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """True for tokens of toxic documents whose word or a beginning marks toxic documents.
 
+    ``rows`` gives the hashes of all tokens, of the words first and then of their beginnings.
     Occurrences between the same neighbours count once, so that copies of a document do not make
     its words evidence.
     """
-    found = np.zeros(hashes.shape[1], bool)
+    found, context = np.zeros(len(text), bool), None
     of = toxic[text].astype(bool)
     n_toxic, n_clean = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
-    word = hashes[0]
-    context = np.zeros_like(word)
-    context[1:] += T.mix(word[:-1])
-    context[:-1] += word[1:]
-    for row in hashes[:1 + len(BEGINNINGS)]:
+    for row in rows:
+        if context is None:
+            context = np.zeros_like(row)
+            context[1:] += T.mix(row[:-1])
+            context[:-1] += row[1:]
+            context = T.mix(context)
         keys, codes = np.unique(row, return_inverse=True)
         counts = []
         for side in (of, ~of):
-            _, first = np.unique(T.mix(row[side] ^ T.mix(context[side])), return_index=True)
+            _, first = np.unique(T.mix(row[side] ^ context[side]), return_index=True)
             counts.append(np.bincount(codes[side][first], minlength=len(keys)))
         seen, clean = counts
         marks = (seen >= max(EVIDENCE_DOCS, EVIDENCE_SHARE * n_toxic)) & (
@@ -110,19 +111,21 @@ def summary(p: np.ndarray, text: np.ndarray, rows: int) -> np.ndarray:
     return np.clip(np.log(np.maximum(some, 1e-9)) - none, -20.0, 20.0)
 
 
-def token_marginals(weights: np.ndarray, transitions: np.ndarray, hashes: np.ndarray,
+def token_marginals(weights: np.ndarray, transitions: np.ndarray, features: np.ndarray,
                     text: np.ndarray, rows: int) -> np.ndarray:
-    scores = weights[slots(hashes, text)].sum(0).astype(float)
+    scores = weights[features].sum(0).astype(float)
     return crf.marginals(scores, np.bincount(text, minlength=rows), transitions)[0]
 
 
 def training_sample(documents: DataFrame, labels: DataFrame, label: str, size: int, by: int,
-                    out: int) -> DataFrame:
-    """At most ``size`` labelled documents of each label outside the held-out fold.
+                    out: int, most: int = SAMPLE_BYTES) -> DataFrame:
+    """At most ``size`` labelled documents and ``most`` bytes of text of each label outside the
+    held-out fold.
 
     Rows: doc_id, text, label. Those of smallest hashed id are taken, among the documents that
     have text rows; the choice moves ids only, and the chosen ids, bounded by ``size``, are joined
-    with the texts where those are read. Labels other than 0 and 1 are not used, null text counts
+    with the texts where those are read. Of these, texts over a 32nd of ``most`` and what comes after
+    ``most`` bytes are left out. Labels other than 0 and 1 are not used, null text counts
     as empty, and of repeated rows of a document the smallest text is taken.
     """
     ids = documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"))
@@ -134,8 +137,14 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str, size: i
               for value in (0, 1)]
     texts = documents.select(F.col("doc_id").cast("long"),
                              F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id").groupBy(
-        "doc_id", label).agg(F.min("text").alias("text")).orderBy("doc_id", label)
+    sample = kept(texts.join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id").groupBy(
+        "doc_id", label).agg(F.min("text").alias("text")), "sample")
+    length = F.octet_length("text").cast("long")
+    order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")
+    fitting = sample.where(length <= most // 32).select("doc_id", label, length.alias("length")).select(
+        "doc_id", label, F.sum("length").over(order).alias("total")).where(F.col("total") <= most)
+    return sample.join(F.broadcast(fitting.drop("total")), ["doc_id", label]).select(
+        "doc_id", label, "text").orderBy("doc_id", label)
 
 
 def fit(labelled: DataFrame) -> Model:
@@ -152,39 +161,29 @@ def fit(labelled: DataFrame) -> Model:
         side = np.clip(share, 1e-3, 1 - 1e-3)
         return Model(np.zeros(WEIGHTS, np.float32), np.zeros((2, 2)), 0.0,
                      float(np.log(side / (1 - side))))
-    parts = []  # of each slice: its first and last row, text numbers and hashes of its tokens
+    slices = []  # of each slice: its first and last row, text numbers and hashes of its tokens
     for first, end, data, bounds in T.slices(rows["text"]):
         _, _, own, found = token_parts(data, bounds)
-        parts.append((first, end, own, found))
-    text = np.concatenate([own + first for first, _, own, _ in parts])
-    labels = evidence(np.concatenate([h for *_, h in parts], 1), text, toxic).astype(np.int64)
-    # Long stretches of clean tokens say little: the fit sees the surroundings of each label and
-    # every eighth stretch of 16 tokens as sequences of their own.
-    near = np.convolve(labels, np.ones(33), "same")[:len(labels)] > 0 if len(labels) else labels
-    place = np.arange(len(text)) // 16
-    keep = near | (T.mix(place.astype(np.uint64)) % np.uint64(8) == 0)
-    at = np.flatnonzero(keep)
-    edges = np.cumsum([0, *[len(own) for _, _, own, _ in parts]])
-    features = np.concatenate([slots(h, own)[:, keep[i:j]] for (_, _, own, h), i, j in zip(
-        parts, edges, edges[1:], strict=False)], 1)
-    breaks = np.r_[True, (np.diff(at) > 1) | (np.diff(text[at]) != 0)] if len(at) else keep
-    lengths = np.diff(np.r_[np.flatnonzero(breaks), len(at)])
-    flat = features.ravel()
-
-    def emission(w: np.ndarray) -> np.ndarray:
-        return w[features].sum(0)
-
-    def gradient(d: np.ndarray) -> np.ndarray:
-        return np.bincount(flat, weights=np.tile(d, len(features)), minlength=WEIGHTS)
-
-    weights, transitions = crf.fit(WEIGHTS, emission, gradient, lengths, labels[at], STEPS, RATE,
-                                   DECAY)
+        slices.append((first, end, own, found))
+    text = np.concatenate([own + first for first, _, own, _ in slices])
+    rows_of = (np.concatenate([h[i] for *_, h in slices]) for i in range(1 + len(BEGINNINGS)))
+    marked = evidence(rows_of, text, toxic).astype(np.int64)
+    parts, at = [], 0
+    for number, (first, end, own, hashes) in enumerate(slices):
+        features = slots(hashes, own)
+        slices[number] = (first, end, own, features)  # takes the place of the hashes
+        parts.append(crf.Part(
+            lambda w, f=features: w[f].sum(0),
+            lambda d, f=features: np.bincount(f.ravel(), weights=np.tile(d, len(f)),
+                                              minlength=WEIGHTS),
+            np.bincount(own, minlength=end - first), marked[at:at + len(own)]))
+        at += len(own)
+    weights, transitions = crf.fit_parts(WEIGHTS, parts, STEPS, RATE, DECAY)
     weights = weights.astype(np.float32)
     x = np.concatenate([
-        summary(token_marginals(weights, transitions, h, own, end - first), own, end - first)
-        for first, end, own, h in parts])
-    weight = np.where(toxic == 1, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean()))
-    return Model(weights, transitions, *crf.calibrate(x, toxic, weight))
+        summary(token_marginals(weights, transitions, f, own, end - first), own, end - first)
+        for first, end, own, f in slices])
+    return Model(weights, transitions, *crf.calibrate(x, toxic, np.ones(len(x))))
 
 
 SCHEMA = ("doc_id long, score double, predicted int, "
@@ -211,7 +210,8 @@ def score(documents: DataFrame, model: Model, carry: bool = False) -> DataFrame:
             for first, stop, data, bounds in T.slices(batch.column(1)):
                 rows = stop - first
                 start, end, text, hashes = token_parts(data, bounds)
-                p = token_marginals(known.weights, known.transitions, hashes, text, rows)
+                p = token_marginals(known.weights, known.transitions, slots(hashes, text), text,
+                                    rows)
                 x = known.slope * summary(p, text, rows) + known.intercept
                 result = 1 / (1 + np.exp(-np.clip(x, -crf.BOUND, crf.BOUND)))
                 hot = np.flatnonzero(p >= 0.5)

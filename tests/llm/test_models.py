@@ -68,6 +68,47 @@ def test_toxicity_on_held_out_rows(larger):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
 
 
+def test_toxicity_precision_and_recall(spark, sf):
+    docs, labels = (spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.1')}/{name}.parquet")
+                    for name in ("documents", "labels"))
+    marks = labels.where("toxic IN (0, 1)").select("doc_id", "toxic")
+    both = toxicity.classify(docs, labels).where("held_out").join(marks, "doc_id")
+    count = {(r.toxic, r.predicted): r["count"]
+             for r in both.groupBy("toxic", "predicted").count().collect()}
+    right = count[1, 1]
+    assert right / (right + count.get((0, 1), 0)) > 0.9
+    assert right / (right + count.get((1, 0), 0)) > 0.9
+
+
+def test_fit_by_parts_equals_one_part():
+    draw = np.random.default_rng(5)
+    features, labels = draw.integers(0, 40, (3, 90)), draw.integers(0, 2, 90)
+    lengths = np.array([20, 0, 10, 25, 35])
+
+    def part(a, b, sizes):
+        own = features[:, a:b]
+        return crf.Part(lambda w: w[own].sum(0), lambda d: np.bincount(
+            own.ravel(), weights=np.tile(d, 3), minlength=40), sizes, labels[a:b])
+
+    whole = crf.fit_parts(40, [part(0, 90, lengths)], 20, 0.1, 1e-5)
+    cut = crf.fit_parts(40, [part(0, 30, lengths[:3]), part(30, 90, lengths[3:])], 20, 0.1, 1e-5)
+    assert np.allclose(whole[0], cut[0]) and np.allclose(whole[1], cut[1])
+
+
+def test_training_sample_is_bounded_in_rows_and_bytes(spark, make):
+    docs = make(["a" * 100, "b" * 100, "c" * 5000, None, "d" * 100, "e"], [1, 2, 3, 4, 6, 7])
+    marks = spark.createDataFrame([(i, 1) for i in (1, 2, 3, 4, 6, 7)], "doc_id long, toxic int")
+
+    def found(**given):
+        rows = toxicity.training_sample(docs, marks, "toxic", by=99991, out=5, **given).collect()
+        return {r.doc_id: len(r.text) for r in rows}
+
+    assert found(size=10) == {1: 100, 2: 100, 3: 5000, 4: 0, 6: 100, 7: 1}
+    assert len(found(size=2)) == 2
+    assert 3 not in found(size=10, most=32 * 1000)
+    assert sum(found(size=10, most=32 * 101).values()) <= 32 * 101 and found(size=10, most=32) == {4: 0, 7: 1}
+
+
 def test_quality_on_held_out_rows(larger):
     docs, labels = larger
     found = quality.classify(docs, labels)
