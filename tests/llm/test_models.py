@@ -230,9 +230,9 @@ def brute_licenses(text, templates, threshold, block):
         for at in range(0, max(1, len(own)), block // 2):
             part = set(own[at:at + block])
             for t, label in templates:
-                want = set(t.split())
+                want, core = set(t.split()), set(licenses.REQUIRED.get(t, "").split())
                 if len(want & part) >= threshold * len(want) - 1e-9:
-                    found.add((label, first + at, len(want & part) / len(want)))
+                    found.add((label, first + at, len(want & part) / len(want), core <= part))
     return len(words), places, found
 
 
@@ -249,18 +249,48 @@ def test_license_scan_equals_brute_force(make, larger):
                                            licenses.THRESHOLD, licenses.BLOCK)
         assert r.n_words == n
         assert sorted((p.first, p.label) for p in r.phrases) == places
-        assert {(b.label, b.first, b.containment) for b in r.blocks} == blocks
+        assert {(b.label, b.first, b.containment, b.named) for b in r.blocks} == blocks
         s = short[r.doc_id]
         assert (s.n_base, s.first_word, s.last_word) == (
             len(places), places[0][0] if places else None, places[-1][0] if places else None)
         assert s.base_labels == ",".join(sorted({label for _, label in places}))
         assert s.labels == ",".join(sorted({label for _, label in places}
-                                           | {b[0] for b in blocks}))
+                                           | {b[0] for b in blocks if b[3]}))
         assert 0 <= s.score <= 1
     assert licenses.scan(make([])).count() == 0
     assert licenses.scan(make(["x"]), templates=[], phrases={}).first().blocks == []
 
 
+def test_whole_notices_are_labelled(make):
+    for_label = {
+        "mit": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, '
+               "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A "
+               "PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+        "bsd": "Redistribution and use in source and binary forms, with or without\n# modification, "
+               "are permitted provided that the following conditions are met:",
+        "lgpl-2.1": "under the terms of the GNU Lesser General Public License as published by the Free "
+                    "Software Foundation; either version 2.1 of the License, or (at your option) any "
+                    "later version.",
+        "agpl-3": "under the terms of the GNU Affero General Public License as published\n * by the "
+                  "Free Software Foundation, either version 3 of the License, or\n * (at your option) "
+                  "any later version.",
+        "epl-2": "This program and the accompanying materials are made available under the terms of "
+                 "the Eclipse Public License 2.0 which is available at https://www.eclipse.org",
+        "unlicense": "This is free and unencumbered software released into the public domain.",
+        "apache-2": "// SPDX-License-Identifier: Apache-2.0",
+        "gpl-3": "# SPDX-License-Identifier: GPL-3.0-or-later"}
+    found = licenses.labelled(licenses.scan(make(list(for_label.values())))).collect()
+    for r in found:
+        assert list(for_label)[r.doc_id] in r.labels.split(","), r
+    plain = ["released under the gpl license", "spdx license identifier proprietary",
+             "creative commons attribution 4 0 international license",
+             "you may copy this text for any purpose and share it with anyone"]
+    labels = [r.labels for r in licenses.labelled(licenses.scan(make(plain))).orderBy("doc_id").collect()]
+    assert labels == ["", "", "cc-by", ""]
+    blocks = licenses.scan(make(plain[:1])).first().blocks
+    assert [(b.label, b.named) for b in blocks] == [("mit", False)]
+
+
 def brute_wrapped(text, templates, threshold, block):
     words, lines = [], []
     for number, line in enumerate((text or "").translate(FOLD).split("\n")):
@@ -274,8 +304,8 @@ def brute_wrapped(text, templates, threshold, block):
             continue
         for t, label in templates:
             want, core = set(t.split()), set(licenses.REQUIRED.get(t, "").split())
-            if len(want & part) >= threshold * len(want) - 1e-9 and core <= part:
-                found.add((label, at, len(want & part) / len(want)))
+            if len(want & part) >= threshold * len(want) - 1e-9:
+                found.add((label, at, len(want & part) / len(want), core <= part))
     return found
 
 
@@ -288,12 +318,12 @@ def test_license_scan_finds_wrapped_notices(make):
             for sign in ("\n", "\n * ", "\r\n# "):
                 texts.append(sign.join(textwrap.wrap(f"{before} {notice} and more", width)))
                 labels.append(label)
-    grant = licenses.TEMPLATES[1][0].split()
+    grant = next(t for t, _ in licenses.TEMPLATES if t.startswith("permission is hereby")).split()
     texts.append(" ".join(grant[:14]) + "\n" + " ".join(grant[14:]))
     labels.append("mit")
     found = licenses.scan(make(texts))
     for r in found.collect():
-        assert {(b.label, b.first, b.containment) for b in r.wrapped} == brute_wrapped(
+        assert {(b.label, b.first, b.containment, b.named) for b in r.wrapped} == brute_wrapped(
             texts[r.doc_id], licenses.TEMPLATES, licenses.THRESHOLD, licenses.BLOCK)
     for r in licenses.labelled(found).collect():
         assert (labels[r.doc_id] or "") in r.labels.split(",")
