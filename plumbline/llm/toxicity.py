@@ -86,21 +86,30 @@ def evidence(rows: Iterable[np.ndarray], text: np.ndarray, toxic: np.ndarray) ->
     found, context = np.zeros(len(text), bool), None
     of = toxic[text].astype(bool)
     n_toxic, n_clean = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
+    least = max(EVIDENCE_DOCS, EVIDENCE_SHARE * n_toxic)
+
+    def occurrences(row: np.ndarray, at: np.ndarray, codes: np.ndarray, size: int) -> np.ndarray:
+        _, first = np.unique(T.mix(row[at] ^ context[at]), return_index=True)
+        return np.bincount(codes[first], minlength=size)
+
     for row in rows:
         if context is None:
             context = np.zeros_like(row)
             context[1:] += T.mix(row[:-1])
             context[:-1] += row[1:]
             context = T.mix(context)
-        keys, codes = np.unique(row, return_inverse=True)
-        counts = []
-        for side in (of, ~of):
-            _, first = np.unique(T.mix(row[side] ^ context[side]), return_index=True)
-            counts.append(np.bincount(codes[side][first], minlength=len(keys)))
-        seen, clean = counts
-        marks = (seen >= max(EVIDENCE_DOCS, EVIDENCE_SHARE * n_toxic)) & (
-            seen / n_toxic > EVIDENCE_RATIO * (clean + 0.05) / n_clean)
-        found |= marks[codes] & of
+        at = np.flatnonzero(of)
+        keys, codes = np.unique(row[at], return_inverse=True)
+        often = occurrences(row, at, codes, len(keys))
+        keys, seen = keys[often >= least], often[often >= least]
+        if not len(keys):
+            continue
+        known = np.minimum(np.searchsorted(keys, row), len(keys) - 1).astype(np.int32)
+        among = keys[known] == row
+        other = np.flatnonzero(among & ~of)
+        clean = occurrences(row, other, known[other], len(keys))
+        marks = seen / n_toxic > EVIDENCE_RATIO * (clean + 0.05) / n_clean
+        found |= marks[known] & among & of
     return found
 
 
@@ -161,17 +170,20 @@ def fit(labelled: DataFrame) -> Model:
         side = np.clip(share, 1e-3, 1 - 1e-3)
         return Model(np.zeros(WEIGHTS, np.float32), np.zeros((2, 2)), 0.0,
                      float(np.log(side / (1 - side))))
-    slices = []  # of each slice: its first and last row, text numbers and hashes of its tokens
+    # Hashes are made anew for each look at them: kept for all tokens they fill more than the features.
+    def column(i: int) -> np.ndarray:
+        return np.concatenate([token_parts(data, bounds)[3][i]
+                               for _, _, data, bounds in T.slices(rows["text"])])
+
+    text = np.concatenate([(token_parts(data, bounds)[2] + first).astype(np.int32)
+                           for first, _, data, bounds in T.slices(rows["text"])])
+    marked = evidence((column(i) for i in range(1 + len(BEGINNINGS))), text, toxic).astype(np.int8)
+    del text
+    slices, parts, at = [], [], 0
     for first, end, data, bounds in T.slices(rows["text"]):
-        _, _, own, found = token_parts(data, bounds)
-        slices.append((first, end, own, found))
-    text = np.concatenate([own + first for first, _, own, _ in slices])
-    rows_of = (np.concatenate([h[i] for *_, h in slices]) for i in range(1 + len(BEGINNINGS)))
-    marked = evidence(rows_of, text, toxic).astype(np.int64)
-    parts, at = [], 0
-    for number, (first, end, own, hashes) in enumerate(slices):
+        _, _, own, hashes = token_parts(data, bounds)
         features = slots(hashes, own)
-        slices[number] = (first, end, own, features)  # takes the place of the hashes
+        slices.append((first, end, own.astype(np.int32), features))
         parts.append(crf.Part(
             lambda w, f=features: w[f].sum(0),
             lambda d, f=features: np.bincount(f.ravel(), weights=np.tile(d, len(f)),
