@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text makes a slice of its own.
 SLICE = 1 << 20
+#: Bytes for which powers stay in a task's memory.
+KEPT = 8 << 20
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -23,15 +25,20 @@ _POWERS: list[np.ndarray] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, SLICE + 4096)
-        _POWERS[:] = []
-        for base in (_BASE, _INVERSE):
-            run = np.full(size, base & _MASK, np.uint64)
-            run[0] = 1
-            _POWERS.append(np.multiply.accumulate(run))
-    return _POWERS[0], _POWERS[1]
+    """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each.
+
+    Those for up to ``KEPT`` bytes stay in memory; longer ones are made anew and go with their use.
+    """
+    if _POWERS and len(_POWERS[0]) >= n:
+        return _POWERS[0], _POWERS[1]
+    made = []
+    for base in (_BASE, _INVERSE):
+        run = np.full(max(n, SLICE + 4096), base & _MASK, np.uint64)
+        run[0] = 1
+        made.append(np.multiply.accumulate(run, out=run))
+    if n <= KEPT:
+        _POWERS[:] = made
+    return made[0], made[1]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -125,9 +132,19 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
 
 def word_hashes(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray, table: np.ndarray
                 ) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and text number of each word."""
+    """Hash and text number of each word.
+
+    A hash depends on the bytes of its word alone, so sums run over ``SLICE`` bytes, or one longer word,
+    at a time, however long a text is.
+    """
     start, end, text = words(data, bounds, inside)
-    return span_hash(prefix(data, table), start, end), text
+    found, i = np.empty(len(start), np.uint64), 0
+    while i < len(start):
+        at = start[i]
+        j = max(i + 1, int(np.searchsorted(end, at + SLICE, "right")))
+        found[i:j] = span_hash(prefix(data[at:end[j - 1]], table), start[i:j] - at, end[i:j] - at)
+        i = j
+    return found, text
 
 
 def shingles(hashes: np.ndarray, text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
