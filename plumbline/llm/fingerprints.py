@@ -12,8 +12,9 @@ terms of a document) / LOW_SHARE terms, whatever the number of documents: that b
 broadcast.
 
 To compare each document with an edited copy that ends like the beginning of the next one, texts
-are dealt once, compressed, into ranges of doc_id of some MB; the first document of each range
-is sent to the range before as well.
+are dealt once, compressed, into sorted ranges of doc_id, and each range is read as a stream that
+holds some MB. The last document of a range meets the first one of the next range by a join, after
+all others are written. The driver receives nothing but the lexicon.
 """
 
 from __future__ import annotations
@@ -24,24 +25,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm import text as T
-from plumbline.llm.tables import pieces
+from plumbline.llm.tables import kept, pieces
 
 #: Shares of all documents that bound the lexicon's document frequencies.
 LOW_SHARE, HIGH_SHARE = 0.0005, 0.02
 #: Random subsets of each level, levels of a document, and terms its densest should hold.
 SUBSETS, LEVELS, TERMS = 16, 4, 0.5
-#: Bytes of text in a range of documents.
+#: Bytes of text that a task compares at once.
 RANGE_BYTES = 8 << 20
+#: Characters of a text that order rows of the same id, before a hash of the whole text does.
+HEAD = 32
 #: Pairs of term and count that a counting task holds before it hands them on.
 HELD = 1 << 20
 
 SEEDS = T.mix(np.arange(1, SUBSETS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
-#: What stands for a null id in the order of documents: null comes first.
-NULL_ID = -(1 << 63)
 
 
 def distinct_terms(data: np.ndarray, bounds: np.ndarray, lexicon: np.ndarray | None = None
@@ -191,34 +193,55 @@ def fingerprint(documents: DataFrame, words: np.ndarray | None = None) -> DataFr
                             ).mapInArrow(run, PRINTED)
 
 
-def id_ranges(documents: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
-    """Bounds between ranges of doc_id with about ``RANGE_BYTES`` of text each, and the smallest id
-    of each range that has rows. Both are one value per range."""
-    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id")
-    total = documents.agg(F.sum(F.octet_length(F.col("text").cast("string"))).alias("n")).first().n
-    parts = max(1, -(-(total or 0) // RANGE_BYTES))
-    quantiles = documents.select(ids).approxQuantile(
-        "id", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
-    cuts = np.unique(np.array(quantiles, float)).astype(np.int64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least: dict[int, int] = {}
-        for batch in pieces(batches):
-            values = batch.column(0).to_numpy()
-            for r, v in zip(np.searchsorted(cuts, values, "right").tolist(), values.tolist(),
-                            strict=True):
-                least[r] = min(v, least.get(r, v))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(least), pa.int64()), pa.array(list(least.values()), pa.int64())],
-            ["range", "id"])
+COMPARED = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+            "edited_fingerprint string, near_edited double, near_next double")
+#: Rows of a range: compared ones, and its first and last document, with their texts.
+STREAMED = COMPARED + ", part int, edge string, text string"
 
-    rows = documents.select(ids).mapInArrow(run, "range long, id long").groupBy("range").agg(
-        F.min("id").alias("id")).collect()
-    return cuts, {r["range"]: r.id for r in rows}
 
+def in_ranges(documents: DataFrame) -> DataFrame:
+    """(doc_id, size, data) in sorted ranges of doc_id; data is the compressed text.
 
-COMPARED = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-            "edited_fingerprint string, near_edited double, near_next double")
+    Null ids come first. Rows of one id follow in order of the first ``HEAD`` characters of their
+    texts, then of a hash of them, so that ranges can divide them; only copies are dealt by chance.
+    """
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            raw = [x.as_buffer() for x in batch.column(3)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array([b.size for b in raw], pa.int64()),
+                 pa.array([pa.compress(b, "zstd", asbytes=True) for b in raw], pa.binary())],
+                ["doc_id", "head", "mark", "size", "data"])
+
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"),
+                            F.substring(text, 1, HEAD).alias("head"),
+                            F.xxhash64(text).alias("mark"), text.alias("text"))
+    order = ["doc_id", "head", "mark"]
+    packed = rows.mapInArrow(pack, "doc_id long, head string, mark long, size long, data binary")
+    return packed.repartitionByRange(*order, F.rand(17)).sortWithinPartitions(*order).select(
+        "doc_id", "size", "data")
+
+
+def compared(ids: list, own: list[str], words: np.ndarray, part: int) -> pa.RecordBatch:
+    """Rows of ``COMPARED`` for the ids; their texts, and after them the one that follows, are given."""
+    edited, size = [], []
+    for text, after in zip(own, own[1:], strict=False):
+        cut = len(text) // part
+        edited.append(text[:len(text) - cut] + after[:cut])
+        size.append(len(text))
+    prints = fingerprints(pa.array(own, pa.large_string()), words)
+    others = fingerprints(pa.array(edited, pa.large_string()), words)
+    at = np.arange(len(ids))
+    return pa.RecordBatch.from_pydict({
+        "doc_id": pa.array(ids, pa.int64()),
+        "n_chars": pa.array(size, pa.int64()),
+        "edited_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited],
+                                  pa.string()),
+        "fingerprint": pa.array([prints.text(i) for i in at], pa.string()),
+        "edited_fingerprint": pa.array([others.text(i) for i in at], pa.string()),
+        "near_edited": pa.array(prints.likeness(at, others, at)),
+        "near_next": pa.array(prints.likeness(at, prints, at + 1))})
 
 
 def compare_edited(documents: DataFrame, part: int = 4) -> DataFrame:
@@ -226,60 +249,63 @@ def compare_edited(documents: DataFrame, part: int = 4) -> DataFrame:
 
     The edited copy has the last n_chars // ``part`` code points replaced by the first as many, or
     all, of the next document in order of doc_id (after the last: the first). A null text counts
-    as empty; null ids come first; rows of the same id follow in order of their texts; other
-    columns are not read; an empty table gives no rows; a single row is its own next.
+    as empty; null ids come first; rows of the same id are ordered as in :func:`in_ranges`; other
+    columns are not read; an empty table gives no rows; a single row is its own next. The result
+    is written to the shared folder once.
     """
-    spark = documents.sparkSession
-    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    words = spark.sparkContext.broadcast(lexicon(rows))
-    cuts, least = id_ranges(rows)
-    used = sorted(least)
-    before = {least[r]: used[i - 1] for i, r in enumerate(used)}
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words = documents.sparkSession.sparkContext.broadcast(lexicon(documents))
+    limit = RANGE_BYTES
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, first, ids, texts, held = TaskContext.get().partitionId(), None, [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            done = compared(ids[:-1], texts, words.value, part)
+            n = done.num_rows
+            return pa.RecordBatch.from_arrays(
+                [*done.columns, pa.array([number] * n, pa.int32()), pa.nulls(n, pa.string()),
+                 pa.nulls(n, pa.string())], [*done.schema.names, "part", "edge", "text"])
+
+        def edge(name: str, i: int | None, text: str) -> pa.RecordBatch:
+            none = {c: pa.nulls(1, t) for c, t in (
+                ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
+                ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
+                ("near_edited", pa.float64()), ("near_next", pa.float64()))}
+            return pa.RecordBatch.from_pydict({
+                "doc_id": pa.array([i], pa.int64()), **none, "part": pa.array([number], pa.int32()),
+                "edge": pa.array([name]), "text": pa.array([text], pa.string())})
+
         for batch in pieces(batches):
-            ids = batch.column(0).fill_null(NULL_ID).to_numpy()
-            own = np.searchsorted(cuts, ids, "right")
-            out = []
-            for i, (r, d, text) in enumerate(zip(own.tolist(), ids.tolist(), batch.column(1),
-                                                 strict=True)):
-                raw = b"" if not text.is_valid else text.as_buffer().to_pybytes()
-                data = pa.compress(raw, "zstd", asbytes=True)
-                out.append((r, False, d, len(raw), data))
-                if d in before:  # may be what follows the last of the range before
-                    out.append((before[d], True, d, len(raw), data))
-            columns = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (
-                    pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
-                ["range", "ahead", "id", "size", "data"])
-
-    def compared(table: pa.Table) -> pa.Table:
-        sizes = table["size"].to_pylist()
-        texts = [pa.decompress(d.as_buffer(), n, "zstd", asbytes=True) if n else b""
-                 for d, n in zip(table["data"], sizes, strict=True)]
-        ids, ahead = table["id"].to_pylist(), table["ahead"].to_pylist()
-        order = sorted((i for i in range(len(ids)) if not ahead[i]), key=lambda i: (ids[i], texts[i]))
-        follow = min((i for i in range(len(ids)) if ahead[i]), key=lambda i: (ids[i], texts[i]))
-        n = len(order)
-        own = [texts[i].decode() for i in [*order, follow]]
-        edited, size = [], []
-        for text, after in zip(own, own[1:], strict=False):
-            cut = len(text) // part
-            edited.append(text[:len(text) - cut] + after[:cut])
-            size.append(len(text))
-        prints = fingerprints(pa.array(own, pa.large_string()), words.value)
-        others = fingerprints(pa.array(edited, pa.large_string()), words.value)
-        at = np.arange(n)
-        return pa.table({
-            "doc_id": pa.array([None if ids[i] == NULL_ID else ids[i] for i in order], pa.int64()),
-            "n_chars": pa.array(size, pa.int64()),
-            "edited_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited],
-                                      pa.string()),
-            "fingerprint": pa.array([prints.text(i) for i in range(n)], pa.string()),
-            "edited_fingerprint": pa.array([others.text(i) for i in range(n)], pa.string()),
-            "near_edited": pa.array(prints.likeness(at, others, at)),
-            "near_next": pa.array(prints.likeness(at, prints, at + 1))})
-
-    return rows.mapInArrow(deal, "range long, ahead boolean, id long, size long, data binary"
-                           ).groupBy("range").applyInArrow(compared, COMPARED)
+            for i, n, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                  batch.column(2), strict=True):
+                ids.append(i)
+                texts.append(pa.decompress(data.as_buffer(), n, "zstd", asbytes=True).decode()
+                             if n else "")
+                if first is None:
+                    first = i, texts[0]
+                    yield edge("first", *first)
+                held += n
+                if held > limit and len(ids) > 1:
+                    yield flush()
+                    del ids[:-1], texts[:-1]
+                    held = n
+        if len(ids) > 1:
+            yield flush()
+        if ids:
+            yield edge("last", ids[-1], texts[-1])
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            for i, text, after in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                yield compared([i], [text, after], words.value, part)
+
+    rows = kept(in_ranges(documents).mapInArrow(stream, STREAMED), "fingerprints")
+    names = [c.split()[0] for c in COMPARED.split(", ")]
+    heads = rows.where("edge = 'first'").select(F.col("part").alias("next"), F.col("text").alias("after"))
+    tails = rows.where("edge = 'last'").select("part", "doc_id", "text")
+    # One row for each range, without its texts: the next range that has rows, at the end the first.
+    w = Window.orderBy("part")
+    places = rows.where("edge = 'first'").select("part").select("part", F.coalesce(
+        F.lead("part").over(w), F.first("part").over(w)).alias("next"))
+    last = tails.join(places, "part").join(heads, "next").select("doc_id", "text", "after")
+    return rows.where("edge IS NULL").select(*names).unionAll(last.mapInArrow(ends, COMPARED))

@@ -6,9 +6,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from plumbline.llm import fingerprints, jaccard, neighbours, suffix_dedup
+from plumbline.llm import text as T
 from plumbline.llm.components import components
 
 
@@ -225,6 +227,111 @@ def test_fingerprints_across_ranges_and_odd_rows(make, monkeypatch):
     assert one[0].edited_sha256 == hashlib.sha256(b"abca").hexdigest()
 
 
+def brute_prints(texts, lexicon):
+    """Kind, level and hashes of each text, term by term in plain integers."""
+    mask = (1 << 64) - 1
+
+    def mix(x):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = ((x ^ (x >> shift)) * factor) & mask
+        return x ^ (x >> 31)
+
+    found = []
+    for text in texts:
+        words = set(re.findall(b"[0-9a-z\x80-\xff]+", text.encode().lower()))
+        codes = {int(T.word_hashes(np.frombuffer(w, np.uint8), np.array([0, len(w)]), T.ALNUM,
+                                   T.FOLDED)[0][0]) for w in words}
+        kind = "b" if codes & lexicon else "a" if codes else "c"
+        used = codes & lexicon or codes
+        if not used:
+            digest = hashlib.sha256(text.encode()).digest()[:4]
+            hashes = [int.from_bytes(digest, "little") | 1] * 64
+            found.append((kind, 0, hashes))
+            continue
+        level = max(1, int(np.floor(np.log2(len(used) / 0.5))))
+        hashes = []
+        for x in range(4):
+            for s in range(16):
+                seed = mix((s + 1) * 0xA24BAED4963EE407 & mask)
+                inside = [c for c in used if mix((c + seed) & mask) < 1 << (64 - level - x)]
+                total = mix(sum(mix(c ^ 0x2545F4914F6CDD1D) for c in inside) & mask)
+                hashes.append(max(total >> 32, 1) if inside else 0)
+        found.append((kind, level, hashes))
+    return found
+
+
+def brute_likeness(a, b):
+    if a == b:
+        return 1.0
+    if a[0] != b[0]:
+        return 0.0
+    sets = [{(p[1] + k // 16, k % 16): h for k, h in enumerate(p[2])} for p in (a, b)]
+    pairs = [(sets[0][k], sets[1][k]) for k in sets[0].keys() & sets[1].keys()]
+    used = [p == q for p, q in pairs if p or q]
+    return sum(used) / max(1, len(used))
+
+
+def test_fingerprints_and_likeness_equal_brute_force(make):
+    draw = random.Random(8)
+    vocabulary = [f"Wort{i}" for i in range(60)] + ["\u00e9t\u00e9", "\u7d05\u8272", "x1"]
+    texts = [" ".join(draw.choices(vocabulary, k=draw.choice([1, 3, 20, 90]))) for _ in range(60)]
+    texts += ["", " \n", "...", texts[3], "alone"]
+    docs = make(texts)
+    lexicon = fingerprints.lexicon(docs, 0.05, 0.3)
+    counts = Counter(w for t in texts for w in {x.lower() for x in t.split()})
+    in_band = [w for w, n in counts.items() if 0.05 * len(texts) <= n <= 0.3 * len(texts)
+               and w != "..."]
+    assert len(lexicon) == len(in_band) > 10
+    known = set(lexicon.tolist())
+    edited = []
+    for text, after in zip(texts, texts[1:] + texts[:1], strict=True):
+        cut = len(text) // 4
+        edited.append(text[:len(text) - cut] + after[:cut])
+    own, other = brute_prints(texts, known), brute_prints(edited, known)
+    prints = [fingerprints.fingerprints(pa.array(t, pa.large_string()), lexicon)
+              for t in (texts, edited)]
+    for mine, theirs in zip(prints, (own, other), strict=True):
+        assert [("bac"[k], level, h.tolist()) for k, level, h in zip(
+            mine.kind.tolist(), mine.level.tolist(), mine.hashes, strict=True)] == theirs
+    at = np.arange(len(texts))
+    assert prints[0].likeness(at, prints[1], at).tolist() == pytest.approx(
+        [brute_likeness(a, b) for a, b in zip(own, other, strict=True)])
+    assert prints[0].likeness(at, prints[0], np.roll(at, -1)).tolist() == pytest.approx(
+        [brute_likeness(a, b) for a, b in zip(own, own[1:] + own[:1], strict=True)])
+
+
+def test_edited_copies_need_no_driver_state(make, monkeypatch):
+    """Ranges of a few bytes, one id for a third of all rows, and no rows sent to the driver."""
+    draw = random.Random(5)
+    texts = ["".join(draw.choices("ab \u00fc", k=draw.randint(0, 60))) for _ in range(150)]
+    ids = [7 if k % 3 == 0 else None if k % 7 == 0 else 1000 + k for k in range(150)]
+    docs = make(texts, ids)
+    expected = {(r.doc_id, r.n_chars, r.edited_sha256, r.near_next): 0
+                for r in fingerprints.compare_edited(docs).collect()}
+    words = fingerprints.lexicon(docs)
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", 16)
+    monkeypatch.setattr(fingerprints, "lexicon", lambda _: words)
+    monkeypatch.setattr(type(docs), "collect", None)
+    monkeypatch.setattr(type(docs), "approxQuantile", None)
+    found = fingerprints.compare_edited(docs)
+    monkeypatch.undo()
+    assert {(r.doc_id, r.n_chars, r.edited_sha256, r.near_next): 0
+            for r in found.collect()} == expected
+    assert found.count() == 150
+
+
+def test_word_hashes_of_long_texts_in_stretches(monkeypatch):
+    draw = random.Random(2)
+    texts = ["".join(draw.choices("abC \u00e9", k=n)) for n in (0, 5, 3000, 40)] + ["y" * 500]
+    data, bounds = T.utf8(pa.array(texts))
+    whole = T.word_hashes(data, bounds, T.ALNUM, T.FOLDED)
+    monkeypatch.setattr(T, "SLICE", 64)
+    monkeypatch.setattr(T, "KEPT", 100)
+    monkeypatch.setattr(T, "_POWERS", [])
+    cut = T.word_hashes(data, bounds, T.ALNUM, T.FOLDED)
+    assert (cut[0] == whole[0]).all() and (cut[1] == whole[1]).all()
+
+
 def test_lexicon_counts_documents(make):
     docs = make(["rare common"] + ["Common common"] * 99)
     assert len(fingerprints.lexicon(docs, 0.005, 0.5)) == 1
