@@ -23,8 +23,8 @@ BLANK = re.compile("[\\t-\\r %s]{4096,}" % "".join(map(chr, (
     0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))))
 #: Words start at a space; the space belongs to the word.
 NOT_SPACE = T.byte_class((0x20, 0x20))
-#: Distinct words kept per process.
-CACHE = 600_000
+#: Distinct words kept per process, and bytes of them: text without spaces makes words of whole lines.
+CACHE, CACHE_BYTES = 600_000, 32 << 20
 #: Fixed value: how the vocabulary file's pre-tokenizer splits a text.
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -46,6 +46,7 @@ class WordTable:
 
     def forget(self) -> None:
         self.slot: dict[int, int] = {}
+        self.held = 0
         self.begin = self.size = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
@@ -58,7 +59,7 @@ class WordTable:
         back, keys = pd.factorize(T.span_hash(T.prefix(data, T.EXACT), start, end))
         first = np.zeros(len(keys), np.int64)
         first[back[::-1]] = np.arange(len(back))[::-1]
-        if len(self.slot) > CACHE:
+        if len(self.slot) > CACHE or self.held > CACHE_BYTES:
             self.forget()
         listed = keys.tolist()
         slots = np.array([self.slot.get(key, -1) for key in listed], np.int64)
@@ -66,6 +67,7 @@ class WordTable:
         if len(missing):
             raw = data.tobytes()
             at = first[missing]
+            self.held += int((end[at] - start[at]).sum())
             order, ids, sizes = self.encode_new(
                 [raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)])
             self.size = np.concatenate([self.size, sizes]).astype(np.int64)

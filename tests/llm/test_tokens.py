@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 from plumbline.llm import bpe, packing
 from plumbline.llm import text as T
+from plumbline.llm import tokens
 from plumbline.llm.tokens import ByteEncoder
 
 PARTS = [" ", "  ", "\n", "\t", "a", "b1", "'s", "É", " ", "<|endoftext|>", "́", "\r",
@@ -156,3 +157,19 @@ def test_packing_groups_are_bounded_by_pieces(spark, make, bpe_path):
     groups = Counter(r.sequence_id >> 32 for r in found)
     assert len(found) > 3150 and len(groups) >= 11 and max(groups.values()) < 400
     assert len({(r.sequence_id, r.offset) for r in found}) == len(found)
+
+
+def test_word_cache_is_bounded_in_bytes(word_path, bpe_path, monkeypatch):
+    """Long words without spaces: few of them are kept, and ids stay those of the library."""
+    draw = random.Random(4)
+    lines = ["".join(chr(draw.randrange(0x4E00, 0x4F00)) for _ in range(200)) for _ in range(60)]
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 2000)
+    for encoder, path in ((bpe.WordEncoder(word_path), word_path),
+                          (ByteEncoder(bpe_path), bpe_path)):
+        library = Tokenizer.from_file(path)
+        for line in lines:
+            data, bounds = T.utf8(pa.array([f"{line} {line[:20]}"]))
+            start, end, _ = tokens.space_words(data, bounds)
+            found = encoder.ids(encoder.slots(data, start, end)).tolist()
+            assert found == library.encode(f"{line} {line[:20]}", add_special_tokens=False).ids
+            assert encoder.held <= 2000 + len(data) and len(encoder.slot) <= 12
