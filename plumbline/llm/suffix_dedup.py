@@ -354,7 +354,8 @@ def merge(transforms: list[np.ndarray], rounds: int, end: int = 0
 def repeated(contexts: list[bytes], docs: np.ndarray, length: int, shard: int | None = None
              ) -> list[np.ndarray]:
     """Starts in each context of strings of ``length`` bytes that occur in a context of a smaller
-    document. Contexts may repeat."""
+    document. Contexts may repeat; a copy of a smaller document's context loses all its strings,
+    also those that no other context holds."""
     if not contexts:
         return []
     shard = shard or SHARD
@@ -391,6 +392,9 @@ def repeated(contexts: list[bytes], docs: np.ndarray, length: int, shard: int |
     edges = np.searchsorted(owner, np.arange(len(distinct) + 1))
     out = []
     for n, doc in zip(number.tolist(), docs.tolist(), strict=True):
+        if least[n] < doc:  # the same context in a smaller document: all its strings repeat
+            out.append(np.arange(max(0, len(distinct[n]) - length + 1)))
+            continue
         a, b = edges[n], edges[n + 1]
         out.append(place[a:b][first[a:b] < doc])
     return out

@@ -139,6 +139,20 @@ def test_suffix_dedup_equals_brute_force(make, monkeypatch):
     assert suffix_dedup.dedup(make([])).count() == 0
 
 
+def test_suffix_dedup_of_a_context_that_two_later_documents_share(make):
+    # 12 and 324 share 56 bytes, 11 the first 54 of them: 324 loses the windows at 5 and 6 too.
+    head = "The and attion to thanedble the, anea. Eriner thanea.\n"
+    texts = [head + "Thntblere of then, edtioner in inea that esly ndstnd nter inor eri",
+             head + "Itrendndsh erineaing haan erre attionin oranst as nt atoust eseahe",
+             head + "It anha reou stanat and at ing eresnt.\nAnd ornd.\nFrom ou onea of o"]
+    rows = list(zip([11, 12, 324], texts, strict=True))
+    found = suffix_dedup.dedup(make(texts, [11, 12, 324]))
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+                  for r in found.collect())
+    assert got == brute_dedup(rows)
+    assert {r.doc_id: r.n_removed for r in found.collect()}[324] == 56
+
+
 @pytest.mark.parametrize("often", [1 << 18, 100])
 def test_suffix_dedup_of_a_line_in_ever_new_surroundings(make, monkeypatch, often):
     monkeypatch.setattr(suffix_dedup, "HOT", 20)
