@@ -84,3 +84,23 @@ def test_sums_of_small_and_large_values(spark):
     assert big == Decimal("100000000000000000.25")
     assert total([99999999999999.98, 99999999999999.98]) == Decimal("199999999999999.96")
     assert total([None]) is None
+
+
+def test_scan_quoted_split_writes_no_file_through_one_task(spark, sf, monkeypatch):
+    # Before, the whole documents table went through one task to one file.
+    from plumbline.plans import q_sources
+    from plumbline.sources import sinks
+
+    parts, write = [], sinks.sink_csv
+    monkeypatch.setattr(sinks, "sink_csv", lambda df, path, **kw: (
+        parts.append(df.rdd.getNumPartitions()), write(df, path, **kw))[1])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 64 << 10)
+    try:
+        docs = spark.read.parquet(f"{sf}/documents.parquet")
+        got = q_sources.scan_quoted_split(spark, sf)
+        assert parts == [docs.rdd.getNumPartitions()] and parts[0] > 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    cols = ["doc_id", "text", "lang", "source", "n_chars"]
+    assert got.select(cols).exceptAll(docs.select(cols)).count() == 0
+    assert docs.select(cols).exceptAll(got.select(cols)).count() == 0
