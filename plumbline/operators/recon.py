@@ -433,16 +433,18 @@ def _repeated_pair_counts(
     types = common_types(left, right)
     key = [f"k{i}" for i in range(len(keys))]
 
+    few = broadcast_if_small(found.repeated, FEW_KEYS, known_rows=found.totals["repeated_both"])
+
     def side(df: DataFrame, name: str) -> DataFrame:
-        df = cast_to(df, types)
+        # Rows are picked before their cells are hashed: a join that is not broadcast then
+        # shuffles the plain row, not a 16-byte fingerprint of every column.
+        df = with_keys(cast_to(df, types), few, keys, "left_semi")
         counts = [F.lit(int(name == s)).cast("long").alias(f"n_{s}") for s in ("left", "right")]
         cells = F.array(*[F.struct(*row_fingerprint(df, [c])) for c in cols])
         return df.select(*[F.col(quoted(k)).alias(a) for k, a in zip(keys, key, strict=True)],
                          cells.alias("cells"), *counts)
 
-    repeated = found.repeated.toDF(*key)
-    few = broadcast_if_small(repeated, FEW_KEYS, known_rows=found.totals["repeated_both"])
-    rows = with_keys(side(left, "left").unionByName(side(right, "right")), few, key, "left_semi")
+    rows = side(left, "left").unionByName(side(right, "right"))
     both = [F.sum(n).alias(n) for n in ("n_left", "n_right")]
     distinct = rows.groupBy(*key, "cells").agg(*both)
     values = distinct.select(*key, F.posexplode("cells").alias("at", "cell"), "n_left", "n_right"
