@@ -86,3 +86,18 @@ def test_kafka_options():
     opts = streams.kafka_options(["a:9092", "b:9092"], "sales", max_offsets=1000, min_partitions=64)
     assert opts["kafka.bootstrap.servers"] == "a:9092,b:9092" and opts["subscribe"] == "sales"
     assert (opts["maxOffsetsPerTrigger"], opts["minPartitions"]) == ("1000", "64")
+
+
+def test_text_topic_is_landed_gzipped_and_read_whole(spark):
+    import os
+
+    from plumbline.plans import q_streaming
+
+    rows = spark.createDataFrame([('{"uuid": "a"}',), ('{"uuid": "b',)], "value string")
+    path = q_streaming._land(rows.repartition(2), spark, "topic", "text")
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert files and all(f.endswith(".txt.gz") for f in files)
+    out = scratch(spark, "topic-out")
+    streams.run_available(streams.file_stream(spark, path, "value string", "text"), out,
+                          scratch(spark, "topic-mark"))
+    assert sorted(r.value for r in spark.read.parquet(out).collect()) == ['{"uuid": "a"}', '{"uuid": "b']
