@@ -158,11 +158,11 @@ def scan_quoted_split(spark, sf):
 
 
 def sales_json(spark, sf) -> str:
-    """Sales events exported as JSON whose keys are in upper and mixed case."""
+    """Sales events exported as gzipped JSON whose keys are in upper and mixed case."""
     path = scratch(spark, "sales-json")
     df = sales(spark, sf)
     names = [c.upper() if i % 2 else c.title() for i, c in enumerate(df.columns)]
-    df.toDF(*names).write.json(path)
+    df.toDF(*names).write.option("compression", "gzip").json(path)
     return path
 
 

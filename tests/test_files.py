@@ -127,3 +127,14 @@ def test_jdbc_read_options():
     assert "partitionColumn" not in jdbc.read_options("jdbc:x", "t")
     with pytest.raises(ValueError, match="bound"):
         jdbc.read_options("jdbc:x", "t", "id")
+
+
+def test_sales_json_is_gzipped_and_read_whole(spark, sf):
+    from plumbline.plans.derived import SALES_COLUMNS, sales
+    from plumbline.plans.q_sources import sales_json
+
+    path = sales_json(spark, sf)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    got, want = readers.scan_json_mapped(spark, path, SALES_COLUMNS), sales(spark, sf)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
