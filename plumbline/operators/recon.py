@@ -5,7 +5,8 @@ hashes) is one union of both sides and one aggregation, so map-side partial sums
 keys before the shuffle and no join is needed. Only the cell comparison joins. It first finds
 the differing keys from row fingerprints and then fetches the full rows of those keys alone. It
 joins rows whose key is unique on at least one side, so its output grows linearly; keys repeated
-on both sides are counted in closed form instead of being paired.
+on both sides are counted in closed form instead of being paired. With too many such keys to fetch
+their rows, all pairs are counted in that form, from one shuffle of the rows.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ from pyspark.sql.window import Window
 from plumbline.functions.canonical import (
     FINGERPRINT, free_name, marked_text, quoted, row_fingerprint, value_text,
 )
-from plumbline.functions.sizing import broadcast_if_small
+from plumbline.functions.sizing import broadcast_if_small, task_count
 from plumbline.session import scratch
 from plumbline.spec import TableSpec, cast_to, common_types
 
@@ -253,11 +255,12 @@ class KeyFindings:
 
     ``marked`` holds (keys, n_left, n_right, differs, tangled) of the keys that differ, repeat on
     both sides, or have several unequal rows. It is a written table, so its size is known to the
-    joins that use it and nothing is computed twice.
+    joins that use it and nothing is computed twice. ``hot`` holds the keys of over ``HOT_ROWS`` rows.
     """
 
     totals: dict[str, int]
     marked: DataFrame
+    hot: DataFrame
     keys: tuple[str, ...]
     scan: DataFrame | None = None  # the pass itself, for its plan
 
@@ -279,6 +282,15 @@ class KeyFindings:
         return self.marked.filter("tangled").select(*columns(self.keys))
 
 
+# A key of more rows than this, of both sides together, is too much for one task.
+HOT_ROWS = 10_000
+
+
+def _product(a: Column, b: Column) -> Column:
+    wide = T.DecimalType(19, 0)
+    return (a.cast(wide) * b.cast(wide)).cast(T.DecimalType(38, 0))
+
+
 def scan_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> KeyFindings:
     """One job over (keys, row fingerprint) of both sides.
 
@@ -294,8 +306,9 @@ def scan_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> KeyFind
         return df.select(*columns(keys), *row_fingerprint(df, rest), *counts)
 
     both = side(left, "left").unionByName(side(right, "right"))
-    bounds = [f(h).alias(f"{n}_{h}") for h in FINGERPRINT
-              for n, f in (("lo", F.min), ("hi", F.max))]
+    # Both halves side by side: for a single row the compressor sees the same 16 bytes twice.
+    bounds = [f(h).alias(f"{n}_{h}") for n, f in (("lo", F.min), ("hi", F.max))
+              for h in FINGERPRINT]
     census = both.groupBy(*columns(keys)).agg(
         F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"), *bounds
     )
@@ -307,16 +320,23 @@ def scan_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> KeyFind
     flagged = census.select(*columns(keys), "n_left", "n_right", (matched & unequal).alias("differs"),
                             (unequal & ~each).alias("tangled"), unequal.alias("unequal"))
     seen = Observation()
+    nl, nr = F.col("n_left"), F.col("n_right")
     wanted = F.expr("differs OR tangled OR (n_left > 1 AND n_right > 1)")
-    single = F.col("differs") & ~((F.col("n_left") > 1) & (F.col("n_right") > 1))
+    repeated, hot = (nl > 1) & (nr > 1), nl + nr > HOT_ROWS
+    pairs = lambda cond: F.coalesce(
+        F.sum(F.when(cond, _product(nl, nr))), F.lit(0)).cast(T.DecimalType(38, 0))
     observed = flagged.observe(
         seen, *_total_columns(), *_hash_columns(~F.col("unequal"), each),
-        _sum_if(single, F.lit(1)).alias("differing"), _sum_if(wanted, F.lit(1)).alias("marked"))
+        _sum_if(F.col("differs") & ~repeated, F.lit(1)).alias("differing"),
+        _sum_if(wanted, F.lit(1)).alias("marked"), _sum_if(hot, F.lit(1)).alias("hot"),
+        _sum_if(repeated, nl + nr).alias("rows_repeated"),
+        pairs(repeated).alias("pairs_repeated"), pairs(matched).alias("pairs"))
     path = scratch(left.sparkSession, "keys")
     flagged = flagged.drop("unequal")
-    observed.filter(wanted).drop("unequal").write.parquet(path)
-    marked = left.sparkSession.read.schema(flagged.schema).parquet(path)
-    return KeyFindings(dict(seen.get), marked, tuple(keys), flagged)
+    observed.filter(wanted | hot).drop("unequal").write.parquet(path)
+    written = left.sparkSession.read.schema(flagged.schema).parquet(path)
+    return KeyFindings(dict(seen.get), written.filter(wanted),
+                       written.filter(hot).select(*columns(keys)), tuple(keys), flagged)
 
 
 # Up to this many differing keys the full rows are fetched by key, not shuffled.
@@ -419,44 +439,96 @@ def repeated_key_values(
     return key_census(lv, rv, [*keys, "col_name", "value"])
 
 
+# Cells, of both sides together, that one task counts: their hashes stay in its memory.
+TASK_CELLS = 1_500_000
+# More rows than this are shuffled in so many passes, each with its share of the keys, so that what
+# a task sorts for the shuffle stays in its memory too. Their number does not grow with the input.
+PASS_ROWS, PASSES = 20_000_000, 4
+
+
+def _fits_a_long(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.DecimalType):
+        return dtype.precision <= 18
+    return isinstance(dtype, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType,
+                              T.TimestampNTZType))
+
+
+def _nests_floats(dtype: T.DataType) -> bool:
+    """Whether equal values may have unlike hashes: -0.0 and 0.0 inside a nested value."""
+    nested = isinstance(dtype, (T.ArrayType, T.MapType, T.StructType))
+    return nested and any(f'"{t}"' in dtype.json() for t in ("double", "float"))
+
+
 def _repeated_pair_counts(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], found: KeyFindings
+    left: DataFrame, right: DataFrame, keys: Sequence[str], found: KeyFindings, every: bool = False
 ) -> DataFrame:
-    """(col_name, mismatch_cnt): differing row pairs of keys repeated on both sides, as all pairs less
-    equal pairs.
-
-    Both sides are one table of rows; equal rows become one row with two counts, then equal values
-    of a key and column do, by 128 bits of hash. No value travels as text, and every step is a
-    partial aggregate, so neither a hot key nor a hot row meets in one task unreduced.
+    """(col_name, mismatch_cnt): differing row pairs of keys repeated on both sides, or of every key,
+    as all pairs less equal pairs.
+
+    The key scan knows the number of pairs. For the equal ones each row is shuffled once, by its
+    keys: a short value as it is, any other as 128 bits of hash. The task that gets a key counts its
+    equal values by hash, and there are so many tasks that these stay in memory. Hot keys go
+    another way, in which every step is a partial aggregate: equal rows become one row with two
+    counts, then equal values of a key and column do, so neither a hot key nor a hot row meets in one
+    task unreduced.
     """
     cols = [c for c in left.columns if c not in keys]
-    types = common_types(left, right)
+    types, totals = common_types(left, right), found.totals
     key = [f"k{i}" for i in range(len(keys))]
-
-    few = broadcast_if_small(found.repeated, FEW_KEYS, known_rows=found.totals["repeated_both"])
-
-    def side(df: DataFrame, name: str) -> DataFrame:
+    short = [_fits_a_long(types[c]) for c in cols]
+    left, right = cast_to(left, types), cast_to(right, types)
+    if not every:
+        few = broadcast_if_small(found.repeated, FEW_KEYS, known_rows=totals["repeated_both"])
         # Rows are picked before their cells are hashed: a join that is not broadcast then
         # shuffles the plain row, not a 16-byte fingerprint of every column.
-        df = with_keys(cast_to(df, types), few, keys, "left_semi")
-        counts = [F.lit(int(name == s)).cast("long").alias(f"n_{s}") for s in ("left", "right")]
-        cells = F.array(*[F.struct(*row_fingerprint(df, [c])) for c in cols])
-        return df.select(*[F.col(quoted(k)).alias(a) for k, a in zip(keys, key, strict=True)],
-                         cells.alias("cells"), *counts)
+        left, right = (with_keys(df, few, keys, "left_semi") for df in (left, right))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        out = [F.col(quoted(k)).alias(a) for k, a in zip(keys, key, strict=True)]
+        for i, c in enumerate(cols):
+            if short[i]:
+                out.append(F.col(quoted(c)).alias(f"v{i}"))
+            else:
+                out += [h.alias(f"{n}{i}") for n, h in zip("ab", row_fingerprint(df, [c]))]
+        return df.select(*out, *[F.lit(int(name == s)).cast("long").alias(f"n_{s}")
+                                 for s in ("left", "right")])
+
+    def rows(how: str | None = None) -> DataFrame:
+        lhs, rhs = left, right
+        if how:
+            hot = broadcast_if_small(found.hot, FEW_KEYS, known_rows=totals["hot"])
+            lhs, rhs = (with_keys(df, hot, keys, how) for df in (left, right))
+        return side(lhs, "left").unionByName(side(rhs, "right"))
 
-    rows = side(left, "left").unionByName(side(right, "right"))
     both = [F.sum(n).alias(n) for n in ("n_left", "n_right")]
-    distinct = rows.groupBy(*key, "cells").agg(*both)
-    values = distinct.select(*key, F.posexplode("cells").alias("at", "cell"), "n_left", "n_right"
-                             ).groupBy(*key, "at", "cell").agg(*both)
-    big, wide = T.DecimalType(38, 0), T.DecimalType(19, 0)
-    product = lambda a, b: a.cast(wide) * b.cast(wide)
-    per_key = values.groupBy(*key, "at").agg(
-        F.sum("n_left").alias("nl"), F.sum("n_right").alias("nr"),
-        F.sum(product(F.col("n_left"), F.col("n_right"))).cast(big).alias("same"))
+
+    def same(df: DataFrame) -> DataFrame:
+        """(at, same): pairs of equal values by the place of their column."""
+        cells = F.array(*[
+            F.struct(F.lit(i).alias("at"),
+                     *(row_fingerprint(df, [f"v{i}"]) if short[i] else
+                       [F.col(f"{n}{i}").alias(h) for n, h in zip("ab", FINGERPRINT)]))
+            for i in range(len(cols))])
+        values = df.select(*key, F.inline(cells), "n_left", "n_right").groupBy(
+            *key, "at", *FINGERPRINT).agg(*both)
+        nl, nr = F.col("n_left"), F.col("n_right")
+        return values.groupBy("at").agg(
+            F.sum(F.when((nl > 0) & (nr > 0), _product(nl, nr))).alias("same"))
+
+    n_rows = totals["rows_left"] + totals["rows_right"] if every else totals["rows_repeated"]
+    tasks = max(task_count(left.sparkSession), -(-n_rows * len(cols) // TASK_CELLS))
+    cold, passes = rows("left_anti" if totals["hot"] else None), PASSES if n_rows > PASS_ROWS else 1
+    shares = [cold] if passes == 1 else [
+        cold.filter(F.pmod(F.xxhash64(*key), F.lit(passes)) == i) for i in range(passes)]
+    equal = reduce(DataFrame.unionByName, [
+        same(share.repartition(-(-tasks // passes), *key)) for share in shares])
+    if totals["hot"]:
+        hot = rows("left_semi")
+        equal = equal.unionByName(same(hot.groupBy(*hot.drop("n_left", "n_right").columns).agg(*both)))
     names = F.array(*[F.lit(c) for c in cols])
-    differ = (product(F.col("nl"), F.col("nr")) - F.col("same")).cast(T.DecimalType(28, 0))
-    return per_key.groupBy("at").agg(F.sum(differ).cast("long").alias("mismatch_cnt")).select(
+    pairs = F.lit(totals["pairs" if every else "pairs_repeated"]).cast(T.DecimalType(38, 0))
+    differ = pairs - F.coalesce(F.sum("same"), F.lit(0))
+    return equal.groupBy("at").agg(differ.cast("long").alias("mismatch_cnt")).select(
         F.get(names, F.col("at")).alias("col_name"), "mismatch_cnt")
 
 
@@ -479,7 +551,8 @@ def check_cells(
 
     Only columns with differences are listed. Pairs of keys repeated on both sides are
     counted without being formed. Each side is read twice at most: for the key scan, and for the
-    rows of the keys that it marks.
+    rows of the keys that it marks. Where these are too many to fetch, all pairs are counted in that
+    way: each side is then read once a pass, and once more for hot keys, if there are any.
     """
     cols = [c for c in left.columns if c not in keys]
     if not cols:
@@ -487,6 +560,9 @@ def check_cells(
     if found is None:
         found = scan_keys(left, right, keys)
         left, right = fetch(left, right, found)
+    if found.totals["marked"] > FEW_KEYS and not any(
+            _nests_floats(t) for c, t in common_types(left, right).items() if c in cols):
+        return _repeated_pair_counts(left, right, keys, found, every=True).filter("mismatch_cnt > 0")
     counts = diff_counts_of(cell_diff(left, right, keys, found) if diffs is None else diffs, cols)
     if found.totals["repeated_both"]:
         more = _repeated_pair_counts(left, right, keys, found)
